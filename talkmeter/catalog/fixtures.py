@@ -131,9 +131,13 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(*_spark(CONVERSATIONS))
 
 
+def to_messages(lines: DataFrame) -> DataFrame:
+    """The mapping alone, so that a stream of lines can pass through it."""
+    return lines.selectExpr(*_spark(LINE_PARTS)).selectExpr(*_spark(MESSAGES))
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = table(spark, sf_dir, "lineitem").selectExpr(*_spark(LINE_PARTS))
-    return parts.selectExpr(*_spark(MESSAGES))
+    return to_messages(table(spark, sf_dir, "lineitem"))
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:

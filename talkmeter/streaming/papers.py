@@ -17,15 +17,16 @@ from talkmeter.streaming.sinks import run_batches
 
 
 def line_stream(
-    spark: SparkSession, folder: str, files_per_batch: int | None = None
+    spark: SparkSession, folder: str, files_per_batch: int | None = None,
+    pattern: str = "*.jsonl", key: str = "_metadata.file_name",
 ) -> DataFrame:
-    """Lines of the ``.jsonl`` files that keep arriving in a folder."""
-    reader = spark.readStream.format("text").option("pathGlobFilter", "*.jsonl")
+    """Lines of the files that keep arriving in a folder, with their file key."""
+    reader = spark.readStream.format("text").option("pathGlobFilter", pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(folder).select(
         "value",
-        F.col("_metadata.file_name").alias("s3_key"),
+        F.expr(key).alias("s3_key"),
         F.col("_metadata.file_block_start").alias("split_start"),
     )
 
