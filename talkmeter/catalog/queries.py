@@ -733,23 +733,28 @@ def transcripts_capped_documents(spark, sf):
 # --- 2.11 judge stage ------------------------------------------------------------------------------------
 
 
-class RateLimited(Exception):
-    pass
-
-
-def rule_judge(content: str, kind: str) -> str:
-    """A stand-in judge whose answer follows from the text length alone."""
-    size = len(content)
-    if size % 7 == 0:
-        raise ValueError("cannot judge")
-    if size % 11 == 0:
-        raise TimeoutError("too slow")
-    answer = {
-        "outcome": ["success_clean", "failure_abandoned", "inconclusive"][size % 3],
-        **{name: (size + i) % 3 + 1 for i, name in enumerate(V.RUBRIC)},
-        "reasoning": f"{kind} of {size} characters",
-    }
-    return "```json\n" + json.dumps(answer) + "\n```\nThat is all."
+def rule_judge() -> judge.Judge:
+    """A stand-in judge whose answer follows from the text length alone.
+
+    It is a closure over plain values, so executors need no copy of this package.
+    """
+    rubric = list(V.RUBRIC)
+
+    def answer(content: str, kind: str) -> str:
+        size = len(content)
+        if size % 7 == 0:
+            raise ValueError("cannot judge")
+        if size % 11 == 0:
+            raise TimeoutError("too slow")
+        scores = {name: (size + i) % 3 + 1 for i, name in enumerate(rubric)}
+        reply = {
+            "outcome": ["success_clean", "failure_abandoned", "inconclusive"][size % 3],
+            **scores,
+            "reasoning": f"{kind} of {size} characters",
+        }
+        return "```json\n" + json.dumps(reply) + "\n```\nThat is all."
+
+    return answer
 
 
 def judged(spark, sf):
@@ -762,7 +767,7 @@ def judged(spark, sf):
     work = waiting.join(texts, "conversation_id", "left").fillna(
         {"transcript": "", "char_count": 0}
     )
-    replies = judge.call_judge(work, rule_judge, parallelism=8, wait_seconds=0)
+    replies = judge.call_judge(work, rule_judge(), parallelism=8, wait_seconds=0)
     return judge.parse_replies(replies)
 
 

@@ -95,7 +95,7 @@ def main() -> None:
         try:
             if name in sql:
                 problem = compare(spark, con, query, sql[name], sf_dir)
-                count = ""
+                count = f"{len(con.execute(sql[name]).fetchall())} rows " if not problem else ""
             else:
                 problem, count = "", f"{query(spark, sf_dir).count()} rows only"
         except Exception as error:  # the report goes on with the next query
