@@ -15,7 +15,7 @@ from talkmeter.functions import keys, labels, text
 from talkmeter.operators import checks, judge, queue, transcripts
 from talkmeter.operators.latest import upsert
 from talkmeter.plans import (
-    extensions, outcomes, reports, signals, staging, telemetry, validation,
+    extensions, judging, outcomes, reports, signals, staging, telemetry, validation,
 )
 from talkmeter.session import new_run_folder
 from talkmeter.sources import incremental, papers, tables
@@ -757,18 +757,18 @@ def rule_judge() -> judge.Judge:
     return answer
 
 
+TEST_PROFILE = judging.consultation_profile(JUDGE_MODEL, JUDGE_VERSION, "test0001")
+
+
 def judged(spark, sf):
-    waiting = queue.judge_queue(
+    due = queue.judge_queue(
         typed_rows(spark, sf), X.ledger(spark, sf), V.CONSULTATION_TYPES, X.NEW_VERSION,
         ordered=False,
     )
-    texts = transcripts.capped_transcripts(X.messages(spark, sf))
-    # A queued conversation without messages is judged on an empty text.
-    work = waiting.join(texts, "conversation_id", "left").fillna(
-        {"transcript": "", "char_count": 0}
+    work = queue.written(due, new_run_folder(spark, "queue"))
+    return judging.judge_batch(
+        work, X.messages(spark, sf), rule_judge(), TEST_PROFILE, parallelism=8, wait_seconds=0
     )
-    replies = judge.call_judge(work, rule_judge(), parallelism=8, wait_seconds=0)
-    return judge.parse_replies(replies)
 
 
 @query

@@ -33,6 +33,30 @@ def judge_queue(
     return queue.orderBy("conversation_id") if ordered else queue
 
 
+def only_queued(rows: DataFrame, ids: DataFrame, broadcast_up_to: int = 1_000_000) -> DataFrame:
+    """Rows of the queued conversations.
+
+    A usual queue is a sliver of the corpus. Its size is counted, and up to the
+    given number of ids (8 bytes each) they are sent to the scan, so the text
+    of other conversations is never shuffled. A larger queue is joined by key.
+    ``ids`` should be a written table (``written``), or it is computed twice.
+    """
+    ids = ids.select("conversation_id")
+    if ids.limit(broadcast_up_to + 1).count() <= broadcast_up_to:
+        ids = F.broadcast(ids)
+    return rows.join(ids, "conversation_id", "left_semi").select(*rows.columns)
+
+
+def written(queue: DataFrame, folder: str) -> DataFrame:
+    """The queue as a table in the shared folder.
+
+    Every later step of the batch reads the same queue, also after an executor
+    or the driver is lost, and its size is known without computing it again.
+    """
+    queue.write.mode("errorifexists").parquet(folder)
+    return queue.sparkSession.read.schema(queue.schema).parquet(folder)
+
+
 def patch_queue(typed: DataFrame, ids: DataFrame) -> DataFrame:
     """Exactly the listed conversations, whatever the ledger says."""
     return typed.select("conversation_id", "conversation_type").join(

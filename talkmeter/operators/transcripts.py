@@ -2,7 +2,7 @@
 
 A conversation is cut into blocks of consecutive sequence numbers. Text only
 meets other text of its own block, or the few characters the cap lets through,
-so no task ever holds a whole conversation, however long it is:
+so no task ever holds the text of a whole conversation, however long it is:
 
 1. lengths are summed per block (partial aggregation, no text is shuffled);
 2. a running sum over block lengths gives each block its start offset;
@@ -85,7 +85,9 @@ def transcript_parts(
 def block_offsets(line_rows: DataFrame) -> DataFrame:
     """Start offset of each block and the transcript length, without text.
 
-    Every line counts its separator too; the total takes the last one off.
+    Every line counts its separator too; the total takes the last one off. The
+    windows run over one narrow row per block: positions are 32-bit, so even
+    the longest conversation has at most 2**31 / block of them, and they spill.
     """
     width = F.length("line").cast("bigint") + len(SEPARATOR)
     sizes = line_rows.groupBy("conversation_id", "block").agg(F.sum(width).alias("width"))

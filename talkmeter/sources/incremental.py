@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from talkmeter import vocabulary as V
@@ -20,13 +20,19 @@ def as_mark(mark: str | Column) -> Column:
     return (F.lit(mark) if isinstance(mark, str) else mark).cast("timestamp_ntz")
 
 
-def changed_since(parents: DataFrame, mark: str | Column) -> DataFrame:
-    """Parents updated strictly after the mark, oldest change first."""
-    return parents.filter(F.col("updated_at") > as_mark(mark)).orderBy("updated_at")
+def changed_since(
+    parents: DataFrame, mark: str | Column, ordered: bool = True
+) -> DataFrame:
+    """Parents updated strictly after the mark, oldest change first.
+
+    Landing needs no order, so loads skip the global sort.
+    """
+    changed = parents.filter(F.col("updated_at") > as_mark(mark))
+    return changed.orderBy("updated_at") if ordered else changed
 
 
 def touched_ids(parents: DataFrame, mark: str | Column) -> DataFrame:
-    changed = parents.filter(F.col("updated_at") > as_mark(mark))
+    changed = changed_since(parents, mark, ordered=False)
     return changed.select(F.col("id").alias("conversation_id"))
 
 
@@ -92,14 +98,21 @@ def load_changes(
 ) -> str:
     """One incremental load; returns the new mark.
 
-    If it dies half way the mark has not moved, so the next load repeats the
-    rows; staging keeps one row per id, which makes the repeat harmless.
+    The new mark is observed on the very rows that land: a second read of a
+    live source could see newer changes and step over them. If the load dies
+    half way the mark has not moved, so the next load repeats the rows; staging
+    keeps one row per id, which makes the repeat harmless.
     """
     mark = tables.read_mark(spark, paths.marks, name, V.FIRST_MARK)
-    changed = changed_since(conversations, mark)
+    landed = Observation()
+    changed = changed_since(conversations, mark, ordered=False).observe(
+        landed, F.max("updated_at").cast("string").alias("newest")
+    )
     land(changed, paths.conversations)
     land(runs_since(runs, conversations, mark), paths.runs)
     land(messages_since(messages, conversations, mark), paths.messages)
-    new = next_mark(changed, mark).select(F.col("mark").cast("string")).first()["mark"]
+    new = landed.get["newest"]
+    if new is None:
+        return mark
     tables.write_mark(spark, paths.marks, name, new)
     return new

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkmeter.functions.text import id_from_url
-from talkmeter.operators.latest import first_by
+from talkmeter.operators.latest import first_by, upsert
+from talkmeter.sources import tables
 
 RECORD_SCHEMA = (
     "id string, title string, summary string, published string, "
@@ -96,13 +97,19 @@ def new_files(files: DataFrame, marker: str | Column | None, key: str = "s3_key"
     return wanted.orderBy(key)
 
 
-def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def read_lines(
+    spark: SparkSession, paths: str | list[str], marker: str | None = None
+) -> DataFrame:
     """Text lines with their file and a position that follows file order.
 
     A file may be read as several splits; inside one the row counter ascends,
-    so (file, split offset, counter) is the order of the lines.
+    so (file, split offset, counter) is the order of the lines. The marker
+    filters on file metadata, which drops old files before they are opened.
     """
-    return spark.read.text(paths).select(
+    text = spark.read.option("pathGlobFilter", "*.jsonl").text(paths)
+    if marker is not None:
+        text = text.filter(F.col("_metadata.file_name") > marker)
+    return text.select(
         "value",
         F.col("_metadata.file_name").alias("s3_key"),
         F.col("_metadata.file_block_start").alias("split_start"),
@@ -186,3 +193,32 @@ def load_summary(decoded: DataFrame, files: DataFrame, run_at: str | Column) ->
         files.agg(F.count("*")).scalar().alias("files_processed"),
         "*",
     )
+
+
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Names of the files in a folder; their content is not read."""
+    files = spark.read.format("binaryFile").load(folder)
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("s3_key"))
+
+
+def load_new_files(
+    spark: SparkSession, folder: str, base: str, ingested_at: str, name: str = "papers"
+) -> DataFrame:
+    """Load the files after the marker into the papers table; returns the summary.
+
+    The table version is published before the marker moves, and only if some
+    paper was parsed. Dying in between repeats the files, which changes nothing.
+    """
+    marker = tables.read_mark(spark, f"{base}/_marks", name, None)
+    files = new_files(list_files(spark, folder), marker)
+    lines = read_lines(spark, folder, marker).join(files, "s3_key", "left_semi")
+    decoded = decode_lines(lines)
+    summary = load_summary(decoded, files, ingested_at)
+    new_marker = next_file_marker(files, papers_from(decoded, ingested_at), marker)
+    reached = new_marker.first()["marker"]
+    if reached != marker:
+        table = tables.current(spark, base, PAPER_SCHEMA)
+        merged = upsert(table, papers_from(decoded, ingested_at), ["paper_id"], LINE_ORDER)
+        tables.publish(merged, base)
+        tables.write_mark(spark, f"{base}/_marks", name, reached)
+    return summary
