@@ -145,8 +145,8 @@ def paper_id_from_url(spark, sf):
 def upserted(spark, sf):
     parsed = papers.parse_lines(X.paper_lines(spark, sf), LOADED_AT)
     early = F.col("s3_key") <= "arxiv_20240103T000000.jsonl"
-    # One target row per paper: the table as it stands after the first files.
-    empty = spark.createDataFrame([], papers.PAPER_SCHEMA)
+    # The table as it stands after the first files, then the later files on top.
+    empty = parsed.filter(F.lit(False)).select(*papers.PAPER_COLUMNS)
     target = upsert(empty, parsed.filter(early), ["paper_id"], ["s3_key", "line"])
     return upsert(target, parsed.filter(~early), ["paper_id"], ["s3_key", "line"])
 

@@ -23,7 +23,7 @@ def matches(lowered: Column, pattern: str) -> Column:
     pattern = pattern.lower()
     test = lowered.like(pattern)
     fragments = [part for part in pattern.replace("_", "%").split("%") if part]
-    if len(fragments) > 1:
+    if len(fragments) > 1 and "\\" not in pattern:
         for fragment in reversed(fragments):
             test = lowered.contains(fragment) & test
     return test
