@@ -23,6 +23,8 @@ GATE = (
     "WHEN outcome = 'failure_wrong_direction' THEN 'block_review' ELSE 'block' END"
 )
 
+MONEY = "total_cost_usd::DOUBLE AS total_cost_usd"
+
 # --- per-message conditions --------------------------------------------------------
 
 PREFETCH = "message_type = 'tool_call' AND content ILIKE '%schema_prefetch_tool%'"
@@ -88,7 +90,7 @@ REVIEWS = f"""reviews AS (
     FROM messages_a WHERE {REVIEW})
   GROUP BY conversation_id)"""
 COSTS = """costs AS (
-  SELECT conversation_id, CAST(sum(cost_usd) AS DOUBLE) AS total_cost_usd,
+  SELECT conversation_id, sum(cost_usd)::DECIMAL(20,4) AS total_cost_usd,
     count(*) AS run_count, avg(duration_ms) AS avg_run_duration_ms
   FROM runs_a GROUP BY conversation_id)"""
 
@@ -385,9 +387,10 @@ SELECT *, count / total AS share FROM (
   FROM classified GROUP BY 1, 2)"""
 
 
-COST_LIMIT = "(SELECT sum(total_cost_usd) / count(*) + 2 * stddev_samp(total_cost_usd) FROM classified)"
+MEAN_COST = "sum(total_cost_usd)::DOUBLE / count(total_cost_usd)"
+COST_LIMIT = f"(SELECT {MEAN_COST} + 2 * stddev_samp(total_cost_usd::DOUBLE) FROM classified)"
 EXPLORER = "conversation_id, conversation_type, outcome, gate_decision, reasoning, char_count, " \
-    "total_cost_usd, " + ", ".join(V.RUBRIC)
+    "total_cost_usd::DOUBLE AS total_cost_usd, " + ", ".join(V.RUBRIC)
 EXPLORED = "('7', '12', '140', 'nope', '99999999')"
 
 MESSAGE_GROUP = f"WITH {X.CTE_MESSAGES} SELECT conversation_id, {{0}} FROM messages_a GROUP BY 1"
@@ -448,7 +451,8 @@ ORACLES: dict[str, str] = {
         f"CASE WHEN conversation_type <> 'consultation' THEN {c} END AS {c}"
         for c in ("flag_dev_acknowledged", "prompt_version", "model", "prompt_hash")
     ) + ") FROM ledger_c",
-    "load_classified": f"WITH {FACT} SELECT * EXCLUDE (outcome_tier, gate_decision) FROM classified",
+    "load_classified": f"WITH {FACT} SELECT * EXCLUDE (outcome_tier, gate_decision) "
+    f"REPLACE ({MONEY}) FROM classified",
     # staging
     "stg_conversations": f"WITH {X.CTE_CONVERSATIONS} SELECT * REPLACE "
     "(total_cost_usd::DOUBLE AS total_cost_usd) FROM conversations_a",
@@ -489,7 +493,7 @@ ORACLES: dict[str, str] = {
     "explorer_unmatched_ids": f"WITH {FACT} SELECT unnest(['7', '12', '140', 'nope', '99999999']) "
     "AS conversation_id EXCEPT SELECT CAST(conversation_id AS VARCHAR) FROM classified",
     "cost_outliers": f"WITH {FACT} SELECT conversation_id, conversation_type, outcome, "
-    f"total_cost_usd, run_count FROM classified WHERE total_cost_usd > {COST_LIMIT}",
+    f"{MONEY}, run_count FROM classified WHERE total_cost_usd::DOUBLE > {COST_LIMIT}",
     # signals
     "schema_prefetch_signals": MESSAGE_GROUP.format(
         f"{n(PREFETCH)} AS prefetch_call_count, {first_at(PREFETCH)} AS first_prefetch_sequence"),
@@ -519,9 +523,9 @@ ORACLES: dict[str, str] = {
     "FROM messages_a m LEFT JOIN reviews r ON r.conversation_id = m.conversation_id GROUP BY 1",
     "review_score_extract": f"WITH {X.CTE_MESSAGES} SELECT id, {SCORE} AS score FROM messages_a "
     f"WHERE {REVIEW}",
-    "run_cost_signals": f"WITH {X.CTE_RUNS}, {COSTS} SELECT * FROM costs",
-    "conversation_signals": f"WITH {SIGNALS} SELECT * FROM signals",
-    "conversation_signals_raw": f"WITH {SIGNALS} SELECT * FROM signals",
+    "run_cost_signals": f"WITH {X.CTE_RUNS}, {COSTS} SELECT * REPLACE ({MONEY}) FROM costs",
+    "conversation_signals": f"WITH {SIGNALS} SELECT * REPLACE ({MONEY}) FROM signals",
+    "conversation_signals_raw": f"WITH {SIGNALS} SELECT * REPLACE ({MONEY}) FROM signals",
     "stream_signals_running": f"WITH {MESSAGE_SIGNALS} SELECT c.*, "
     "coalesce(code_review_count, 0) AS code_review_count, code_review_score_first, "
     "code_review_score_last, code_review_score_last - code_review_score_first "
@@ -562,15 +566,16 @@ ORACLES: dict[str, str] = {
         "FROM classified GROUP BY 1" for d in V.RUBRIC
     ),
     "cost_by_period": f"WITH {FACT} SELECT {WEEK} AS period, CASE WHEN conversation_type = 'anomalous' "
-    "THEN 'anomalous' ELSE 'normal' END AS bucket, round(sum(total_cost_usd), 6) AS sum, "
-    "round(avg(total_cost_usd), 6) AS mean, count(total_cost_usd) AS count FROM classified GROUP BY 1, 2",
+    "THEN 'anomalous' ELSE 'normal' END AS bucket, sum(total_cost_usd)::DOUBLE AS sum, "
+    f"{MEAN_COST} AS mean, count(total_cost_usd) AS count FROM classified GROUP BY 1, 2",
     "period_bin_sizes": f"WITH {FACT} SELECT {PERIOD_AUTO} AS period, count(*) AS n, "
     "count(*) < 5 AS is_sparse FROM classified GROUP BY 1",
     "period_granularity": f"WITH {FACT} SELECT date_diff('second', min(conversation_created_at), "
     "max(conversation_created_at)) // 86400 AS span_days, CASE WHEN span_days < 120 THEN 'monthly' "
     "ELSE 'weekly' END AS granularity FROM classified",
-    "cost_outlier_stats": f"WITH {FACT} SELECT round(avg(total_cost_usd), 6) AS mean_cost, "
-    f"round({COST_LIMIT}, 6) AS threshold, count(*) FILTER (WHERE total_cost_usd > {COST_LIMIT}) "
+    "cost_outlier_stats": f"WITH {FACT} SELECT round({MEAN_COST}, 6) AS mean_cost, "
+    f"round({COST_LIMIT}, 6) AS threshold, "
+    f"count(*) FILTER (WHERE total_cost_usd::DOUBLE > {COST_LIMIT}) "
     "AS above_threshold FROM classified",
     "gate_counts": f"WITH {FACT} " + " UNION ALL ".join(
         f"SELECT '{g}' AS gate_decision, count(*) FILTER (WHERE gate_decision = '{g}') AS count "
@@ -679,7 +684,7 @@ FROM events JOIN forms ON form = event_id % 9""",
     "WHEN 0 THEN 'rate_limit' WHEN 3 THEN 'timeout' WHEN 4 THEN 'unknown' ELSE 'parse_error' END "
     "END AS error_class FROM events",
     # marts and checks
-    "fct_outcomes": f"WITH {FACT} SELECT * FROM fact",
+    "fct_outcomes": f"WITH {FACT} SELECT * REPLACE ({MONEY}) FROM fact",
     "dq_unique": f"WITH {X.CTE_MESSAGES} SELECT CAST(id AS VARCHAR) AS key, 2::BIGINT AS rows "
     "FROM messages_a WHERE conversation_id % 5 = 0",
     "dq_not_null": f"WITH {X.CTE_MESSAGES} " + " UNION ALL ".join(
@@ -795,12 +800,11 @@ GROUP BY 1, 2""",
 SHARES = f"""WITH {FACT}, per_type AS (
   SELECT conversation_type, sum(total_cost_usd) AS total_cost, count(total_cost_usd) AS count
   FROM classified GROUP BY 1)
-SELECT conversation_type, round(total_cost, 6) AS total_cost, count,
-  round(total_cost / (SELECT sum(total_cost) FROM per_type), 6) AS pct_of_cost,
-  round(count / (SELECT sum(count) FROM per_type), 6) AS pct_of_count,
-  round(total_cost / (SELECT sum(total_cost) FROM per_type)
-    - count / (SELECT sum(count) FROM per_type), 6) AS imbalance
-FROM per_type"""
+SELECT *, pct_of_cost - pct_of_count AS imbalance FROM (
+  SELECT conversation_type, total_cost::DOUBLE AS total_cost, count,
+    total_cost::DOUBLE / (SELECT sum(total_cost) FROM per_type)::DOUBLE AS pct_of_cost,
+    count / (SELECT sum(count) FROM per_type)::DOUBLE AS pct_of_count
+  FROM per_type)"""
 ORACLES["cost_concentration"] = SHARES
 ORACLES["cost_concentration_top"] = f"{SHARES} ORDER BY imbalance DESC LIMIT 1"
 

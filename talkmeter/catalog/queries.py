@@ -500,12 +500,12 @@ def dev_ack_rate(spark, sf):
 
 @query
 def cost_concentration(spark, sf):
-    return rounded(reports.cost_concentration(classified(spark, sf)))
+    return reports.cost_concentration(classified(spark, sf))
 
 
 @query
 def cost_concentration_top(spark, sf):
-    return rounded(reports.worst_concentration(classified(spark, sf)))
+    return reports.worst_concentration(classified(spark, sf))
 
 
 @query
@@ -525,7 +525,7 @@ def rubric_by_period(spark, sf):
 
 @query
 def cost_by_period(spark, sf):
-    return rounded(reports.cost_by_period(classified(spark, sf), "weekly"))
+    return reports.cost_by_period(classified(spark, sf), "weekly")
 
 
 @query

@@ -111,23 +111,34 @@ def dev_ack_rate(classified: DataFrame) -> DataFrame:
 # --- cost ---------------------------------------------------------------------------
 
 
+def mean_cost() -> Column:
+    """Mean from the exact decimal sum, so it does not depend on row order."""
+    cost = F.col("total_cost_usd")
+    return labels.rate(F.sum(cost), F.count(cost))
+
+
 def cost_concentration(classified: DataFrame) -> DataFrame:
     """Share of cost against share of conversations per type.
 
     The window spans the handful of type rows, not the fact.
     """
     per_type = classified.groupBy("conversation_type").agg(
-        F.sum("total_cost_usd").cast("double").alias("total_cost"),
+        F.sum("total_cost_usd").alias("total_cost"),
         F.count("total_cost_usd").alias("count"),
     )
     corpus = W.partitionBy(F.lit(0))
     shares = per_type.withColumns(
         {
-            "pct_of_cost": F.col("total_cost") / F.sum("total_cost").over(corpus),
-            "pct_of_count": F.col("count") / F.sum("count").over(corpus),
+            "pct_of_cost": labels.rate(F.col("total_cost"), F.sum("total_cost").over(corpus)),
+            "pct_of_count": labels.rate(F.col("count"), F.sum("count").over(corpus)),
+        }
+    )
+    return shares.withColumns(
+        {
+            "total_cost": F.col("total_cost").cast("double"),
+            "imbalance": F.col("pct_of_cost") - F.col("pct_of_count"),
         }
     )
-    return shares.withColumn("imbalance", F.col("pct_of_cost") - F.col("pct_of_count"))
 
 
 def worst_concentration(classified: DataFrame) -> DataFrame:
@@ -138,8 +149,8 @@ def worst_concentration(classified: DataFrame) -> DataFrame:
 def cost_limits(classified: DataFrame, sigmas: float = V.OUTLIER_SIGMAS) -> DataFrame:
     cost = F.col("total_cost_usd").cast("double")
     return classified.agg(
-        F.avg(cost).alias("mean_cost"),
-        (F.avg(cost) + sigmas * F.stddev_samp(cost)).alias("threshold"),
+        mean_cost().alias("mean_cost"),
+        (mean_cost() + sigmas * F.stddev_samp(cost)).alias("threshold"),
     )
 
 
@@ -220,13 +231,12 @@ def rubric_by_period(classified: DataFrame, granularity: str | None = None) -> D
 def cost_by_period(classified: DataFrame, granularity: str | None = None) -> DataFrame:
     """Cost per period, anomalous conversations apart from normal ones."""
     bucket = F.when(F.col("conversation_type") == "anomalous", "anomalous").otherwise("normal")
-    cost = F.col("total_cost_usd").cast("double")
     return (
         with_period(classified, granularity)
         .groupBy("period", bucket.alias("bucket"))
         .agg(
             F.sum("total_cost_usd").cast("double").alias("sum"),
-            F.avg(cost).alias("mean"),
+            mean_cost().alias("mean"),
             F.count("total_cost_usd").alias("count"),
         )
     )
