@@ -59,35 +59,38 @@ def table_report(
 ) -> DataFrame:
     """All checks of one table as (check, table, column, failing).
 
-    NULL and domain checks share one aggregate over the table; each unique
-    check groups by its key, with partial counts before the shuffle.
+    One pass over the table: rows fold per value of the first unique key, which
+    combines on the map side, and those folds sum up to all results. Further
+    unique keys cost a pass each.
     """
     failing = {("not_null", c): F.count_if(F.col(c).isNull()) for c in not_null}
     failing |= {
         ("accepted_values", c): F.count_if(~F.col(c).isin(values))
         for c, values in (accepted or {}).items()
     }
-    parts = []
-    if failing:
-        one_pass = df.agg(
-            F.array(
-                *[
-                    F.struct(F.lit(check).alias("check"), F.lit(column).alias("column"),
-                             count.alias("failing"))
-                    for (check, column), count in failing.items()
-                ]
-            ).alias("results")
+    names = [f"failing_{i}" for i in range(len(failing))]
+    counts = [count.alias(name) for name, count in zip(names, failing.values())]
+    results = {label: F.coalesce(F.sum(name), F.lit(0)) for label, name in zip(failing, names)}
+    if unique:
+        folded = df.groupBy(F.col(unique[0]).alias("key")).agg(F.count("*").alias("rows"), *counts)
+        repeated = F.count_if(F.col("key").isNotNull() & (F.col("rows") > 1))
+        results[("unique", unique[0])] = repeated
+    else:
+        folded = df.agg(*counts)
+    rows = folded.agg(
+        F.array(
+            *[
+                F.struct(F.lit(check).alias("check"), F.lit(column).alias("column"),
+                         total.alias("failing"))
+                for (check, column), total in results.items()
+            ]
+        ).alias("results")
+    ).select(F.inline("results"))
+    for key in unique[1:]:
+        repeated = duplicate_keys(df, key).agg(F.count("*").alias("failing"))
+        rows = rows.unionByName(
+            repeated.select(F.lit("unique").alias("check"), F.lit(key).alias("column"), "failing")
         )
-        parts.append(one_pass.select(F.inline("results")))
-    for key in unique:
-        parts.append(
-            duplicate_keys(df, key).agg(
-                F.lit("unique").alias("check"),
-                F.lit(key).alias("column"),
-                F.count("*").alias("failing"),
-            )
-        )
-    rows = reduce(DataFrame.unionByName, parts)
     return rows.select("check", F.lit(table).alias("table"), "column", "failing")
 
 

@@ -82,13 +82,23 @@ def current(spark: SparkSession, base: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{base}/version={version}")
 
 
-def materialize(layer: str, name: str, df: DataFrame) -> DataFrame:
-    """Views for staging and intermediate results, saved tables for marts."""
-    if layer == "marts":
-        df.write.mode("overwrite").saveAsTable(name)
-        return df.sparkSession.table(name)
-    df.createOrReplaceTempView(name)
-    return df
+def materialize(
+    layer: str, name: str, df: DataFrame, bucket_by: str | None = None, buckets: int = 0
+) -> DataFrame:
+    """Views for staging and intermediate results, saved tables for marts.
+
+    Marts with one row per conversation may be bucketed by it, so that joins
+    between them need no shuffle. Messages must not: a conversation with a
+    third of all messages would make one bucket a third of the table.
+    """
+    if layer != "marts":
+        df.createOrReplaceTempView(name)
+        return df
+    writer = df.write.mode("overwrite")
+    if bucket_by:
+        writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+    writer.saveAsTable(name)
+    return df.sparkSession.table(name)
 
 
 # --- ledgers ----------------------------------------------------------------------

@@ -97,6 +97,24 @@ def test_layers_become_views_and_tables(spark, tmp_path):
     assert spark.sql("SELECT count(*) FROM stg_probe").first()[0] == 3
 
 
+def test_bucketed_marts_join_without_a_shuffle(spark, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS marts_probe LOCATION '{tmp_path}'")
+    try:
+        rows = spark.range(1000).withColumnRenamed("id", "conversation_id")
+        left, right = (
+            tables.materialize("marts", f"marts_probe.{n}", rows.withColumn(n, F.lit(1)),
+                               "conversation_id", 4)
+            for n in ("a", "b")
+        )
+        joined = left.join(right, "conversation_id")
+        assert joined.count() == 1000
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.sql("DROP DATABASE marts_probe CASCADE")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_upsert_last_of_the_batch_wins(spark):
     schema = "k int, v string, line int"
     target = spark.createDataFrame([(1, "old"), (2, "kept")], "k int, v string")
