@@ -58,31 +58,39 @@ def judge_batch(
 def run_judge(
     typed: DataFrame, messages: DataFrame, ledger: DataFrame, ledger_path: str,
     call: judge.Judge, profile: JudgeProfile, classified_at: str, copy_path: str | None = None,
-    **settings: float,
+    slices: int = 1, **settings: float,
 ) -> DataFrame:
     """Judge what is due and append it to the ledger; returns the appended rows.
 
     Replies are written once and read back, so the ledger rows and the JSON
-    copy never call the judge a second time. A run that dies appends nothing,
-    and the next run queues the same conversations again.
+    copy never call the judge a second time. A large queue may be worked off in
+    slices, each appended on its own: a run that dies loses the slice at hand,
+    and the next run queues just what is missing.
     """
     spark = typed.sparkSession
     folder = new_run_folder(spark, f"judge-{profile.name}")
     due = queue.judge_queue(typed, ledger, profile.types, profile.version, ordered=False)
     work = queue.written(due, f"{folder}/queue")
-    results = judge_batch(work, messages, call, profile, **settings)
-    results.write.parquet(f"{folder}/results")
+    part = F.pmod(F.xxhash64("conversation_id"), F.lit(slices))
+    for number in range(slices):
+        results = judge_batch(work.filter(part == number), messages, call, profile, **settings)
+        results.write.parquet(f"{folder}/results/slice={number}")
+        done = spark.read.schema(results.schema).parquet(f"{folder}/results/slice={number}")
+        tables.append_ledger(rows_of(done, profile, classified_at), ledger_path)
     results = spark.read.schema(results.schema).parquet(f"{folder}/results")
-    rows = judge.ledger_rows(
-        results, profile.version, profile.model, profile.prompt_hash, classified_at,
-        profile.fixed_type,
-    )
-    tables.append_ledger(rows, ledger_path)
+    rows = rows_of(results, profile, classified_at)
     if copy_path:
         tables.write_jsonl(rows, copy_path)
     return rows
 
 
+def rows_of(results: DataFrame, profile: JudgeProfile, classified_at: str) -> DataFrame:
+    return judge.ledger_rows(
+        results, profile.version, profile.model, profile.prompt_hash, classified_at,
+        profile.fixed_type,
+    )
+
+
 def run_validation(
     labelled: DataFrame, messages: DataFrame, ledger_path: str, call: judge.Judge,
     profile: JudgeProfile, run_id: str, run_at: str, **settings: float,

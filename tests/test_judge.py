@@ -200,7 +200,7 @@ def test_whole_run_then_rerun(spark, tmp_path):
     profile = judging.consultation_profile("m", "v1", "h")
     rows = judging.run_judge(
         typed(spark, TYPED), messages, spark.createDataFrame([], LEDGER), path, flaky(0), profile,
-        AT, str(tmp_path / "copy"), parallelism=2, wait_seconds=0)
+        AT, str(tmp_path / "copy"), slices=3, parallelism=2, wait_seconds=0)
     first = {r["conversation_id"]: r for r in rows.collect()}
     assert {c: r["outcome"] for c, r in first.items()} == {
         1: "success_clean", 2: None, 3: "success_clean"}
