@@ -437,6 +437,10 @@ ORACLES: dict[str, str] = {
     "AS rows_loaded, count(*) FILTER (WHERE problem = 'broken json') AS broken_json, "
     "count(*) FILTER (WHERE problem = 'missing field') AS missing_field, 0::BIGINT AS bad_date "
     "FROM lines_f",
+    "load_file_summary": f"WITH {X.CTE_PAPERS} SELECT s3_key, count(*) FILTER (WHERE problem IS NULL) "
+    "AS rows_loaded, count(*) FILTER (WHERE problem = 'broken json') AS broken_json, "
+    "count(*) FILTER (WHERE problem = 'missing field') AS missing_field, 0::BIGINT AS bad_date "
+    "FROM lines_f GROUP BY 1",
     "papers_parse_xml": f"WITH {X.CTE_PAPERS} SELECT doc_id, topic, id, {TRIMMED.format('title')}, "
     f"{TRIMMED.format('summary')}, published, {LISTS} FROM papers_f",
     "papers_union_topics": f"WITH {X.CTE_PAPERS} SELECT doc_id, id, title, summary, published, "
@@ -526,7 +530,7 @@ ORACLES: dict[str, str] = {
     "run_cost_signals": f"WITH {X.CTE_RUNS}, {COSTS} SELECT * REPLACE ({MONEY}) FROM costs",
     "conversation_signals": f"WITH {SIGNALS} SELECT * REPLACE ({MONEY}) FROM signals",
     "conversation_signals_raw": f"WITH {SIGNALS} SELECT * REPLACE ({MONEY}) FROM signals",
-    "stream_signals_running": f"WITH {MESSAGE_SIGNALS} SELECT c.*, "
+    "stream_signals": f"WITH {MESSAGE_SIGNALS} SELECT c.*, "
     "coalesce(code_review_count, 0) AS code_review_count, code_review_score_first, "
     "code_review_score_last, code_review_score_last - code_review_score_first "
     "AS code_review_score_delta, first_write_sequence - first_prefetch_sequence "
@@ -648,7 +652,7 @@ FROM shares FULL JOIN fresh USING (outcome_tier)""",
     "transcript_truncated_messages": f"WITH {X.CTE_DIALOGUES}, cut_rows AS (SELECT conversation_id, "
     f"id, sequence_number, message_type, {cut(X.SMALL_LIMITS)} AS content FROM dialogues_b) "
     "SELECT *, length(content) AS length FROM cut_rows",
-    "transcripts_whole": parts(X.CTE_MESSAGES, "messages_a", V.CONSULTATION_LIMITS, 512),
+    "transcripts": parts(X.CTE_MESSAGES, "messages_a", V.CONSULTATION_LIMITS, 512),
     "transcripts_dialogue": parts(X.CTE_DIALOGUES, "dialogues_b", X.SMALL_LIMITS, 3),
     "transcripts_capped": capped(
         X.CTE_MESSAGES, "messages_a", V.CONSULTATION_LIMITS, 30000, 20000, 10000),

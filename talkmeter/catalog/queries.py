@@ -36,7 +36,7 @@ JUDGE_VERSION = "consultation_test0001"
 
 
 def query(function: Query) -> Query:
-    REGISTRY[function.__name__] = function
+    REGISTRY[function.__name__.removesuffix("_query")] = function
     return function
 
 
@@ -170,6 +170,11 @@ def load_run_summary(spark, sf):
     return papers.load_summary(papers.decode_lines(lines), papers.new_files(lines, None), LOADED_AT)
 
 
+@query
+def load_file_summary(spark, sf):
+    return papers.file_summary(papers.decode_lines(X.paper_lines(spark, sf)))
+
+
 @query
 def papers_parse_xml(spark, sf):
     parsed = papers.parse_entries(X.paper_entries(spark, sf))
@@ -693,7 +698,7 @@ def transcript_truncated_messages(spark, sf):
 
 
 @query
-def transcripts_whole(spark, sf):
+def transcripts_query(spark, sf):
     return transcripts.transcript_parts(X.messages(spark, sf))
 
 
@@ -1000,7 +1005,7 @@ def stream_error_rate_5m(spark, sf):
 
 
 @query
-def stream_signals_running(spark, sf):
+def stream_signals_query(spark, sf):
     messages = X.to_messages(stream_of(spark, sf, "lineitem"))
     result = stream_signals.running_signals(messages, delay="4000 days")
     return logged(spark, result, "signals", ["conversation_id"])

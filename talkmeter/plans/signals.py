@@ -8,6 +8,9 @@ the scan stage.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,6 +60,28 @@ def message_flags(messages: DataFrame, keep: list[str] = ()) -> DataFrame:
     )
 
 
+FLAGS = [
+    "is_user", "is_prefetch", "is_sql_write", "is_other_write", "is_execution", "is_preview",
+    "is_database_error", "is_correction", "is_stale", "is_tool_error", "is_codebase_error",
+    "is_rejected",
+]
+
+
+def packed_flags(flags: DataFrame) -> DataFrame:
+    """All flags as bits of one column: a row that is shuffled one by one stays small."""
+    bits = [F.when(F.col(name), F.lit(1 << place)).otherwise(0) for place, name in enumerate(FLAGS)]
+    return flags.withColumn("flags", reduce(add, bits)).drop(*FLAGS)
+
+
+def unpacked_flags(rows: DataFrame) -> DataFrame:
+    return rows.withColumns(
+        {
+            name: F.col("flags").bitwiseAND(F.lit(1 << place)) > 0
+            for place, name in enumerate(FLAGS)
+        }
+    ).drop("flags")
+
+
 def unpack_score(packed: Column) -> Column:
     score = packed.bitwiseAND(2**SCORE_BITS - 1)
     return F.when(score > 0, score - 1).cast("int")
@@ -103,10 +128,10 @@ def derived_signals(aggregated: DataFrame) -> DataFrame:
     ).drop("first_review", "last_review")
 
 
-def newest_copy(flags: DataFrame, changed: str) -> DataFrame:
-    """One narrow row per message id; the raw copies never shuffle their text."""
-    ties = [F.xxhash64(*[name for name in flags.columns if name not in ("id", changed)])]
-    return first_by(flags, ["id"], newest_first(changed) + ties)
+def newest_copy(rows: DataFrame, changed: str) -> DataFrame:
+    """One narrow row per id; the raw copies never shuffle their text."""
+    ties = [F.xxhash64(*[name for name in rows.columns if name not in ("id", changed)])]
+    return first_by(rows, ["id"], newest_first(changed) + ties)
 
 
 def message_signals(messages: DataFrame, dedupe: bool = False) -> DataFrame:
@@ -116,7 +141,8 @@ def message_signals(messages: DataFrame, dedupe: bool = False) -> DataFrame:
     """
     if dedupe:
         changed = staging.MESSAGE_CHANGE
-        flags = newest_copy(message_flags(messages, ["id", changed]), changed)
+        narrow = packed_flags(message_flags(messages, ["id", changed]))
+        flags = unpacked_flags(newest_copy(narrow, changed))
     else:
         flags = message_flags(messages)
     return derived_signals(flags.groupBy("conversation_id").agg(*signal_aggregates()))

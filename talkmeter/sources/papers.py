@@ -175,20 +175,28 @@ def next_file_marker(
     )
 
 
-def load_summary(decoded: DataFrame, files: DataFrame, run_at: str | Column) -> DataFrame:
-    """One row per load: file count, rows loaded, lines skipped by reason.
-
-    The file list itself is a table (``files``), not one growing value.
-    """
-    moment = F.lit(run_at) if isinstance(run_at, str) else run_at
+def line_counts() -> list[Column]:
     problem = F.col("problem")
-    counts = decoded.agg(
+    return [
         F.count_if(problem.isNull()).alias("rows_loaded"),
         F.count_if(problem == "broken json").alias("broken_json"),
         F.count_if(problem == "missing field").alias("missing_field"),
         F.count_if(problem == "bad date").alias("bad_date"),
-    )
-    return counts.select(
+    ]
+
+
+def file_summary(decoded: DataFrame) -> DataFrame:
+    """The files of a load with their rows loaded and lines skipped by reason."""
+    return decoded.groupBy("s3_key").agg(*line_counts())
+
+
+def load_summary(decoded: DataFrame, files: DataFrame, run_at: str | Column) -> DataFrame:
+    """One row per load: file count, rows loaded, lines skipped by reason.
+
+    The file list itself is a table (``file_summary``), not one growing value.
+    """
+    moment = F.lit(run_at) if isinstance(run_at, str) else run_at
+    return decoded.agg(*line_counts()).select(
         moment.cast("timestamp_ntz").alias("run_at"),
         files.agg(F.count("*")).scalar().alias("files_processed"),
         "*",

@@ -17,10 +17,10 @@ def running_signals(
     first, so the shuffle and the state hold no text; the state per
     conversation is one fixed-width row.
     """
-    flags = signals.message_flags(messages, ["id", arrived])
+    flags = signals.packed_flags(signals.message_flags(messages, ["id", arrived]))
     timed = flags.withColumn("arrived_at", F.col(arrived).cast("timestamp")).withWatermark(
         "arrived_at", delay
     )
     once = timed.dropDuplicatesWithinWatermark(["id"])
-    aggregated = once.groupBy("conversation_id").agg(*signals.signal_aggregates())
+    aggregated = signals.unpacked_flags(once).groupBy("conversation_id").agg(*signals.signal_aggregates())
     return signals.derived_signals(aggregated)
