@@ -17,7 +17,7 @@ from talkmeter.operators.latest import upsert
 from talkmeter.plans import (
     extensions, judging, outcomes, reports, signals, staging, telemetry, validation,
 )
-from talkmeter.session import new_run_folder
+from talkmeter.session import new_run_folder, streaming_session
 from talkmeter.sources import incremental, papers, tables
 from talkmeter.streaming import papers as paper_stream
 from talkmeter.streaming import signals as stream_signals
@@ -980,7 +980,7 @@ def stream_of(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A table as a stream of files; the glob fits a single file and a folder."""
     schema = X.table(spark, sf, name).schema
     path = f"{sf}/[{name[0]}]{name[1:]}.parquet"
-    return sinks.read_stream(spark, path, schema, files_per_batch=64)
+    return sinks.read_stream(streaming_session(spark), path, schema, files_per_batch=64)
 
 
 def logged(spark, result: DataFrame, label: str, key_columns: list[str]) -> DataFrame:

@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Streaming state on disk, so that it may outgrow executor memory.
+DISK_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(app: str = "talkmeter", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every job here relies on.
 
@@ -22,9 +26,7 @@ def build_session(app: str = "talkmeter", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        # Streaming state lives on disk, so it may outgrow executor memory.
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.providerClass": DISK_STATE,
         **conf,
     }
     for key, value in settings.items():
@@ -48,3 +50,18 @@ def shared_folder(spark: SparkSession) -> str:
 def new_run_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; never reused between runs."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def streaming_session(spark: SparkSession) -> SparkSession:
+    """A sibling session for stateful streams, on the same cluster.
+
+    A checkpoint keeps its number of state partitions for life. They follow the
+    cores, where the session asks for more, and the state goes to disk.
+    """
+    sibling = spark.newSession()
+    asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = min(asked, 2 * spark.sparkContext.defaultParallelism)
+    sibling.conf.set("spark.sql.shuffle.partitions", partitions)
+    sibling.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    sibling.conf.set("spark.sql.streaming.stateStore.providerClass", DISK_STATE)
+    return sibling
