@@ -128,7 +128,7 @@ def capped_transcripts(
     )
     in_block = (
         W.partitionBy("conversation_id", "block")
-        .orderBy("position", "id")
+        .orderBy("position", "id", "line")
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     width = F.length("line").cast("bigint") + len(SEPARATOR)
