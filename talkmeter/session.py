@@ -37,11 +37,15 @@ def build_session(app: str = "talkmeter", master: str | None = None, **conf: str
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
-    Only where the setting is absent (tests, a laptop) a local one is created
-    and recorded in the session, so later calls agree.
+    Only where the setting is absent and everything runs in one process (tests,
+    a laptop) a local one is created and recorded in the session, so later calls
+    agree. On a cluster executors could not reach it, so its absence is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", "")
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder; master is {master}")
         folder = tempfile.mkdtemp(prefix="talkmeter-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
