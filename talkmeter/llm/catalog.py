@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkmeter.llm import line_dedup, mixing, vector_search
+from talkmeter.llm import fingerprint, line_dedup, mixing, packing, vector_search
 from talkmeter.llm.common import ROW, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,13 @@ ORACLES["op6_source_mix"] = f"""
 WITH {MIX.format(documents="documents")}
 SELECT doc_id, size, source_size, target, size * copies AS taken FROM mixed
 """
+
+
+@query
+def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.sequences(table(spark, sf_dir, "documents").select("doc_id", "text"))
