@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkmeter.llm import fingerprint, line_dedup, mixing, packing, vector_search
+from talkmeter.llm import (
+    fingerprint, line_dedup, mixing, packing, toxicity, vector_search,
+)
 from talkmeter.llm.common import ROW, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +131,10 @@ def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.sequences(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    return toxicity.classified(docs, labels, keep_row=False)
