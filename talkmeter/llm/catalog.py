@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkmeter.llm import (
-    fingerprint, line_dedup, mixing, packing, toxicity, vector_search,
+    fingerprint, line_dedup, mixing, packing, quality, toxicity, vector_search,
 )
 from talkmeter.llm.common import ROW, table
 
@@ -138,3 +138,9 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels")
     return toxicity.classified(docs, labels, keep_row=False)
+
+
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.scored(docs, table(spark, sf_dir, "labels"))
