@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkmeter.llm import (
-    fingerprint, line_dedup, mixing, packing, quality, toxicity, vector_search,
+    fingerprint, line_dedup, mixing, ngram_join, packing, quality, toxicity, vector_search,
 )
 from talkmeter.llm.common import ROW, table
 
@@ -144,3 +144,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.scored(docs, table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined(table(spark, sf_dir, "documents").select("doc_id", "text"))
