@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkmeter.llm import (
-    fingerprint, line_dedup, mixing, ngram_join, packing, quality, toxicity, vector_search,
+    fingerprint, line_dedup, mixing, ngram_join, packing, quality, suffix_dedup,
+    toxicity, vector_search,
 )
 from talkmeter.llm.common import ROW, table
 
@@ -149,3 +150,8 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.joined(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.passages(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("mark")
