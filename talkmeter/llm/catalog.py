@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkmeter.llm import (
-    fingerprint, line_dedup, mixing, ngram_join, packing, quality, suffix_dedup,
+    fingerprint, html_text, line_dedup, mixing, ngram_join, packing, quality, suffix_dedup,
     toxicity, vector_search,
 )
 from talkmeter.llm.common import ROW, table
@@ -155,3 +155,8 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.passages(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("mark")
+
+
+@query
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
