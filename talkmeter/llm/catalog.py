@@ -104,18 +104,32 @@ sized AS (
       ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level_here
   FROM weighted
 ), targets AS (
-  SELECT source, source_size, least(full_size, coalesce(min(
+  SELECT source, source_size, least(full_size, coalesce(max(
       CASE WHEN level_here * weight <= full_size THEN level_here END) OVER () * weight, full_size))
       AS target
   FROM levels
+), rates AS (
+  SELECT *, floor(rate)::BIGINT AS whole, rate - floor(rate) AS fraction
+  FROM (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM targets)
+), chances AS (
+  SELECT doc_id, source, size, k, source_size, target, whole, fraction,
+    ('0x' || substr(md5(concat_ws('|', 'mix', k, coalesce(doc_id::VARCHAR, ''),
+                                  coalesce(source, ''))), 1, 12))::BIGINT::DOUBLE
+      / 281474976710656 AS chance
+  FROM (
+    SELECT sized.doc_id, sized.source, size, source_size, target, whole, fraction
+    FROM sized JOIN rates ON sized.source IS NOT DISTINCT FROM rates.source
+  ), range(16) seeds(k)
+), seeds AS (
+  SELECT source, k FROM (
+    SELECT source, k, row_number() OVER (PARTITION BY source ORDER BY
+      abs(sum(CASE WHEN chance < fraction THEN size ELSE 0 END)
+          - (any_value(target) - any_value(whole) * any_value(source_size))), k) AS place
+    FROM chances GROUP BY source, k
+  ) WHERE place = 1
 ), mixed AS (
-  SELECT sized.*, source_size, target, (floor(rate) + (
-      ('0x' || substr(md5(concat_ws('|', 'mix', coalesce(doc_id::VARCHAR, ''),
-                                    coalesce(sized.source, ''))), 1, 12))::BIGINT::DOUBLE
-      / 281474976710656 < rate - floor(rate))::BIGINT)::BIGINT AS copies
-  FROM sized
-  JOIN (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM targets) t
-    ON sized.source IS NOT DISTINCT FROM t.source
+  SELECT c.*, whole + (chance < fraction)::BIGINT AS copies
+  FROM chances c JOIN seeds s ON c.source IS NOT DISTINCT FROM s.source AND c.k = s.k
 )
 """
 ORACLES["op6_source_mix"] = f"""

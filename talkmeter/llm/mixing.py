@@ -3,7 +3,9 @@
 Tokens are summed per source; targets are the sources' weighted share of the wanted total, each
 stopped at ``most`` times its source's size (water filling: the level is found from running sums
 over the sources by size per weight); a document is repeated floor(rate) times, plus once more when
-a hash of its id falls below the rate's fraction.
+a hash of its id falls below the rate's fraction. Every source takes, of ``seeds`` seeds for that hash,
+the one whose copies bring it nearest to its target: the sums for all seeds come from one pass, and
+few or uneven documents then miss the target by less.
 
 Defined results: a null text has size 0; a null source is a source, ordered last; sources of size 0
 get target 0; documents of size 0 get one copy of rate 0 (taken 0); repeated rows are decided alike,
@@ -33,7 +35,8 @@ def source_targets(
     """(source, source_size, target) from (source, source_size); one row per source.
 
     With sources ordered by most * size / weight, those up to some place are stopped and the rest
-    stand at one level per weight: the first level that doesn't stop its own source is the answer.
+    stand at one level per weight. The first level that doesn't stop its own source is the answer;
+    later ones count too much as stopped and lie lower, so it is the greatest of that kind.
     The source table is small beside the corpus: it holds a name and a sum per source.
     """
     by_name = Window.orderBy(F.col("source").isNull(), "source")
@@ -56,7 +59,7 @@ def source_targets(
     )
     open_here = F.when(F.col("level_here") * F.col("weight") <= F.col("full"), F.col("level_here"))
     return (
-        levels.withColumn("level", F.min(open_here).over(everything))
+        levels.withColumn("level", F.max(open_here).over(everything))
         .select(
             "source", "source_size",
             F.least(
@@ -72,31 +75,60 @@ def uniform(*columns: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("double") / float(16**12)
 
 
+def rate_parts() -> tuple[Column, Column]:
+    """The whole copies and the fraction of a further one, from target and source_size."""
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    return F.floor(rate), rate - F.floor(rate)
+
+
+def best_seeds(sized: DataFrame, targets: DataFrame, seed: str, seeds: int) -> DataFrame:
+    """``targets`` with the seed number that serves each source best."""
+    whole, fraction = rate_parts()
+    rows = sized.join(targets, F.col("source").eqNullSafe(F.col("its_source")))
+    sums = [
+        F.sum(F.when(
+            uniform(F.lit(seed), F.lit(k), F.col("doc_id"), F.col("source")) < F.col("fraction"),
+            F.col("size"),
+        ).otherwise(0)).alias(f"sum_{k}")
+        for k in range(seeds)
+    ]
+    tried = (
+        rows.withColumn("whole", whole).withColumn("fraction", fraction)
+        .groupBy("its_source", "source_size", "target").agg(F.first("whole").alias("whole"), *sums)
+    )
+    missing = F.col("target") - F.col("whole") * F.col("source_size")
+    off = [F.struct(F.abs(F.col(f"sum_{k}") - missing), F.lit(k).alias("k")) for k in range(seeds)]
+    best = F.array_min(F.array(*off))["k"]
+    return tried.select("its_source", "source_size", "target", best.alias("seed_number"))
+
+
 def mixed(
-    docs: DataFrame, share: float = 1.5, most: float = 2.0,
-    weights: Sequence[float] = WEIGHTS, seed: str = "mix", keep_row: bool = True,
+    docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: Sequence[float] = WEIGHTS,
+    seed: str = "mix", seeds: int = 16, keep_row: bool = True,
 ) -> DataFrame:
-    """(``__row``, size, source_size, target, copies) per input row.
+    """(``__row`` or nothing, doc_id, size, source_size, target, copies) per input row.
 
-    The source totals are written first, so that Spark knows their size when it plans the join: it
-    broadcasts them below its own threshold, and else splits hot sources (AQE).
+    Totals, targets and seeds are written first, so that Spark knows their size when it plans the
+    join: it broadcasts them below its own threshold, and else splits hot sources (AQE).
     """
-    sized = docs.select(
-        *([packed(docs).alias(ROW)] if keep_row else []),
-        docs["doc_id"].alias("doc_id"), docs["source"].alias("source"),
-        word_count(docs["text"]).alias("size"),
-    )
+    columns = [F.col("doc_id"), F.col("source"), word_count(docs["text"]).alias("size")]
+    sized = staged(docs.select(columns), "sizes")
     sizes = staged(
         sized.groupBy("source").agg(F.sum("size").alias("source_size")), "source-sizes"
     )
-    targets = staged(source_targets(sizes, share, most, weights), "source-targets")
-    targets = targets.select(F.col("source").alias("its_source"), "source_size", "target")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    extra = uniform(F.lit(seed), F.col("doc_id"), F.col("source")) < rate - F.floor(rate)
+    targets = staged(
+        source_targets(sizes, share, most, weights)
+        .select(F.col("source").alias("its_source"), "source_size", "target"),
+        "source-targets",
+    )
+    seeded = staged(best_seeds(sized, targets, seed, seeds), "source-seeds")
+    rows = docs.select(packed(docs).alias(ROW), *columns) if keep_row else sized
+    whole, fraction = rate_parts()
+    chance = uniform(F.lit(seed), F.col("seed_number"), F.col("doc_id"), F.col("source"))
     return (
-        sized.join(targets, F.col("source").eqNullSafe(F.col("its_source")))
-        .withColumn("copies", (F.floor(rate) + extra.cast("long")).cast("long"))
-        .drop("its_source", "source")
+        rows.join(seeded, F.col("source").eqNullSafe(F.col("its_source")))
+        .withColumn("copies", (whole + (chance < fraction).cast("long")).cast("long"))
+        .drop("its_source", "source", "seed_number")
     )
 
 
