@@ -66,7 +66,8 @@ LAYOUT_NAMES = set("layout has with no page grid columns container wrapper".spli
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>|<[!?][^>]*+>", re.S,
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>|<[!?][^>]*+>"
+    r"|</?[a-zA-Z!?][^<>]*+\Z", re.S,
 )
 NAMED = re.compile(
     r"(?:^|[\s\"'])(class|id|role|itemprop|hidden|style|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?",
@@ -334,6 +335,8 @@ def train(pages: DataFrame, sample: int = 600, penalty: float = 1.0) -> Extracto
         for batch in batches:
             for mark, html in zip(batch["mark"], batch["html"]):
                 blocks = [b for b in blocks_of(html) if b.holder.state]
+                if not blocks:
+                    continue
                 yield pd.DataFrame({
                     "mark": mark, "x": list(described(blocks)),
                     "content": [int(b.holder.state > 0) for b in blocks],

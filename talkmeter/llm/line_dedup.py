@@ -76,7 +76,14 @@ class LineRuns:
         return self.spark.table(name)
 
     def _merged(self, runs: list[DataFrame]) -> DataFrame:
-        return reduce(DataFrame.unionByName, runs).groupBy(*HASH).agg(F.sum("n").alias("n"))
+        """Equally bucketed and sorted runs meet in merge joins, with no shuffle."""
+
+        def merge(one: DataFrame, two: DataFrame) -> DataFrame:
+            both = one.join(two.withColumnRenamed("n", "n2"), HASH, "full_outer")
+            total = F.coalesce("n", F.lit(0)) + F.coalesce("n2", F.lit(0))
+            return both.select(*HASH, total.alias("n"))
+
+        return reduce(merge, runs)
 
     def unseen(self, keys: DataFrame) -> DataFrame:
         """Rows whose key no run holds yet."""
@@ -101,13 +108,13 @@ class LineRuns:
             self._place(self._write(merged.filter(F.col("n") < self.enough)), level + 1)
 
     def common(self) -> DataFrame:
-        """The keys (h1, h2) with at least ``enough`` documents over all runs."""
+        """The keys (h1, h2) with at least ``enough`` documents over all runs; some come twice."""
         open_runs = [run for level in self.levels for run in level]
         parts = [run.select(*HASH) for run in self.settled]
         if open_runs:
             late = self._merged(open_runs).filter(F.col("n") >= self.enough)
             parts.append(late.select(*HASH))
-        return reduce(DataFrame.unionByName, parts).distinct()
+        return reduce(DataFrame.unionByName, parts)
 
 
 def common_line_hits(docs: DataFrame, min_docs: int, batches: int, fanout: int) -> DataFrame:

@@ -67,8 +67,8 @@ def logistic(
     shape = width + dense.shape[1] + 1
 
     def cost(w: np.ndarray) -> tuple[float, np.ndarray]:
-        score = np.bincount(rows, weights=w[columns], minlength=len(y))
-        score += dense @ w[width:-1] + w[-1]
+        score = dense @ w[width:-1] + w[-1]
+        score = score + np.bincount(rows, weights=w[columns], minlength=len(y))
         p = sigmoid(score)
         loss = np.logaddexp(0, score).sum() - score @ y
         slope = np.empty(shape)
