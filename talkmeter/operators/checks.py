@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from talkmeter.functions.casting import cast_as
+from talkmeter.session import new_run_folder
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
@@ -103,7 +104,12 @@ class GateFailed(RuntimeError):
 
 
 def require_empty(failing: DataFrame, gate: str) -> None:
-    """Stop the job if a gate has failing rows; shows at most five of them."""
-    rows = failing.limit(5).collect()
-    if rows:
-        raise GateFailed(f"{gate}: {[row.asDict() for row in rows]}")
+    """Stop the job if a gate has failing rows; all of them are written to the shared folder.
+
+    The error names how many there are and where they lie.
+    """
+    folder = new_run_folder(failing.sparkSession, f"gate-{gate}")
+    failing.write.parquet(folder)
+    count = failing.sparkSession.read.schema(failing.schema).parquet(folder).count()
+    if count:
+        raise GateFailed(f"{gate}: {count} failing rows in {folder}")

@@ -33,13 +33,15 @@ ANSWER_FIELDS = ", ".join(
 def call_judge(
     queue: DataFrame,
     judge: Judge,
-    parallelism: int = V.JUDGE_PARALLELISM,
+    parallelism: int | None = None,
     attempts: int = V.JUDGE_ATTEMPTS,
     wait_seconds: float = V.JUDGE_WAIT_SECONDS,
 ) -> DataFrame:
     """Apply ``judge(text, type)`` to rows of (id, type, char_count, transcript).
 
-    ``parallelism`` bounds the concurrent calls: it is the number of tasks. A
+    ``parallelism`` bounds the concurrent calls, as the number of tasks that call;
+    without it the rows stay in the tasks they come in. ``plans.judging`` applies
+    it to one slice of a queue at a time, so that a lost task repeats few calls. A
     rate-limited call waits longer each time and gives up after ``attempts``;
     any other failure becomes an error row and the batch goes on. This is the
     one place where user Python runs.
@@ -72,7 +74,10 @@ def call_judge(
             yield pd.concat([known.reset_index(drop=True), replies], axis=1)
 
     columns = ["conversation_id", "conversation_type", "char_count", "transcript"]
-    return queue.select(*columns).repartition(parallelism).mapInPandas(run, REPLY_SCHEMA)
+    rows = queue.select(*columns)
+    if parallelism:
+        rows = rows.repartition(parallelism)
+    return rows.mapInPandas(run, REPLY_SCHEMA)
 
 
 def score(column: Column) -> Column:

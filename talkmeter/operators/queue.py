@@ -33,18 +33,16 @@ def judge_queue(
     return queue.orderBy("conversation_id") if ordered else queue
 
 
-def only_queued(rows: DataFrame, ids: DataFrame, broadcast_up_to: int = 1_000_000) -> DataFrame:
+def only_queued(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of the queued conversations.
 
-    A usual queue is a sliver of the corpus. Its size is counted, and up to the
-    given number of ids (8 bytes each) they are sent to the scan, so the text
-    of other conversations is never shuffled. A larger queue is joined by key.
-    ``ids`` should be a written table (``written``), or it is computed twice.
+    ``ids`` should be a written table (``written``): Spark then knows its size,
+    sends a small queue to the scan, and joins a larger one by key, splitting
+    conversations that are much larger than others.
     """
-    ids = ids.select("conversation_id")
-    if ids.limit(broadcast_up_to + 1).count() <= broadcast_up_to:
-        ids = F.broadcast(ids)
-    return rows.join(ids, "conversation_id", "left_semi").select(*rows.columns)
+    return rows.join(ids.select("conversation_id"), "conversation_id", "left_semi").select(
+        *rows.columns
+    )
 
 
 def written(queue: DataFrame, folder: str) -> DataFrame:

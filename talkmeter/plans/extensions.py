@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from talkmeter import vocabulary as V
 from talkmeter.functions import labels, text
 from talkmeter.operators.latest import first_by
+from talkmeter.session import new_run_folder
 
 
 def last_first() -> list:
@@ -120,51 +121,82 @@ def learning_gate(fact: DataFrame, relevance: DataFrame, least: int = 2) -> Data
     )
 
 
+def eval_rows(messages: DataFrame) -> DataFrame:
+    """The messages that can matter to an eval unit, as flags and positions without text."""
+    lowered = F.lower("content")
+    call, result = F.col("message_type") == "tool_call", F.col("message_type") == "tool_result"
+    tool = F.col("tool_use_id").isNotNull()
+    prefetch = call & tool & text.matches(lowered, V.PREFETCH_CALL)
+    write = (
+        call & tool & text.matches(lowered, V.FILE_WRITE) & text.matches(lowered, V.SQL_FOLDER)
+        & ~text.matches(lowered, V.TODO_WRITE)
+    )
+    user = F.col("message_type") == "user"
+    flags = {"prefetch": prefetch, "sql_write": write, "is_result": result & tool, "is_user": user}
+    return messages.select(
+        "conversation_id", "id", "sequence_number", "tool_use_id",
+        *[F.coalesce(flag, F.lit(False)).alias(name) for name, flag in flags.items()],
+    ).filter("prefetch OR sql_write OR is_result OR is_user")
+
+
 def eval_units(messages: DataFrame) -> DataFrame:
     """Question, retrieved context and answer per conversation.
 
     Context is the last result of a prefetch call, the question the last user
     message before that call's result, the answer the last result of an SQL
     file write after it. Calls are found by the shared tool id.
+
+    One scan reduces the messages to flags and positions, which are written;
+    folds over them find the three messages of each conversation, without text,
+    and one join by id fetches their texts. A conversation with a third of all
+    messages is folded before every shuffle, and its texts are three.
     """
-    lowered = F.lower("content")
-    call = F.col("message_type") == "tool_call"
-    key = ["conversation_id", "tool_use_id"]
+    spark = messages.sparkSession
+    folder = new_run_folder(spark, "eval-rows")
+    rows = eval_rows(messages)
+    rows.write.parquet(folder)
+    rows = spark.read.schema(rows.schema).parquet(folder)
+    # Greater means later; a missing position or id comes first.
+    place = F.struct("sequence_number", "id")
     calls = (
-        messages.filter(call & F.col("tool_use_id").isNotNull())
-        .select(
-            *key,
-            text.matches(lowered, V.PREFETCH_CALL).alias("prefetch"),
-            (text.matches(lowered, V.FILE_WRITE) & text.matches(lowered, V.SQL_FOLDER)
-             & ~text.matches(lowered, V.TODO_WRITE)).alias("sql_write"),
+        rows.filter("prefetch OR sql_write OR is_result")
+        .groupBy("conversation_id", "tool_use_id")
+        .agg(
+            F.bool_or("prefetch").alias("prefetch"), F.bool_or("sql_write").alias("sql_write"),
+            F.max(F.when(F.col("is_result"), place)).alias("last"),
         )
-        .groupBy(*key)
-        .agg(F.bool_or("prefetch").alias("prefetch"), F.bool_or("sql_write").alias("sql_write"))
-        .filter("prefetch OR sql_write")
+        .filter("last IS NOT NULL")
     )
-    results = messages.filter(F.col("message_type") == "tool_result").join(calls, key)
-    where = ["conversation_id", "sequence_number", "id"]
-    context = first_by(results.filter("prefetch"), ["conversation_id"], last_first()).select(
+    found = calls.groupBy("conversation_id").agg(
+        F.max(F.when(F.col("prefetch"), F.col("last"))).alias("context"),
+        F.max(F.when(F.col("sql_write"), F.col("last"))).alias("answer"),
+    ).filter("context IS NOT NULL")
+    asked = rows.filter("is_user").join(
+        found.select("conversation_id", F.col("context.sequence_number").alias("context_at")),
         "conversation_id",
-        F.col("sequence_number").alias("context_at"),
-        F.col("content").alias("context"),
     )
-    answers = results.filter("sql_write").select(*where, F.col("content").alias("answer"))
-    questions = messages.filter(F.col("message_type") == "user").select(
-        *where, F.col("content").alias("question")
+    questions = asked.filter("sequence_number < context_at").groupBy("conversation_id").agg(
+        F.max(place).alias("question")
     )
-
-    def last_around(rows: DataFrame, keep, value: str) -> DataFrame:
-        near = rows.join(context.select("conversation_id", "context_at"), "conversation_id")
-        picked = first_by(near.filter(keep), ["conversation_id"], last_first())
-        return picked.select("conversation_id", value)
-
-    before = F.col("sequence_number") < F.col("context_at")
-    after = F.col("sequence_number") > F.col("context_at")
-    return (
-        context.join(last_around(questions, before, "question"), "conversation_id", "left")
-        .join(last_around(answers, after, "answer"), "conversation_id", "left")
-        .select("conversation_id", "question", "context", "answer")
+    after = F.col("answer.sequence_number") > F.col("context.sequence_number")
+    picked = found.join(questions, "conversation_id", "left").select(
+        "conversation_id",
+        F.explode(F.array_compact(F.array(
+            *[
+                F.when(condition, F.struct(F.lit(part).alias("part"), F.col(f"{part}.id").alias("id")))
+                for part, condition in (
+                    ("question", F.col("question").isNotNull()), ("context", F.lit(True)),
+                    ("answer", after),
+                )
+            ]
+        ))).alias("pick"),
+    ).select("conversation_id", "pick.part", "pick.id")
+    texts = messages.select("conversation_id", "id", "content").join(picked, ["conversation_id", "id"])
+    return texts.groupBy("conversation_id").agg(
+        *[
+            F.first(F.when(F.col("part") == part, F.col("content")), True).alias(part)
+            for part in ("question", "context", "answer")
+        ]
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -13,6 +14,9 @@ from talkmeter.plans import validation
 from talkmeter.session import new_run_folder
 from talkmeter.sources import tables
 
+# Calls that each concurrent task makes per slice, unless the caller says how many slices.
+CALLS_PER_TASK = 100
+
 
 @dataclass(frozen=True)
 class JudgeProfile:
@@ -55,29 +59,56 @@ def judge_batch(
     return judge.parse_replies(judge.call_judge(ready, call, **settings))
 
 
+def judge_in_slices(
+    work: DataFrame, messages: DataFrame, call: judge.Judge, profile: JudgeProfile, folder: str,
+    slices: int | None, each: Callable[[DataFrame], None], parallelism: int = V.JUDGE_PARALLELISM,
+    **settings: float,
+) -> DataFrame:
+    """Judge a written queue slice by slice; ``each`` takes every finished slice.
+
+    The transcripts of the whole queue are built once and written by slice, in
+    as many tasks as they need. The judge then sees one slice at a time in
+    ``parallelism`` tasks, so the limit on concurrent calls doesn't limit the
+    work on texts, and a lost task repeats its share of one slice.
+    """
+    spark = work.sparkSession
+    if slices is None:
+        slices = max(1, -(-work.count() // (parallelism * CALLS_PER_TASK)))
+    part = F.pmod(F.xxhash64("conversation_id"), F.lit(slices)).cast("int")
+    ready = with_transcripts(work, messages, profile.limits).withColumn("slice", part)
+    ready.write.partitionBy("slice").parquet(f"{folder}/ready")
+    ready = spark.read.schema(ready.schema).parquet(f"{folder}/ready")
+    for number in range(slices):
+        replies = judge.call_judge(
+            ready.filter(F.col("slice") == number), call, parallelism=parallelism, **settings
+        )
+        results = judge.parse_replies(replies)
+        results.write.parquet(f"{folder}/results/slice={number}")
+        each(spark.read.schema(results.schema).parquet(f"{folder}/results/slice={number}"))
+    return spark.read.schema(results.schema).parquet(f"{folder}/results")
+
+
 def run_judge(
     typed: DataFrame, messages: DataFrame, ledger: DataFrame, ledger_path: str,
     call: judge.Judge, profile: JudgeProfile, classified_at: str, copy_path: str | None = None,
-    slices: int = 1, **settings: float,
+    slices: int | None = None, **settings: float,
 ) -> DataFrame:
     """Judge what is due and append it to the ledger; returns the appended rows.
 
     Replies are written once and read back, so the ledger rows and the JSON
-    copy never call the judge a second time. A large queue may be worked off in
-    slices, each appended on its own: a run that dies loses the slice at hand,
-    and the next run queues just what is missing.
+    copy never call the judge a second time. Each slice is appended on its own:
+    a run that dies loses the slice at hand, and the next run queues just what
+    is missing. Without ``slices`` a slice holds some calls per concurrent task.
     """
     spark = typed.sparkSession
     folder = new_run_folder(spark, f"judge-{profile.name}")
     due = queue.judge_queue(typed, ledger, profile.types, profile.version, ordered=False)
     work = queue.written(due, f"{folder}/queue")
-    part = F.pmod(F.xxhash64("conversation_id"), F.lit(slices))
-    for number in range(slices):
-        results = judge_batch(work.filter(part == number), messages, call, profile, **settings)
-        results.write.parquet(f"{folder}/results/slice={number}")
-        done = spark.read.schema(results.schema).parquet(f"{folder}/results/slice={number}")
+
+    def append(done: DataFrame) -> None:
         tables.append_ledger(rows_of(done, profile, classified_at), ledger_path)
-    results = spark.read.schema(results.schema).parquet(f"{folder}/results")
+
+    results = judge_in_slices(work, messages, call, profile, folder, slices, append, **settings)
     rows = rows_of(results, profile, classified_at)
     if copy_path:
         tables.write_jsonl(rows, copy_path)
@@ -102,9 +133,9 @@ def run_validation(
         "conversation_id", F.lit(profile.fixed_type or profile.name).alias("conversation_type")
     ).distinct()
     work = queue.written(cases, f"{folder}/cases")
-    results = judge_batch(work, messages, call, profile, **settings)
-    results.write.parquet(f"{folder}/results")
-    results = spark.read.schema(results.schema).parquet(f"{folder}/results")
+    results = judge_in_slices(
+        work, messages, call, profile, folder, None, lambda done: None, **settings
+    )
     rows = validation.validation_rows(
         labelled, results, run_id, run_at, profile.version, profile.model, profile.prompt_hash
     )

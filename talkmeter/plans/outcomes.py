@@ -93,27 +93,34 @@ def outcome_history(ledger: DataFrame) -> DataFrame:
 def judge_versions(ledger: DataFrame) -> DataFrame:
     """Registry of judges: what each version scored, when and how much.
 
-    Few versions share all rows, so rows first fold to one per (version,
-    conversation, type); the distinct counts then work on that.
+    Few versions share all rows, so rows fold by hash to one per (version,
+    conversation) and are counted there; the types come from a fold of their
+    own. No distinct count and no sort over rows remains.
     """
     version = ["prompt_version", "model_version", "prompt_hash"]
-    per_conversation = (
-        with_lineage(ledger)
-        .filter(F.col("prompt_version").isNotNull())
-        .groupBy(*version, "conversation_id", "classified_as_type")
-        .agg(
-            F.min("classified_at").alias("first_at"),
-            F.max("classified_at").alias("last_at"),
-            F.count("*").alias("rows"),
-            F.count("error").alias("errors"),
-        )
+    versioned = with_lineage(ledger).filter(F.col("prompt_version").isNotNull())
+    per_conversation = versioned.groupBy(*version, "conversation_id").agg(
+        F.min("classified_at").alias("first_at"),
+        F.max("classified_at").alias("last_at"),
+        F.count("*").alias("rows"),
+        F.count("error").alias("errors"),
     )
-    return per_conversation.groupBy(*version).agg(
-        F.min("classified_as_type").alias("first_conversation_type"),
-        F.count_distinct("classified_as_type").alias("distinct_conversation_types"),
+    counted = per_conversation.groupBy(*version).agg(
         F.min("first_at").alias("first_classified_at"),
         F.max("last_at").alias("last_classified_at"),
         F.sum("rows").alias("total_classifications"),
-        F.count_distinct("conversation_id").alias("distinct_conversations"),
+        F.count("conversation_id").alias("distinct_conversations"),
         F.sum("errors").alias("error_count"),
     )
+    per_type = versioned.groupBy(*version, "classified_as_type").agg(F.count("*").alias("rows"))
+    types = per_type.groupBy(*[F.col(c).alias(f"_{c}") for c in version]).agg(
+        F.collect_set("classified_as_type").alias("types")
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in version]
+    return counted.join(types, same).select(
+        *version,
+        F.array_min("types").alias("first_conversation_type"),
+        F.size("types").cast("bigint").alias("distinct_conversation_types"),
+        "first_classified_at", "last_classified_at", "total_classifications",
+        "distinct_conversations", "error_count",
+    )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from talkmeter import vocabulary as V
 from talkmeter.functions import labels, text
-from talkmeter.operators.latest import first_by, newest_first
+from talkmeter.operators.latest import first_by
 from talkmeter.plans import staging
 
 # First and last position stand-ins when a position is missing: last of all.
@@ -24,7 +24,7 @@ LAST_POSITION = 2**31 - 1
 SCORE_BITS = 32
 
 
-def message_flags(messages: DataFrame, keep: list[str] = ()) -> DataFrame:
+def message_flags(messages: DataFrame, keep: list[str | Column] = ()) -> DataFrame:
     """One narrow row per message: the facts all signals are counted from."""
     kind, lowered = F.col("message_type"), F.col("lowered")
     call, result, user = kind == "tool_call", kind == "tool_result", kind == "user"
@@ -38,7 +38,8 @@ def message_flags(messages: DataFrame, keep: list[str] = ()) -> DataFrame:
     # without sorting and keeps the aggregate a hash aggregate. Score 0 marks a
     # review line without a number.
     position = F.coalesce("sequence_number", F.lit(LAST_POSITION)).cast("bigint")
-    packed_score = F.coalesce(text.review_score(F.col("content")) + 1, F.lit(0)).cast("bigint")
+    score = text.review_score(F.col("content")).cast("bigint")
+    packed_score = F.coalesce(score + 1, F.lit(0).cast("bigint"))
     packed = F.shiftleft(position, SCORE_BITS) + packed_score
     return messages.withColumn("lowered", F.lower("content")).select(
         "conversation_id",
@@ -128,10 +129,16 @@ def derived_signals(aggregated: DataFrame) -> DataFrame:
     ).drop("first_review", "last_review")
 
 
-def newest_copy(rows: DataFrame, changed: str) -> DataFrame:
-    """One narrow row per id; the raw copies never shuffle their text."""
-    ties = [F.xxhash64(*[name for name in rows.columns if name not in ("id", changed)])]
-    return first_by(rows, ["id"], newest_first(changed) + ties)
+def copy_keys(rows: DataFrame, changed: str) -> list[Column]:
+    """What tells copies of a row apart, as columns of a narrow row."""
+    load = [F.col(staging.LOAD)] if staging.LOAD in rows.columns else []
+    return [F.col("id"), F.col(changed), *load, staging.tie_hash(rows).alias("_tie")]
+
+
+def newest_copy(narrow: DataFrame, changed: str) -> DataFrame:
+    """One narrow row per id, the copy that staging keeps; no text is shuffled."""
+    order = staging.newest_copy_first(narrow, changed, F.col("_tie"))
+    return first_by(narrow, ["id"], order)
 
 
 def message_signals(messages: DataFrame, dedupe: bool = False) -> DataFrame:
@@ -141,7 +148,7 @@ def message_signals(messages: DataFrame, dedupe: bool = False) -> DataFrame:
     """
     if dedupe:
         changed = staging.MESSAGE_CHANGE
-        narrow = packed_flags(message_flags(messages, ["id", changed]))
+        narrow = packed_flags(message_flags(messages, copy_keys(messages, changed)))
         flags = unpacked_flags(newest_copy(narrow, changed))
     else:
         flags = message_flags(messages)
@@ -152,7 +159,8 @@ def run_costs(runs: DataFrame, dedupe: bool = False) -> DataFrame:
     """Total cost, run count and mean duration per conversation."""
     if dedupe:
         changed = staging.RUN_CHANGE
-        narrow = runs.select("id", changed, "conversation_id", "cost_usd", "duration_ms")
+        keys = copy_keys(runs, changed)
+        narrow = runs.select(*keys, "conversation_id", "cost_usd", "duration_ms")
         runs = newest_copy(narrow, changed)
     return runs.groupBy("conversation_id").agg(
         F.sum("cost_usd").alias("total_cost_usd"),

@@ -114,10 +114,33 @@ def latency_quantiles_native(events: DataFrame, accuracy: int = 10000) -> DataFr
     )
 
 
+def quantile_ranks(events: DataFrame, accuracy: int = 10000) -> DataFrame:
+    """Do the sketched quantiles have the rank they should, within its error bound?
+
+    Shares of the values below and up to each quantile, per type; one row per
+    type comes from the sketch, so it is joined by broadcast.
+    """
+    bound = 1 / accuracy
+    sketched = F.broadcast(latency_quantiles_native(events, accuracy))
+    value = F.col("latency_s")
+
+    def share(condition: Column) -> Column:
+        return F.avg(condition.cast("double"))
+
+    rows = events.filter(value.isNotNull()).join(sketched, "conversation_type")
+    return rows.groupBy("conversation_type").agg(
+        *[
+            ((share(value < F.col(name)) - bound <= q) & (q <= share(value <= F.col(name)) + bound))
+            .alias(f"{name}_in_bound")
+            for name, q in (("p50", 0.50), ("p95", 0.95))
+        ]
+    )
+
+
 def error_rate(
-    events: DataFrame, width: str = "5 minutes", slide: str | None = None, seconds: int = 300
+    events: DataFrame, width: str = "5 minutes", slide: str | None = None
 ) -> DataFrame:
-    """Errors per second by type and class in each window."""
+    """Errors per second by type and class in each window, over the window's own length."""
     window = F.window("ts", width, slide) if slide else F.window("ts", width)
     errors = as_instant(events).filter(F.col("error_type").isNotNull())
     counted = errors.groupBy(window.alias("window"), "conversation_type", "error_type").agg(
@@ -128,7 +151,10 @@ def error_rate(
         "conversation_type",
         "error_type",
         "errors",
-        (F.col("errors") / F.lit(seconds)).alias("errors_per_second"),
+        (
+            F.col("errors")
+            / (F.unix_seconds(F.col("window.end")) - F.unix_seconds(F.col("window.start")))
+        ).alias("errors_per_second"),
     )
 
 
@@ -144,6 +170,57 @@ def score_means(events: DataFrame, width: str = "1 day") -> DataFrame:
     )
 
 
+def trailing(folded: DataFrame, at: str, step: int, width: int) -> DataFrame:
+    """Rows folded per step of ``step`` seconds, once for each trailing window they lie in.
+
+    ``at`` is the step's first second; ``window_end`` replaces it. A window of
+    ``width`` seconds ends at every step and holds the steps before its end. What
+    is copied are folded rows, not events.
+    """
+    ends = F.sequence(F.col(at) + step, F.col(at) + width, F.lit(step).cast("bigint"))
+    return folded.withColumn("window_end", F.explode(ends)).drop(at)
+
+
+def step_start(seconds: int) -> Column:
+    second = F.unix_seconds(F.col("ts"))
+    return second - F.pmod(second, F.lit(seconds))
+
+
+def window_end() -> Column:
+    return F.timestamp_seconds("window_end").cast("timestamp_ntz").alias("window_end")
+
+
+def score_means_trailing(events: DataFrame, step: int = 3600, width: int = 86_400) -> DataFrame:
+    """Mean score per dimension over the ``width`` seconds before each step."""
+    scores = long_scores(as_instant(events), ["ts"])
+    folded = scores.groupBy(step_start(step).alias("step"), "dimension").agg(
+        F.sum("score").alias("total"), F.count("score").alias("scores")
+    )
+    windows = trailing(folded, "step", step, width).groupBy("window_end", "dimension").agg(
+        F.sum("total").alias("total"), F.sum("scores").alias("scores")
+    )
+    return windows.select(
+        window_end(), "dimension", (F.col("total") / F.col("scores")).alias("mean_score"), "scores"
+    )
+
+
+def latency_quantiles_trailing(events: DataFrame, step: int = 60, width: int = 300) -> DataFrame:
+    """p50 and p95 per type over the ``width`` seconds before each step, from the latency buckets."""
+    folded = histogram.wide_histogram(
+        as_instant(events), [step_start(step).alias("step"), "conversation_type"],
+        F.col("latency_s"), V.LATENCY_BUCKETS,
+    )
+    counts = [name for name in folded.columns if name.startswith("le_")]
+    windows = trailing(folded, "step", step, width).groupBy("window_end", "conversation_type").agg(
+        *[F.sum(name).alias(name) for name in counts]
+    )
+    return windows.select(
+        window_end(), "conversation_type",
+        histogram.quantile(0.50, V.LATENCY_BUCKETS).alias("p50"),
+        histogram.quantile(0.95, V.LATENCY_BUCKETS).alias("p95"),
+    )
+
+
 def success_rate(events: DataFrame) -> DataFrame:
     """Outcomes that start with ``success`` over all outcomes."""
     outcomes = events.filter(F.col("error_type").isNull())

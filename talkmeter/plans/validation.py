@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkmeter import vocabulary as V
@@ -115,8 +115,8 @@ def rubric_agreement(fact: DataFrame) -> DataFrame:
 def concept_drift(fact: DataFrame) -> DataFrame:
     """Agreement per run against the first run of the same judge version.
 
-    The baseline is an aggregate per version joined back: unlike a window it
-    folds on the map side, so a version with most of the runs is no hot task.
+    The ledger is folded to one row per run once; the window over those rows
+    holds a row per run of a version, however many cases a run has.
     """
     runs = run_rollup(fact).withColumns(
         {
@@ -125,13 +125,11 @@ def concept_drift(fact: DataFrame) -> DataFrame:
         }
     )
     # A missing run time sorts last; the run id settles equal times.
-    when = F.struct(F.col("run_at").isNull(), F.col("run_at"), F.col("validation_run_id"))
-    baseline = runs.groupBy(F.col("prompt_version").alias("baseline_version")).agg(
-        F.min_by("outcome_agreement_rate", when).alias("baseline_agreement_rate")
+    from_first = Window.partitionBy("prompt_version").orderBy(
+        F.col("run_at").asc_nulls_last(), "validation_run_id"
     )
     rate, base = F.col("outcome_agreement_rate"), F.col("baseline_agreement_rate")
-    same_version = F.col("prompt_version").eqNullSafe(F.col("baseline_version"))
-    rows = runs.join(baseline, same_version, "left")
+    rows = runs.withColumn("baseline_agreement_rate", F.first(rate).over(from_first))
     measures = [f"{name}_{kind}" for name in V.RUBRIC for kind in ("match_rate", "mae")]
     return rows.select(
         *RUN_KEYS, "run_at",

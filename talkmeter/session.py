@@ -56,16 +56,16 @@ def new_run_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def streaming_session(spark: SparkSession) -> SparkSession:
+def streaming_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
     """A sibling session for stateful streams, on the same cluster.
 
-    A checkpoint keeps its number of state partitions for life. They follow the
-    cores, where the session asks for more, and the state goes to disk.
+    A checkpoint keeps its number of state partitions for life, so give the
+    number the stream will need when it has grown; by default it is that of the
+    session's shuffles. The state goes to disk.
     """
     sibling = spark.newSession()
-    asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = min(asked, 2 * spark.sparkContext.defaultParallelism)
-    sibling.conf.set("spark.sql.shuffle.partitions", partitions)
+    asked = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sibling.conf.set("spark.sql.shuffle.partitions", asked)
     sibling.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     sibling.conf.set("spark.sql.streaming.stateStore.providerClass", DISK_STATE)
     return sibling

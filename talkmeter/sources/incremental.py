@@ -67,8 +67,12 @@ def all_text(df: DataFrame) -> DataFrame:
     return df.select([F.col(name).cast("string").alias(name) for name in df.columns])
 
 
-def land(df: DataFrame, path: str) -> None:
-    all_text(df).write.mode("append").parquet(path)
+def land(df: DataFrame, path: str, load: int | None = None) -> None:
+    """Append the rows as text; ``load`` numbers them, so that later copies can be told."""
+    rows = all_text(df)
+    if load is not None:
+        rows = rows.withColumn("_load", F.lit(load).cast("bigint"))
+    rows.write.mode("append").parquet(path)
 
 
 def read_jdbc(
@@ -101,18 +105,20 @@ def load_changes(
     The new mark is observed on the very rows that land: a second read of a
     live source could see newer changes and step over them. If the load dies
     half way the mark has not moved, so the next load repeats the rows; staging
-    keeps one row per id, which makes the repeat harmless.
+    keeps one row per id, that of the last load, which makes the repeat harmless.
+    The load number is taken before anything lands: a repeated load has its own.
     """
-    mark = tables.read_mark(spark, paths.marks, name, V.FIRST_MARK)
+    step, mark = tables.read_step(spark, paths.marks, name, V.FIRST_MARK)
+    load = tables.take_number(spark, paths.marks, f"{name}-load")
     landed = Observation()
     changed = changed_since(conversations, mark, ordered=False).observe(
         landed, F.max("updated_at").cast("string").alias("newest")
     )
-    land(changed, paths.conversations)
-    land(runs_since(runs, conversations, mark), paths.runs)
-    land(messages_since(messages, conversations, mark), paths.messages)
+    land(changed, paths.conversations, load)
+    land(runs_since(runs, conversations, mark), paths.runs, load)
+    land(messages_since(messages, conversations, mark), paths.messages, load)
     new = landed.get["newest"]
     if new is None:
         return mark
-    tables.write_mark(spark, paths.marks, name, new)
+    tables.write_mark(spark, paths.marks, name, new, after=step)
     return new

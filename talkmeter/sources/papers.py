@@ -217,7 +217,7 @@ def load_new_files(
     The table version is published before the marker moves, and only if some
     paper was parsed. Dying in between repeats the files, which changes nothing.
     """
-    marker = tables.read_mark(spark, f"{base}/_marks", name, None)
+    step, marker = tables.read_step(spark, f"{base}/_marks", name, None)
     files = new_files(list_files(spark, folder), marker)
     lines = read_lines(spark, folder, marker).join(files, "s3_key", "left_semi")
     decoded = decode_lines(lines)
@@ -225,8 +225,10 @@ def load_new_files(
     new_marker = next_file_marker(files, papers_from(decoded, ingested_at), marker)
     reached = new_marker.first()["marker"]
     if reached != marker:
-        table = tables.current(spark, base, PAPER_SCHEMA)
-        merged = upsert(table, papers_from(decoded, ingested_at), ["paper_id"], LINE_ORDER)
-        tables.publish(merged, base)
-        tables.write_mark(spark, f"{base}/_marks", name, reached)
+        loaded = papers_from(decoded, ingested_at)
+        tables.publish_change(
+            spark, base, PAPER_SCHEMA,
+            lambda table: upsert(table, loaded, ["paper_id"], LINE_ORDER),
+        )
+        tables.write_mark(spark, f"{base}/_marks", name, reached, after=step)
     return summary

@@ -7,6 +7,9 @@ so a lost executor or a killed driver leaves the previous version readable.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,45 +44,100 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
 # --- marks -----------------------------------------------------------------
 
 
+class Moved(RuntimeError):
+    """Raised when another writer moved a mark first; nothing of it was overwritten."""
+
+
 def latest_mark(marks: DataFrame, name: str) -> DataFrame:
     return marks.filter(F.col("name") == name).agg(
         F.max("step").alias("step"), F.max_by("mark", "step").alias("mark")
     )
 
 
-def read_mark(spark: SparkSession, path: str, name: str, default: str | None) -> str | None:
+def read_step(
+    spark: SparkSession, path: str, name: str, default: str | None
+) -> tuple[int, str | None]:
+    """The mark and the number of the step that set it (0 before the first)."""
     row = latest_mark(read_or_empty(spark, path, MARK_SCHEMA), name).first()
-    return row["mark"] if row["mark"] is not None else default
+    return row["step"] or 0, row["mark"] if row["mark"] is not None else default
 
 
-def write_mark(spark: SparkSession, path: str, name: str, mark: str) -> None:
-    row = latest_mark(read_or_empty(spark, path, MARK_SCHEMA), name).first()
-    step = (row["step"] or 0) + 1
-    spark.createDataFrame([(name, step, mark)], MARK_SCHEMA).coalesce(1).write.mode(
-        "append"
-    ).parquet(path)
+def read_mark(spark: SparkSession, path: str, name: str, default: str | None) -> str | None:
+    return read_step(spark, path, name, default)[1]
+
+
+def write_mark(
+    spark: SparkSession, path: str, name: str, mark: str, after: int | None = None
+) -> int:
+    """Set the mark as the step that follows ``after`` (default: the latest one).
+
+    Every step is a folder of its own that is never overwritten: if another
+    writer has taken the step already, the mark stays and ``Moved`` is raised.
+    """
+    step = (read_step(spark, path, name, None)[0] if after is None else after) + 1
+    row = spark.createDataFrame([(mark,)], "mark string").coalesce(1)
+    try:
+        row.write.mode("errorifexists").parquet(f"{path}/name={name}/step={step}")
+    except AnalysisException as taken:
+        if taken.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+        raise Moved(f"{path}: step {step} of {name} was taken by another writer") from taken
+    return step
+
+
+def take_number(spark: SparkSession, path: str, name: str) -> int:
+    """A number that no other caller got, greater than all taken before."""
+    while True:
+        try:
+            return write_mark(spark, path, name, "taken")
+        except Moved:
+            continue
 
 
 # --- published versions --------------------------------------------------------
 
 
-def publish(df: DataFrame, base: str, partition_by: list[str] | None = None) -> int:
-    """Write the next version of a table and point readers at it."""
+def publish(
+    df: DataFrame, base: str, partition_by: list[str] | None = None, after: int | None = None
+) -> int:
+    """Write a version of a table and point readers at it; returns the pointer's step.
+
+    The version goes to a folder of its own. ``after`` is the step that the new
+    version was made from: if the pointer has moved since, ``Moved`` is raised
+    and readers keep what they have.
+    """
     spark = df.sparkSession
-    version = int(read_mark(spark, f"{base}/_pointer", "version", "0")) + 1
-    df.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(
-        f"{base}/version={version}"
-    )
-    write_mark(spark, f"{base}/_pointer", "version", str(version))
-    return version
+    if after is None:
+        after = read_step(spark, f"{base}/_pointer", "version", None)[0]
+    folder = f"version={after + 1}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").partitionBy(*(partition_by or [])).parquet(f"{base}/{folder}")
+    return write_mark(spark, f"{base}/_pointer", "version", folder, after)
+
+
+def current_step(spark: SparkSession, base: str, schema: str) -> tuple[int, DataFrame]:
+    """The version readers are pointed at, and its step; empty before the first publish."""
+    step, folder = read_step(spark, f"{base}/_pointer", "version", None)
+    if folder is None:
+        return 0, spark.createDataFrame([], schema)
+    return step, spark.read.schema(schema).parquet(f"{base}/{folder}")
 
 
 def current(spark: SparkSession, base: str, schema: str) -> DataFrame:
-    """The version readers are pointed at; empty before the first publish."""
-    version = read_mark(spark, f"{base}/_pointer", "version", None)
-    if version is None:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{base}/version={version}")
+    return current_step(spark, base, schema)[1]
+
+
+def publish_change(
+    spark: SparkSession, base: str, schema: str, change: Callable[[DataFrame], DataFrame],
+    attempts: int = 5,
+) -> int:
+    """Publish ``change(current table)``; made again from the newer table if another writer was first."""
+    for attempt in range(attempts):
+        step, table = current_step(spark, base, schema)
+        try:
+            return publish(change(table), base, after=step)
+        except Moved:
+            if attempt + 1 == attempts:
+                raise
 
 
 def materialize(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from talkmeter.operators.latest import first_by
 from talkmeter.sources import papers
-from talkmeter.streaming.sinks import run_batches
+from talkmeter.streaming.sinks import read_batches, run_batches, write_batch
 
 
 def line_stream(
@@ -38,8 +38,7 @@ def ingest(
     def load(batch: DataFrame, number: int) -> None:
         # Line numbers are only available on the batch frame.
         numbered = batch.withColumn("line", F.monotonically_increasing_id())
-        rows = papers.parse_lines(numbered, ingested_at)
-        rows.write.mode("overwrite").parquet(f"{log}/batch={number}")
+        write_batch(papers.parse_lines(numbered, ingested_at), log, number)
 
     run_batches(stream, load, checkpoint, "append", once)
 
@@ -47,6 +46,8 @@ def ingest(
 def current_papers(spark: SparkSession, log: str) -> DataFrame:
     """The papers table as of all loaded batches."""
     schema = f"{papers.PAPER_SCHEMA}, split_start bigint, line bigint, batch int"
-    rows = spark.read.schema(schema).option("basePath", log).parquet(f"{log}/batch=*")
+    rows = read_batches(spark, log, schema)
+    if rows is None:
+        return spark.createDataFrame([], papers.PAPER_SCHEMA)
     order = [F.desc("s3_key"), F.desc("split_start"), F.desc("line"), F.desc("batch")]
     return first_by(rows, ["paper_id"], order).select(*papers.PAPER_COLUMNS)

@@ -13,8 +13,10 @@ def running_signals(
 ) -> DataFrame:
     """Signals per conversation, one updated row per change (update mode).
 
-    A message that lands again within ``delay`` counts once. Reduced to flags
-    first, so the shuffle and the state hold no text; the state per
+    A message that lands again within ``delay`` counts once, as it first arrived:
+    the stream has no later copy to choose yet. The batch form counts the last
+    load. Messages later than ``delay`` are in no result; the sink counts them
+    (``sinks.late_rows``). Reduced to flags first, so the shuffle and the state hold no text; the state per
     conversation is one fixed-width row.
     """
     flags = signals.packed_flags(signals.message_flags(messages, ["id", arrived]))

@@ -1,8 +1,10 @@
 """Streaming sinks that survive restarts.
 
 Update-mode results go to a change log: one folder per micro-batch, written in
-overwrite mode, so a batch that is run again replaces its own folder. Readers
-take the newest row per key.
+overwrite mode, so a batch that is run again replaces its own folder. A batch is
+listed in ``_complete`` once its folder is whole; readers take the newest row per
+key among the listed batches, so a batch that is being written is never half read.
+Rows that came too late for the watermark are counted in ``_late``.
 """
 
 from __future__ import annotations
@@ -12,10 +14,12 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from talkmeter.operators.latest import first_by
 
+BATCH = StructField("batch", LongType())
+
 
 def read_stream(
     spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None,
@@ -29,9 +33,13 @@ def read_stream(
 
 def run_batches(
     stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
-    mode: str = "update", once: bool = True,
+    mode: str = "update", once: bool = True, late: str | None = None,
 ) -> None:
-    """Run ``handle`` per micro-batch; ``once`` drains what is there and stops."""
+    """Run ``handle`` per micro-batch; ``once`` drains what is there and stops.
+
+    ``late`` names a folder that gets (batch, rows) for every batch in which the
+    watermark dropped rows, when the stream stops.
+    """
     writer = (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
@@ -39,27 +47,78 @@ def run_batches(
     )
     if once:
         writer = writer.trigger(availableNow=True)
-    writer.start().awaitTermination()
+    query = writer.start()
+    try:
+        query.awaitTermination()
+    finally:
+        if late:
+            write_late(stream.sparkSession, query.recentProgress, late)
+
+
+def write_late(spark: SparkSession, progress: list, folder: str) -> None:
+    """(batch, rows) of the batches whose stateful operators dropped late rows."""
+    counted = [
+        (step["batchId"], sum(s["numRowsDroppedByWatermark"] for s in step["stateOperators"]))
+        for step in progress
+    ]
+    dropped = [(batch, rows) for batch, rows in counted if rows]
+    if dropped:
+        table = spark.createDataFrame(dropped, "batch bigint, rows bigint")
+        table.coalesce(1).write.mode("append").parquet(folder)
+
+
+def write_batch(batch: DataFrame, log: str, number: int) -> None:
+    """One whole batch folder, then its entry in the list that readers follow."""
+    batch.write.mode("overwrite").parquet(f"{log}/batch={number}")
+    spark = batch.sparkSession
+    listed = spark.createDataFrame([(number,)], "number bigint").coalesce(1)
+    listed.write.mode("overwrite").parquet(f"{log}/_complete/entry={number}")
+
+
+def complete_batches(spark: SparkSession, log: str) -> list[int]:
+    """The batches that may be read. One number per batch: compaction starts a new log."""
+    try:
+        rows = spark.read.schema("number bigint").parquet(f"{log}/_complete/entry=*")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted(row["number"] for row in rows.distinct().collect())
+
+
+def read_batches(spark: SparkSession, log: str, schema: StructType | str) -> DataFrame | None:
+    """All rows of the complete batches with their ``batch``; None before the first one."""
+    paths = [f"{log}/batch={number}" for number in complete_batches(spark, log)]
+    if not paths:
+        return None
+    return spark.read.schema(schema).option("basePath", log).parquet(*paths)
 
 
 def run_change_log(
     stream: DataFrame, log: str, checkpoint: str, mode: str = "update", once: bool = True
 ) -> None:
-    def append(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{log}/batch={number}")
+    run_batches(
+        stream, lambda batch, number: write_batch(batch, log, number), checkpoint, mode, once,
+        late=f"{log}/_late",
+    )
 
-    run_batches(stream, append, checkpoint, mode, once)
+
+def late_rows(spark: SparkSession, log: str) -> DataFrame:
+    """(batch, rows): how many rows of each batch came too late and are in no result."""
+    try:
+        return spark.read.schema("batch bigint, rows bigint").parquet(f"{log}/_late")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "batch bigint, rows bigint")
 
 
 def read_change_log(
     spark: SparkSession, log: str, keys: list[str], schema: StructType
 ) -> DataFrame:
     """Newest row per key of a change log; empty before the first batch."""
-    try:
-        rows = spark.read.schema(schema).option("basePath", log).parquet(f"{log}/batch=*")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    rows = read_batches(spark, log, StructType([*schema.fields, BATCH]))
+    if rows is None:
         return spark.createDataFrame([], schema)
     return first_by(rows, keys, [F.desc("batch")]).select(*schema.names)
 
@@ -68,6 +127,4 @@ def compact_change_log(
     spark: SparkSession, log: str, keys: list[str], schema: StructType, target: str
 ) -> None:
     """Write the newest rows as one batch folder of a new log."""
-    read_change_log(spark, log, keys, schema).write.mode("errorifexists").parquet(
-        f"{target}/batch=0"
-    )
+    write_batch(read_change_log(spark, log, keys, schema), target, 0)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from talkmeter.operators.latest import upsert
-from talkmeter.plans import staging
+from talkmeter.plans import signals, staging
 from talkmeter.sources import incremental, papers, tables
 
 PARENTS = "id bigint, title string, updated_at timestamp_ntz"
@@ -41,7 +41,8 @@ def test_two_loads_then_staging(spark, tmp_path):
     assert incremental.load_changes(spark, *source(spark, True), paths).startswith("2026-01-05")
     raw = spark.read.parquet(paths.messages)
     # The touched conversation landed again as a whole; the system message never did.
-    assert raw.count() == 4 and set(dict(raw.dtypes).values()) == {"string"}
+    assert raw.count() == 4 and set(dict(raw.drop("_load").dtypes).values()) == {"string"}
+    assert sorted(r["_load"] for r in raw.collect()) == [1, 1, 3, 3]
     messages = staging.stg_messages(raw)
     assert sorted(r["id"] for r in messages.collect()) == [10, 20, 22]
     titles = staging.stg_conversations(spark.read.parquet(paths.conversations))
@@ -78,6 +79,76 @@ def test_publish_keeps_the_old_version_until_the_pointer_moves(spark, tmp_path):
     assert tables.current(spark, base, schema).count() == 2
 
 
+def test_two_writers_lose_no_rows(spark, tmp_path):
+    """A writer that was overtaken is told so, and its change is made again on the newer table."""
+    base, schema = str(tmp_path / "t"), "id int, v string"
+
+    def adding(number):
+        row = spark.createDataFrame([(number, "x")], schema)
+        return lambda table: table.unionByName(row)
+
+    step, empty = tables.current_step(spark, base, schema)
+    tables.publish(adding(1)(empty), base, after=step)
+    with pytest.raises(tables.Moved):
+        tables.publish(adding(2)(empty), base, after=step)
+    assert [r["id"] for r in tables.current(spark, base, schema).collect()] == [1]
+
+    overtaken = []
+
+    def slow(table):
+        if not overtaken:
+            overtaken.append(tables.publish_change(spark, base, schema, adding(3)))
+        return adding(2)(table)
+
+    tables.publish_change(spark, base, schema, slow)
+    assert sorted(r["id"] for r in tables.current(spark, base, schema).collect()) == [1, 2, 3]
+
+
+def test_numbers_are_taken_once(spark, tmp_path):
+    path = str(tmp_path / "marks")
+    assert [tables.take_number(spark, path, "load") for _ in range(3)] == [1, 2, 3]
+    with pytest.raises(tables.Moved):
+        tables.write_mark(spark, path, "load", "x", after=1)
+
+
+RUN = "id string, conversation_id string, cost_usd string, duration_ms string, completed_at string"
+
+
+def test_a_finished_run_replaces_the_unfinished_one(spark):
+    """Without load numbers a missing end is the older copy; with them the later load wins."""
+    raw = spark.createDataFrame(
+        [("1", "9", None, None, None), ("1", "9", "2.5", "700", "2026-01-02 00:00:00")], RUN)
+    for rows in (raw, raw.orderBy(F.desc("completed_at"))):
+        assert [r["duration_ms"] for r in staging.stg_runs(rows).collect()] == [700]
+        typed = staging.typed(rows, staging.RUNS)
+        assert signals.run_costs(typed, dedupe=True).first()["avg_run_duration_ms"] == 700.0
+    loads = spark.createDataFrame(
+        [("1", "9", "2.5", "700", "2026-01-02 00:00:00", 1), ("1", "9", "3.5", "800", None, 2)],
+        RUN + ", _load bigint")
+    kept = staging.stg_runs(loads)
+    assert [r["duration_ms"] for r in kept.collect()] == [800] and "_load" not in kept.columns
+
+
+def test_an_edited_message_keeps_its_last_load(spark):
+    schema = "id string, conversation_id string, message_type string, content string, " \
+        "sequence_number string, created_at string, _load bigint"
+    for texts in (("a", "Quality Score: 3"), ("Quality Score: 3", "a")):
+        raw = spark.createDataFrame(
+            [("1", "9", "tool_result", text, "1", "2026-01-01 00:00:00", load)
+             for load, text in enumerate(texts)], schema)
+        kept = staging.stg_messages(raw).collect()
+        assert [r["content"] for r in kept] == [texts[1]]
+        found = signals.message_signals(staging.typed(raw, staging.MESSAGES), dedupe=True).first()
+        assert found["code_review_count"] == (texts[1] != "a")
+
+
+def test_an_edited_conversation_keeps_its_last_load(spark):
+    raw = spark.createDataFrame(
+        [("1", "new", "2026-01-01 00:00:00", 2), ("1", "old", "2026-01-03 00:00:00", 1)],
+        "id string, title string, updated_at string, _load bigint")
+    assert [r["title"] for r in staging.stg_conversations(raw).collect()] == ["new"]
+
+
 def test_ledger_columns_added_later_are_null_on_old_rows(spark, tmp_path):
     path = str(tmp_path / "ledger")
     old = spark.createDataFrame([(1, "v1")], "conversation_id bigint, prompt_version string")

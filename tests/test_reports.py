@@ -232,9 +232,12 @@ def test_latest_rows_are_pruned_before_the_shuffle(spark, sf_dir):
 def test_small_queue_is_sent_to_the_scan(spark, sf_dir):
     messages = X.dialogues(spark, sf_dir)
     ids = spark.range(3).select(F.col("id").alias("conversation_id"))
-    assert "BroadcastHashJoin" in plan_of(queue.only_queued(messages, ids))
-    assert queue.only_queued(messages, ids, broadcast_up_to=1).count() == queue.only_queued(
-        messages, ids).count()
+    small = queue.only_queued(messages, ids)
+    assert "BroadcastHashJoin" in plan_of(small)
+    # A queue above Spark's own limit is joined by key, by the same plan.
+    many = spark.range(5_000_000).select(F.col("id").alias("conversation_id"))
+    assert "SortMergeJoin" in plan_of(queue.only_queued(messages, many))
+    assert small.count() == messages.filter("conversation_id < 3").count()
 
 
 def test_no_query_but_the_judge_runs_python(spark, sf_dir):
@@ -244,3 +247,26 @@ def test_no_query_but_the_judge_runs_python(spark, sf_dir):
         plan = plan_of(REGISTRY[name](spark, sf_dir))
         assert "Python" not in plan and "InPandas" not in plan, name
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+@pytest.mark.parametrize("width, seconds", [("1 minute", 60), ("5 minutes", 300), ("10 minutes", 600)])
+def test_error_rate_follows_the_width(spark, width, seconds):
+    start = datetime.datetime(2024, 1, 1, 12, 0)
+    rows = [(start + datetime.timedelta(seconds=6 * i), "a", "timeout") for i in range(10)]
+    events = spark.createDataFrame(rows, "ts timestamp_ntz, conversation_type string, error_type string")
+    found = telemetry.error_rate(events, width).collect()
+    assert [(r["errors"], r["errors_per_second"]) for r in found] == [(10, 10 / seconds)]
+
+
+def test_drift_reads_the_ledger_once(spark, sf_dir):
+    plan = plan_of(REGISTRY["fct_concept_drift"](spark, sf_dir))
+    assert plan.count("Location: ") == 1
+
+
+def test_registry_folds_by_hash(spark, sf_dir):
+    assert "SortAggregate" not in plan_of(REGISTRY["dim_judge_version"](spark, sf_dir))
+
+
+def test_eval_units_move_no_text_in_windows(spark, sf_dir):
+    plan = plan_of(REGISTRY["eval_units"](spark, sf_dir))
+    assert "Window" not in plan and plan.count("lineitem.parquet") == 1

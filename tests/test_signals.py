@@ -200,3 +200,17 @@ def test_newest_copy_of_a_row_wins(spark):
     )
     rows = {r["id"]: r["title"] for r in staging.stg_conversations(frame).collect()}
     assert rows == {1: "new", 2: "only"}
+
+
+def test_greatest_score_does_not_overflow(spark):
+    """2147483647 is a score like any other; a greater number is none."""
+    schema = ("id bigint, conversation_id bigint, message_type string, content string, "
+              "sequence_number int, created_at timestamp_ntz")
+    rows = [(i, 1, "tool_result", f"Quality Score: {score}", i, None)
+            for i, score in enumerate((0, 2147483647))]
+    found = signals.message_signals(spark.createDataFrame(rows, schema)).first()
+    assert (found["code_review_score_first"], found["code_review_score_last"]) == (0, 2147483647)
+    assert found["code_review_score_delta"] == 2147483647
+    over = [(1, 1, "tool_result", "Quality Score: 2147483648", 1, None)]
+    found = signals.message_signals(spark.createDataFrame(over, schema)).first()
+    assert found["code_review_count"] == 1 and found["code_review_score_last"] is None

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from talkmeter import vocabulary as V
 from talkmeter.catalog import fixtures as X
+from talkmeter.functions import labels
 from talkmeter.operators import checks
 from talkmeter.plans import validation
-from talkmeter.sources import demo, tables
+from talkmeter.sources import tables
 
 LAST_RUN = datetime.datetime(2026, 6, 1)
 # The human labels (fixed values).
@@ -91,43 +92,51 @@ def test_duplicate_inserts_collapse(spark, seed):
     assert fact.select("run_at").distinct().first()["run_at"] == datetime.datetime(2026, 6, 18)
 
 
-def test_demo_series_bands_follow_the_rules(spark):
-    rows = demo.drift_series(spark, "judge", LAST_RUN).orderBy("run_at").collect()
-    assert [r["drift_band"] for r in rows] == [
-        "stable", "stable", "stable", "stable", "moderate", "significant", "moderate", "stable",
-        "stable", "stable", "stable", "moderate"]
-    assert rows[5]["error_count"] == 1 and rows[5]["blind_agreement_rate"] == 0.0
-    assert rows[11]["run_at"] == LAST_RUN
-    assert [r["n_passed"] for r in rows] == [5, 5, 4, 5, 4, 4, 4, 5, 5, 4, 4, 5]
+# Agreement rate per weekly run and judge version, and the band that belongs to it (fixed values).
+SERIES = [
+    ("v1", 1.00, "stable"), ("v1", 0.95, "stable"), ("v1", 0.90, "stable"), ("v1", 0.92, "stable"),
+    ("v1", 0.80, "moderate"), ("v1", 0.70, "significant"), ("v1", 0.85, "moderate"),
+    ("v1", 0.92, "stable"), ("v1", 0.95, "stable"), ("v2", 0.83, "stable"), ("v2", 0.90, "stable"),
+    ("v2", 0.95, "moderate"),
+]
 
 
-def test_demo_series_passes_the_gate(spark):
-    series = demo.drift_series(spark, "judge", LAST_RUN)
-    assert validation.drift_gate(series).count() == 0
-    dip = series.filter("validation_run_id <= 'mock_run_05'")
-    with pytest.raises(checks.GateFailed):
+def series(spark):
+    first = {"v1": 1.00, "v2": 0.83}
+    rows = [
+        (f"run_{i:02d}", version, LAST_RUN - datetime.timedelta(weeks=11 - i), rate, first[version],
+         rate - first[version], band)
+        for i, (version, rate, band) in enumerate(SERIES)
+    ]
+    return spark.createDataFrame(
+        rows, "validation_run_id string, prompt_version string, run_at timestamp_ntz, "
+        "outcome_agreement_rate double, baseline_agreement_rate double, "
+        "agreement_delta_vs_baseline double, band string")
+
+
+def test_bands_of_the_series(spark):
+    rows = series(spark).withColumn(
+        "got", labels.drift_band(F.col("outcome_agreement_rate"), F.col("baseline_agreement_rate")))
+    assert rows.filter("NOT got <=> band").count() == 0
+
+
+def test_series_passes_the_gate_and_its_dip_does_not(spark):
+    assert validation.drift_gate(series(spark)).count() == 0
+    dip = series(spark).filter("validation_run_id <= 'run_05'")
+    with pytest.raises(checks.GateFailed, match="1 failing rows in (.*)") as failed:
         checks.require_empty(validation.drift_gate(dip), "drift")
+    written = spark.read.parquet(str(failed.value).split(" in ")[1])
+    assert [r["prompt_version"] for r in written.collect()] == ["v1"]
 
 
 def test_gate_is_strict(spark):
-    series = demo.drift_series(spark, "judge", LAST_RUN).limit(1)
-    edge = series.withColumn("agreement_delta_vs_baseline", F.lit(-0.10))
+    one = series(spark).limit(1)
+    edge = one.withColumn("agreement_delta_vs_baseline", F.lit(-0.10))
     assert validation.drift_gate(edge).count() == 0
     assert validation.drift_gate(
         edge.withColumn("agreement_delta_vs_baseline", F.lit(-0.1001))).count() == 1
 
 
-def test_missing_mart_falls_back_to_demo(spark, tmp_path):
-    series = demo.drift_series(spark, "judge", LAST_RUN)
-    assert demo.mart_or_demo(spark, str(tmp_path / "none"), series)[1] is True
-    series.write.parquet(str(tmp_path / "mart"))
-    rows, is_demo = demo.mart_or_demo(spark, str(tmp_path / "mart"), series)
-    assert (is_demo, rows.count()) == (False, 12)
-    cases = demo.case_table(spark, LAST_RUN)
-    assert [r["outcome_passed"] for r in cases.orderBy("conversation_id").collect()] == [
-        False, True, True, True, False, False]
-
-
 def test_first_run_without_rate_gives_unknown(spark, sf_dir):
     """A NULL first rate is the baseline: later runs are unknown, not re-based."""
     fact = validation.validation_fact(X.validation_ledger(spark, sf_dir))
@@ -138,10 +147,10 @@ def test_first_run_without_rate_gives_unknown(spark, sf_dir):
 
 
 def test_rate_range_check_finds_bad_rates(spark):
-    series = demo.drift_series(spark, "judge", LAST_RUN)
-    assert checks.rates_out_of_range(series).count() == 0
+    rates = series(spark)
+    assert checks.rates_out_of_range(rates).count() == 0
     rate = F.col("outcome_agreement_rate")
-    bad = series.withColumn("outcome_agreement_rate", F.when(rate == 1.0, 1.01).otherwise(rate))
+    bad = rates.withColumn("outcome_agreement_rate", F.when(rate == 1.0, 1.01).otherwise(rate))
     assert checks.rates_out_of_range(bad).count() == 1
-    negative = series.withColumn("outcome_agreement_rate", F.lit(-0.01))
+    negative = rates.withColumn("outcome_agreement_rate", F.lit(-0.01))
     assert checks.rates_out_of_range(negative).count() == 12
