@@ -15,7 +15,7 @@ from talkmeter.functions import keys, labels, text
 from talkmeter.operators import checks, judge, queue, transcripts
 from talkmeter.operators.latest import upsert
 from talkmeter.plans import (
-    extensions, judging, outcomes, reports, signals, staging, telemetry, validation,
+    extensions, judging, marts, outcomes, reports, signals, staging, telemetry, validation,
 )
 from talkmeter.session import new_run_folder, streaming_session
 from talkmeter.sources import incremental, papers, tables
@@ -91,6 +91,15 @@ def drift(spark: SparkSession, sf: str) -> DataFrame:
     return validation.concept_drift(validation_fact(spark, sf))
 
 
+def built_marts(spark: SparkSession, sf: str, *wanted: str) -> dict[str, DataFrame]:
+    given = marts.Inputs(
+        X.conversations(spark, sf), X.messages(spark, sf), X.runs(spark, sf), X.ledger(spark, sf),
+        X.validation_ledger(spark, sf), X.ERA_CUT,
+    )
+    folder = new_run_folder(spark, "marts")
+    return marts.build_marts(spark, folder, given, wanted or tuple(marts.BUILDERS))
+
+
 def landed(rows: DataFrame, key: str, early: dict[str, str]) -> DataFrame:
     return incremental.all_text(X.relanded(rows, key, early))
 
@@ -672,7 +681,8 @@ def drift_latest_run(spark, sf):
 
 @query
 def tier_drift_recent(spark, sf):
-    return reports.tier_drift_recent(classified(spark, sf))
+    built = built_marts(spark, sf, "conversation_types", "fct_outcomes")
+    return reports.tier_drift_recent(reports.load_classified(built["fct_outcomes"]))
 
 
 @query
@@ -886,6 +896,7 @@ def drift_gate_breached(spark, sf):
 
 @query
 def dq_report(spark, sf):
+    built = built_marts(spark, sf)
     parts = [
         checks.table_report(
             "conversations", X.conversations(spark, sf), ["id"], ["id"]
@@ -896,7 +907,7 @@ def dq_report(spark, sf):
             ["id", "conversation_id"],
         ),
         checks.table_report(
-            "outcomes", fact(spark, sf), ["conversation_id"],
+            "outcomes", built["fct_outcomes"], ["conversation_id"],
             ["conversation_id", "conversation_type", "is_classified"],
             {"conversation_type": V.CLASSIFIABLE_TYPES},
         ),
@@ -906,11 +917,11 @@ def dq_report(spark, sf):
             {"expected_outcome": V.SEED_OUTCOMES},
         ),
         checks.table_report(
-            "validation_runs", validation_fact(spark, sf), ["validation_case_key"],
+            "validation_runs", built["fct_validation_runs"], ["validation_case_key"],
             ["validation_case_key", "validation_run_id", "outcome_passed"],
         ),
         checks.table_report(
-            "concept_drift", drift(spark, sf), [], ["validation_run_id", "prompt_version"],
+            "concept_drift", built["fct_concept_drift"], [], ["validation_run_id", "prompt_version"],
             {"drift_band": V.DRIFT_BANDS},
         ),
     ]

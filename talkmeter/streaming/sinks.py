@@ -34,11 +34,12 @@ def read_stream(
 def run_batches(
     stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
     mode: str = "update", once: bool = True, late: str | None = None,
-) -> None:
+) -> list:
     """Run ``handle`` per micro-batch; ``once`` drains what is there and stops.
 
     ``late`` names a folder that gets (batch, rows) for every batch in which the
-    watermark dropped rows, when the stream stops.
+    watermark dropped rows, when the stream stops. Returns the latest progress
+    reports, which tell among other things how many rows of state are held.
     """
     writer = (
         stream.writeStream.outputMode(mode)
@@ -53,6 +54,7 @@ def run_batches(
     finally:
         if late:
             write_late(stream.sparkSession, query.recentProgress, late)
+    return query.recentProgress
 
 
 def write_late(spark: SparkSession, progress: list, folder: str) -> None:
@@ -96,8 +98,8 @@ def read_batches(spark: SparkSession, log: str, schema: StructType | str) -> Dat
 
 def run_change_log(
     stream: DataFrame, log: str, checkpoint: str, mode: str = "update", once: bool = True
-) -> None:
-    run_batches(
+) -> list:
+    return run_batches(
         stream, lambda batch, number: write_batch(batch, log, number), checkpoint, mode, once,
         late=f"{log}/_late",
     )

@@ -12,7 +12,7 @@ from talkmeter.catalog import fixtures as X
 from talkmeter.catalog.queries import REGISTRY
 from talkmeter.functions import labels, text
 from talkmeter.operators import checks, histogram, queue
-from talkmeter.plans import reports, telemetry
+from talkmeter.plans import marts, reports, telemetry
 
 FACT = (
     "conversation_id bigint, conversation_type string, outcome string, total_cost_usd "
@@ -270,3 +270,16 @@ def test_registry_folds_by_hash(spark, sf_dir):
 def test_eval_units_move_no_text_in_windows(spark, sf_dir):
     plan = plan_of(REGISTRY["eval_units"](spark, sf_dir))
     assert "Window" not in plan and plan.count("lineitem.parquet") == 1
+
+
+def test_reports_read_marts_and_equal_the_direct_form(spark, sf_dir, tmp_path):
+    from talkmeter.catalog.queries import built_marts, fact
+
+    built = built_marts(spark, sf_dir)
+    assert set(built) == set(marts.BUILDERS)
+    direct, mart = fact(spark, sf_dir), built["fct_outcomes"]
+    assert mart.schema.simpleString() == direct.schema.simpleString()
+    assert mart.exceptAll(direct).count() == 0 and direct.exceptAll(mart).count() == 0
+    drift = REGISTRY["fct_concept_drift"](spark, sf_dir)
+    assert built["fct_concept_drift"].exceptAll(drift).count() == 0
+    assert "lineitem" not in plan_of(REGISTRY["tier_drift_recent"](spark, sf_dir))

@@ -56,6 +56,7 @@ def test_update_stream_equals_batch(spark, sf_dir, event_files, tmp_path, stream
     result = streamed(X.to_judge_events(stream(spark, event_files)))
     log, checkpoint = str(tmp_path / "log"), str(tmp_path / "checkpoint")
     sinks.run_change_log(result, log, checkpoint)
+    assert sinks.late_rows(spark, log).count() == 0
     assert len([d for d in os.listdir(log) if d.startswith("batch=")]) >= 5
     got = sinks.read_change_log(spark, log, keys, result.schema)
     expected = batch(X.judge_events(spark, sf_dir))
@@ -95,6 +96,31 @@ def test_append_mode_closes_windows_and_drops_late_rows(spark, tmp_path):
     keys = ["window_start", "conversation_type", "error_type"]
     rows = sinks.read_change_log(spark, log, keys, schema).collect()
     assert [(r["window_start"], r["errors"]) for r in rows] == [(START, 2)]
+    # The lost row is counted, with the batch it came in.
+    late = sinks.late_rows(spark, log).collect()
+    assert [r["rows"] for r in late] == [1] and late[0]["batch"] >= 2
+
+
+def test_state_is_given_up_once_the_watermark_has_passed(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    for hour in range(6):
+        rows = [event(4 * i + 1, START + datetime.timedelta(hours=hour, minutes=i)) for i in range(60)]
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    result = stream_telemetry.error_rate(X.to_judge_events(stream(spark, folder)), "10 minutes")
+    progress = sinks.run_change_log(result, str(tmp_path / "log"), str(tmp_path / "checkpoint"))
+    held = [step["stateOperators"][0]["numRowsTotal"] for step in progress if step["stateOperators"]]
+    assert max(held) <= 2 * 12 + 3 and held[-1] <= 3
+    assert sinks.late_rows(spark, str(tmp_path / "log")).count() == 0
+
+
+def test_a_batch_that_is_being_written_is_not_read(spark, tmp_path):
+    log, schema = str(tmp_path / "log"), spark.createDataFrame([], "k int, v int").schema
+    sinks.write_batch(spark.createDataFrame([(1, 1)], schema), log, 0)
+    spark.createDataFrame([(1, 2), (2, 2)], schema).write.parquet(f"{log}/batch=1")
+    read = lambda: sorted(tuple(r) for r in sinks.read_change_log(spark, log, ["k"], schema).collect())
+    assert read() == [(1, 1)]
+    sinks.write_batch(spark.createDataFrame([(1, 2), (2, 2)], schema), log, 1)
+    assert read() == [(1, 2), (2, 2)]
 
 
 MESSAGES = ("id bigint, conversation_id bigint, message_type string, content string, "
