@@ -592,6 +592,10 @@ ORACLES: dict[str, str] = {
     "classification_coverage": f"WITH {FACT} SELECT count(*) AS classifiable, count(outcome) AS classified, "
     "count(*) - count(outcome) AS backlog, count(outcome) / count(*) AS coverage FROM fact",
     # joins, windows, reshaping
+    "latest_outcomes_tied": f"""WITH {X.CTE_LEDGER}
+SELECT conversation_id, date_trunc('day', classified_at)::TIMESTAMP AS classified_at, reasoning, outcome
+FROM ledger_c QUALIFY row_number() OVER (PARTITION BY conversation_id
+  ORDER BY date_trunc('day', classified_at) DESC, reasoning DESC) = 1""",
     "latest_outcomes": f"WITH {LATEST} SELECT * FROM latest",
     "judge_queue_consultation": f"WITH {QUEUE} SELECT * FROM waiting WHERE conversation_type = 'consultation'",
     "judge_queue_sql_output": f"WITH {QUEUE} SELECT * FROM waiting "
@@ -679,9 +683,9 @@ FROM shares FULL JOIN fresh USING (outcome_tier)""",
   (1, 'inconclusive', NULL, NULL, NULL, 3, NULL, NULL, NULL),
   (2, 'failure_abandoned', NULL, 1, NULL, NULL, NULL, NULL, NULL),
   (3, 'success_clean', 1, NULL, NULL, NULL, NULL, NULL, NULL),
-  (4, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'JSONDecodeError: broken JSON object'),
-  (5, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'ValueError: No JSON object in response'),
-  (6, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'ValueError: Missing outcome field in response'),
+  (4, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'JSONDecodeError: broken JSON object: {"outcome": "success_clean", "reasoning": "cut o'),
+  (5, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'ValueError: No JSON object in response: I cannot answer that.'),
+  (6, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'ValueError: Missing outcome field in response: {"outcome": "", "reasoning": "empty"}'),
   (7, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'ValueError: no reply'),
   (8, 'success_iterative', NULL, NULL, NULL, NULL, TRUE, NULL, NULL))
 SELECT event_id, outcome, understanding::INT AS question_understanding,

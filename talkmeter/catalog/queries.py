@@ -13,7 +13,7 @@ from talkmeter import vocabulary as V
 from talkmeter.catalog import fixtures as X
 from talkmeter.functions import keys, labels, text
 from talkmeter.operators import checks, judge, queue, transcripts
-from talkmeter.operators.latest import upsert
+from talkmeter.operators.latest import latest_by, upsert
 from talkmeter.plans import (
     extensions, judging, marts, outcomes, reports, signals, staging, telemetry, validation,
 )
@@ -586,6 +586,15 @@ def latest_outcomes(spark, sf):
     return outcomes.latest_outcomes(X.ledger(spark, sf))
 
 
+@query
+def latest_outcomes_tied(spark, sf):
+    """Times cut to days, so that many rows tie; the reasoning settles them."""
+    day = F.date_trunc("day", "classified_at").cast("timestamp_ntz")
+    rows = X.ledger(spark, sf).withColumn("classified_at", day)
+    newest = latest_by(rows, ["conversation_id"], ["classified_at"], [F.desc("reasoning")])
+    return newest.select("conversation_id", "classified_at", "reasoning", "outcome")
+
+
 @query
 def judge_queue_consultation(spark, sf):
     return queue.judge_queue(

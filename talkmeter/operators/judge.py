@@ -106,12 +106,18 @@ def parse_replies(replies: DataFrame) -> DataFrame:
                F.concat("error_name", F.lit(": "), F.coalesce("error_text", F.lit(""))))
         if known else F.lit(None).cast("string")
     )
+
+    def told(what: str) -> Column:
+        """The reply stays in the message, so that the failure can be looked into."""
+        return F.concat(F.lit(f"{what}: "), F.col("raw"))
+
     error = F.coalesce(
         call_error,
         F.when(F.col("raw").isNull(), "ValueError: no reply")
-        .when(opening == 0, "ValueError: No JSON object in response")
-        .when(F.col("answer._broken").isNotNull(), "JSONDecodeError: broken JSON object")
-        .when(outcome.isNull() | (outcome == ""), "ValueError: Missing outcome field in response"),
+        .when(opening == 0, told("ValueError: No JSON object in response"))
+        .when(F.col("answer._broken").isNotNull(), told("JSONDecodeError: broken JSON object"))
+        .when(outcome.isNull() | (outcome == ""),
+              told("ValueError: Missing outcome field in response")),
     )
     fine = error.isNull()
     return parsed.select(
