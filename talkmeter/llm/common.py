@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from talkmeter.session import new_run_folder
@@ -39,3 +39,31 @@ def wide_hash(column: Column) -> tuple[Column, Column]:
 
 def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def running_totals(
+    df: DataFrame, order: list[Column], sums: dict[str, Column], label: str
+) -> DataFrame:
+    """The rows with the totals of ``sums`` over all rows before them in ``order``.
+
+    Rows are dealt by range and written, so that a row's part is settled; totals run inside each
+    part, and over the parts, of which there is one per task.
+    """
+    dealt = staged(
+        df.repartitionByRange(tasks(df.sparkSession), *order)
+        .withColumn("__part", F.spark_partition_id()),
+        label,
+    )
+    parts = dealt.groupBy("__part").agg(*[F.sum(c).alias(name) for name, c in sums.items()])
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = staged(
+        parts.select(
+            F.col("__part").alias("__its_part"),
+            *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"__{n}") for n in sums],
+        ),
+        f"{label}-bases",
+    )
+    before = Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    own = {n: F.coalesce(F.sum(c).over(before), F.lit(0)) + F.col(f"__{n}") for n, c in sums.items()}
+    joined = dealt.join(bases, F.col("__part") == F.col("__its_part"))
+    return joined.withColumns(own).drop("__part", "__its_part", *[f"__{n}" for n in sums])

@@ -16,10 +16,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talkmeter.llm.common import ROW, packed, staged
+from talkmeter.llm.common import ROW, packed, running_totals, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -37,36 +37,27 @@ def source_targets(
     With sources ordered by most * size / weight, those up to some place are stopped and the rest
     stand at one level per weight. The first level that doesn't stop its own source is the answer;
     later ones count too much as stopped and lie lower, so it is the greatest of that kind.
-    The source table is small beside the corpus: it holds a name and a sum per source.
     """
-    by_name = Window.orderBy(F.col("source").isNull(), "source")
-    place = F.pmod(F.row_number().over(by_name) - 1, F.lit(len(weights)))
-    weighted = sizes.withColumn(
-        "weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), place + 1)
+    by_name = [F.col("source").isNull(), F.col("source")]
+    placed = running_totals(sizes, by_name, {"place": F.lit(1)}, "source-places")
+    choice = F.array(*[F.lit(float(w)) for w in weights])
+    full, weight = F.col("full"), F.col("weight")
+    weighted = placed.select(
+        "source", "source_size", (F.col("source_size") * F.lit(float(most))).alias("full"),
+        F.element_at(choice, (F.col("place") % len(weights) + 1).cast("int")).alias("weight"),
     )
-    full = F.col("source_size") * F.lit(float(most))
-    order = [(full / F.col("weight")), F.col("source").isNull(), F.col("source")]
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    rest = Window.orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
-    everything = Window.partitionBy()
-    levels = weighted.select(
-        "*", full.alias("full"),
-        (
-            (F.sum("source_size").over(everything) * share
-             - F.coalesce(F.sum(full).over(before), F.lit(0.0)))
-            / F.sum("weight").over(rest)
-        ).alias("level_here"),
+    total = weighted.agg(F.sum("source_size"), F.sum("weight")).first()
+    if total[0] is None:
+        return weighted.select("source", "source_size", full.alias("target"))
+    levels = running_totals(
+        weighted, [full / weight, *by_name], {"stopped": full, "taken": weight}, "source-levels"
     )
-    open_here = F.when(F.col("level_here") * F.col("weight") <= F.col("full"), F.col("level_here"))
-    return (
-        levels.withColumn("level", F.max(open_here).over(everything))
-        .select(
-            "source", "source_size",
-            F.least(
-                F.col("full"), F.coalesce(F.col("level") * F.col("weight"), F.col("full"))
-            ).alias("target"),
-        )
+    level = (F.lit(total[0]) * F.lit(float(share)) - F.col("stopped")) / (
+        F.lit(total[1]) - F.col("taken")
     )
+    highest = levels.agg(F.max(F.when(level * weight <= full, level))).first()[0]
+    target = full if highest is None else F.least(full, F.lit(highest) * weight)
+    return weighted.select("source", "source_size", target.alias("target"))
 
 
 def uniform(*columns: Column) -> Column:
