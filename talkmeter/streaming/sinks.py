@@ -4,19 +4,24 @@ Update-mode results go to a change log: one folder per micro-batch, written in
 overwrite mode, so a batch that is run again replaces its own folder. A batch is
 listed in ``_complete`` once its folder is whole; readers take the newest row per
 key among the listed batches, so a batch that is being written is never half read.
+Every so many batches the newest rows are written as one folder that stands for all
+batches up to then, so that a reader's work follows the table and not the log's age.
 Rows that came too late for the watermark are counted in ``_late``.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from talkmeter.operators.latest import first_by
+from talkmeter.sources import tables
 
 BATCH = StructField("batch", LongType())
 
@@ -78,7 +83,7 @@ def write_batch(batch: DataFrame, log: str, number: int) -> None:
 
 
 def complete_batches(spark: SparkSession, log: str) -> list[int]:
-    """The batches that may be read. One number per batch: compaction starts a new log."""
+    """The batches that are whole."""
     try:
         rows = spark.read.schema("number bigint").parquet(f"{log}/_complete/entry=*")
     except AnalysisException as missing:
@@ -89,20 +94,57 @@ def complete_batches(spark: SparkSession, log: str) -> list[int]:
 
 
 def read_batches(spark: SparkSession, log: str, schema: StructType | str) -> DataFrame | None:
-    """All rows of the complete batches with their ``batch``; None before the first one."""
-    paths = [f"{log}/batch={number}" for number in complete_batches(spark, log)]
-    if not paths:
-        return None
-    return spark.read.schema(schema).option("basePath", log).parquet(*paths)
+    """What the complete batches hold, with their ``batch``; None before the first one.
+
+    The latest compacted folder stands for the batches up to its own number.
+    """
+    folder, upto = compacted(spark, log)
+    parts = [spark.read.schema(schema).option("basePath", folder).parquet(folder)] if folder else []
+    paths = [f"{log}/batch={number}" for number in complete_batches(spark, log) if number > upto]
+    if paths:
+        parts.append(spark.read.schema(schema).option("basePath", log).parquet(*paths))
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def compacted(spark: SparkSession, log: str) -> tuple[str | None, int]:
+    """The latest compacted folder and the last batch that it holds."""
+    mark = tables.read_mark(spark, f"{log}/_compacted", "log", None)
+    if mark is None:
+        return None, -1
+    name, upto = mark.rsplit("-", 1)
+    return f"{log}/_rows/{name}", int(upto)
+
+
+def compact_log(
+    spark: SparkSession, log: str, keys: list[str], order: list[Column], schema: StructType | str
+) -> None:
+    """Write the newest row per key of all complete batches as one folder, and point readers at it.
+
+    Batch folders stay as they are; readers just need them no longer.
+    """
+    step = tables.read_step(spark, f"{log}/_compacted", "log", None)[0]
+    rows, numbers = read_batches(spark, log, schema), complete_batches(spark, log)
+    if rows is None or not numbers:
+        return
+    name, upto = uuid.uuid4().hex, numbers[-1]
+    newest = first_by(rows, keys, order).drop("batch")
+    newest.write.mode("errorifexists").parquet(f"{log}/_rows/{name}/batch={upto}")
+    tables.write_mark(spark, f"{log}/_compacted", "log", f"{name}-{upto}", after=step)
 
 
 def run_change_log(
-    stream: DataFrame, log: str, checkpoint: str, mode: str = "update", once: bool = True
+    stream: DataFrame, log: str, checkpoint: str, mode: str = "update", once: bool = True,
+    keys: list[str] | None = None, compact_every: int = 100,
 ) -> list:
-    return run_batches(
-        stream, lambda batch, number: write_batch(batch, log, number), checkpoint, mode, once,
-        late=f"{log}/_late",
-    )
+    """Stream results into a change log; with ``keys`` it is compacted as it grows."""
+    schema = StructType([*stream.schema.fields, BATCH])
+
+    def append(batch: DataFrame, number: int) -> None:
+        write_batch(batch, log, number)
+        if keys and (number + 1) % compact_every == 0:
+            compact_log(batch.sparkSession, log, keys, [F.desc("batch")], schema)
+
+    return run_batches(stream, append, checkpoint, mode, once, late=f"{log}/_late")
 
 
 def late_rows(spark: SparkSession, log: str) -> DataFrame:

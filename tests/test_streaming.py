@@ -55,7 +55,8 @@ def stream(spark, folder, files=1):
 def test_update_stream_equals_batch(spark, sf_dir, event_files, tmp_path, streamed, batch, keys):
     result = streamed(X.to_judge_events(stream(spark, event_files)))
     log, checkpoint = str(tmp_path / "log"), str(tmp_path / "checkpoint")
-    sinks.run_change_log(result, log, checkpoint)
+    sinks.run_change_log(result, log, checkpoint, keys=keys, compact_every=2)
+    assert sinks.compacted(spark, log)[1] >= 3
     assert sinks.late_rows(spark, log).count() == 0
     assert len([d for d in os.listdir(log) if d.startswith("batch=")]) >= 5
     got = sinks.read_change_log(spark, log, keys, result.schema)
@@ -187,7 +188,7 @@ def test_paper_stream_takes_late_files_without_going_back(spark, tmp_path):
 
     def drain():
         lines = stream_papers.line_stream(spark, str(folder))
-        stream_papers.ingest(lines, log, checkpoint, "2026-01-01")
+        stream_papers.ingest(lines, log, checkpoint, "2026-01-01", compact_every=2)
         rows = stream_papers.current_papers(spark, log).collect()
         return {r["paper_id"]: r["title"] for r in rows}
 
