@@ -253,12 +253,16 @@ def line(limits: dict[str, int]) -> str:
     return f"'[' || message_type || '] ' || {cut(limits)}"
 
 
-def parts(cte: str, source: str, limits: dict[str, int], block: int) -> str:
-    return f"""WITH {cte}
-SELECT conversation_id, CAST(floor(sequence_number / {block}) AS BIGINT) AS part,
-  count(*) AS messages, string_agg({line(limits)}, chr(10) || chr(10)
+def parts(cte: str, source: str, limits: dict[str, int], block: int, part_chars: int) -> str:
+    return f"""WITH {cte}, lined AS (
+  SELECT conversation_id, CAST(floor(sequence_number / {block}) AS BIGINT) AS part,
+    sequence_number, id, {line(limits)} AS line FROM {source}),
+placed AS (SELECT *, CAST(floor((sum(length(line) + 2) OVER (PARTITION BY conversation_id, part
+    ORDER BY sequence_number, id, line ROWS UNBOUNDED PRECEDING) - length(line) - 2)
+    / {part_chars}) AS BIGINT) AS piece FROM lined)
+SELECT conversation_id, part, piece, count(*) AS messages, string_agg(line, chr(10) || chr(10)
     ORDER BY sequence_number, id) AS text, length(text) AS part_chars
-FROM {source} GROUP BY 1, 2"""
+FROM placed GROUP BY 1, 2, 3"""
 
 
 def capped(cte: str, source: str, limits: dict[str, int], cap: int, head: int, tail: int) -> str:
@@ -656,8 +660,10 @@ FROM shares FULL JOIN fresh USING (outcome_tier)""",
     "transcript_truncated_messages": f"WITH {X.CTE_DIALOGUES}, cut_rows AS (SELECT conversation_id, "
     f"id, sequence_number, message_type, {cut(X.SMALL_LIMITS)} AS content FROM dialogues_b) "
     "SELECT *, length(content) AS length FROM cut_rows",
-    "transcripts": parts(X.CTE_MESSAGES, "messages_a", V.CONSULTATION_LIMITS, 512),
-    "transcripts_dialogue": parts(X.CTE_DIALOGUES, "dialogues_b", X.SMALL_LIMITS, 3),
+    "transcripts": parts(X.CTE_MESSAGES, "messages_a", V.CONSULTATION_LIMITS, 512, 1_000_000),
+    "transcripts_dialogue": parts(X.CTE_DIALOGUES, "dialogues_b", X.SMALL_LIMITS, 3, 400),
+    "transcripts_long": parts(
+        X.CTE_LONG_DIALOGUES, "long_dialogues_b", V.CONSULTATION_LIMITS, 512, 20_000),
     "transcripts_capped": capped(
         X.CTE_MESSAGES, "messages_a", V.CONSULTATION_LIMITS, 30000, 20000, 10000),
     "transcripts_capped_sql_output": capped(

@@ -724,7 +724,15 @@ def transcripts_query(spark, sf):
 
 @query
 def transcripts_dialogue(spark, sf):
-    return transcripts.transcript_parts(X.dialogues(spark, sf), X.SMALL_LIMITS, block=3)
+    return transcripts.transcript_parts(
+        X.dialogues(spark, sf), X.SMALL_LIMITS, block=3, part_chars=400
+    )
+
+
+@query
+def transcripts_long(spark, sf):
+    """Whole texts in pieces: conversations longer than a piece in one block."""
+    return transcripts.transcript_parts(X.long_dialogues(spark, sf), part_chars=20_000)
 
 
 @query

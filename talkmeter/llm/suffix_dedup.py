@@ -282,15 +282,19 @@ def counted_matches(found: DataFrame, open_groups: DataFrame, min_words: int, co
         F.expr(f"substring(ahead, 1, 2 * ({min_words - core} - back))"),
     )
     passages = rows.select(
-        F.struct("doc_id", "mark").alias("doc"), (F.col("position") - F.col("back")).alias("start"),
-        words.alias("words"),
+        "doc_id", "mark", (F.col("position") - F.col("back")).alias("start"), words.alias("words"),
+        F.xxhash64("doc_id", "mark").alias("doc"),
     )
-    twice = passages.groupBy("words").agg(F.min("doc").alias("a"), F.max("doc").alias("b"))
-    twice = twice.filter(F.col("a") != F.col("b"))
-    other = F.when(F.col("doc") == F.col("a"), F.col("b.doc_id")).otherwise(F.col("a.doc_id"))
+    # Numbers only, so that equal passages fold by hash before the shuffle. Written, so that the join
+    # shuffles both sides itself and can split a passage that very many documents share.
+    twice = passages.groupBy("words").agg(
+        F.min("doc").alias("a"), F.max("doc").alias("b"),
+        F.min("doc_id").alias("least"), F.max("doc_id").alias("most"),
+    )
+    twice = staged(twice.filter("a <> b").select("words", "least", "most"), "repeated-passages")
+    other = F.when(F.col("doc_id") == F.col("least"), F.col("most")).otherwise(F.col("least"))
     return passages.join(twice, "words").select(
-        "doc.doc_id", "doc.mark", "start", (F.col("start") + min_words).alias("stop"),
-        other.alias("other"),
+        "doc_id", "mark", "start", (F.col("start") + min_words).alias("stop"), other.alias("other")
     )
 
 

@@ -1,14 +1,15 @@
 """Transcript assembly that survives conversations of any length.
 
-A conversation is cut into blocks of consecutive sequence numbers. Text only
-meets other text of its own block, or the few characters the cap lets through,
-so no task ever holds the text of a whole conversation, however long it is:
+Lengths come first, without text: a sum per conversation and block of positions. Most conversations
+fit under the cap; their text is shuffled once, by conversation. Longer ones go by blocks, so that no
+task ever holds the text of a whole conversation, however long it is:
 
-1. lengths are summed per block (partial aggregation, no text is shuffled);
-2. a running sum over block lengths gives each block its start offset;
-3. only blocks that touch the kept head or tail go on, and inside them every
+1. a running sum over block lengths gives each block its start offset;
+2. only blocks that touch the kept head or tail go on, and inside them every
    line is trimmed to its kept characters;
-4. the trimmed pieces, at most the cap per conversation, are joined.
+3. the trimmed pieces, at most the cap per conversation, are joined.
+
+Uncapped text comes in parts that are bounded by positions and by characters.
 """
 
 from __future__ import annotations
@@ -19,9 +20,11 @@ from pyspark.sql import functions as F
 
 from talkmeter import vocabulary as V
 from talkmeter.functions import text
+from talkmeter.session import written
 
 SEPARATOR = "\n\n"
 BLOCK = 512
+PART_CHARS = 1_000_000
 
 
 def block_of(sequence: Column, size: int) -> Column:
@@ -58,23 +61,40 @@ def joined(rows: Column, field: str, separator: str) -> Column:
     return F.array_join(F.transform(F.array_sort(rows), lambda row: row[field]), separator)
 
 
+def line_width() -> Column:
+    """Characters of a line and the separator that follows it."""
+    return F.length("line").cast("bigint") + len(SEPARATOR)
+
+
+def in_block() -> W:
+    """The lines of a block up to the one at hand."""
+    ordered = W.partitionBy("conversation_id", "block").orderBy("position", "id", "line")
+    return ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
+
+
 def transcript_parts(
-    messages: DataFrame, limits: dict[str, int] = V.CONSULTATION_LIMITS, block: int = BLOCK
+    messages: DataFrame, limits: dict[str, int] = V.CONSULTATION_LIMITS, block: int = BLOCK,
+    part_chars: int = PART_CHARS,
 ) -> DataFrame:
-    """Whole, uncapped transcripts as ordered parts, one row per block.
+    """Whole, uncapped transcripts as ordered parts.
 
-    Joining the parts of a conversation by a blank line in ``part`` order gives
-    the full text; a conversation inside one block is a single part. A part
-    holds the lines of one block only, so its size does not grow with the data.
+    Joining the parts of a conversation by a blank line in (``part``, ``piece``)
+    order gives the full text; a conversation inside one block is a single part,
+    unless it is longer than ``part_chars``. A piece holds lines of one block
+    that start within ``part_chars`` characters, so its size does not grow with
+    the data, also where messages share a position or have none.
     """
+    before = F.sum(line_width()).over(in_block()) - line_width()
     rows = F.collect_list(F.struct("position", "id", "line"))
     return (
         lines(messages, limits, block)
-        .groupBy("conversation_id", "block")
+        .withColumn("piece", F.floor(before / F.lit(part_chars)))
+        .groupBy("conversation_id", "block", "piece")
         .agg(rows.alias("rows"))
         .select(
             "conversation_id",
             F.col("block").alias("part"),
+            "piece",
             F.size("rows").cast("bigint").alias("messages"),
             joined(F.col("rows"), "line", SEPARATOR).alias("text"),
         )
@@ -89,8 +109,7 @@ def block_offsets(line_rows: DataFrame) -> DataFrame:
     windows run over one narrow row per block: positions are 32-bit, so even
     the longest conversation has at most 2**31 / block of them, and they spill.
     """
-    width = F.length("line").cast("bigint") + len(SEPARATOR)
-    sizes = line_rows.groupBy("conversation_id", "block").agg(F.sum(width).alias("width"))
+    sizes = line_rows.groupBy("conversation_id", "block").agg(F.sum(line_width()).alias("width"))
     conversation = W.partitionBy("conversation_id")
     upto = conversation.orderBy("block").rowsBetween(W.unboundedPreceding, W.currentRow)
     return sizes.select(
@@ -102,36 +121,32 @@ def block_offsets(line_rows: DataFrame) -> DataFrame:
     )
 
 
-def capped_transcripts(
-    messages: DataFrame,
-    limits: dict[str, int] = V.CONSULTATION_LIMITS,
-    cap: int = V.TRANSCRIPT_CAP,
-    head: int = V.TRANSCRIPT_HEAD,
-    tail: int = V.TRANSCRIPT_TAIL,
-    block: int = BLOCK,
-) -> DataFrame:
-    """One bounded text per conversation, and the length it had before the cap.
+def short_transcripts(line_rows: DataFrame, long_ids: DataFrame) -> DataFrame:
+    """Whole texts of the conversations that fit under the cap: one shuffle of their lines."""
+    texts = (
+        line_rows.join(long_ids, "conversation_id", "left_anti")
+        .groupBy("conversation_id")
+        .agg(F.collect_list(F.struct("position", "id", "line")).alias("rows"))
+        .withColumn("transcript", joined(F.col("rows"), "line", SEPARATOR))
+    )
+    return texts.select(
+        "conversation_id", F.length("transcript").cast("bigint").alias("char_count"), "transcript"
+    )
 
-    A text of at most ``cap`` characters stays whole; a longer one keeps its
-    first ``head`` and last ``tail`` characters around a notice of the cut.
-    """
-    line_rows = lines(messages, limits, block)
+
+def cut_transcripts(
+    line_rows: DataFrame, blocks: DataFrame, head: int, tail: int
+) -> DataFrame:
+    """Head, notice and tail of conversations above the cap, from the blocks that hold them."""
     total = F.col("char_count")
-    whole = total <= cap
     tail_from = total - tail
 
     def touches(start: Column, width: Column) -> Column:
-        return whole | (start < head) | (start + width > tail_from)
+        return (start < head) | (start + width > tail_from)
 
-    kept_blocks = block_offsets(line_rows).filter(
-        touches(F.col("block_start"), F.col("block_width"))
-    )
-    in_block = (
-        W.partitionBy("conversation_id", "block")
-        .orderBy("position", "id", "line")
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
+    kept = written(
+        blocks.filter(touches(F.col("block_start"), F.col("block_width"))), "transcript-blocks"
     )
-    width = F.length("line").cast("bigint") + len(SEPARATOR)
     start = F.col("start")
     # The separator belongs to the line before it, except after the last line.
     full = F.when(
@@ -148,11 +163,11 @@ def capped_transcripts(
         ).otherwise("")
 
     pieces = (
-        line_rows.join(kept_blocks, ["conversation_id", "block"])
-        .withColumn("width", width)
+        line_rows.join(kept, ["conversation_id", "block"])
+        .withColumn("width", line_width())
         .withColumn(
             "start",
-            F.col("block_start") + F.sum("width").over(in_block) - F.col("width"),
+            F.col("block_start") + F.sum("width").over(in_block()) - F.col("width"),
         )
         .filter(touches(start, F.col("width")))
         .withColumn("full", full)
@@ -160,12 +175,8 @@ def capped_transcripts(
             "conversation_id",
             "char_count",
             "start",
-            F.when(whole, F.col("full"))
-            .otherwise(slice_of(F.lit(0), F.lit(head)))
-            .alias("front"),
-            F.when(whole, F.lit(""))
-            .otherwise(slice_of(tail_from, total))
-            .alias("back"),
+            slice_of(F.lit(0), F.lit(head)).alias("front"),
+            slice_of(tail_from, total).alias("back"),
         )
     )
     texts = pieces.groupBy("conversation_id").agg(
@@ -177,12 +188,37 @@ def capped_transcripts(
         "char_count",
         F.concat(
             joined(F.col("rows"), "front", ""),
-            F.when(whole, F.lit("")).otherwise(text.cut_notice(total - head - tail)),
+            text.cut_notice(total - head - tail),
             joined(F.col("rows"), "back", ""),
         ).alias("transcript"),
     )
 
 
+def capped_transcripts(
+    messages: DataFrame,
+    limits: dict[str, int] = V.CONSULTATION_LIMITS,
+    cap: int = V.TRANSCRIPT_CAP,
+    head: int = V.TRANSCRIPT_HEAD,
+    tail: int = V.TRANSCRIPT_TAIL,
+    block: int = BLOCK,
+) -> DataFrame:
+    """One bounded text per conversation, and the length it had before the cap.
+
+    A text of at most ``cap`` characters stays whole; a longer one keeps its
+    first ``head`` and last ``tail`` characters around a notice of the cut. The
+    blocks of long conversations are written, so that Spark knows how many
+    there are and sends a short list to the scan.
+    """
+    line_rows = lines(messages, limits, block)
+    blocks = written(
+        block_offsets(line_rows).filter(F.col("char_count") > cap), "transcript-lengths"
+    )
+    long_ids = blocks.select("conversation_id").distinct()
+    return short_transcripts(line_rows, long_ids).unionByName(
+        cut_transcripts(line_rows, blocks, head, tail)
+    )
+
+
 def sql_output_transcripts(messages: DataFrame, **settings: int) -> DataFrame:
     """Transcripts for the SQL judge, which lets longer user messages through."""
     return capped_transcripts(messages, V.SQL_OUTPUT_LIMITS, **settings)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 # Streaming state on disk, so that it may outgrow executor memory.
@@ -56,6 +56,13 @@ def new_run_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a table in the shared folder: computed once, and of a size that Spark knows."""
+    folder = new_run_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def streaming_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
     """A sibling session for stateful streams, on the same cluster.
 

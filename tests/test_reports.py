@@ -283,3 +283,19 @@ def test_reports_read_marts_and_equal_the_direct_form(spark, sf_dir, tmp_path):
     drift = REGISTRY["fct_concept_drift"](spark, sf_dir)
     assert built["fct_concept_drift"].exceptAll(drift).count() == 0
     assert "lineitem" not in plan_of(REGISTRY["tier_drift_recent"](spark, sf_dir))
+
+
+def test_short_conversations_shuffle_their_text_once(spark, sf_dir):
+    """Also where nothing is broadcast: one exchange by conversation carries the lines."""
+    from talkmeter.operators import transcripts
+
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = transcripts.lines(X.dialogues(spark, sf_dir), V.CONSULTATION_LIMITS)
+        ids = spark.range(5).select(F.col("id").alias("conversation_id"))
+        plan = plan_of(transcripts.short_transcripts(rows, ids))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    exchanges = [b for b in plan.split("\n\n") if b.lstrip().startswith("(") and ") Exchange" in b.split("\n")[0]]
+    assert sum("line#" in b for b in exchanges) == 1

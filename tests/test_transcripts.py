@@ -61,11 +61,16 @@ def test_capped_equals_assembled(spark, seed, block, cap, head, tail):
 
 
 @pytest.mark.parametrize("block", [1, 7, 512])
-def test_parts_join_to_the_whole_text(spark, block):
+@pytest.mark.parametrize("part_chars", [15, 1_000_000])
+def test_parts_join_to_the_whole_text(spark, block, part_chars):
     rows = random_rows(9)
-    parts = transcripts.transcript_parts(spark.createDataFrame(rows, SCHEMA), LIMITS, block)
+    rows += [(1000 + i, 77, "user", "x" * 8, None) for i in range(50)]  # none has a position
+    parts = transcripts.transcript_parts(
+        spark.createDataFrame(rows, SCHEMA), LIMITS, block, part_chars).collect()
+    longest = max(len(assembled([r], LIMITS)) for r in rows)
+    assert all(p["part_chars"] <= part_chars + longest for p in parts)
     texts = {}
-    for part in sorted(parts.collect(), key=lambda p: p["part"]):
+    for part in sorted(parts, key=lambda p: (p["part"], p["piece"])):
         texts.setdefault(part["conversation_id"], []).append(part["text"])
     for conversation, pieces in texts.items():
         expected = assembled([r for r in rows if r[1] == conversation], LIMITS)
