@@ -325,9 +325,13 @@ class Extractor:
 
 
 def train(pages: DataFrame, sample: int = 600, penalty: float = 1.0) -> Extractor:
+    marked = pages.filter("html is not null").select(
+        F.xxhash64("page_id", "html").alias("mark"), "html"
+    )
+    # First the marks, then the pages of those, each once: no task sees more pages than its own.
+    picked = marked.select("mark").distinct().orderBy("mark").limit(sample)
     some = staged(
-        pages.select(F.xxhash64("page_id").alias("mark"), "html").filter("html is not null")
-        .orderBy("mark", "html").limit(sample),
+        marked.join(F.broadcast(picked), "mark", "left_semi").dropDuplicates(["mark"]),
         "page-sample",
     )
 

@@ -101,7 +101,8 @@ def ties(nodes: DataFrame) -> DataFrame:
     """(u, v): each node and the least node of every prefix that it shares."""
     shared = nodes.select("node", F.explode("prefixes").alias("prefix"))
     heads = shared.groupBy("prefix").agg(F.min("node").alias("head"), F.count("*").alias("n"))
-    heads = heads.filter(F.col("n") > 1).select("prefix", "head")
+    # Written, so that the join shuffles both sides itself and can split a prefix that very many share.
+    heads = staged(heads.filter(F.col("n") > 1).select("prefix", "head"), "prefix-heads")
     return shared.join(heads, "prefix").select(F.col("node").alias("u"), F.col("head").alias("v"))
 
 
@@ -218,7 +219,7 @@ def families(docs: DataFrame, nodes: DataFrame, size: int, block: int) -> DataFr
 
 def near_duplicates(
     docs: DataFrame, size: int = 5, threshold: float = 0.8, trees: int = 20, depth: int = 8,
-    recall: float = 0.9999, block: int = 512,
+    recall: float = 0.9999, block: int = 256,
 ) -> tuple[DataFrame, DataFrame]:
     """(documents (doc_id, node), nodes (node, class_id, n_links)).
 

@@ -125,6 +125,8 @@ def repeated_cores(docs: DataFrame, min_words: int, core: int) -> DataFrame:
 
     rows = staged(marked(docs).mapInPandas(visit, CORES), "cores")
     twice = rows.groupBy("core").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("core")
+    # Written, so that the join shuffles both sides itself and can split a very frequent run.
+    twice = staged(twice, "repeated-runs")
     shared = rows.join(twice, "core", "left_semi")
     return shared.groupBy("doc_id", "mark").agg(F.collect_set("core").alias("cores"))
 

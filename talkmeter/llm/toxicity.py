@@ -1,9 +1,9 @@
 """Toxicity by a classifier chain.
 
 Categories are predicted one after the other, each by a linear model (logistic) over the distinct
-tokens of the text and the probabilities of all earlier categories. In training the earlier
-probabilities are out-of-fold predictions, so a later model never sees how well an earlier one
-remembers its own rows. ``labels`` marks two categories: low quality and toxic.
+words, word beginnings and signs of the text and the probabilities of all earlier categories. In
+training the earlier probabilities are out-of-fold predictions, so a later model never sees how well
+an earlier one remembers its own rows. ``labels`` marks two categories: low quality and toxic.
 
 The models are fitted on a bounded sample of the labelled rows, ``sample`` of them, the ones with the
 smallest hash of their id; the vocabulary is the tokens that go with a category in that sample.
@@ -31,10 +31,13 @@ from talkmeter.llm.optimize import minimise, sigmoid
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 CHAIN = ("low_quality", "toxic")
+STEM = 4
 
 
 def tokens(text: str) -> set[str]:
-    return set(TOKEN.findall(text.lower()))
+    """Distinct words and runs of signs, and the beginnings of longer words: inflected forms share them."""
+    found = set(TOKEN.findall(text.lower()))
+    return found | {f"{word[:STEM]}*" for word in found if len(word) > STEM}
 
 
 @dataclass
@@ -83,7 +86,7 @@ def logistic(
     start = np.zeros(shape)
     rate = (y.sum() + 0.5) / (len(y) + 1)
     start[-1] = np.log(rate / (1 - rate))
-    return minimise(cost, start)
+    return minimise(cost, start, steps=300)
 
 
 def fit(
@@ -121,14 +124,16 @@ def sample_of(docs: DataFrame, labels: DataFrame, size: int, columns: dict[str,
     picked = known.withColumn("mark", mark).orderBy("mark", "doc_id").limit(size)
     texts = docs.select(F.col("doc_id").alias("its_id"), text_of(docs).alias("text"))
     # The picked ids are bounded by ``size``, so they may go to every task of the one text scan.
-    return texts.join(F.broadcast(picked), F.col("its_id") == F.col("doc_id")).select(
+    found = texts.join(F.broadcast(picked), F.col("its_id") == F.col("doc_id"))
+    # Of rows that repeat an id the one with the least text counts.
+    return found.groupBy("mark", "doc_id", *columns).agg(F.min("text").alias("text")).select(
         "mark", "text", *columns
     )
 
 
 def train(
     docs: DataFrame, labels: DataFrame, sample: int = 8000, words_each: int = 4000, folds: int = 4,
-    least_score: float = 20.0, penalty: float = 0.3,
+    least_score: float = 20.0, penalty: float = 0.05,
 ) -> Chain:
     spark = docs.sparkSession
     columns = {"low_quality": "1 - int(quality)", "toxic": "int(toxic)"}
@@ -209,7 +214,7 @@ def scored(docs: DataFrame, chain: Chain, keep_row: bool = True) -> DataFrame:
 
 
 def classified(
-    docs: DataFrame, labels: DataFrame, threshold: float = 0.5, keep_row: bool = True, **options
+    docs: DataFrame, labels: DataFrame, threshold: float = 0.3, keep_row: bool = True, **options
 ) -> DataFrame:
     """``scored`` by a chain fitted on these labels; toxic is 1 from ``threshold`` on."""
     rows = scored(docs, train(docs, labels, **options), keep_row)
