@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -1031,13 +1032,16 @@ def telemetry_totals(spark, sf):
     return telemetry.totals(X.judge_events(spark, sf))
 
 
+FILES_PER_BATCH = 64
+
+
 def stream_of(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A table as a stream of files; the glob fits a single file and a folder."""
     schema = X.table(spark, sf, name).schema
     path = f"{sf}/[{name[0]}]{name[1:]}.parquet"
     # A stream that is drained once needs no more state partitions than it has tasks.
     session = streaming_session(spark, 2 * spark.sparkContext.defaultParallelism)
-    return sinks.read_stream(session, path, schema, files_per_batch=64)
+    return sinks.read_stream(session, path, schema, files_per_batch=FILES_PER_BATCH)
 
 
 def logged(spark, result: DataFrame, label: str, key_columns: list[str]) -> DataFrame:
@@ -1063,9 +1067,19 @@ def stream_error_rate_5m(spark, sf):
 
 @query
 def stream_signals_query(spark, sf):
-    messages = X.to_messages(stream_of(spark, sf, "lineitem"))
-    result = stream_signals.running_signals(messages, delay="30 days")
-    return logged(spark, result, "signals", ["conversation_id"])
+    messages = X.messages(spark, sf)
+    ranges = max(4, math.ceil(len(messages.inputFiles()) / FILES_PER_BATCH))
+    session = streaming_session(spark, 2 * spark.sparkContext.defaultParallelism)
+    # Each range's drain opens state stores of its own; the ones before are closed by maintenance.
+    session.conf.set("spark.sql.streaming.stateStore.maintenanceInterval", "2s")
+    log, schema = sinks.run_in_time_order(
+        messages, "created_at", ranges, new_run_folder(spark, "signals"), session,
+        lambda rows: stream_signals.running_signals(rows, delay="30 days"),
+    )
+    late = sinks.late_rows(spark, log).agg(F.sum("rows")).first()[0]
+    if late:
+        raise ValueError(f"{late} messages came too late and are in no signal")
+    return sinks.read_change_log(spark, log, ["conversation_id"], schema)
 
 
 @query

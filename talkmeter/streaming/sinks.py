@@ -18,12 +18,13 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from talkmeter.operators.latest import first_by
 from talkmeter.sources import tables
 
 BATCH = StructField("batch", LongType())
+RANGE = StructField("_range", IntegerType())
 
 
 def read_stream(
@@ -132,6 +133,40 @@ def compact_log(
     tables.write_mark(spark, f"{log}/_compacted", "log", f"{name}-{upto}", after=step)
 
 
+def days(column: str) -> Column:
+    return F.unix_date(F.to_date(column))
+
+
+def run_in_time_order(
+    rows: DataFrame, time: str, ranges: int, folder: str, session: SparkSession,
+    result_of: Callable[[DataFrame], DataFrame],
+) -> tuple[str, StructType]:
+    """Stream a table that isn't stored by event time into a change log: its folder, the results' schema.
+
+    The rows are written once by ranges of days with about equal rows. Then each range lands by
+    itself, earliest first and rows without a time with it, and is drained as one batch from the same
+    checkpoint. So no row is behind the watermark, whatever the table's files and their order.
+    """
+    staged, incoming = f"{folder}/ranges", f"{folder}/incoming"
+    log, checkpoint = f"{folder}/log", f"{folder}/checkpoint"
+    shares = [i / ranges for i in range(1, ranges)] or [1.0]
+    ends = rows.agg(F.percentile_approx(days(time), shares, 10_000)).first()[0] or []
+    points = F.array(*[F.lit(end) for end in sorted(set(ends))]).cast("array<int>")
+    number = F.coalesce(F.aggregate(
+        points, F.lit(0), lambda n, end: n + (end < days(time)).cast("int")
+    ), F.lit(0))
+    dealt = rows.withColumn("_range", number).repartitionByRange("_range", F.xxhash64(*rows.columns))
+    dealt.write.partitionBy("_range").parquet(staged)
+    stored = session.read.schema(StructType([*rows.schema.fields, RANGE])).parquet(staged)
+    parts = sorted(row[0] for row in stored.select("_range").distinct().collect())
+    # An empty table is drained too, as one batch without rows.
+    for part in parts or [0]:
+        stored.filter(F.col("_range") == part).drop("_range").write.mode("append").parquet(incoming)
+        result = result_of(read_stream(session, incoming, rows.schema))
+        run_change_log(result, log, checkpoint)
+    return log, result.schema
+
+
 def run_change_log(
     stream: DataFrame, log: str, checkpoint: str, mode: str = "update", once: bool = True,
     keys: list[str] | None = None, compact_every: int = 100,

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from talkmeter.catalog import fixtures as X
+from talkmeter.catalog import queries
 from talkmeter.plans import signals, telemetry
 from talkmeter.streaming import papers as stream_papers
 from talkmeter.streaming import signals as stream_signals
@@ -163,6 +164,35 @@ def test_running_signals_equal_batch_with_repeats_and_restart(spark, tmp_path):
     assert rows_of(got) == rows_of(expected)
 
 
+def test_signals_of_a_table_of_many_files_equal_batch(spark, sf_dir, tmp_path):
+    """More files than a batch takes, none of them in the order of event time."""
+    lines = X.table(spark, sf_dir, "lineitem")
+    lines.repartition(150).write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = queries.REGISTRY["stream_signals"](spark, str(tmp_path))
+    assert rows_of(got) == rows_of(signals.message_signals(X.messages(spark, sf_dir)))
+
+
+def test_time_order_is_kept_over_batches(spark, tmp_path):
+    """Years in the wrong order, some without a time: one batch per range, and nothing is late."""
+    rows = [
+        (*row[:5], None if row[0] % 20 == 7 else START + datetime.timedelta(days=100 * (-row[0] % 60)))
+        for row in message_rows()
+    ]
+    messages = spark.createDataFrame(rows, MESSAGES).repartition(7)
+    folder = str(tmp_path / "run")
+    log, schema = sinks.run_in_time_order(
+        messages, "created_at", 5, folder, spark, stream_signals.running_signals
+    )
+    assert len(os.listdir(f"{folder}/checkpoint/sources/0")) >= 5
+    assert sinks.late_rows(spark, log).count() == 0
+    got = sinks.read_change_log(spark, log, ["conversation_id"], schema)
+    assert rows_of(got) == rows_of(signals.message_signals(messages))
+    log, schema = sinks.run_in_time_order(
+        messages.limit(0), "created_at", 5, str(tmp_path / "none"), spark, stream_signals.running_signals
+    )
+    assert sinks.read_change_log(spark, log, ["conversation_id"], schema).count() == 0
+
+
 def test_restart_without_new_files_changes_nothing(spark, event_files, tmp_path):
     log, checkpoint = str(tmp_path / "log"), str(tmp_path / "checkpoint")
     for _ in range(2):
