@@ -6,11 +6,14 @@ listed in ``_complete`` once its folder is whole; readers take the newest row pe
 key among the listed batches, so a batch that is being written is never half read.
 Every so many batches the newest rows are written as one folder that stands for all
 batches up to then, so that a reader's work follows the table and not the log's age.
-Rows that came too late for the watermark are counted in ``_late``.
+Rows that came too late for the watermark are counted in ``_late``, batch by batch
+while the stream runs.
 """
 
 from __future__ import annotations
 
+import queue
+import threading
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -18,6 +21,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from talkmeter.operators.latest import first_by
@@ -44,7 +48,7 @@ def run_batches(
     """Run ``handle`` per micro-batch; ``once`` drains what is there and stops.
 
     ``late`` names a folder that gets (batch, rows) for every batch in which the
-    watermark dropped rows, when the stream stops. Returns the latest progress
+    watermark dropped rows, while the stream runs. Returns the latest progress
     reports, which tell among other things how many rows of state are held.
     """
     writer = (
@@ -54,25 +58,71 @@ def run_batches(
     )
     if once:
         writer = writer.trigger(availableNow=True)
-    query = writer.start()
-    try:
+    if not late:
+        query = writer.start()
         query.awaitTermination()
+        return query.recentProgress
+    name = f"run-{uuid.uuid4().hex}"
+    counts = LateCounts(stream.sparkSession, name, late)
+    streams = stream.sparkSession.streams
+    streams.addListener(counts)
+    try:
+        query = writer.queryName(name).start()
+        try:
+            query.awaitTermination()
+        finally:
+            counts.finish()
     finally:
-        if late:
-            write_late(stream.sparkSession, query.recentProgress, late)
+        streams.removeListener(counts)
     return query.recentProgress
 
 
-def write_late(spark: SparkSession, progress: list, folder: str) -> None:
-    """(batch, rows) of the batches whose stateful operators dropped late rows."""
-    counted = [
-        (step["batchId"], sum(s["numRowsDroppedByWatermark"] for s in step["stateOperators"]))
-        for step in progress
-    ]
-    dropped = [(batch, rows) for batch, rows in counted if rows]
-    if dropped:
-        table = spark.createDataFrame(dropped, "batch bigint, rows bigint")
-        table.coalesce(1).write.mode("append").parquet(folder)
+class LateCounts(StreamingQueryListener):
+    """Writes (batch, rows) of one run's batches whose stateful operators dropped late rows.
+
+    Every batch is reported once, whatever number of reports the query keeps. A thread of its own
+    writes, so that reports don't wait for each other's files.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, folder: str):
+        self.spark, self.name, self.folder = spark, name, folder
+        self.run: str | None = None
+        self.reports: queue.SimpleQueue = queue.SimpleQueue()
+        self.failure: Exception | None = None
+        self.writer = threading.Thread(target=self.write, daemon=True)
+        self.writer.start()
+
+    def onQueryStarted(self, event) -> None:
+        if event.name == self.name:
+            self.run = str(event.runId)
+
+    def onQueryProgress(self, event) -> None:
+        report = event.progress
+        if report.name == self.name:
+            rows = sum(state.numRowsDroppedByWatermark for state in report.stateOperators)
+            if rows:
+                self.reports.put((report.batchId, rows))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if str(event.runId) == self.run:
+            self.reports.put(None)
+
+    def write(self) -> None:
+        while (found := self.reports.get()) is not None:
+            try:
+                table = self.spark.createDataFrame([found], "batch bigint, rows bigint")
+                table.coalesce(1).write.mode("append").parquet(self.folder)
+            except Exception as failure:  # noqa: BLE001 - raised again by finish
+                self.failure = self.failure or failure
+
+    def finish(self) -> None:
+        """Wait until the stopped query's last report is written."""
+        self.writer.join()
+        if self.failure:
+            raise self.failure
 
 
 def write_batch(batch: DataFrame, log: str, number: int) -> None:

@@ -3,6 +3,7 @@
 import datetime
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,6 +104,41 @@ def test_append_mode_closes_windows_and_drops_late_rows(spark, tmp_path):
     assert [r["rows"] for r in late] == [1] and late[0]["batch"] >= 2
 
 
+def test_late_rows_of_batches_whose_reports_are_gone_are_counted(spark, tmp_path):
+    """The query keeps the reports of its last hundred batches; here of two, to be done sooner."""
+    folder, log = str(tmp_path / "in"), str(tmp_path / "log")
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", "1")
+    session.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    for number, ts in enumerate([datetime.datetime(2024, 12, 31), *[START] * 9]):
+        rows = session.createDataFrame([event(4 * number + 1, ts)], SCHEMA)
+        rows.coalesce(1).write.mode("append").parquet(folder)
+    result = stream_telemetry.error_rate(X.to_judge_events(stream(session, folder)), "10 minutes")
+    progress = sinks.run_change_log(result, log, str(tmp_path / "checkpoint"))
+    assert len(progress) <= 2
+    late = sorted((r["batch"], r["rows"]) for r in sinks.late_rows(spark, log).collect())
+    assert late == [(batch, 1) for batch in range(late[0][0], 10)] and late[0][0] <= 2
+
+
+def test_late_rows_are_written_while_the_stream_runs(spark, tmp_path):
+    """What a batch dropped is on disk though the driver dies in a later one."""
+    folder, log = str(tmp_path / "in"), str(tmp_path / "log")
+    for number, ts in enumerate([datetime.datetime(2024, 12, 31), *[START] * 4]):
+        rows = spark.createDataFrame([event(4 * number + 1, ts)], SCHEMA)
+        rows.coalesce(1).write.mode("append").parquet(folder)
+    result = stream_telemetry.error_rate(X.to_judge_events(stream(spark, folder)), "10 minutes")
+    seen = []
+
+    def handle(batch, number):
+        batch.collect()
+        deadline = time.time() + 20
+        while number == 4 and time.time() < deadline and not seen:
+            seen.extend(sinks.late_rows(spark, log).collect())
+
+    sinks.run_batches(result, handle, str(tmp_path / "checkpoint"), late=f"{log}/_late")
+    assert seen
+
+
 def test_state_is_given_up_once_the_watermark_has_passed(spark, tmp_path):
     folder = str(tmp_path / "in")
     for hour in range(6):
