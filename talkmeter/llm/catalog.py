@@ -171,6 +171,12 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.passages(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("mark")
 
 
+def suffix_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = suffix_dedup.cut(docs).select("__row.doc_id", "text")
+    return rows.withColumn("n_chars", F.length("text"))
+
+
 @query
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(table(spark, sf_dir, "pages"))

@@ -30,7 +30,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkmeter.llm.common import ROW, packed, staged, tasks, text_of
@@ -309,6 +309,17 @@ def matches(docs: DataFrame, min_words: int, core: int, near: int) -> DataFrame:
     return listed.filter("open is null").select(exact.columns).unionByName(exact)
 
 
+def joined_ranges(found: DataFrame, *sums: Column) -> DataFrame:
+    """Ranges of a document that touch or overlap, as one."""
+    own = Window.partitionBy("doc_id", "mark").orderBy("start", "stop")
+    reach = F.max("stop").over(own.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("start") > reach, F.lit(True)).cast("int")
+    numbered = found.withColumn("opens", opens).withColumn("span", F.sum("opens").over(own))
+    return numbered.groupBy("doc_id", "mark", "span").agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"), *sums
+    )
+
+
 def passages(docs: DataFrame, min_words: int = 50, core: int = 16, near: int = 16) -> DataFrame:
     """(doc_id, mark, start, stop, n_words, other_doc_id): each document's longest word ranges that
     are made of passages of ``min_words`` words or more which stand in other documents too.
@@ -318,23 +329,63 @@ def passages(docs: DataFrame, min_words: int = 50, core: int = 16, near: int = 1
     found = matches(docs, min_words, core, near).groupBy("doc_id", "mark", "start", "stop").agg(
         F.min("other").alias("other")
     )
-    own = Window.partitionBy("doc_id", "mark").orderBy("start", "stop")
-    reach = F.max("stop").over(own.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.coalesce(F.col("start") > reach, F.lit(True)).cast("int")
-    numbered = found.withColumn("opens", opens).withColumn("span", F.sum("opens").over(own))
-    return numbered.groupBy("doc_id", "mark", "span").agg(
-        F.min("start").alias("start"), F.max("stop").alias("stop"),
-        F.min("other").alias("other_doc_id"),
-    ).select(
+    return joined_ranges(found, F.min("other").alias("other_doc_id")).select(
         "doc_id", "mark", "start", "stop", (F.col("stop") - F.col("start")).alias("n_words"),
         "other_doc_id",
     )
 
 
+WINDOWS = "doc_id long, mark long, start int, words long"
+
+
+def copied(docs: DataFrame, min_words: int = 50, core: int = 16) -> DataFrame:
+    """(doc_id, mark, start, stop): word ranges made of passages of ``min_words`` words that another
+    document keeps.
+
+    Each passage is kept by the least (doc_id, mark) that has it, nulls first. So a word is only left
+    out of a document if an earlier one has it in the same passage, and the first of them keeps it.
+    """
+    spans = passages(docs, min_words, core).groupBy("doc_id", "mark").agg(
+        F.collect_list(F.struct("start", "stop")).alias("spans")
+    )
+    spans = staged(spans, "repeated-spans").select(
+        F.col("doc_id").alias("id"), F.col("mark").alias("its_mark"), "spans"
+    )
+
+    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts, spans = batch["text"].tolist(), batch["spans"].tolist()
+            ids, marks = batch["doc_id"].astype("Int64"), batch["mark"].to_numpy()
+            for begin, end in chunks(texts):
+                words, per_text = word_hashes(texts[begin:end])
+                hashed, runs = run_hashes(words, per_text, min_words)
+                first = np.cumsum(runs) - runs
+                for i in range(begin, end):
+                    start = np.concatenate([
+                        np.arange(span["start"], span["stop"] - min_words + 1) for span in spans[i]
+                    ])
+                    yield pd.DataFrame({
+                        "doc_id": ids.iloc[np.full(len(start), i)].reset_index(drop=True),
+                        "mark": marks[i], "start": start,
+                        "words": hashed[first[i - begin] + start].view(np.int64),
+                    })
+
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("its_mark"))
+    texts = marked(docs).join(spans, same).select("doc_id", "mark", "text", "spans")
+    windows = staged(texts.mapInPandas(visit, WINDOWS), "passages")
+    owner = F.struct("doc_id", "mark")
+    # Written, so that the join shuffles both sides itself and can split a very frequent passage.
+    keepers = staged(windows.groupBy("words").agg(F.min(owner).alias("keeper")), "keepers")
+    others = windows.join(keepers, "words").filter(~owner.eqNullSafe(F.col("keeper")))
+    ranges = others.select(
+        "doc_id", "mark", "start", (F.col("start") + min_words).alias("stop")
+    ).distinct()
+    return joined_ranges(ranges).select("doc_id", "mark", "start", "stop")
+
+
 def cut(docs: DataFrame, min_words: int = 50, core: int = 16) -> DataFrame:
-    """The documents without passages that a document with a smaller id has too: ``__row``, ``text``."""
-    spans = passages(docs, min_words, core).filter(F.col("other_doc_id") < F.col("doc_id"))
-    lists = spans.groupBy("doc_id", "mark").agg(
+    """The documents without the passages that another document keeps: ``__row``, ``text``."""
+    lists = copied(docs, min_words, core).groupBy("doc_id", "mark").agg(
         F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans")
     ).select(F.col("doc_id").alias("id"), F.col("mark").alias("its_mark"), "spans")
 

@@ -72,5 +72,50 @@ def test_other_document_and_cut(spark):
     assert left == {1: texts[1], 2: "d\n  e f", 3: texts[3]}
 
 
+def kept_words(rows, least):
+    """Each document's words but those of passages that a document with a smaller id has."""
+    keeper = {}
+    for i, text in sorted(rows):
+        words = text.split()
+        for j in range(len(words) - least + 1):
+            keeper.setdefault(tuple(words[j : j + least]), i)
+    out = {}
+    for i, text in rows:
+        words = text.split()
+        gone = set()
+        for j in range(len(words) - least + 1):
+            if keeper[tuple(words[j : j + least])] != i:
+                gone.update(range(j, j + least))
+        out[i] = [w for j, w in enumerate(words) if j not in gone]
+    return out
+
+
+def left_words(docs):
+    return {r.doc_id: r.text.split() for r in sd.cut(docs).select("__row.doc_id", "text").collect()}
+
+
+def test_cut_keeps_each_of_touching_passages_once(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(50)) for c in "pq")
+    rows = [(5, f"{one} {two}"), (2, f"a {one} b"), (9, f"c {two} d")]
+    left = left_words(odd_docs(spark, [row(*r) for r in rows]))
+    assert left == {5: two.split(), 2: rows[1][1].split(), 9: ["c", "d"]}
+
+
+def test_cut_of_chains_equals_brute_force(spark):
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(600)]
+    rows = []
+    for i in range(70):
+        words = []
+        for _ in range(rng.randint(1, 3)):
+            at = rng.randint(0, 520)
+            words += base[at : at + rng.randint(45, 80)] + [f"y{i}"] * rng.randint(0, 2)
+        rows.append((rng.randint(0, 10) * 100 + i, " ".join(words)))
+    left = left_words(odd_docs(spark, [row(*r) for r in rows]))
+    assert left == kept_words(rows, 50)
+    # Every word that stood in any document stands in one still.
+    assert {w for words in left.values() for w in words} == {w for _, t in rows for w in t.split()}
+
+
 def test_no_rows(spark):
     assert sd.passages(no_docs(spark)).count() == 0
