@@ -5,13 +5,12 @@ vectors, so their order doesn't matter and a paragraph is put in or taken out by
 subtraction. The vector has two parts:
 
 * equality lanes: 32 uniform numbers modulo 2^32 from a cryptographic hash of the paragraph;
-* likeness lanes: 256 counters modulo 2^16. Each window of 16 bytes inside the paragraph adds +1 or -1
+* likeness lanes: 256 counters modulo 2^32. Each window of 16 bytes inside the paragraph adds +1 or -1
   to one of them (a shorter paragraph is one window), so that the inner product of two fingerprints
   estimates the number of windows that the texts share.
 
 Likeness is 2ab / (aa + bb) over the likeness lanes, at least 0, and 1 for equal fingerprints. Up to
-32767 net windows in a lane are told apart, which takes far longer texts than the windows of varied
-text; beyond that likeness wraps, equality doesn't.
+2^31 - 1 net windows in a lane are told apart, more than a text has bytes, however it repeats itself.
 
 Defined results: a null text counts as empty; an empty text is one empty paragraph; the next document
 is the next row by (doc_id, text), nulls first, so rows that repeat an id follow each other; after the
@@ -43,7 +42,7 @@ def spread(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def vectors(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Equality lanes (uint32) and likeness lanes (uint16), a row per text."""
+    """Equality lanes (uint32) and likeness lanes (uint32), a row per text."""
     count = len(texts)
     paragraphs = [text.encode("utf-8", "surrogatepass").split(b"\n") for text in texts]
     sizes = np.array([len(p) for p in paragraphs], dtype=np.int64)
@@ -76,7 +75,7 @@ def vectors(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     lane = who * NEAR_LANES + (marks >> np.uint64(56)).astype(np.int64)
     sign = ((marks >> np.uint64(55)) & np.uint64(1)).astype(np.float64) * 2 - 1
     near = np.bincount(lane, weights=sign, minlength=count * NEAR_LANES)
-    near = near.astype(np.int64).astype(np.uint16).reshape(count, NEAR_LANES)
+    near = near.astype(np.int64).astype(np.uint32).reshape(count, NEAR_LANES)
     return equal, near
 
 
@@ -100,13 +99,13 @@ def combine(first, second, sign: int = 1):
 
 
 def printed(equal: np.ndarray, near: np.ndarray) -> list[str]:
-    rows = np.concatenate([equal.astype("<u4").view(np.uint8), near.astype("<u2").view(np.uint8)], 1)
+    rows = np.concatenate([equal.astype("<u4").view(np.uint8), near.astype("<u4").view(np.uint8)], 1)
     return [base64.b64encode(row.tobytes()).decode() for row in rows]
 
 
 def likeness(a, b) -> np.ndarray:
     """Row by row, between 0 and 1."""
-    x, y = (v[1].astype(np.int16).astype(np.float64) for v in (a, b))
+    x, y = (v[1].astype(np.int32).astype(np.float64) for v in (a, b))
     both, all_ = (x * y).sum(1), (x * x).sum(1) + (y * y).sum(1)
     near = np.clip(2 * both / np.maximum(all_, 1), 0, 1)
     same = (a[0] == b[0]).all(1) & (a[1] == b[1]).all(1)

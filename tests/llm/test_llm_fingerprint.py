@@ -30,6 +30,16 @@ def test_likeness_follows_the_shared_part():
     assert fp.likeness(pick(0), pick(2))[0] < 0.2
 
 
+@pytest.mark.parametrize("text", ["\n".join(["-" * 80] * 600), "x" * 50_000])
+def test_likeness_of_long_repetitive_texts(text):
+    half = text[: len(text) - len(text) // 2]
+    one, two = fp.vectors([text]), fp.vectors([half])
+    # Half as many of the same windows: 2ab / (aa + bb) with b = a / 2.
+    assert fp.likeness(one, two)[0] == pytest.approx(0.8, abs=0.01)
+    back = fp.combine(fp.combine(two, one), one, -1)
+    assert fp.printed(*back) == fp.printed(*two)
+
+
 def brute(rows):
     rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
     texts = [r[1] or "" for r in rows]
