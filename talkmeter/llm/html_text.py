@@ -342,19 +342,20 @@ def train(pages: DataFrame, sample: int = 600, penalty: float = 1.0) -> Extracto
                 if not blocks:
                     continue
                 yield pd.DataFrame({
-                    "mark": mark, "x": list(described(blocks)),
+                    "mark": mark, "x": [row.tobytes() for row in described(blocks)],
                     "content": [int(b.holder.state > 0) for b in blocks],
                 })
 
-    # A block's features are a dozen numbers; pages of the sample are bounded, their blocks are folded.
+    # A block's features are a dozen numbers; pages of the sample are bounded, their blocks are folded
+    # and all of them count.
     found = (
-        some.mapInPandas(featured, "mark long, x array<double>, content int")
+        some.mapInPandas(featured, "mark long, x binary, content int")
         .groupBy("x", "content").agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "content", "x").limit(50_000).toPandas()
+        .orderBy("content", "x").toPandas()
     )
     if found["content"].nunique() < 2:
         return Extractor(np.zeros(FEATURES))
-    x = np.stack([np.asarray(row) for row in found["x"]])
+    x = np.frombuffer(b"".join(found["x"]), dtype=np.float64).reshape(-1, FEATURES)
     y, n = found["content"].to_numpy(dtype=np.float64), found["n"].to_numpy(dtype=np.float64)
     # Both kinds of block weigh the same, whatever the sites' share of boilerplate.
     n *= np.where(y > 0, 0.5 / n[y > 0].sum(), 0.5 / n[y == 0].sum()) * n.sum()

@@ -111,6 +111,24 @@ def test_whole_table(spark, sf_dir):
     assert all(r.n_chars == len(r.text) for r in got) and len(got) == len(want)
 
 
+def test_classifier_sees_content_beside_many_kinds_of_boilerplate(spark):
+    """More than 50,000 kinds of boilerplate blocks, each twice, and paragraphs that stand once."""
+    kinds = itertools.islice((
+        " ".join(["w" * (size + 1), "7" * digits + "w", *["w,"] * commas, *["w"] * (words - commas)])
+        for words in range(1, 26) for commas in range(words + 1)
+        for digits in range(12) for size in range(19)
+    ), 60_000)
+    every = [f"<li>{text}</li>" for text in kinds]
+    parts = ["".join(every[i : i + 6_000]) for i in range(0, len(every), 6_000)]
+    pages = [(i, "u", f"<nav>{part}</nav><nav>{part}</nav>") for i, part in enumerate(parts)]
+    said = "".join(f"<p>{'A longer sentence, it goes on. ' * n}</p>" for n in range(1, 30))
+    pages.append((100, "u", f"<main>{said}</main>"))
+    extractor = ht.train(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    score = ht.described(ht.blocks_of(f"<p>{'It goes on and on, said she. ' * 4}</p><li>w 7w</li>"))
+    good, bad = score @ extractor.weights
+    assert good > 0 > bad
+
+
 def test_odd_rows(spark):
     schema = "page_id long, url string, html string, text string, mark int"
     rows = [(1, None, None, "t", 1), (1, "u", "<p>plain text of a page.</p>", None, 2),
