@@ -226,7 +226,7 @@ def described(blocks: Sequence[Block]) -> np.ndarray:
         rows.append((
             1.0, min(np.log1p(words), 6) / 5, min(block.linked / size, 1.0), min(ends / words, 1.0),
             ends > 0, text[-1] in ".!?…\"'”»)", min(size / words, 20) / 10,
-            sum(map(str.isdigit, text[:200])) / min(size, 200), min(text.count(",") / words, 1.0),
+            sum(map(str.isdigit, text)) / size, min(text.count(",") / words, 1.0),
             tag == "p", tag[0:1] == "h" and tag[1:].isdigit(), tag in ("li", "td", "th", "dt", "dd"),
         ))
     return np.array(rows, dtype=np.float64).reshape(-1, FEATURES)

@@ -111,6 +111,11 @@ def test_whole_table(spark, sf_dir):
     assert all(r.n_chars == len(r.text) for r in got) and len(got) == len(want)
 
 
+def test_digits_are_counted_in_the_whole_block():
+    share = lambda text: ht.described(ht.blocks_of(f"<p>{text}</p>"))[0][7]
+    assert share("7" * 200 + "a" * 600) == share("a" * 600 + "7" * 200) == 0.25
+
+
 def test_classifier_sees_content_beside_many_kinds_of_boilerplate(spark):
     """More than 50,000 kinds of boilerplate blocks, each twice, and paragraphs that stand once."""
     kinds = itertools.islice((
