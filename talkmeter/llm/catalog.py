@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkmeter.llm import (
-    fingerprint, html_text, line_dedup, mixing, ngram_join, packing, quality, suffix_dedup,
-    toxicity, vector_search,
+    divergence, fingerprint, html_text, line_dedup, mixing, ngram_join, packing, quality, sharding,
+    suffix_dedup, toxicity, vector_codes, vector_search,
 )
 from talkmeter.llm.common import ROW, table
 
@@ -180,3 +180,106 @@ def suffix_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audited(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+ORACLES["op12_source_divergence"] = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), counts AS (
+  SELECT doc, lang, source, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term,
+    count(*) AS n
+  FROM (SELECT doc, lang, source, unnest(w) AS w FROM words) GROUP BY ALL
+), vocabulary AS (
+  SELECT lang, term, sum(n) AS n FROM counts GROUP BY lang, term HAVING count(*) >= 30
+), langs AS (
+  SELECT lang, count(term) AS v, coalesce(sum(n), 0) AS size
+  FROM (SELECT DISTINCT lang FROM words) LEFT JOIN vocabulary USING (lang) GROUP BY lang
+), occurrences AS (
+  SELECT lang, source, term, sum(c.n) AS n
+  FROM counts c JOIN vocabulary USING (lang, term) GROUP BY lang, source, term
+), groups AS (
+  SELECT lang, source, coalesce(sum(n), 0) AS size
+  FROM (SELECT DISTINCT lang, source FROM words) LEFT JOIN occurrences USING (lang, source)
+  GROUP BY lang, source
+), shares AS (
+  SELECT g.lang, g.source, t.term, coalesce(o.n, 0) AS n,
+    (1 + 1000000000::HUGEINT * (coalesce(o.n, 0) + 5)::HUGEINT // (g.size + 5 * l.v)::HUGEINT)::BIGINT AS p,
+    (1 + 1000000000::HUGEINT * (t.n + 5)::HUGEINT // (l.size + 5 * l.v)::HUGEINT)::BIGINT AS q
+  FROM groups g JOIN langs l USING (lang) JOIN vocabulary t USING (lang)
+  LEFT JOIN occurrences o ON o.lang = g.lang AND o.source = g.source AND o.term = t.term
+), apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
+NEAREST = """
+near_{k} AS MATERIALIZED (
+  SELECT r, m, any_value(x) AS x, min(struct_pack(away := xx - 2 * list_inner_product(x, c) + cc, e := e)) AS best
+  FROM pieces JOIN book_{k} USING (m) GROUP BY r, m
+)"""
+MOVED = """
+book_{n} AS MATERIALIZED (
+  SELECT m, e, c, list_inner_product(c, c) AS cc FROM (
+    SELECT b.m, b.e, coalesce(moved.c, b.c) AS c FROM book_{k} b LEFT JOIN (
+      SELECT m, e, list(c ORDER BY d) AS c FROM (
+        SELECT m, best.e AS e, d, floor(sum(x[d]) / count(*)) AS c
+        FROM near_{k}, range(1, 1 + (SELECT max(len(v)) FROM vectors) // 16) t(d)
+        GROUP BY ALL
+      ) GROUP BY m, e
+    ) moved USING (m, e)
+  )
+)"""
+ORACLES["op13_vector_codes"] = f"""
+WITH vectors AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) - 1 AS r, vec_id, label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pieces AS MATERIALIZED (
+  SELECT r, m, x, list_inner_product(x, x) AS xx
+  FROM (SELECT r, m, v[m * (len(v) // 16) + 1 : (m + 1) * (len(v) // 16)] AS x FROM vectors, range(16) t(m))
+), book_0 AS MATERIALIZED (
+  SELECT m, r AS e, x AS c, xx AS cc FROM pieces WHERE r < 64
+), {NEAREST.format(k=0)}, {MOVED.format(k=0, n=1)}, {NEAREST.format(k=1)}, {MOVED.format(k=1, n=2)},
+{NEAREST.format(k=2)}, codes AS (
+  SELECT r, string_agg(lower(printf('%02x', best.e)), '' ORDER BY m) AS code,
+    sum(best.away)::BIGINT AS error
+  FROM near_2 GROUP BY r
+), digest AS (
+  SELECT sha256(string_agg(c[d]::BIGINT::VARCHAR, ',' ORDER BY m, e, d)) AS codebooks_sha256
+  FROM book_2, range(1, 1 + len(c)) t(d)
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM codes JOIN vectors USING (r), digest
+"""

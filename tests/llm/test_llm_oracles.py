@@ -18,6 +18,6 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 def test_every_operator_and_the_pipeline_are_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in catalog.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     names = __spark_entry__.queries()
     assert set(catalog.QUERIES) < set(names) and names["pipeline"] is corpus_pipeline.run
