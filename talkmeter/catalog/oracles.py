@@ -836,6 +836,8 @@ SELECT *, pct_of_cost - pct_of_count AS imbalance FROM (
     total_cost::DOUBLE / (SELECT sum(total_cost) FROM per_type)::DOUBLE AS pct_of_cost,
     count / (SELECT sum(count) FROM per_type)::DOUBLE AS pct_of_count
   FROM per_type)"""
+ORACLES["stream_signals_relanded"] = ORACLES["stream_signals"]
+ORACLES["stream_score_means"] = ORACLES["score_mean_24h"]
 ORACLES["cost_concentration"] = SHARES
 ORACLES["cost_concentration_top"] = f"{SHARES} ORDER BY imbalance DESC LIMIT 1"
 

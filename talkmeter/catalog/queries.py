@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +13,7 @@ from talkmeter import vocabulary as V
 from talkmeter.catalog import fixtures as X
 from talkmeter.functions import keys, labels, text
 from talkmeter.operators import checks, judge, queue, transcripts
-from talkmeter.operators.latest import latest_by, upsert
+from talkmeter.operators.latest import latest_by
 from talkmeter.plans import (
     extensions, judging, marts, outcomes, reports, signals, staging, telemetry, validation,
 )
@@ -153,12 +152,13 @@ def paper_id_from_url(spark, sf):
 
 
 def upserted(spark, sf):
+    """The table after the first files, then the later files merged into the buckets they touch."""
+    folder = new_run_folder(spark, "papers")
     parsed = papers.parse_lines(X.paper_lines(spark, sf), LOADED_AT)
     early = F.col("s3_key") <= "arxiv_20240103T000000.jsonl"
-    # The table as it stands after the first files, then the later files on top.
-    empty = parsed.filter(F.lit(False)).select(*papers.PAPER_COLUMNS)
-    target = upsert(empty, parsed.filter(early), ["paper_id"], ["s3_key", "line"])
-    return upsert(target, parsed.filter(~early), ["paper_id"], ["s3_key", "line"])
+    for part in (parsed.filter(early), parsed.filter(~early)):
+        papers.merge_papers(part, folder, buckets=spark.sparkContext.defaultParallelism)
+    return papers.current_papers(spark, folder)
 
 
 @query
@@ -1032,16 +1032,17 @@ def telemetry_totals(spark, sf):
     return telemetry.totals(X.judge_events(spark, sf))
 
 
-FILES_PER_BATCH = 64
-
-
 def stream_of(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table as a stream of files; the glob fits a single file and a folder."""
+    """A table as a stream of files; the glob fits a single file and a folder.
+
+    Drained once, all files are one batch: a table whose files aren't in the order of event time has
+    no late rows then.
+    """
     schema = X.table(spark, sf, name).schema
     path = f"{sf}/[{name[0]}]{name[1:]}.parquet"
     # A stream that is drained once needs no more state partitions than it has tasks.
     session = streaming_session(spark, 2 * spark.sparkContext.defaultParallelism)
-    return sinks.read_stream(session, path, schema, files_per_batch=FILES_PER_BATCH)
+    return sinks.read_stream(session, path, schema)
 
 
 def logged(spark, result: DataFrame, label: str, key_columns: list[str]) -> DataFrame:
@@ -1065,21 +1066,36 @@ def stream_error_rate_5m(spark, sf):
     return rounded(logged(spark, result, "error-rate", key_columns))
 
 
+@query
+def stream_score_means(spark, sf):
+    events = X.to_judge_events(stream_of(spark, sf, "events"))
+    result = stream_telemetry.score_means(events, "10 minutes")
+    return logged(spark, result, "score-means", ["window_start", "dimension"])
+
+
 @query
 def stream_signals_query(spark, sf):
-    messages = X.messages(spark, sf)
-    ranges = max(4, math.ceil(len(messages.inputFiles()) / FILES_PER_BATCH))
-    session = streaming_session(spark, 2 * spark.sparkContext.defaultParallelism)
-    # Each range's drain opens state stores of its own; the ones before are closed by maintenance.
-    session.conf.set("spark.sql.streaming.stateStore.maintenanceInterval", "2s")
-    log, schema = sinks.run_in_time_order(
-        messages, "created_at", ranges, new_run_folder(spark, "signals"), session,
-        lambda rows: stream_signals.running_signals(rows, delay="30 days"),
-    )
-    late = sinks.late_rows(spark, log).agg(F.sum("rows")).first()[0]
-    if late:
-        raise ValueError(f"{late} messages came too late and are in no signal")
-    return sinks.read_change_log(spark, log, ["conversation_id"], schema)
+    folder = new_run_folder(spark, "signals")
+    messages = X.to_messages(stream_of(spark, sf, "lineitem"))
+    stream_signals.follow(messages, f"{folder}/flags", f"{folder}/checkpoint")
+    return stream_signals.current_signals(read_flags(spark, messages, folder))
+
+
+def read_flags(spark, messages, folder):
+    return sinks.read_log(spark, f"{folder}/flags", stream_signals.flag_rows(messages).schema)
+
+
+@query
+def stream_signals_relanded(spark, sf):
+    """A fifth of the messages as the first load had them, then all as the second load has them."""
+    folder = new_run_folder(spark, "signals")
+    rows = landed(X.messages(spark, sf), "conversation_id", X.EARLY_MESSAGE)
+    for load in (1, 2):
+        rows.filter(F.col(staging.LOAD) == load).write.mode("append").parquet(f"{folder}/landing")
+        arriving = sinks.read_stream(spark, f"{folder}/landing", rows.schema)
+        messages = staging.typed(arriving, staging.MESSAGES)
+        stream_signals.follow(messages, f"{folder}/flags", f"{folder}/checkpoint")
+    return stream_signals.current_signals(read_flags(spark, messages, folder))
 
 
 @query
@@ -1088,7 +1104,7 @@ def stream_papers(spark, sf):
     lines = X.paper_lines(spark, sf).select("value", "s3_key")
     lines.write.partitionBy("s3_key").text(f"{folder}/incoming")
     key = "regexp_extract(_metadata.file_path, 's3_key=([^/]+)', 1)"
-    stream = paper_stream.line_stream(spark, f"{folder}/incoming", 2, "*.txt", key)
+    stream = paper_stream.line_stream(spark, f"{folder}/incoming", pattern="*.txt", key=key)
     paper_stream.ingest(stream, f"{folder}/log", f"{folder}/checkpoint", LOADED_AT)
     rows = paper_stream.current_papers(spark, f"{folder}/log")
     return rows.withColumns({c: F.to_json(c) for c in ("authors", "categories")})

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkmeter.functions.text import id_from_url
-from talkmeter.operators.latest import first_by, upsert
-from talkmeter.sources import tables
+from talkmeter.operators.latest import first_by
+from talkmeter.sources import keyed, tables
 
 RECORD_SCHEMA = (
     "id string, title string, summary string, published string, "
@@ -209,26 +209,32 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     return files.select(F.element_at(F.split("path", "/"), -1).alias("s3_key"))
 
 
+def merge_papers(papers: DataFrame, path: str, buckets: int = 64) -> list[int]:
+    """Upsert parsed papers into the table; of one paper the last line in file order stays."""
+    order = [F.desc_nulls_last(name) for name in LINE_ORDER if name in papers.columns]
+    return keyed.merge(papers, path, PAPER_SCHEMA, ["paper_id"], order, buckets)
+
+
+def current_papers(spark: SparkSession, path: str) -> DataFrame:
+    return keyed.read(spark, path, PAPER_SCHEMA)
+
+
 def load_new_files(
     spark: SparkSession, folder: str, base: str, ingested_at: str, name: str = "papers"
 ) -> DataFrame:
     """Load the files after the marker into the papers table; returns the summary.
 
-    The table version is published before the marker moves, and only if some
-    paper was parsed. Dying in between repeats the files, which changes nothing.
+    Papers are merged before the marker moves, and only if some paper was
+    parsed. Dying in between repeats the files, which changes nothing.
     """
     step, marker = tables.read_step(spark, f"{base}/_marks", name, None)
     files = new_files(list_files(spark, folder), marker)
     lines = read_lines(spark, folder, marker).join(files, "s3_key", "left_semi")
     decoded = decode_lines(lines)
     summary = load_summary(decoded, files, ingested_at)
-    new_marker = next_file_marker(files, papers_from(decoded, ingested_at), marker)
-    reached = new_marker.first()["marker"]
+    loaded = papers_from(decoded, ingested_at)
+    reached = next_file_marker(files, loaded, marker).first()["marker"]
     if reached != marker:
-        loaded = papers_from(decoded, ingested_at)
-        tables.publish_change(
-            spark, base, PAPER_SCHEMA,
-            lambda table: upsert(table, loaded, ["paper_id"], LINE_ORDER),
-        )
+        merge_papers(loaded, f"{base}/papers")
         tables.write_mark(spark, f"{base}/_marks", name, reached, after=step)
     return summary

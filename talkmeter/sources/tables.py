@@ -8,13 +8,12 @@ so a lost executor or a killed driver leaves the previous version readable.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from talkmeter import vocabulary as V
+from talkmeter.sources import files
 
 LABEL_SCHEMA = ", ".join(
     [
@@ -28,7 +27,6 @@ LABEL_SCHEMA = ", ".join(
         "difficulty string",
     ]
 )
-MARK_SCHEMA = "name string, step bigint, mark string"
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -48,18 +46,23 @@ class Moved(RuntimeError):
     """Raised when another writer moved a mark first; nothing of it was overwritten."""
 
 
-def latest_mark(marks: DataFrame, name: str) -> DataFrame:
-    return marks.filter(F.col("name") == name).agg(
-        F.max("step").alias("step"), F.max_by("mark", "step").alias("mark")
-    )
-
-
 def read_step(
     spark: SparkSession, path: str, name: str, default: str | None
 ) -> tuple[int, str | None]:
-    """The mark and the number of the step that set it (0 before the first)."""
-    row = latest_mark(read_or_empty(spark, path, MARK_SCHEMA), name).first()
-    return row["step"] or 0, row["mark"] if row["mark"] is not None else default
+    """The mark and the number of the step that set it (0 before the first).
+
+    Steps are files 1, 2, 3 ...; the last one is found by doubling and halving.
+    """
+    def there(step: int) -> bool:
+        return files.exists(spark, f"{path}/{name}/{step}")
+
+    low, high = 0, 1
+    while there(high):
+        low, high = high, 2 * high
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if there(middle) else (low, middle)
+    return (low, files.read_text(spark, f"{path}/{name}/{low}")) if low else (0, default)
 
 
 def read_mark(spark: SparkSession, path: str, name: str, default: str | None) -> str | None:
@@ -71,17 +74,12 @@ def write_mark(
 ) -> int:
     """Set the mark as the step that follows ``after`` (default: the latest one).
 
-    Every step is a folder of its own that is never overwritten: if another
-    writer has taken the step already, the mark stays and ``Moved`` is raised.
+    Every step is a file of its own that only one writer can create: if another
+    has taken the step already, the mark stays and ``Moved`` is raised.
     """
     step = (read_step(spark, path, name, None)[0] if after is None else after) + 1
-    row = spark.createDataFrame([(mark,)], "mark string").coalesce(1)
-    try:
-        row.write.mode("errorifexists").parquet(f"{path}/name={name}/step={step}")
-    except AnalysisException as taken:
-        if taken.getCondition() != "PATH_ALREADY_EXISTS":
-            raise
-        raise Moved(f"{path}: step {step} of {name} was taken by another writer") from taken
+    if not files.create_once(spark, f"{path}/{name}/{step}", mark):
+        raise Moved(f"{path}: step {step} of {name} was taken by another writer")
     return step
 
 
@@ -126,20 +124,6 @@ def current(spark: SparkSession, base: str, schema: str) -> DataFrame:
     return current_step(spark, base, schema)[1]
 
 
-def publish_change(
-    spark: SparkSession, base: str, schema: str, change: Callable[[DataFrame], DataFrame],
-    attempts: int = 5,
-) -> int:
-    """Publish ``change(current table)``; made again from the newer table if another writer was first."""
-    for attempt in range(attempts):
-        step, table = current_step(spark, base, schema)
-        try:
-            return publish(change(table), base, after=step)
-        except Moved:
-            if attempt + 1 == attempts:
-                raise
-
-
 def materialize(
     layer: str, name: str, df: DataFrame, bucket_by: str | None = None, buckets: int = 0
 ) -> DataFrame:

@@ -13,10 +13,9 @@ from pyspark.sql import functions as F
 
 from talkmeter.operators.latest import first_by
 from talkmeter.sources import papers
-from talkmeter.streaming.sinks import compact_log, read_batches, run_batches, write_batch
+from talkmeter.streaming.sinks import fold_log, read_log, run_batches, write_batch
 
-
-LOG_SCHEMA = f"{papers.PAPER_SCHEMA}, split_start bigint, line bigint, batch bigint"
+LOG_SCHEMA = f"{papers.PAPER_SCHEMA}, split_start bigint, line bigint"
 
 
 def newest_line() -> list[Column]:
@@ -39,23 +38,23 @@ def line_stream(
 
 
 def ingest(
-    stream: DataFrame, log: str, checkpoint: str, ingested_at: str | Column, once: bool = True,
-    compact_every: int = 100,
-) -> None:
-    """Parse each micro-batch and append its papers to the change log, which is compacted at times."""
+    stream: DataFrame, log: str, checkpoint: str, ingested_at: str | Column, once: bool = True
+):
+    """Parse each micro-batch into its partition of the log."""
     def load(batch: DataFrame, number: int) -> None:
         # Line numbers are only available on the batch frame.
         numbered = batch.withColumn("line", F.monotonically_increasing_id())
         write_batch(papers.parse_lines(numbered, ingested_at), log, number)
-        if (number + 1) % compact_every == 0:
-            compact_log(batch.sparkSession, log, ["paper_id"], newest_line(), LOG_SCHEMA)
 
-    run_batches(stream, load, checkpoint, "append", once)
+    return run_batches(stream, load, checkpoint, "append", once)
+
+
+def fold(spark: SparkSession, log: str) -> int:
+    """Keep the newest line of each paper in place of all old batches."""
+    return fold_log(spark, log, ["paper_id"], newest_line(), LOG_SCHEMA)
 
 
 def current_papers(spark: SparkSession, log: str) -> DataFrame:
     """The papers table as of all loaded batches."""
-    rows = read_batches(spark, log, LOG_SCHEMA)
-    if rows is None:
-        return spark.createDataFrame([], papers.PAPER_SCHEMA)
+    rows = read_log(spark, log, LOG_SCHEMA)
     return first_by(rows, ["paper_id"], newest_line()).select(*papers.PAPER_COLUMNS)

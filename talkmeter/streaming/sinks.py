@@ -1,34 +1,32 @@
-"""Streaming sinks that survive restarts.
+"""Streaming sinks that survive restarts, on Spark's own means.
 
-Update-mode results go to a change log: one folder per micro-batch, written in
-overwrite mode, so a batch that is run again replaces its own folder. A batch is
-listed in ``_complete`` once its folder is whole; readers take the newest row per
-key among the listed batches, so a batch that is being written is never half read.
-Every so many batches the newest rows are written as one folder that stands for all
-batches up to then, so that a reader's work follows the table and not the log's age.
-Rows that came too late for the watermark are counted in ``_late``, batch by batch
-while the stream runs.
+Results go to a log partitioned by micro-batch: a batch overwrites its own partition (dynamic partition
+overwrite), so a batch that is run again changes nothing, and readers take the newest row per key. ``fold_log`` is a plain batch job that replaces old partitions by their newest rows.
+
+A drain (``once``) takes what is there as one batch unless ``files_per_batch`` says otherwise: rows of a
+table that isn't stored by event time are then not late, whatever its files. Should the watermark drop
+rows all the same, the drain fails and tells how many.
 """
 
 from __future__ import annotations
 
-import queue
-import threading
-import uuid
 from collections.abc import Callable
-from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQueryListener
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from talkmeter.operators.latest import first_by
-from talkmeter.sources import tables
+from talkmeter.session import written
+from talkmeter.sources import files, tables
+
+BATCH = "batch"
+REPORTS = "spark.sql.streaming.numRecentProgressUpdates"
+
 
-BATCH = StructField("batch", LongType())
-RANGE = StructField("_range", IntegerType())
+class LateRows(RuntimeError):
+    """Raised when a drain's watermark dropped rows, which are then in no result."""
 
 
 def read_stream(
@@ -41,219 +39,86 @@ def read_stream(
     return reader.parquet(path)
 
 
+def finished(query: StreamingQuery, allow_late: bool) -> list:
+    """The progress reports of a drain, once it has ended and no row of it was late."""
+    query.awaitTermination()
+    reports = query.recentProgress
+    late = sum(
+        state["numRowsDroppedByWatermark"] for step in reports for state in step["stateOperators"]
+    )
+    if late and not allow_late:
+        raise LateRows(f"{late} rows came after the watermark had passed them")
+    return reports
+
+
 def run_batches(
     stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
-    mode: str = "update", once: bool = True, late: str | None = None,
-) -> list:
-    """Run ``handle`` per micro-batch; ``once`` drains what is there and stops.
+    mode: str = "update", once: bool = True, allow_late: bool = False,
+) -> list | StreamingQuery:
+    """Run ``handle`` per micro-batch; ``once`` drains what is there and returns its reports.
 
-    ``late`` names a folder that gets (batch, rows) for every batch in which the
-    watermark dropped rows, while the stream runs. Returns the latest progress
-    reports, which tell among other things how many rows of state are held.
+    Otherwise the running query is returned, whose reports Spark sends to its listeners.
     """
     writer = (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(handle)
     )
-    if once:
-        writer = writer.trigger(availableNow=True)
-    if not late:
-        query = writer.start()
-        query.awaitTermination()
-        return query.recentProgress
-    name = f"run-{uuid.uuid4().hex}"
-    counts = LateCounts(stream.sparkSession, name, late)
-    streams = stream.sparkSession.streams
-    streams.addListener(counts)
-    try:
-        query = writer.queryName(name).start()
-        try:
-            query.awaitTermination()
-        finally:
-            counts.finish()
-    finally:
-        streams.removeListener(counts)
-    return query.recentProgress
-
-
-class LateCounts(StreamingQueryListener):
-    """Writes (batch, rows) of one run's batches whose stateful operators dropped late rows.
-
-    Every batch is reported once, whatever number of reports the query keeps. A thread of its own
-    writes, so that reports don't wait for each other's files.
-    """
-
-    def __init__(self, spark: SparkSession, name: str, folder: str):
-        self.spark, self.name, self.folder = spark, name, folder
-        self.run: str | None = None
-        self.reports: queue.SimpleQueue = queue.SimpleQueue()
-        self.failure: Exception | None = None
-        self.writer = threading.Thread(target=self.write, daemon=True)
-        self.writer.start()
-
-    def onQueryStarted(self, event) -> None:
-        if event.name == self.name:
-            self.run = str(event.runId)
-
-    def onQueryProgress(self, event) -> None:
-        report = event.progress
-        if report.name == self.name:
-            rows = sum(state.numRowsDroppedByWatermark for state in report.stateOperators)
-            if rows:
-                self.reports.put((report.batchId, rows))
-
-    def onQueryIdle(self, event) -> None:
-        pass
-
-    def onQueryTerminated(self, event) -> None:
-        if str(event.runId) == self.run:
-            self.reports.put(None)
-
-    def write(self) -> None:
-        while (found := self.reports.get()) is not None:
-            try:
-                table = self.spark.createDataFrame([found], "batch bigint, rows bigint")
-                table.coalesce(1).write.mode("append").parquet(self.folder)
-            except Exception as failure:  # noqa: BLE001 - raised again by finish
-                self.failure = self.failure or failure
-
-    def finish(self) -> None:
-        """Wait until the stopped query's last report is written."""
-        self.writer.join()
-        if self.failure:
-            raise self.failure
+    if not once:
+        return writer.start()
+    # All reports of a drain are needed to count late rows; Spark keeps a hundred by default.
+    stream.sparkSession.conf.set(REPORTS, 1_000_000)
+    return finished(writer.trigger(availableNow=True).start(), allow_late)
 
 
 def write_batch(batch: DataFrame, log: str, number: int) -> None:
-    """One whole batch folder, then its entry in the list that readers follow."""
-    batch.write.mode("overwrite").parquet(f"{log}/batch={number}")
-    spark = batch.sparkSession
-    listed = spark.createDataFrame([(number,)], "number bigint").coalesce(1)
-    listed.write.mode("overwrite").parquet(f"{log}/_complete/entry={number}")
-
-
-def complete_batches(spark: SparkSession, log: str) -> list[int]:
-    """The batches that are whole."""
-    try:
-        rows = spark.read.schema("number bigint").parquet(f"{log}/_complete/entry=*")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return []
-    return sorted(row["number"] for row in rows.distinct().collect())
-
-
-def read_batches(spark: SparkSession, log: str, schema: StructType | str) -> DataFrame | None:
-    """What the complete batches hold, with their ``batch``; None before the first one.
-
-    The latest compacted folder stands for the batches up to its own number.
-    """
-    folder, upto = compacted(spark, log)
-    parts = [spark.read.schema(schema).option("basePath", folder).parquet(folder)] if folder else []
-    paths = [f"{log}/batch={number}" for number in complete_batches(spark, log) if number > upto]
-    if paths:
-        parts.append(spark.read.schema(schema).option("basePath", log).parquet(*paths))
-    return reduce(DataFrame.unionByName, parts) if parts else None
-
-
-def compacted(spark: SparkSession, log: str) -> tuple[str | None, int]:
-    """The latest compacted folder and the last batch that it holds."""
-    mark = tables.read_mark(spark, f"{log}/_compacted", "log", None)
-    if mark is None:
-        return None, -1
-    name, upto = mark.rsplit("-", 1)
-    return f"{log}/_rows/{name}", int(upto)
-
-
-def compact_log(
-    spark: SparkSession, log: str, keys: list[str], order: list[Column], schema: StructType | str
-) -> None:
-    """Write the newest row per key of all complete batches as one folder, and point readers at it.
-
-    Batch folders stay as they are; readers just need them no longer.
-    """
-    step = tables.read_step(spark, f"{log}/_compacted", "log", None)[0]
-    rows, numbers = read_batches(spark, log, schema), complete_batches(spark, log)
-    if rows is None or not numbers:
-        return
-    name, upto = uuid.uuid4().hex, numbers[-1]
-    newest = first_by(rows, keys, order).drop("batch")
-    newest.write.mode("errorifexists").parquet(f"{log}/_rows/{name}/batch={upto}")
-    tables.write_mark(spark, f"{log}/_compacted", "log", f"{name}-{upto}", after=step)
-
-
-def days(column: str) -> Column:
-    return F.unix_date(F.to_date(column))
-
-
-def run_in_time_order(
-    rows: DataFrame, time: str, ranges: int, folder: str, session: SparkSession,
-    result_of: Callable[[DataFrame], DataFrame],
-) -> tuple[str, StructType]:
-    """Stream a table that isn't stored by event time into a change log: its folder, the results' schema.
-
-    The rows are written once by ranges of days with about equal rows. Then each range lands by
-    itself, earliest first and rows without a time with it, and is drained as one batch from the same
-    checkpoint. So no row is behind the watermark, whatever the table's files and their order.
-    """
-    staged, incoming = f"{folder}/ranges", f"{folder}/incoming"
-    log, checkpoint = f"{folder}/log", f"{folder}/checkpoint"
-    shares = [i / ranges for i in range(1, ranges)] or [1.0]
-    ends = rows.agg(F.percentile_approx(days(time), shares, 10_000)).first()[0] or []
-    points = F.array(*[F.lit(end) for end in sorted(set(ends))]).cast("array<int>")
-    number = F.coalesce(F.aggregate(
-        points, F.lit(0), lambda n, end: n + (end < days(time)).cast("int")
-    ), F.lit(0))
-    dealt = rows.withColumn("_range", number).repartitionByRange("_range", F.xxhash64(*rows.columns))
-    dealt.write.partitionBy("_range").parquet(staged)
-    stored = session.read.schema(StructType([*rows.schema.fields, RANGE])).parquet(staged)
-    parts = sorted(row[0] for row in stored.select("_range").distinct().collect())
-    # An empty table is drained too, as one batch without rows.
-    for part in parts or [0]:
-        stored.filter(F.col("_range") == part).drop("_range").write.mode("append").parquet(incoming)
-        result = result_of(read_stream(session, incoming, rows.schema))
-        run_change_log(result, log, checkpoint)
-    return log, result.schema
+    """The batch's partition of the log, in place of what an earlier attempt has written."""
+    batch.withColumn(BATCH, F.lit(number).cast("long")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(BATCH).parquet(log)
 
 
 def run_change_log(
     stream: DataFrame, log: str, checkpoint: str, mode: str = "update", once: bool = True,
-    keys: list[str] | None = None, compact_every: int = 100,
-) -> list:
-    """Stream results into a change log; with ``keys`` it is compacted as it grows."""
-    schema = StructType([*stream.schema.fields, BATCH])
-
-    def append(batch: DataFrame, number: int) -> None:
-        write_batch(batch, log, number)
-        if keys and (number + 1) % compact_every == 0:
-            compact_log(batch.sparkSession, log, keys, [F.desc("batch")], schema)
-
-    return run_batches(stream, append, checkpoint, mode, once, late=f"{log}/_late")
+    allow_late: bool = False,
+) -> list | StreamingQuery:
+    return run_batches(
+        stream, lambda batch, number: write_batch(batch, log, number), checkpoint, mode, once, allow_late
+    )
 
 
-def late_rows(spark: SparkSession, log: str) -> DataFrame:
-    """(batch, rows): how many rows of each batch came too late and are in no result."""
-    try:
-        return spark.read.schema("batch bigint, rows bigint").parquet(f"{log}/_late")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "batch bigint, rows bigint")
+def read_log(spark: SparkSession, log: str, schema: StructType | str) -> DataFrame:
+    """All rows of a log with their ``batch``; empty before the first."""
+    if isinstance(schema, str):
+        whole = f"{schema}, {BATCH} bigint"
+    else:
+        whole = StructType([*schema.fields, StructField(BATCH, LongType())])
+    return tables.read_or_empty(spark, log, whole)
 
 
 def read_change_log(
     spark: SparkSession, log: str, keys: list[str], schema: StructType
 ) -> DataFrame:
-    """Newest row per key of a change log; empty before the first batch."""
-    rows = read_batches(spark, log, StructType([*schema.fields, BATCH]))
-    if rows is None:
-        return spark.createDataFrame([], schema)
-    return first_by(rows, keys, [F.desc("batch")]).select(*schema.names)
+    """Newest row per key of a change log."""
+    return first_by(read_log(spark, log, schema), keys, [F.desc(BATCH)]).select(*schema.names)
 
 
-def compact_change_log(
-    spark: SparkSession, log: str, keys: list[str], schema: StructType, target: str
-) -> None:
-    """Write the newest rows as one batch folder of a new log."""
-    write_batch(read_change_log(spark, log, keys, schema), target, 0)
+def fold_log(
+    spark: SparkSession, log: str, keys: list[str], newest: list[Column], schema: StructType | str
+) -> int:
+    """Fold all batches but the last into one; returns its number, -1 where there was nothing to do.
+
+    The last batch may still be run again, those before it never are. The newest row per key, by
+    ``newest``, becomes the partition of the last folded batch and the older partitions are deleted; a
+    job that dies between leaves rows that readers count as older copies. For times without readers.
+    """
+    rows = read_log(spark, log, schema)
+    numbers = sorted(row[0] for row in rows.select(BATCH).distinct().collect())[:-1]
+    if len(numbers) < 2:
+        return -1
+    upto = numbers[-1]
+    kept = first_by(rows.filter(F.col(BATCH) <= upto), keys, newest)
+    write_batch(written(kept, "folded-log"), log, upto)
+    for number in numbers[:-1]:
+        files.delete(spark, f"{log}/{BATCH}={number}")
+    return upto

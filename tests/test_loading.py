@@ -2,13 +2,17 @@
 
 import datetime
 import json
+import os
+import random
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from talkmeter.operators.latest import upsert
 from talkmeter.plans import signals, staging
-from talkmeter.sources import incremental, papers, tables
+from talkmeter.sources import incremental, keyed, papers, tables
 
 PARENTS = "id bigint, title string, updated_at timestamp_ntz"
 RUNS = "id bigint, conversation_id bigint, cost_usd decimal(10,4), completed_at timestamp_ntz"
@@ -79,29 +83,44 @@ def test_publish_keeps_the_old_version_until_the_pointer_moves(spark, tmp_path):
     assert tables.current(spark, base, schema).count() == 2
 
 
-def test_two_writers_lose_no_rows(spark, tmp_path):
-    """A writer that was overtaken is told so, and its change is made again on the newer table."""
+def test_a_writer_that_was_overtaken_is_told_so(spark, tmp_path):
     base, schema = str(tmp_path / "t"), "id int, v string"
-
-    def adding(number):
-        row = spark.createDataFrame([(number, "x")], schema)
-        return lambda table: table.unionByName(row)
-
     step, empty = tables.current_step(spark, base, schema)
-    tables.publish(adding(1)(empty), base, after=step)
+    first, second = (spark.createDataFrame([(n, "x")], schema) for n in (1, 2))
+    tables.publish(empty.unionByName(first), base, after=step)
     with pytest.raises(tables.Moved):
-        tables.publish(adding(2)(empty), base, after=step)
+        tables.publish(empty.unionByName(second), base, after=step)
     assert [r["id"] for r in tables.current(spark, base, schema).collect()] == [1]
 
-    overtaken = []
 
-    def slow(table):
-        if not overtaken:
-            overtaken.append(tables.publish_change(spark, base, schema, adding(3)))
-        return adding(2)(table)
+def test_of_two_writers_at_once_one_wins_and_the_other_is_told(spark, tmp_path):
+    path, together = str(tmp_path / "marks"), threading.Barrier(2)
 
-    tables.publish_change(spark, base, schema, slow)
-    assert sorted(r["id"] for r in tables.current(spark, base, schema).collect()) == [1, 2, 3]
+    def write(who):
+        told = []
+        for step in range(100):
+            together.wait()
+            try:
+                told.append(tables.write_mark(spark, path, "m", f"{who}-{step}", after=step))
+            except tables.Moved:
+                told.append(None)
+            together.wait()
+        return told
+
+    with ThreadPoolExecutor(2) as pool:
+        a, b = pool.map(write, "ab")
+    for step in range(100):
+        assert sorted([a[step] or 0, b[step] or 0]) == [0, step + 1]
+    won = "a" if a[-1] else "b"
+    assert tables.read_step(spark, path, "m", None) == (100, f"{won}-99")
+    assert sorted(os.listdir(f"{path}/m"), key=int) == [str(n) for n in range(1, 101)]
+
+
+def test_numbers_taken_at_once_differ(spark, tmp_path):
+    path = str(tmp_path / "marks")
+    with ThreadPoolExecutor(4) as pool:
+        taken = list(pool.map(lambda _: tables.take_number(spark, path, "load"), range(40)))
+    assert sorted(taken) == list(range(1, 41))
 
 
 def test_numbers_are_taken_once(spark, tmp_path):
@@ -196,6 +215,46 @@ def test_upsert_last_of_the_batch_wins(spark):
     assert sorted((r["k"], r["v"]) for r in upsert(merged, batch, ["k"], ["line"]).collect()) == rows
 
 
+TABLE = "k int, v string, at int"
+
+
+def test_keyed_table_equals_a_dictionary(spark, tmp_path):
+    path, rng, want = str(tmp_path / "t"), random.Random(8), {}
+    assert keyed.read(spark, path, TABLE).count() == 0
+    for load in range(5):
+        rows = [(rng.choice([None, *range(60)]), f"{load}-{i}", i) for i in range(40)]
+        keyed.merge(spark.createDataFrame(rows, "k int, v string, at int").repartition(3), path, TABLE,
+                    ["k"], [F.desc("at")], buckets=16 + load)
+        want.update({k: (v, at) for k, v, at in rows})
+        got = {r["k"]: (r["v"], r["at"]) for r in keyed.read(spark, path, TABLE).collect()}
+        assert got == want
+    assert keyed.merge(spark.createDataFrame([], TABLE), path, TABLE, ["k"], []) == []
+    # Without precedence of the batch an older row changes nothing.
+    key = next(iter(want))
+    keyed.merge(spark.createDataFrame([(key, "old", -1)], TABLE), path, TABLE, ["k"], [F.desc("at")],
+                batch_wins=False)
+    assert {r["k"]: r["v"] for r in keyed.read(spark, path, TABLE).collect()}[key] == want[key][0]
+
+
+def test_a_load_rewrites_only_the_buckets_that_it_touches(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = spark.range(5000).selectExpr("CAST(id AS INT) k", "'a' v", "0 at")
+    assert len(keyed.merge(first, path, TABLE, ["k"], [])) == 64
+
+    def state():
+        return {(d, f): os.stat(f"{path}/{d}/{f}").st_mtime_ns
+                for d in os.listdir(path) if d.startswith("_bucket=") for f in os.listdir(f"{path}/{d}")}
+
+    before = state()
+    batch = spark.range(10).selectExpr("CAST(id * 7 AS INT) k", "'b' v", "1 at")
+    touched = keyed.merge(batch, path, TABLE, ["k"], [])
+    after = state()
+    assert len(touched) <= 10
+    changed = {d for d, _ in before.items() ^ after.items() for d in d[:1]}
+    assert changed == {f"_bucket={b}" for b in touched}
+    assert keyed.read(spark, path, TABLE).groupBy("v").count().orderBy("v").collect() == [("a", 4990), ("b", 10)]
+
+
 def record(number, **changes):
     return json.dumps({
         "id": f"http://arxiv.org/abs/{number}v1//", "title": f"t{number}", "summary": "s",
@@ -230,7 +289,7 @@ def test_paper_loads_move_the_marker(spark, tmp_path):
     assert (summary["files_processed"], summary["rows_loaded"]) == (2, 4)
 
     def titles():
-        rows = tables.current(spark, base, papers.PAPER_SCHEMA).collect()
+        rows = papers.current_papers(spark, f"{base}/papers").collect()
         return {r["paper_id"]: r["title"] for r in rows}
 
     assert titles() == {"1v1": "newest", "2v1": "t2"}

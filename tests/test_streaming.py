@@ -3,7 +3,6 @@
 import datetime
 import json
 import os
-import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,16 +56,33 @@ def stream(spark, folder, files=1):
 def test_update_stream_equals_batch(spark, sf_dir, event_files, tmp_path, streamed, batch, keys):
     result = streamed(X.to_judge_events(stream(spark, event_files)))
     log, checkpoint = str(tmp_path / "log"), str(tmp_path / "checkpoint")
-    sinks.run_change_log(result, log, checkpoint, keys=keys, compact_every=2)
-    assert sinks.compacted(spark, log)[1] >= 3
-    assert sinks.late_rows(spark, log).count() == 0
-    assert len([d for d in os.listdir(log) if d.startswith("batch=")]) >= 5
-    got = sinks.read_change_log(spark, log, keys, result.schema)
-    expected = batch(X.judge_events(spark, sf_dir))
-    assert rows_of(got) == rows_of(expected)
-    compacted = str(tmp_path / "compacted")
-    sinks.compact_change_log(spark, log, keys, result.schema, compacted)
-    assert rows_of(sinks.read_change_log(spark, compacted, keys, result.schema)) == rows_of(expected)
+    sinks.run_change_log(result, log, checkpoint)
+    batches = lambda: [d for d in os.listdir(log) if d.startswith("batch=")]
+    assert len(batches()) >= 5
+    expected = rows_of(batch(X.judge_events(spark, sf_dir)))
+    assert rows_of(sinks.read_change_log(spark, log, keys, result.schema)) == expected
+    # All batches but the last, which might be run again, become one; a second time nothing is left to do.
+    folded = sinks.fold_log(spark, log, keys, [F.desc("batch")], result.schema)
+    assert folded >= 3 and len(batches()) == 2
+    assert sinks.fold_log(spark, log, keys, [F.desc("batch")], result.schema) == -1
+    assert rows_of(sinks.read_change_log(spark, log, keys, result.schema)) == expected
+
+
+def test_many_files_out_of_order_lose_no_rows(spark, sf_dir, tmp_path):
+    """Drained as one batch a table equals the batch form; in batches of 64 files the loss is an error."""
+    events = X.table(spark, sf_dir, "events")
+    folder = str(tmp_path / "events.parquet")
+    events.repartition(130).write.parquet(folder)
+    expected = rows_of(telemetry.error_rate(X.judge_events(spark, sf_dir)))
+    assert rows_of(queries.rounded(queries.REGISTRY["stream_error_rate_5m"](spark, str(tmp_path)))) == rows_of(
+        queries.rounded(telemetry.error_rate(X.judge_events(spark, sf_dir))))
+    result = stream_telemetry.error_rate(X.to_judge_events(stream(spark, folder, 64)), "10 minutes")
+    with pytest.raises(sinks.LateRows):
+        sinks.run_change_log(result, str(tmp_path / "log"), str(tmp_path / "checkpoint"))
+    wide = stream_telemetry.error_rate(X.to_judge_events(stream(spark, folder, 64)), "4000 days")
+    sinks.run_change_log(wide, str(tmp_path / "log2"), str(tmp_path / "checkpoint2"))
+    keys = ["window_start", "conversation_type", "error_type"]
+    assert rows_of(sinks.read_change_log(spark, str(tmp_path / "log2"), keys, wide.schema)) == expected
 
 
 def event(number, ts, kind="error"):
@@ -87,9 +103,12 @@ def test_append_mode_closes_windows_and_drops_late_rows(spark, tmp_path):
 
     def drain():
         result = stream_telemetry.error_rate(X.to_judge_events(stream(spark, folder)), "10 minutes")
-        sinks.run_change_log(result, log, checkpoint, mode="append")
+        progress = sinks.run_change_log(result, log, checkpoint, mode="append", allow_late=True)
+        dropped.append(sum(o["numRowsDroppedByWatermark"] for p in progress for o in p["stateOperators"]))
         return result.schema
 
+    dropped = []
+
     add(event(1, START), event(5, START + datetime.timedelta(minutes=1)))
     drain()
     add(event(9, datetime.datetime(2024, 12, 31)))
@@ -99,14 +118,12 @@ def test_append_mode_closes_windows_and_drops_late_rows(spark, tmp_path):
     keys = ["window_start", "conversation_type", "error_type"]
     rows = sinks.read_change_log(spark, log, keys, schema).collect()
     assert [(r["window_start"], r["errors"]) for r in rows] == [(START, 2)]
-    # The lost row is counted, with the batch it came in.
-    late = sinks.late_rows(spark, log).collect()
-    assert [r["rows"] for r in late] == [1] and late[0]["batch"] >= 2
+    # The lost row is counted in the reports of its drain.
+    assert dropped == [0, 0, 1]
 
 
-def test_late_rows_of_batches_whose_reports_are_gone_are_counted(spark, tmp_path):
-    """The query keeps the reports of its last hundred batches; here of two, to be done sooner."""
-    folder, log = str(tmp_path / "in"), str(tmp_path / "log")
+def test_late_rows_of_more_batches_than_spark_keeps_reports_of_fail_the_drain(spark, tmp_path):
+    folder = str(tmp_path / "in")
     session = spark.newSession()
     session.conf.set("spark.sql.shuffle.partitions", "1")
     session.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
@@ -114,29 +131,8 @@ def test_late_rows_of_batches_whose_reports_are_gone_are_counted(spark, tmp_path
         rows = session.createDataFrame([event(4 * number + 1, ts)], SCHEMA)
         rows.coalesce(1).write.mode("append").parquet(folder)
     result = stream_telemetry.error_rate(X.to_judge_events(stream(session, folder)), "10 minutes")
-    progress = sinks.run_change_log(result, log, str(tmp_path / "checkpoint"))
-    assert len(progress) <= 2
-    late = sorted((r["batch"], r["rows"]) for r in sinks.late_rows(spark, log).collect())
-    assert late == [(batch, 1) for batch in range(late[0][0], 10)] and late[0][0] <= 2
-
-
-def test_late_rows_are_written_while_the_stream_runs(spark, tmp_path):
-    """What a batch dropped is on disk though the driver dies in a later one."""
-    folder, log = str(tmp_path / "in"), str(tmp_path / "log")
-    for number, ts in enumerate([datetime.datetime(2024, 12, 31), *[START] * 4]):
-        rows = spark.createDataFrame([event(4 * number + 1, ts)], SCHEMA)
-        rows.coalesce(1).write.mode("append").parquet(folder)
-    result = stream_telemetry.error_rate(X.to_judge_events(stream(spark, folder)), "10 minutes")
-    seen = []
-
-    def handle(batch, number):
-        batch.collect()
-        deadline = time.time() + 20
-        while number == 4 and time.time() < deadline and not seen:
-            seen.extend(sinks.late_rows(spark, log).collect())
-
-    sinks.run_batches(result, handle, str(tmp_path / "checkpoint"), late=f"{log}/_late")
-    assert seen
+    with pytest.raises(sinks.LateRows, match="^[89] rows"):
+        sinks.run_change_log(result, str(tmp_path / "log"), str(tmp_path / "checkpoint"))
 
 
 def test_state_is_given_up_once_the_watermark_has_passed(spark, tmp_path):
@@ -148,17 +144,15 @@ def test_state_is_given_up_once_the_watermark_has_passed(spark, tmp_path):
     progress = sinks.run_change_log(result, str(tmp_path / "log"), str(tmp_path / "checkpoint"))
     held = [step["stateOperators"][0]["numRowsTotal"] for step in progress if step["stateOperators"]]
     assert max(held) <= 2 * 12 + 3 and held[-1] <= 3
-    assert sinks.late_rows(spark, str(tmp_path / "log")).count() == 0
 
 
-def test_a_batch_that_is_being_written_is_not_read(spark, tmp_path):
+def test_a_batch_that_is_run_again_replaces_itself(spark, tmp_path):
     log, schema = str(tmp_path / "log"), spark.createDataFrame([], "k int, v int").schema
-    sinks.write_batch(spark.createDataFrame([(1, 1)], schema), log, 0)
-    spark.createDataFrame([(1, 2), (2, 2)], schema).write.parquet(f"{log}/batch=1")
     read = lambda: sorted(tuple(r) for r in sinks.read_change_log(spark, log, ["k"], schema).collect())
-    assert read() == [(1, 1)]
+    sinks.write_batch(spark.createDataFrame([(1, 1)], schema), log, 0)
+    sinks.write_batch(spark.createDataFrame([(1, 9), (3, 9)], schema), log, 1)
     sinks.write_batch(spark.createDataFrame([(1, 2), (2, 2)], schema), log, 1)
-    assert read() == [(1, 2), (2, 2)]
+    assert read() == [(1, 2), (2, 2)] and len(sinks.read_log(spark, log, schema).collect()) == 3
 
 
 MESSAGES = ("id bigint, conversation_id bigint, message_type string, content string, "
@@ -175,60 +169,49 @@ def message_rows():
     ]
 
 
-def test_running_signals_equal_batch_with_repeats_and_restart(spark, tmp_path):
+def test_running_signals_equal_batch_with_repeats_edits_and_restart(spark, tmp_path):
     folder = str(tmp_path / "in")
     log, checkpoint = str(tmp_path / "log"), str(tmp_path / "checkpoint")
-    rows = message_rows()
+    rows = [(*row, 1) for row in message_rows()]
 
     def add(part):
-        spark.createDataFrame(part, MESSAGES).coalesce(1).write.mode("append").parquet(folder)
+        frame = spark.createDataFrame(part, f"{MESSAGES}, _load bigint")
+        frame.coalesce(1).write.mode("append").parquet(folder)
 
     def drain():
-        result = stream_signals.running_signals(stream(spark, folder))
-        sinks.run_change_log(result, log, checkpoint)
-        return result.schema
+        messages = stream(spark, folder)
+        stream_signals.follow(messages, log, checkpoint)
+        schema = stream_signals.flag_rows(messages).schema
+        return schema, rows_of(stream_signals.current_signals(sinks.read_log(spark, log, schema)))
+
+    def expected(found):
+        frame = spark.createDataFrame(found, f"{MESSAGES}, _load bigint")
+        return rows_of(signals.message_signals(frame, dedupe=True))
 
     add(rows[40:])
     add(rows[:20])
-    drain()
-    # After a restart: new rows, and a conversation that lands again as a whole.
+    assert drain()[1] == expected(rows[40:] + rows[:20])
+    # After a restart: new rows, a conversation that lands again, and messages that a later load has
+    # changed, one of them into nothing that counts; an earlier load arrives last and changes nothing.
+    edited = [(*row[:3], "Quality Score: 5" if row[0] % 2 else "", *row[4:6], 2) for row in rows[::7]]
     add(rows[20:40])
-    add([row for row in rows if row[1] == 2])
-    schema = drain()
-    got = sinks.read_change_log(spark, log, ["conversation_id"], schema)
-    expected = signals.message_signals(spark.createDataFrame(rows, MESSAGES))
-    assert rows_of(got) == rows_of(expected)
+    add(edited + [row for row in rows if row[1] == 2])
+    add(rows[::3])
+    schema, got = drain()
+    assert got == expected(rows + edited) != expected(rows)
+    assert stream_signals.fold(spark, log, schema) >= 2
+    assert rows_of(stream_signals.current_signals(sinks.read_log(spark, log, schema))) == got
+    assert sinks.read_log(spark, log, schema).count() < len(rows) + len(rows[::3]) + 1
 
 
 def test_signals_of_a_table_of_many_files_equal_batch(spark, sf_dir, tmp_path):
-    """More files than a batch takes, none of them in the order of event time."""
+    """None of the files is in the order of event time."""
     lines = X.table(spark, sf_dir, "lineitem")
     lines.repartition(150).write.parquet(str(tmp_path / "lineitem.parquet"))
     got = queries.REGISTRY["stream_signals"](spark, str(tmp_path))
     assert rows_of(got) == rows_of(signals.message_signals(X.messages(spark, sf_dir)))
 
 
-def test_time_order_is_kept_over_batches(spark, tmp_path):
-    """Years in the wrong order, some without a time: one batch per range, and nothing is late."""
-    rows = [
-        (*row[:5], None if row[0] % 20 == 7 else START + datetime.timedelta(days=100 * (-row[0] % 60)))
-        for row in message_rows()
-    ]
-    messages = spark.createDataFrame(rows, MESSAGES).repartition(7)
-    folder = str(tmp_path / "run")
-    log, schema = sinks.run_in_time_order(
-        messages, "created_at", 5, folder, spark, stream_signals.running_signals
-    )
-    assert len(os.listdir(f"{folder}/checkpoint/sources/0")) >= 5
-    assert sinks.late_rows(spark, log).count() == 0
-    got = sinks.read_change_log(spark, log, ["conversation_id"], schema)
-    assert rows_of(got) == rows_of(signals.message_signals(messages))
-    log, schema = sinks.run_in_time_order(
-        messages.limit(0), "created_at", 5, str(tmp_path / "none"), spark, stream_signals.running_signals
-    )
-    assert sinks.read_change_log(spark, log, ["conversation_id"], schema).count() == 0
-
-
 def test_restart_without_new_files_changes_nothing(spark, event_files, tmp_path):
     log, checkpoint = str(tmp_path / "log"), str(tmp_path / "checkpoint")
     for _ in range(2):
@@ -254,7 +237,7 @@ def test_paper_stream_takes_late_files_without_going_back(spark, tmp_path):
 
     def drain():
         lines = stream_papers.line_stream(spark, str(folder))
-        stream_papers.ingest(lines, log, checkpoint, "2026-01-01", compact_every=2)
+        stream_papers.ingest(lines, log, checkpoint, "2026-01-01")
         rows = stream_papers.current_papers(spark, log).collect()
         return {r["paper_id"]: r["title"] for r in rows}
 
@@ -265,3 +248,6 @@ def test_paper_stream_takes_late_files_without_going_back(spark, tmp_path):
     assert drain() == {"1": "two b", "3": "late"}
     (folder / "f3.jsonl").write_text(record(3, "newest"))
     assert drain() == {"1": "two b", "3": "newest"}
+    assert stream_papers.fold(spark, log) == 1
+    rows = stream_papers.current_papers(spark, log).collect()
+    assert {r["paper_id"]: r["title"] for r in rows} == {"1": "two b", "3": "newest"}
