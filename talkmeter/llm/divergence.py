@@ -24,7 +24,6 @@ are read whole; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,43 +33,49 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from talkmeter.llm.common import LOWER, UPPER, running_totals, staged
+from talkmeter.llm.common import running_totals, staged
 
-TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-LOWERED = str.maketrans(UPPER, LOWER)
+# Bytes of UTF-8: letters A to Z become small, a to z and all of other scripts stay, the rest parts terms.
+TERM_BYTES = bytes(
+    b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
+)
 LARGEST = 2**31 - 1
 GROUP = ["lang", "source"]
 
 
-def term_counts(text: str) -> Counter:
-    """The text's terms and how often each occurs; only A to Z are lower-cased."""
-    counts = Counter()
-    for term, n in Counter(TERM.findall(text)).items():
-        counts[term.translate(LOWERED)] += n
-    return counts
+def term_counts(text: bytes) -> Counter:
+    """The terms of a text in UTF-8 and how often each occurs; only A to Z are lower-cased."""
+    return Counter(text.translate(TERM_BYTES).split())
 
 
 def named(docs: DataFrame) -> list[Column]:
     return [F.coalesce(docs[c].cast("string"), F.lit("")).alias(c) for c in ("text", *GROUP)]
 
 
-def document_vectors(docs: DataFrame) -> DataFrame:
-    """(lang, source, terms array<string>, counts array<long>): one sparse vector per document."""
+def document_vectors(docs: DataFrame, entries: int = 500_000) -> DataFrame:
+    """(lang, source, terms array<string>, counts array<long>): one sparse vector per document.
+
+    A task holds the vectors of about ``entries`` entries at a time, or those of one document.
+    """
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ends, terms, counts = [0], [], []
-            for text in batch.column("text"):
+            texts = batch.column("text").cast(pa.binary())
+            start, ends, terms, counts = 0, [0], [], []
+            for i, text in enumerate(texts, 1):
                 found = term_counts(text.as_py())
                 terms += found.keys()
                 counts += found.values()
                 ends.append(len(terms))
-            ends = pa.array(ends, pa.int32())
-            columns = [batch.column(c) for c in GROUP] + [
-                pa.ListArray.from_arrays(ends, pa.array(values, kind))
-                for values, kind in ((terms, pa.string()), (counts, pa.int64()))
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=[*GROUP, "terms", "counts"])
+                if len(terms) >= entries or i == len(texts):
+                    lists = [
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values) for values in (
+                            pa.array(terms, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())
+                        )
+                    ]
+                    group = [batch.column(c).slice(start, i - start) for c in GROUP]
+                    yield pa.RecordBatch.from_arrays(group + lists, names=[*GROUP, "terms", "counts"])
+                    start, ends, terms, counts = i, [0], [], []
 
     return docs.select(named(docs)).mapInArrow(
         visit, "lang string, source string, terms array<string>, counts array<long>"
@@ -235,10 +240,11 @@ def indexed_vectors(docs: DataFrame, min_df: int = 30, vocab_size: int = LARGEST
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [term_counts(text) for text in batch["text"]]
+            found = [term_counts(text.encode()) for text in batch["text"]]
             yield pd.DataFrame({
                 "number": batch["__row_number"], "lang": batch["lang"],
-                "term": [list(c) for c in found], "n": [list(c.values()) for c in found],
+                "term": [[w.decode() for w in c] for c in found],
+                "n": [list(c.values()) for c in found],
             })
 
     entries = texts.mapInPandas(

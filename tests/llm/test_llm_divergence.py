@@ -83,6 +83,12 @@ def test_indexed_vectors_are_those_of_a_count_vectorizer(spark):
     assert len(ours) == 60 and ours == theirs
 
 
+def test_vectors_leave_in_pieces_without_changing(spark):
+    docs = odd_docs(spark)
+    whole, pieces = (sorted(map(tuple, dv.document_vectors(docs, n).collect()), key=str) for n in (10**6, 3))
+    assert whole == pieces and len(whole) == docs.count()
+
+
 def test_limited_vocabulary_keeps_the_most_frequent(spark):
     rows = [("a a a b b c", "en", "s")] * 2 + [("a d", "en", "t")]
     docs = spark.createDataFrame(rows, "text string, lang string, source string")
