@@ -836,6 +836,16 @@ SELECT *, pct_of_cost - pct_of_count AS imbalance FROM (
     total_cost::DOUBLE / (SELECT sum(total_cost) FROM per_type)::DOUBLE AS pct_of_cost,
     count / (SELECT sum(count) FROM per_type)::DOUBLE AS pct_of_count
   FROM per_type)"""
+ORACLES["latest_outcomes_folded"] = ORACLES["latest_outcomes"]
+ORACLES["outcome_history_folded"] = ORACLES["outcome_history"]
+ORACLES["marts_sql"] = (
+    f"WITH {FACT}, history AS ({ORACLES['outcome_history'].replace(f'WITH {X.CTE_LEDGER} ', '')}) "
+    "SELECT f.conversation_type, count(*) AS conversations, "
+    "count(*) FILTER (WHERE f.is_classified) AS classified, sum(h.judgements)::BIGINT AS judgements, "
+    "sum(f.total_turns)::BIGINT AS turns FROM fact f LEFT JOIN (SELECT conversation_id, "
+    "count(*) AS judgements FROM history GROUP BY 1) h USING (conversation_id) GROUP BY 1"
+)
+ORACLES["fct_outcomes_mart"] = ORACLES["fct_outcomes"]
 ORACLES["stream_signals_relanded"] = ORACLES["stream_signals"]
 ORACLES["stream_score_means"] = ORACLES["score_mean_24h"]
 ORACLES["cost_concentration"] = SHARES

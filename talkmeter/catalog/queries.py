@@ -91,13 +91,24 @@ def drift(spark: SparkSession, sf: str) -> DataFrame:
     return validation.concept_drift(validation_fact(spark, sf))
 
 
-def built_marts(spark: SparkSession, sf: str, *wanted: str) -> dict[str, DataFrame]:
-    given = marts.Inputs(
+STANDING: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def mart_inputs(spark: SparkSession, sf: str) -> marts.Inputs:
+    return marts.Inputs(
         X.conversations(spark, sf), X.messages(spark, sf), X.runs(spark, sf), X.ledger(spark, sf),
         X.validation_ledger(spark, sf), X.ERA_CUT,
     )
-    folder = new_run_folder(spark, "marts")
-    return marts.build_marts(spark, folder, given, wanted or tuple(marts.BUILDERS))
+
+
+def standing_marts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The marts of these tables, published once per application and read by all its reports."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in STANDING:
+        STANDING[key] = marts.build_marts(
+            spark, new_run_folder(spark, "marts"), mart_inputs(spark, sf)
+        )
+    return STANDING[key]
 
 
 def landed(rows: DataFrame, key: str, early: dict[str, str]) -> DataFrame:
@@ -674,6 +685,49 @@ def outcome_history(spark, sf):
     return outcomes.outcome_history(X.ledger(spark, sf))
 
 
+@query
+def fct_outcomes_mart(spark, sf):
+    """The published fact, joined from bucketed marts without a shuffle."""
+    return plain(standing_marts(spark, sf)["fct_outcomes"])
+
+
+@query
+def marts_sql(spark, sf):
+    """Facts, history and staging by name in one SQL statement; the marts join as they lie."""
+    marts.as_views(mart_inputs(spark, sf), standing_marts(spark, sf))
+    return spark.sql("""
+        SELECT f.conversation_type, count(*) AS conversations, count_if(f.is_classified) AS classified,
+               sum(h.judgements) AS judgements, sum(c.total_turns) AS turns
+        FROM fct_outcomes f
+        JOIN stg_conversations c ON c.id = f.conversation_id
+        LEFT JOIN (SELECT conversation_id, count(*) AS judgements FROM outcome_history
+                   GROUP BY conversation_id) h ON h.conversation_id = f.conversation_id
+        GROUP BY f.conversation_type""")
+
+
+def folded(spark, sf, keys: list[str]) -> DataFrame:
+    """The ledger in three loads, each folded into the rows that the loads before it left."""
+    folder, rows = new_run_folder(spark, "ledger"), X.ledger(spark, sf)
+    for load in range(3):
+        part = rows.filter(F.pmod(F.xxhash64("conversation_id", "classified_at"), F.lit(3)) == load)
+        tables.append_ledger(part, f"{folder}/ledger", by_version=False, load=load)
+        newest = outcomes.fold_newest(
+            spark, f"{folder}/ledger", f"{folder}/newest", keys, rows.schema,
+            spark.sparkContext.defaultParallelism,
+        )
+    return newest
+
+
+@query
+def latest_outcomes_folded(spark, sf):
+    return folded(spark, sf, outcomes.FACT_KEYS)
+
+
+@query
+def outcome_history_folded(spark, sf):
+    return outcomes.history_of_newest(folded(spark, sf, outcomes.HISTORY_KEYS))
+
+
 @query
 def fct_concept_drift(spark, sf):
     return drift(spark, sf)
@@ -691,7 +745,7 @@ def drift_latest_run(spark, sf):
 
 @query
 def tier_drift_recent(spark, sf):
-    built = built_marts(spark, sf, "conversation_types", "fct_outcomes")
+    built = standing_marts(spark, sf)
     return reports.tier_drift_recent(reports.load_classified(built["fct_outcomes"]))
 
 
@@ -914,7 +968,7 @@ def drift_gate_breached(spark, sf):
 
 @query
 def dq_report(spark, sf):
-    built = built_marts(spark, sf)
+    built = standing_marts(spark, sf)
     parts = [
         checks.table_report(
             "conversations", X.conversations(spark, sf), ["id"], ["id"]

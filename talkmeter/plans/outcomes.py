@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from talkmeter import vocabulary as V
-from talkmeter.functions import keys, labels
-from talkmeter.operators.latest import latest_by
+from talkmeter.functions import keys as key_functions
+from talkmeter.functions import labels
+from talkmeter.operators.latest import latest_by, newest_first
+from talkmeter.sources import keyed, tables
 
 MASKED = [*V.RUBRIC, "flag_dev_acknowledged", "reasoning"]
 
@@ -35,6 +38,10 @@ FACT_COLUMNS = [
 ]
 
 
+FACT_KEYS = ["conversation_id"]
+HISTORY_KEYS = ["conversation_id", "prompt_version"]
+
+
 def with_lineage(ledger: DataFrame) -> DataFrame:
     """Ledger under mart names."""
     return ledger.withColumnsRenamed(
@@ -62,7 +69,12 @@ def masked_outcomes(latest: DataFrame) -> DataFrame:
 
 def outcome_fact(typed: DataFrame, ledger: DataFrame) -> DataFrame:
     """One row per classifiable conversation with its latest outcome, if any."""
-    latest = masked_outcomes(latest_outcomes(ledger)).select(
+    return fact_of_latest(typed, latest_outcomes(ledger))
+
+
+def fact_of_latest(typed: DataFrame, newest: DataFrame) -> DataFrame:
+    """The fact from outcomes that are the newest already; bucketed marts join as they lie."""
+    latest = masked_outcomes(newest).select(
         "conversation_id", "outcome", "classified_as_type", "classified_at",
         "prompt_version", "model_version", "prompt_hash", *MASKED, "char_count",
     )
@@ -78,10 +90,13 @@ def outcome_fact(typed: DataFrame, ledger: DataFrame) -> DataFrame:
 def outcome_history(ledger: DataFrame) -> DataFrame:
     """Newest row per conversation and judge version."""
     versioned = with_lineage(ledger).filter(F.col("prompt_version").isNotNull())
-    newest = latest_by(versioned, ["conversation_id", "prompt_version"], ["classified_at"])
+    return history_of_newest(latest_by(versioned, HISTORY_KEYS, ["classified_at"]))
+
+
+def history_of_newest(newest: DataFrame) -> DataFrame:
     outcome = F.col("outcome")
     return newest.select(
-        keys.surrogate_key(F.col("conversation_id"), F.col("prompt_version"))
+        key_functions.surrogate_key(F.col("conversation_id"), F.col("prompt_version"))
         .alias("conversation_version_key"),
         "conversation_id", "prompt_version", "model_version", "prompt_hash",
         "classified_as_type", "classified_at", "outcome",
@@ -90,6 +105,36 @@ def outcome_history(ledger: DataFrame) -> DataFrame:
     )
 
 
+def fold_newest(
+    spark: SparkSession, ledger: str, base: str, keys: list[str], schema: StructType,
+    buckets: int = 64,
+) -> DataFrame:
+    """Newest ledger row per key, kept up below ``base`` load by load; returns the rows.
+
+    ``schema`` is that of the ledger today; columns that older files lack are NULL there. Only loads
+    after the last folded one are opened (their number is a partition of the ledger, and no file is
+    asked for its schema), and only the buckets that they touch are rewritten. The rows are those that ``latest_by`` finds in the
+    whole ledger: a later load with an older ``classified_at`` changes nothing. With ``HISTORY_KEYS``
+    rows without a version take no part.
+    """
+    step, folded = tables.read_step(spark, f"{base}/_marks", "load", "-1")
+    whole = StructType([*schema.fields, StructField(tables.LOAD, LongType())])
+    rows = with_lineage(spark.read.schema(whole).parquet(ledger))
+    columns = [field for field in rows.schema.fields if field.name != tables.LOAD]
+    kept = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in columns)
+    new = rows.filter(F.col(tables.LOAD) > int(folded))
+    for key in keys[1:]:
+        new = new.filter(F.col(key).isNotNull())
+    upto = new.agg(F.max(tables.LOAD)).first()[0]
+    if upto is not None:
+        order = [*newest_first("classified_at"), F.xxhash64(*[F.col(f.name) for f in columns])]
+        keyed.merge(
+            new.drop(tables.LOAD), f"{base}/rows", kept, keys, order, buckets, batch_wins=False
+        )
+        tables.write_mark(spark, f"{base}/_marks", "load", str(upto), after=step)
+    return keyed.read(spark, f"{base}/rows", kept)
+
+
 def judge_versions(ledger: DataFrame) -> DataFrame:
     """Registry of judges: what each version scored, when and how much.
 

@@ -9,6 +9,8 @@ which changes nothing that it had written before.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +44,26 @@ def settled_buckets(spark: SparkSession, path: str, buckets: int) -> int:
     return int(known)
 
 
+def rewrite(
+    batch: DataFrame, path: str, schema: str, keys: list[str],
+    combine: Callable[[DataFrame, DataFrame], DataFrame], buckets: int = 64,
+) -> list[int]:
+    """Replace the buckets that the batch's keys fall into by ``combine(stored rows, batch)`` of them.
+
+    Both frames carry ``_bucket``, and so must the result. Returns the buckets that were rewritten.
+    """
+    spark = batch.sparkSession
+    count = settled_buckets(spark, path, buckets)
+    new = written(batch.withColumn(BUCKET, bucket_of(keys, count)), "keyed-batch")
+    touched = sorted(row[0] for row in new.select(BUCKET).distinct().collect())
+    if touched:
+        old = stored(spark, path, schema).filter(F.col(BUCKET).isin(touched))
+        combine(old, new).select(*old.columns).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy(BUCKET).parquet(path)
+    return touched
+
+
 def merge(
     batch: DataFrame, path: str, schema: str, keys: list[str], newest: list[Column],
     buckets: int = 64, batch_wins: bool = True,
@@ -51,20 +73,13 @@ def merge(
     Of the rows of one key the first in the order of ``newest`` stays, which may use columns that only
     the batch has; with ``batch_wins`` a row of the batch goes before a stored one.
     """
-    spark = batch.sparkSession
-    count = settled_buckets(spark, path, buckets)
-    new = written(batch.withColumn(BUCKET, bucket_of(keys, count)), "keyed-batch")
-    touched = sorted(row[0] for row in new.select(BUCKET).distinct().collect())
-    if not touched:
-        return []
-    old = stored(spark, path, schema).filter(F.col(BUCKET).isin(touched))
-    both = old.withColumn(FROM_BATCH, F.lit(0)).unionByName(
-        new.withColumn(FROM_BATCH, F.lit(1)), allowMissingColumns=True
-    )
     order = [F.desc(FROM_BATCH), *newest] if batch_wins else newest
-    # Dealt by bucket: the ranking needs no exchange of its own, and a bucket becomes one file.
-    merged = first_by(both.repartition(BUCKET), [BUCKET, *keys], order).select(*old.columns)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        BUCKET
-    ).parquet(path)
-    return touched
+
+    def combine(old: DataFrame, new: DataFrame) -> DataFrame:
+        both = old.withColumn(FROM_BATCH, F.lit(0)).unionByName(
+            new.withColumn(FROM_BATCH, F.lit(1)), allowMissingColumns=True
+        )
+        # Dealt by bucket: the ranking needs no exchange of its own, and a bucket becomes one file.
+        return first_by(both.repartition(BUCKET), [BUCKET, *keys], order)
+
+    return rewrite(batch, path, schema, keys, combine, buckets)

@@ -11,6 +11,8 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from talkmeter import vocabulary as V
 from talkmeter.sources import files
@@ -28,8 +30,10 @@ LABEL_SCHEMA = ", ".join(
     ]
 )
 
+LOAD = "_load"
 
-def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+
+def read_or_empty(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     """The Parquet table at ``path``, or an empty one before the first write."""
     try:
         return spark.read.schema(schema).parquet(path)
@@ -96,62 +100,75 @@ def take_number(spark: SparkSession, path: str, name: str) -> int:
 
 
 def publish(
-    df: DataFrame, base: str, partition_by: list[str] | None = None, after: int | None = None
+    df: DataFrame, base: str, partition_by: list[str] | None = None, after: int | None = None,
+    bucket_by: str | None = None, buckets: int = 0,
 ) -> int:
     """Write a version of a table and point readers at it; returns the pointer's step.
 
     The version goes to a folder of its own. ``after`` is the step that the new
     version was made from: if the pointer has moved since, ``Moved`` is raised
-    and readers keep what they have.
+    and readers keep what they have. Tables with one row per conversation may be
+    bucketed by it, so that joins between them need no shuffle. Messages must not:
+    a conversation with a third of all messages would make one bucket a third of the table.
     """
     spark = df.sparkSession
     if after is None:
         after = read_step(spark, f"{base}/_pointer", "version", None)[0]
     folder = f"version={after + 1}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").partitionBy(*(partition_by or [])).parquet(f"{base}/{folder}")
+    place = f"{base}/{folder}"
+    if bucket_by:
+        # One task writes one bucket, so a bucket is one sorted file.
+        df.repartition(buckets, bucket_by).write.mode("errorifexists").bucketBy(
+            buckets, bucket_by
+        ).sortBy(bucket_by).option("path", place).saveAsTable(table_name(folder))
+        folder = f"{folder}|{bucket_by}|{buckets}"
+    else:
+        df.write.mode("errorifexists").partitionBy(*(partition_by or [])).parquet(place)
     return write_mark(spark, f"{base}/_pointer", "version", folder, after)
 
 
-def current_step(spark: SparkSession, base: str, schema: str) -> tuple[int, DataFrame]:
-    """The version readers are pointed at, and its step; empty before the first publish."""
-    step, folder = read_step(spark, f"{base}/_pointer", "version", None)
-    if folder is None:
-        return 0, spark.createDataFrame([], schema)
-    return step, spark.read.schema(schema).parquet(f"{base}/{folder}")
+def table_name(folder: str) -> str:
+    return f"published_{folder.rsplit('-', 1)[1]}"
 
 
-def current(spark: SparkSession, base: str, schema: str) -> DataFrame:
-    return current_step(spark, base, schema)[1]
+def opened(spark: SparkSession, base: str, mark: str, schema: str | StructType) -> DataFrame:
+    """A published version; bucketed ones are made known to the session's catalogue."""
+    folder, *bucketed = mark.split("|")
+    if not bucketed:
+        return spark.read.schema(schema).parquet(f"{base}/{folder}")
+    name, (key, buckets) = table_name(folder), bucketed
+    if not spark.catalog.tableExists(name):
+        fields = schema if isinstance(schema, str) else ", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields
+        )
+        spark.sql(
+            f"CREATE TABLE {name} ({fields}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) "
+            f"INTO {buckets} BUCKETS LOCATION '{base}/{folder}'"
+        )
+    return spark.table(name)
 
 
-def materialize(
-    layer: str, name: str, df: DataFrame, bucket_by: str | None = None, buckets: int = 0
-) -> DataFrame:
-    """Views for staging and intermediate results, saved tables for marts.
+def current_step(spark: SparkSession, base: str, schema: str | StructType) -> tuple[int, DataFrame]:
+    """The version readers are pointed at, and its step; empty before the first publish."""
+    step, mark = read_step(spark, f"{base}/_pointer", "version", None)
+    return (0, spark.createDataFrame([], schema)) if mark is None else (step, opened(spark, base, mark, schema))
 
-    Marts with one row per conversation may be bucketed by it, so that joins
-    between them need no shuffle. Messages must not: a conversation with a
-    third of all messages would make one bucket a third of the table.
-    """
-    if layer != "marts":
-        df.createOrReplaceTempView(name)
-        return df
-    writer = df.write.mode("overwrite")
-    if bucket_by:
-        writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
-    writer.saveAsTable(name)
-    return df.sparkSession.table(name)
+
+def current(spark: SparkSession, base: str, schema: str | StructType) -> DataFrame:
+    return current_step(spark, base, schema)[1]
 
 
 # --- ledgers ----------------------------------------------------------------------
 
 
-def append_ledger(rows: DataFrame, path: str, by_version: bool = True) -> None:
-    """Append ledger rows; the version partition lets queue reads prune."""
-    writer = rows.write.mode("append")
-    if by_version:
-        writer = writer.partitionBy("prompt_version")
-    writer.parquet(path)
+def append_ledger(
+    rows: DataFrame, path: str, by_version: bool = True, load: int | None = None
+) -> None:
+    """Append ledger rows; the version partition lets queue reads prune, that of the load those of folds."""
+    parts = ["prompt_version"] if by_version else []
+    if load is not None:
+        rows, parts = rows.withColumn(LOAD, F.lit(load).cast("long")), [LOAD, *parts]
+    rows.write.mode("append").partitionBy(*parts).parquet(path)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:

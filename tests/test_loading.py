@@ -10,8 +10,8 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
-from talkmeter.operators.latest import upsert
-from talkmeter.plans import signals, staging
+from talkmeter.operators.latest import latest_by, upsert
+from talkmeter.plans import outcomes, signals, staging
 from talkmeter.sources import incremental, keyed, papers, tables
 
 PARENTS = "id bigint, title string, updated_at timestamp_ntz"
@@ -181,28 +181,39 @@ def test_ledger_columns_added_later_are_null_on_old_rows(spark, tmp_path):
     assert rows == {1: None, 2: True}
 
 
-def test_layers_become_views_and_tables(spark, tmp_path):
-    rows = spark.range(3)
-    assert tables.materialize("staging", "stg_probe", rows).count() == 3
-    assert spark.sql("SELECT count(*) FROM stg_probe").first()[0] == 3
-
-
-def test_bucketed_marts_join_without_a_shuffle(spark, tmp_path):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS marts_probe LOCATION '{tmp_path}'")
-    try:
-        rows = spark.range(1000).withColumnRenamed("id", "conversation_id")
-        left, right = (
-            tables.materialize("marts", f"marts_probe.{n}", rows.withColumn(n, F.lit(1)),
-                               "conversation_id", 4)
-            for n in ("a", "b")
-        )
-        joined = left.join(right, "conversation_id")
-        assert joined.count() == 1000
-        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.sql("DROP DATABASE marts_probe CASCADE")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def ledger_row(conversation, at, version="v1", outcome="success_clean"):
+    return (conversation, outcome, version, "m", "consultation", day(at))
+
+
+LEDGER = ("conversation_id bigint, outcome string, prompt_version string, model string, "
+          "conversation_type string, classified_at timestamp_ntz")
+
+
+@pytest.mark.parametrize("keys", [outcomes.FACT_KEYS, outcomes.HISTORY_KEYS])
+def test_folded_outcomes_equal_the_whole_ledger(spark, tmp_path, keys):
+    """Also where a later load brings older rows, ties, and rows without a version or a time."""
+    rng, ledger, base = random.Random(4), str(tmp_path / "ledger"), str(tmp_path / "newest")
+    everything = []
+    for load in range(4):
+        rows = [ledger_row(rng.randint(0, 30), rng.randint(1, 9), rng.choice(["v1", "v2", None]),
+                           rng.choice("ab")) for _ in range(40)]
+        rows += [(*row[:5], None) for row in rows[:2]]
+        everything += rows
+        frame = spark.createDataFrame(rows, LEDGER)
+        tables.append_ledger(frame, ledger, by_version=False, load=load)
+        got = outcomes.fold_newest(spark, ledger, base, keys, frame.schema, buckets=4)
+        whole = outcomes.with_lineage(spark.createDataFrame(everything, LEDGER))
+        if len(keys) > 1:
+            whole = whole.filter("prompt_version IS NOT NULL")
+        want = latest_by(whole, keys, ["classified_at"]).select(*got.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        # Files of loads that are folded are not opened any more.
+        for file in os.listdir(f"{ledger}/_load={load}"):
+            if file.startswith("part-"):
+                (tmp_path / "ledger" / f"_load={load}" / f".{file}.crc").unlink()
+                (tmp_path / "ledger" / f"_load={load}" / file).write_bytes(b"spoilt")
+    again = outcomes.fold_newest(spark, ledger, base, keys, frame.schema, buckets=4)
+    assert again.count() == got.count()
 
 
 def test_upsert_last_of_the_batch_wins(spark):

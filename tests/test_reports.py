@@ -273,9 +273,9 @@ def test_eval_units_move_no_text_in_windows(spark, sf_dir):
 
 
 def test_reports_read_marts_and_equal_the_direct_form(spark, sf_dir, tmp_path):
-    from talkmeter.catalog.queries import built_marts, fact
+    from talkmeter.catalog.queries import fact, standing_marts
 
-    built = built_marts(spark, sf_dir)
+    built = standing_marts(spark, sf_dir)
     assert set(built) == set(marts.BUILDERS)
     direct, mart = fact(spark, sf_dir), built["fct_outcomes"]
     assert mart.schema.simpleString() == direct.schema.simpleString()
@@ -285,6 +285,37 @@ def test_reports_read_marts_and_equal_the_direct_form(spark, sf_dir, tmp_path):
     assert "lineitem" not in plan_of(REGISTRY["tier_drift_recent"](spark, sf_dir))
 
 
+def test_fact_and_history_join_as_they_lie(spark, sf_dir):
+    """Bucketed by conversation, the marts need no exchange, neither when built nor when read."""
+    from talkmeter.catalog.queries import mart_inputs, standing_marts
+
+    built = standing_marts(spark, sf_dir)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = marts.BUILDERS["fct_outcomes"](mart_inputs(spark, sf_dir), built)
+        counts = built["outcome_history"].groupBy("conversation_id").count()
+        for rows in (fact, built["fct_outcomes"].join(counts, "conversation_id", "left")):
+            rows.count()
+            plan = plan_of(rows)
+            assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_a_bucketed_version_opens_in_a_session_that_did_not_write_it(spark, tmp_path):
+    from talkmeter.sources import tables
+
+    base = str(tmp_path / "t")
+    rows = spark.range(100).selectExpr("id AS conversation_id", "CAST(id AS STRING) AS v")
+    tables.publish(rows, base, bucket_by="conversation_id", buckets=4)
+    mark = tables.read_mark(spark, f"{base}/_pointer", "version", None)
+    spark.sql(f"DROP TABLE {tables.table_name(mark.split('|')[0])}")  # external: the files stay
+    other = tables.current(spark, base, rows.schema)
+    assert other.dtypes == rows.dtypes and sorted(other.collect()) == sorted(rows.collect())
+    assert "Exchange" not in plan_of(other.groupBy("conversation_id").count())
+
+
 def test_short_conversations_shuffle_their_text_once(spark, sf_dir):
     """Also where nothing is broadcast: one exchange by conversation carries the lines."""
     from talkmeter.operators import transcripts
