@@ -836,6 +836,8 @@ SELECT *, pct_of_cost - pct_of_count AS imbalance FROM (
     total_cost::DOUBLE / (SELECT sum(total_cost) FROM per_type)::DOUBLE AS pct_of_cost,
     count / (SELECT sum(count) FROM per_type)::DOUBLE AS pct_of_count
   FROM per_type)"""
+ORACLES["transcripts_followed"] = ORACLES["transcripts_capped_long"]
+ORACLES["transcripts_reloaded"] = ORACLES["transcripts_capped"]
 ORACLES["latest_outcomes_folded"] = ORACLES["latest_outcomes"]
 ORACLES["outcome_history_folded"] = ORACLES["outcome_history"]
 ORACLES["marts_sql"] = (

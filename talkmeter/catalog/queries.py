@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from talkmeter import vocabulary as V
 from talkmeter.catalog import fixtures as X
 from talkmeter.functions import keys, labels, text
-from talkmeter.operators import checks, judge, queue, transcripts
+from talkmeter.operators import checks, judge, queue, running_transcripts, transcripts
 from talkmeter.operators.latest import latest_by
 from talkmeter.plans import (
     extensions, judging, marts, outcomes, reports, signals, staging, telemetry, validation,
@@ -795,6 +795,29 @@ def transcripts_capped(spark, sf):
     return transcripts.capped_transcripts(X.messages(spark, sf))
 
 
+@query
+def transcripts_followed(spark, sf):
+    """Three loads, each with the messages that come after those of the load before."""
+    path = new_run_folder(spark, "transcripts")
+    messages, position = X.long_dialogues(spark, sf), F.col("sequence_number")
+    for part in (position < 5, (position >= 5) & (position < 11), position >= 11):
+        running_transcripts.load(
+            messages.filter(part), path, whole=False, buckets=spark.sparkContext.defaultParallelism
+        )
+    return running_transcripts.current(spark, path)
+
+
+@query
+def transcripts_reloaded(spark, sf):
+    """A load of all conversations, a fifth of them as they were, and one of that fifth as it is."""
+    path = new_run_folder(spark, "transcripts")
+    raw = staging.typed(landed(X.messages(spark, sf), "conversation_id", X.EARLY_MESSAGE), staging.MESSAGES)
+    touched = F.col("conversation_id") % 5 == 0
+    for part in (raw.filter(~touched | (F.col(staging.LOAD) == 1)), raw.filter(F.col(staging.LOAD) == 2)):
+        running_transcripts.load(part, path, buckets=spark.sparkContext.defaultParallelism)
+    return running_transcripts.current(spark, path)
+
+
 @query
 def transcripts_capped_sql_output(spark, sf):
     return transcripts.sql_output_transcripts(X.messages(spark, sf))
