@@ -29,12 +29,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talkmeter.llm.common import staged, tasks
 
 MOST = 2**63 - 1
+BLOCK = pa.schema([
+    ("part", pa.int32()), ("n", pa.int64()), ("rows", pa.binary()), ("kind", pa.string()),
+    ("flat", pa.binary()), ("low", pa.list_(pa.int64())), ("high", pa.list_(pa.int64())),
+    ("total", pa.list_(pa.string())),
+])
 
 
 def whole_vectors(rows: DataFrame, scale: int) -> DataFrame:
@@ -50,15 +56,6 @@ def whole_vectors(rows: DataFrame, scale: int) -> DataFrame:
     )
 
 
-def cut(vectors: DataFrame, parts: int, width: int) -> DataFrame:
-    """(row, part, v): one row per part of a vector."""
-    padded = F.concat("v", F.array_repeat(F.lit(0).cast("long"), F.lit(parts * width) - F.size("v")))
-    pieces = F.transform(
-        F.sequence(F.lit(0), F.lit(parts - 1)), lambda p: F.slice(padded, p * width + 1, width)
-    )
-    return vectors.select("row", F.posexplode(pieces).alias("part", "v"))
-
-
 def hilbert_places(cells: np.ndarray, bits: int) -> np.ndarray:
     """Places along a Hilbert curve of points with ``bits`` bits per column (at most 63 in all)."""
     x = cells.T.astype(np.int64).copy()
@@ -87,23 +84,43 @@ def hilbert_places(cells: np.ndarray, bits: int) -> np.ndarray:
     return place
 
 
-def on_curve(pieces: DataFrame, least: np.ndarray, most: np.ndarray) -> DataFrame:
-    """The pieces with ``place``; where a part has many components, the first 31 give the place."""
-    used = min(least.shape[1], 31)
+def filled(lists: pa.ListArray, width: int) -> np.ndarray:
+    """The lists as rows of a matrix, short ones padded with zeros."""
+    flat = lists.flatten().to_numpy()
+    if len(flat) == len(lists) * width:  # no list is longer than ``width``, so none is shorter
+        return flat.reshape(-1, width)
+    sizes = lists.value_lengths().to_numpy()
+    out = np.zeros((len(lists), width), dtype=np.int64)
+    out[np.arange(width) < sizes[:, None]] = flat
+    return out
+
+
+def on_curve(vectors: DataFrame, least: np.ndarray, most: np.ndarray) -> DataFrame:
+    """(row, part, place, v): one row per part of a vector, with its place on the part's curve.
+
+    Where a part has many components, the first 31 give the place.
+    """
+    parts, width = least.shape
+    used = min(width, 31)
     bits = min(10, 62 // used)
     low = least[:, :used].astype(np.float64)
     span = np.maximum(most[:, :used].astype(np.float64) - low, 1)
 
-    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                part = batch["part"].to_numpy()
-                values = np.stack(batch["v"].to_numpy())[:, :used].astype(np.float64)
-                cells = ((values - low[part]) / span[part] * (1 << bits)).astype(np.int64)
-                cells = np.clip(cells, 0, (1 << bits) - 1)
-                yield batch.assign(place=hilbert_places(cells, bits))
+            n = len(batch)
+            values = filled(batch.column("v"), parts * width)
+            at = (values.reshape(n, parts, width)[:, :, :used] - low) / span
+            cells = np.clip((at * (1 << bits)).astype(np.int64), 0, (1 << bits) - 1)
+            ends = pa.array(np.arange(0, n * parts * width + 1, width, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.repeat(batch.column("row").to_numpy(), parts)),
+                pa.array(np.tile(np.arange(parts, dtype=np.int32), n)),
+                pa.array(hilbert_places(cells.reshape(-1, used), bits)),
+                pa.ListArray.from_arrays(ends, pa.array(values.ravel())),
+            ], names=["row", "part", "place", "v"])
 
-    return pieces.mapInPandas(visit, "row long, part int, v array<long>, place long")
+    return vectors.select("row", "v").mapInArrow(visit, "row long, part int, place long, v array<long>")
 
 
 def narrowest(values: np.ndarray) -> np.ndarray:
@@ -115,36 +132,45 @@ def narrowest(values: np.ndarray) -> np.ndarray:
     return values
 
 
-def flat_blocks(pieces: DataFrame, block: int) -> DataFrame:
-    """(part, rows, kind, flat, low, high, total): blocks of neighbours on the curve, written."""
+def flat_blocks(pieces: DataFrame, width: int, block: int) -> DataFrame:
+    """(part, n, rows, kind, flat, low, high, total): blocks of neighbours on the curve, written."""
 
-    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            part, row = batch.column("part").to_numpy(), batch.column("row").to_numpy()
+            values = batch.column("v").flatten().to_numpy().reshape(-1, width)
+            starts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(part)]
             out = []
-            for part, rows in batch.groupby("part", sort=False):
-                values = np.stack(rows["v"].to_numpy())
-                for at in range(0, len(rows), block):
-                    own = values[at : at + block]
+            for start, end in zip(starts, starts[1:]):
+                for at in range(start, end, block):
+                    own = values[at : min(at + block, end)]
                     flat = narrowest(own)
                     out.append((
-                        part, rows["row"].to_numpy()[at : at + block], flat.dtype.char,
+                        int(part[at]), len(own), row[at : at + len(own)].tobytes(), flat.dtype.char,
                         flat.tobytes(), own.min(axis=0), own.max(axis=0),
-                        [str(t) for t in own.astype(object).sum(axis=0)],
+                        [str(t) for t in exact_sum(own)],
                     ))
-            yield pd.DataFrame(out, columns=["part", "rows", "kind", "flat", "low", "high", "total"])
+            columns = ["part", "n", "rows", "kind", "flat", "low", "high", "total"]
+            yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=columns), BLOCK, preserve_index=False)
 
     order = ["part", "place", "row"]
     dealt = pieces.repartitionByRange(tasks(pieces.sparkSession), *order).sortWithinPartitions(*order)
     return staged(
-        dealt.select("part", "row", "v").mapInPandas(
+        dealt.select("part", "row", "v").mapInArrow(
             visit,
-            "part int, rows array<long>, kind string, flat binary, low array<long>, "
+            "part int, n long, rows binary, kind string, flat binary, low array<long>, "
             "high array<long>, total array<string>",
         ),
         "flat-blocks",
     )
 
 
+def exact_sum(values: np.ndarray) -> np.ndarray:
+    """Sums of the columns, by Python's integers where 64 bits might not hold them."""
+    size = max(abs(int(values.max(initial=0))), abs(int(values.min(initial=0))))
+    return (values if size * len(values) <= MOST else values.astype(object)).sum(axis=0)
+
+
 def exact(values: np.ndarray) -> np.ndarray:
     """64-bit integers where squared distances fit, else Python's integers of any size."""
     size = max(abs(int(values.max(initial=0))), abs(int(values.min(initial=0))))
@@ -211,18 +237,20 @@ def entry_sums(blocks: DataFrame, books: list[np.ndarray]) -> DataFrame:
             for block, mine in listed_blocks(batch, books):
                 if len(mine) == 1:
                     total = np.array([int(t) for t in block.total], dtype=object)
-                    add((block.part, int(mine[0])), len(block.rows), total)
+                    add((block.part, int(mine[0])), block.n, total)
                     continue
                 points, best, _ = near(block, mine, books)
                 for e in np.unique(best):
                     own = points[best == e]
-                    add((block.part, int(e)), len(own), own.astype(object).sum(axis=0))
+                    add((block.part, int(e)), len(own), exact_sum(own).astype(object))
         yield pd.DataFrame(
             [(*k, d, counts[k], str(t)) for k, v in sums.items() for d, t in enumerate(v)],
             columns=["part", "entry", "d", "n", "total"],
         )
 
-    found = blocks.mapInPandas(visit, "part int, entry int, d int, n long, total string")
+    found = blocks.drop("rows").mapInPandas(
+        visit, "part int, entry int, d int, n long, total string"
+    )
     return found.groupBy("part", "entry", "d").agg(
         F.sum("n").alias("n"), F.sum(F.col("total").cast("decimal(38,0)")).alias("total")
     )
@@ -253,7 +281,8 @@ def coded(blocks: DataFrame, books: list[np.ndarray], together: int = 64) -> Dat
         for batch in batches:
             for block, mine in listed_blocks(batch, books):
                 _, best, away = near(block, mine, books)
-                found.append((block.rows, block.part, best, np.minimum(away, MOST).astype(np.int64)))
+                rows = np.frombuffer(block.rows, dtype=np.int64)
+                found.append((rows, block.part, best, np.minimum(away, MOST).astype(np.int64)))
                 if len(found) == together:
                     yield frame(found)
                     found = []
@@ -294,7 +323,9 @@ def trained(
     for i, r in enumerate(first):
         start[i, : len(r.v)] = r.v
     books = list(start.reshape(len(first), parts, width).transpose(1, 0, 2))
-    blocks = flat_blocks(on_curve(cut(vectors, parts, width), least, most), block)
+    # Written, so that the sampling of ranges doesn't place all parts a second time.
+    pieces = staged(on_curve(vectors, least, most), "pieces")
+    blocks = flat_blocks(pieces, width, block)
     for _ in range(rounds):
         books = moved(books, entry_sums(blocks, books))
     return blocks, books
