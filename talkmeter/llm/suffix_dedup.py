@@ -20,7 +20,7 @@ spread over many tasks. Words carry 16-bit hashes on either side of the 64-bit h
 Defined results: words are parted by white space; texts (null, empty, short) with fewer than
 ``min_words`` words have no passages; rows that repeat an id and text are one document, rows that repeat
 an id with other texts are others; a passage that a document repeats only in itself is none; an empty
-table gives no rows.
+table gives no rows. Texts may be of any length: places have 31 bits, more than Spark's texts have bytes.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from talkmeter.llm.common import ROW, packed, staged, tasks, text_of
 from talkmeter.llm.ngram_join import marked
 from talkmeter.llm.words import chunks, run_hashes, word_hashes
 
-PLACE_BITS = np.uint64(24)
+PLACE_BITS = 24
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -51,6 +51,23 @@ def window_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
 
 
+def window_places(cores: np.ndarray, width: int, bits: int = PLACE_BITS) -> np.ndarray:
+    """For every window of ``width`` neighbouring runs the place of the least one, ties to the first.
+
+    Hash and place share 64 bits, so long texts go by stretches of less than 2^bits runs; windows are
+    short, and a stretch holds its windows whole.
+    """
+    count, step = len(cores) - width + 1, (1 << bits) - width + 1
+    found = np.empty(max(count, 0), dtype=np.int64)
+    low = np.uint64((1 << bits) - 1)
+    for at in range(0, count, step):
+        part = cores[at : at + step + width - 1]
+        keyed = (part & ~low) | np.arange(len(part), dtype=np.uint64)
+        own = window_least(keyed, width) & low
+        found[at : at + len(own)] = own.astype(np.int64) + at
+    return found
+
+
 def suffix_places(
     cores: np.ndarray, runs: np.ndarray, width: int, core: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -60,12 +77,10 @@ def suffix_places(
     none = np.zeros(0, dtype=np.int64)
     if len(cores) < width:
         return none, none, none, none
-    index = np.arange(len(cores), dtype=np.uint64)
-    keyed = (cores >> PLACE_BITS << PLACE_BITS) | index
-    least = window_least(keyed, width)
+    least = window_places(cores, width)
     owner = np.repeat(np.arange(len(runs)), runs)
     window = np.flatnonzero(owner[: len(least)] == owner[width - 1 :])
-    place = (least[window] & ((np.uint64(1) << PLACE_BITS) - np.uint64(1))).astype(np.int64)
+    place = least[window]
     place, at, times = np.unique(place, return_index=True, return_counts=True)
     if not len(place):
         return none, none, none, none

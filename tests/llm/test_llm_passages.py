@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from odd_rows import no_docs, odd_docs, row
 
@@ -119,3 +120,22 @@ def test_cut_of_chains_equals_brute_force(spark):
 
 def test_no_rows(spark):
     assert sd.passages(no_docs(spark)).count() == 0
+
+
+def test_places_beyond_one_stretch_equal_the_plain_least():
+    rng = np.random.default_rng(5)
+    cores = rng.integers(0, 1 << 64, 5000, dtype=np.uint64)
+    cores[1000:1400] = cores[:400]
+    for width in (1, 2, 35):
+        plain = [i + int(np.argmin(cores[i : i + width])) for i in range(len(cores) - width + 1)]
+        for bits in (6, 8, 24):
+            assert sd.window_places(cores, width, bits).tolist() == plain
+    assert sd.window_places(cores[:3], 4).tolist() == []
+
+
+def test_places_beyond_two_to_the_24_runs():
+    """A text of 17 million runs: the bits that a place had before would not hold its last places."""
+    cores = np.arange(17_000_000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    text, place, most, fewest = sd.suffix_places(cores, np.array([len(cores)]), 35, 16)
+    assert place[-1] > 1 << 24 and (np.diff(place) > 0).all() and (np.diff(place) <= 35).all()
+    assert fewest.min() >= 0 and most.max() <= 34 and not text.any()
