@@ -25,21 +25,21 @@ def query(function):
 @query
 def op3_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return vector_search.nearest(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+    return vector_search.nearest(vectors, F.col("vec_id") % 50 == 0)
 
 
 ORACLES["op3_vector_search"] = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
   FROM embeddings
   WHERE embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.r AS query, q.vec_id AS query_id, c.vec_id,
          list_inner_product(q.v, c.v)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.r <> q.r
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank
+  SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id)::INT AS rank
   FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5

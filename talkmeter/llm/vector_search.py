@@ -1,17 +1,24 @@
 """Exact top-k by inner product with a vector-approximation file.
 
-Components become integers floor(scale * x). The file holds each vector's cells: component d falls
-into one of 2^bits equal cells between the least and the greatest value of d over all vectors. For
-every block of queries and block of vectors, a scan of the cells bounds each score from above
-(the cell's middle plus half a cell for every component); exact vectors are then read in the order
-of their bounds, until the next bound can't reach the k-th best exact score that the query has so far.
+Components become integers floor(scale * x). The file holds each vector's cells, one byte a component:
+component d falls into one of 2^bits equal cells between the least and the greatest value of d over all
+vectors. It is written once, in blocks of cells; exact vectors stay where they are.
 
-Blocks have a fixed number of rows, so tasks are bounded and no query set is broadcast; a block of
-queries meets every block of vectors, and rows that leave a task are at most k per query.
+1. The file is scanned: a block of queries meets every block of cells. A score lies within ``slack`` of
+   that of the cells' middles, the same for all vectors of a query, so a block passes on the vectors
+   whose middle score is within two slacks of its k-th best: nothing else of it can be an answer.
+2. Over all blocks the k-th best lower bound is found per query, and the vectors whose upper bound
+   doesn't reach it fall away.
+3. Exact vectors are read for what is left, in the order of the bounds: the k best by bound first, then
+   those whose upper bound reaches the k-th exact score. Then the k-th result is certain.
+
+Blocks have a fixed number of rows, so tasks are bounded and no query set is broadcast.
 
 Defined results: vectors null or with null, NaN or infinite components take no part; shorter vectors
-count as padded with zeros; a query's own id is no candidate, rows that repeat an id are candidates
-of their own and tie; of queries that repeat an id the least vector asks; no valid vector, no rows.
+count as padded with zeros; every row that ``asks`` is a query of its own, also where ids repeat, and
+every other row is a candidate, also under the same id; a null id is a candidate that loses ties, and a
+query only if ``asks`` says so; components and scores beyond 64 bits count as the nearest 64-bit number; no
+valid vector, no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,20 +27,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkmeter.llm.common import staged
+from talkmeter.llm.vector_codes import MOST, exact, filled
 
-FOUND = "query_id long, vec_id long, score long"
+BOUNDS = "query long, row long, middle double, slack double"
 
 
-def whole_vectors(rows: DataFrame, scale: int) -> DataFrame:
-    """(vec_id, v array<long>) of the vectors that take part."""
+def whole_vectors(rows: DataFrame, asks: Column, scale: int) -> DataFrame:
+    """(row, vec_id, asks, v array<long>) of the vectors that take part; written, so rows stay numbered."""
     x = F.col("embedding")
     fit = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    return rows.filter(x.isNotNull() & F.col("vec_id").isNotNull() & fit).select(
-        "vec_id", F.transform(x, lambda c: F.floor(c.cast("double") * scale)).alias("v")
+    return staged(
+        rows.filter(x.isNotNull() & fit).select(
+            F.monotonically_increasing_id().alias("row"), "vec_id",
+            F.coalesce(asks, F.lit(False)).alias("asks"),
+            F.transform(x, lambda c: F.floor(c.cast("double") * scale)).alias("v"),
+        ),
+        "vectors",
     )
 
 
@@ -49,104 +63,160 @@ def cell_edges(vectors: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return (np.minimum(least, 0), np.maximum(most, 0)) if padded else (least, most)
 
 
-def block_rows(vectors: DataFrame, rows: int, kind: str) -> tuple[DataFrame, int]:
-    """Blocks of about ``rows`` vectors as one row each, and the number of blocks.
+class Cells:
+    """The geometry of the cells: their first middles and widths, per dimension."""
 
-    The rows are read from written files, so a row's number, and with it its block, is the same
-    whenever a task runs again; rows that repeat an id are spread like others.
-    """
-    count = max(1, -(-vectors.count() // rows))
-    dealt = F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(count))
-    return (
-        vectors.withColumn("block", dealt.cast("int"))
-        .groupBy("block").agg(F.collect_list(F.struct("vec_id", "v")).alias(kind))
-    ), count
+    def __init__(self, least: np.ndarray, most: np.ndarray, bits: int):
+        self.least, self.count = least.astype(np.float64), 1 << bits
+        self.width = np.maximum(most.astype(np.float64) - self.least, 1) / self.count
+        self.first = self.least + self.width / 2
+
+    def of(self, values: np.ndarray) -> np.ndarray:
+        cells = np.floor((values.astype(np.float64) - self.least) / self.width)
+        return np.clip(cells, 0, self.count - 1).astype(np.uint8)
 
+    def scores(self, queries: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(middle scores of all pairs, slack per query): the true score is within the slack.
 
-def matrix(rows, dims: int) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.array([r["vec_id"] for r in rows], dtype=np.int64)
-    values = np.zeros((len(rows), dims), dtype=np.int64)
-    for i, r in enumerate(rows):
-        values[i, : len(r["v"])] = r["v"]
-    order = np.argsort(ids, kind="stable")
-    return ids[order], values[order]
+        A component may lie a rounding error outside its cell, and sums of doubles round.
+        """
+        asked = queries.astype(np.float64)
+        # Scores stop at 64 bits, and so do these: it brings no two of them farther apart.
+        middles = np.clip(asked @ (self.first + cells * self.width).T, -float(MOST), float(MOST))
+        reach = np.abs(self.first) + self.count * self.width
+        return middles, np.abs(asked) @ (self.width / 2 + reach * 1e-12) + 1
 
 
-class CellFile:
-    """A block of vectors: cells of one byte per component, and the exact vectors apart."""
+def block_number(count: int) -> Column:
+    return F.pmod(F.xxhash64("row"), F.lit(count)).cast("int")
 
-    def __init__(self, values: np.ndarray, least: np.ndarray, most: np.ndarray, bits: int):
-        self.exact = values
-        self.width = np.maximum(most - least, 1) / float(1 << bits)
-        cells = np.floor((values - least) / self.width)
-        self.cells = np.clip(cells, 0, (1 << bits) - 1).astype(np.uint8)
-        self.first = least + self.width / 2
 
-    def bounds(self, queries: np.ndarray) -> np.ndarray:
-        """Upper bounds of all scores; a little wider than the cells for rounding of floats."""
-        asked = queries.astype(np.float64)
-        middle = self.first + self.cells * self.width
-        slack = np.abs(asked) @ (self.width / 2)
-        reach = np.abs(asked) @ np.abs(middle).max(axis=0, initial=0)
-        return asked @ middle.T + (slack + reach * 1e-12 + 1)[:, None]
-
-
-def search_block(
-    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, file: CellFile, k: int,
-    best: list[list[tuple[int, int]]], step: int = 64,
-) -> None:
-    """Merges this block's answers into ``best``: per query up to k (-score, id), sorted."""
-    bounds = file.bounds(queries)
-    for i, query in enumerate(queries):
-        mine, row = best[i], bounds[i]
-        candidates = np.flatnonzero(row >= -mine[-1][0]) if len(mine) == k else np.arange(len(ids))
-        candidates = candidates[np.argsort(-row[candidates], kind="stable")]
-        for start in range(0, len(candidates), step):
-            part = candidates[start : start + step]
-            if len(mine) == k and row[part[0]] < -mine[-1][0]:
-                break
-            part = part[ids[part] != query_ids[i]]
-            scores = file.exact[part] @ query
-            mine = sorted(mine + list(zip((-scores).tolist(), ids[part].tolist())))[:k]
-        best[i] = mine
+def cell_file(vectors: DataFrame, cells: Cells, blocks: int) -> DataFrame:
+    """(block, held array<(row, cells)>): one byte per component, written."""
+    dims = len(cells.first)
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = cells.of(filled(batch.column("v"), dims))
+            ends = pa.py_buffer(np.arange(0, found.size + 1, dims, dtype=np.int32).tobytes())
+            data = pa.Array.from_buffers(pa.binary(), len(found), [None, ends, pa.py_buffer(found.tobytes())])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), data], names=["row", "cells"])
+
+    rows = vectors.select("row", "v").mapInArrow(visit, "row long, cells binary")
+    return staged(
+        rows.groupBy(block_number(blocks).alias("block")).agg(
+            F.collect_list(F.struct("row", "cells")).alias("held")
+        ),
+        "cell-file",
+    )
+
+
+def near_best(
+    query_rows: np.ndarray, queries: np.ndarray, rows: np.ndarray, held: np.ndarray, cells: Cells, k: int
+) -> pd.DataFrame:
+    """What a block of cells passes on for a block of queries."""
+    middles, slack = cells.scores(queries, held)
+    middles[query_rows[:, None] == rows[None]] = -np.inf
+    least = np.full(len(queries), -np.inf)
+    if len(rows) > k:
+        least = np.partition(middles, -k, axis=1)[:, -k] - 2 * slack
+    q, r = np.nonzero((middles >= least[:, None]) & (middles > -np.inf))
+    return pd.DataFrame({
+        "query": query_rows[q], "row": rows[r], "middle": middles[q, r], "slack": slack[q]
+    })
+
+
+def scanned(
+    vectors: DataFrame, cells: Cells, k: int, query_block: int, vector_block: int
+) -> DataFrame:
+    """``BOUNDS`` of every query: all that its blocks of cells have passed on, written."""
+    total, asking = vectors.agg(F.count("*"), F.count_if("asks")).first()
+    blocks, sheets = (max(1, -(-n // size)) for n, size in ((total, vector_block), (asking, query_block)))
+    asked = vectors.filter("asks").groupBy(block_number(sheets).alias("sheet")).agg(
+        F.collect_list(F.struct("row", "v")).alias("asked")
+    )
+    calls = staged(asked, "query-sheets").select(
+        "asked", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("at")
+    )
+    file = cell_file(vectors, cells, blocks)
+    dims = len(cells.first)
+
+    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for asked, held in zip(batch["asked"], batch["held"]):
+                queries = np.zeros((len(asked), dims))
+                for i, r in enumerate(asked):
+                    queries[i, : len(r["v"])] = r["v"]
+                rows = np.array([r["row"] for r in held], dtype=np.int64)
+                own = np.frombuffer(b"".join(r["cells"] for r in held), dtype=np.uint8)
+                yield near_best(
+                    np.array([r["row"] for r in asked], dtype=np.int64), queries, rows,
+                    own.reshape(len(held), dims), cells, k,
+                )
+
+    pairs = calls.join(file, calls["at"] == file["block"]).select("asked", "held")
+    return staged(pairs.mapInPandas(visit, BOUNDS), "bounds")
+
+
+def candidates(bounds: DataFrame, k: int) -> DataFrame:
+    """(query, row, middle, slack, place): what can be an answer, by all blocks' lower bounds."""
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("middle"), "row"))
+    ranked = bounds.withColumn("place", place)
+    kth = ranked.filter(F.col("place") == k).select(
+        F.col("query").alias("its_query"), F.col("middle").alias("kth")
+    )
+    reaches = F.col("kth").isNull() | (F.col("middle") >= F.col("kth") - 2 * F.col("slack"))
+    return staged(
+        ranked.join(kth, F.col("query") == F.col("its_query"), "left").filter(reaches)
+        .drop("its_query", "kth"),
+        "candidates",
+    )
+
+
+def exact_scores(wanted: DataFrame, vectors: DataFrame, dims: int) -> DataFrame:
+    """(query, row, query_id, vec_id, score) of the pairs: here exact vectors are read."""
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = len(batch)
+            both = exact(np.concatenate([filled(batch.column(c), dims) for c in ("a", "b")]))
+            score = np.clip((both[:n] * both[n:]).sum(axis=1), -MOST - 1, MOST).astype(np.int64)
+            kept = [batch.column(c) for c in ("query", "row", "query_id", "vec_id")]
+            yield pa.RecordBatch.from_arrays(
+                [*kept, pa.array(score)], names=["query", "row", "query_id", "vec_id", "score"]
+            )
+
+    asked = vectors.filter("asks").select(
+        F.col("row").alias("query"), F.col("vec_id").alias("query_id"), F.col("v").alias("a")
+    )
+    rows = vectors.select("row", "vec_id", F.col("v").alias("b"))
+    return wanted.select("query", "row").join(rows, "row").join(asked, "query").mapInArrow(
+        visit, "query long, row long, query_id long, vec_id long, score long"
+    )
 
 
 def nearest(
-    vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, bits: int = 6,
+    vectors: DataFrame, asks: Column, k: int = 5, scale: int = 256, bits: int = 8,
     query_block: int = 512, vector_block: int = 4096,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k highest inner products, ties to the smaller id.
 
-    ``vectors`` and ``queries`` have vec_id and embedding.
+    ``vectors`` has vec_id and embedding; the rows for which ``asks`` holds are the queries.
     """
-    spark = vectors.sparkSession
-    valid = staged(whole_vectors(vectors, scale), "vectors")
-    asked = whole_vectors(queries, scale).groupBy("vec_id").agg(F.min("v").alias("v"))
-    asked = staged(asked, "queries")
+    valid = whole_vectors(vectors, asks, scale)
     least, most = cell_edges(valid)
-    dims = len(least)
-    files, count = block_rows(valid, vector_block, "held")
-    sheets, _ = block_rows(asked, query_block, "asked")
-    calls = staged(sheets, "query-blocks").select(
-        "asked", F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("at")
+    cells = Cells(least, most, bits)
+    found = candidates(scanned(valid, cells, k, query_block, vector_block), k)
+    first = staged(exact_scores(found.filter(F.col("place") <= k), valid, len(least)), "first-reads")
+    certain = first.groupBy(F.col("query").alias("its_query")).agg(
+        F.min("score").alias("kth"), F.count("*").alias("n")
+    ).filter(F.col("n") == k)
+    rest = found.filter(F.col("place") > k).join(certain, F.col("query") == F.col("its_query")).filter(
+        F.col("middle") + F.col("slack") >= F.col("kth")
     )
-    pairs = calls.join(files, calls["at"] == files["block"]).select("asked", "held")
-
-    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for asked, held in zip(batch["asked"], batch["held"]):
-                query_ids, points = matrix(asked, dims)
-                ids, values = matrix(held, dims)
-                best: list[list[tuple[int, int]]] = [[] for _ in query_ids]
-                search_block(query_ids, points, ids, CellFile(values, least, most, bits), k, best)
-                yield pd.DataFrame(
-                    [(q, i, -s) for q, rows in zip(query_ids.tolist(), best) for s, i in rows],
-                    columns=["query_id", "vec_id", "score"],
-                ).astype("int64")
-
-    found = pairs.mapInPandas(visit, FOUND)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "row")
     return (
-        found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        first.unionByName(exact_scores(rest, valid, len(least)))
+        .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )

@@ -1,59 +1,94 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from talkmeter.llm import vector_search as vs
 
-SCHEMA = "vec_id long, embedding array<float>, label int"
+SCHEMA = ("vec_id long, embedding array<double>, label int, block string, row string, v string, "
+          "at string, asks string, query string")
 
 
-def brute(rows, queries, k):
-    ints = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v, _ in rows
-            if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+def table(spark, rows):
+    return spark.createDataFrame([(*r, "b", "r", "v", "a", "s", "q") for r in rows], SCHEMA).repartition(3)
+
+
+def brute(rows, asked, k=5):
+    top = 2**63 - 1
+    bound = lambda x: max(-top - 1, min(top, x))
+    ints = [(i, [bound(math.floor(256 * x)) for x in v]) for i, v, _ in rows
+            if v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q, a in [r for r in ints if r[0] in queries]:
-        scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in ints if i != q)[:k]
-        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores)]
-    return sorted(out)
+    for n, (q, a) in enumerate(ints):
+        if asked(q):
+            scores = sorted((-bound(sum(x * y for x, y in zip(a, b))), i is None, i or 0)
+                            for m, (i, b) in enumerate(ints) if m != n)[:k]
+            out += [(q, r + 1, None if none else i, -s) for r, (s, none, i) in enumerate(scores)]
+    return sorted(out, key=str)
+
+
+def got(spark, rows, asks=None, **options):
+    asks = F.col("vec_id") % 50 == 0 if asks is None else asks
+    return sorted((tuple(r) for r in vs.nearest(table(spark, rows), asks, **options).collect()), key=str)
+
+
+def fiftieth(i):
+    return i is not None and i % 50 == 0
 
 
-def test_odd_vectors_equal_brute_force(spark):
+@pytest.mark.parametrize("block", [1, 3, 100])
+def test_odd_vectors_equal_brute_force(spark, block):
+    """Repeated ids, also of queries and with other vectors, ask and answer for themselves."""
     nan, inf = float("nan"), float("inf")
     rows = [
         (0, [0.5, -0.25, 0.1], 1), (50, [0.5, -0.25, 0.1], 1), (1, [nan, 0.0, 0.0], 1),
         (2, [inf, 0.0, 0.0], None), (3, None, 1), (4, [0.1, None, 0.3], 1), (5, [], 1),
         (6, [0.7], 1), (7, [1e4, -1e4, 3.0], 1), (7, [1e4, -1e4, 3.0], 1), (None, [1.0, 1.0, 1.0], 1),
-        (8, [0.0, 0.0, 0.0], 1), (100, [-0.3, 0.2, 0.9], 1),
+        (8, [0.0, 0.0, 0.0], 1), (100, [-0.3, 0.2, 0.9], 1), (0, [0.2, 0.9, -0.4], 2),
+        (50, [0.5, -0.25, 0.1], 3),
     ]
-    vectors = spark.createDataFrame(rows, SCHEMA)
-    asked = vectors.filter(F.col("vec_id") % 50 == 0)
-    for block in (1, 3, 100):
-        got = vs.nearest(vectors, asked, query_block=block, vector_block=block).collect()
-        assert sorted(tuple(r) for r in got) == brute(rows, {0, 50, 100}, 5)
+    assert got(spark, rows, query_block=block, vector_block=block) == brute(rows, fiftieth)
 
 
-def test_random_vectors_with_coarse_cells(spark):
+def test_null_ids_may_ask_and_lose_ties(spark):
+    rows = [(None, [0.5], 1), (1, [0.5], 1), (2, [0.5], 1), (3, [0.25], 1)]
+    assert got(spark, rows, F.lit(True), k=2) == brute(rows, lambda i: True, 2)
+
+
+def test_components_and_scores_beyond_64_bits(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, (rng.normal(0, 1, 4) * 10.0 ** rng.integers(-1, 30, 4)).tolist(), 0) for i in range(120)]
+    assert got(spark, rows) == brute(rows, fiftieth)
+
+
+@pytest.mark.parametrize("bits", [2, 8])
+def test_random_vectors(spark, bits):
     rng = np.random.default_rng(8)
     rows = [(i, rng.normal(0, 0.2, 16).astype(np.float32).tolist(), 0) for i in range(400)]
-    vectors = spark.createDataFrame(rows, SCHEMA)
-    got = vs.nearest(vectors, vectors.filter("vec_id < 30"), bits=2, vector_block=64, query_block=16)
-    assert sorted(tuple(r) for r in got.collect()) == brute(rows, set(range(30)), 5)
+    options = dict(bits=bits, vector_block=64, query_block=16)
+    assert got(spark, rows, F.col("vec_id") < 30, **options) == brute(rows, lambda i: i < 30)
 
 
-def test_bounds_hold_and_spare_exact_reads():
+def test_bounds_hold():
     rng = np.random.default_rng(2)
     values = np.floor(rng.normal(0, 40, (2000, 32))).astype(np.int64)
-    file = vs.CellFile(values, values.min(0), values.max(0), 6)
-    queries = values[:20]
-    exact, bounds = queries @ values.T, file.bounds(queries)
-    assert (bounds >= exact).all()
-    fifth = np.sort(exact, axis=1)[:, -5]
-    assert (bounds >= fifth[:, None]).sum(axis=1).mean() < 40
+    cells = vs.Cells(values.min(axis=0), values.max(axis=0), 6)
+    middles, slack = cells.scores(values[:20], cells.of(values))
+    assert (np.abs(middles - values[:20] @ values.T) <= slack[:, None]).all()
+
+
+def test_exact_vectors_are_read_for_few_pairs(spark):
+    """All blocks' bounds decide before an exact vector is read: far less than a tenth of all pairs."""
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(0, 0.2, 32).tolist(), 0) for i in range(3000)]
+    valid = vs.whole_vectors(table(spark, rows), F.col("vec_id") % 50 == 0, 256)
+    cells = vs.Cells(*vs.cell_edges(valid), 8)
+    bounds = vs.scanned(valid, cells, 5, 16, 256)
+    read = vs.candidates(bounds, 5)
+    assert read.count() < bounds.count() < 60 * 3000 / 10
+    assert 60 * 5 <= read.count() < 60 * 3000 / 100
 
 
 def test_no_vectors(spark):
-    empty = spark.createDataFrame([], SCHEMA)
-    assert vs.nearest(empty, empty).count() == 0
-    only = spark.createDataFrame([(0, [1.0], 1)], SCHEMA)
-    assert vs.nearest(only, only).count() == 0
+    assert got(spark, []) == [] and got(spark, [(0, [1.0], 1)]) == [] and got(spark, [(0, None, 1)]) == []
