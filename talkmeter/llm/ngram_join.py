@@ -1,9 +1,13 @@
 """Similarity join of texts by the Jaccard likeness of their word runs, with a MinHash LSH forest.
 
 A text's set holds its runs of five words. Texts with equal sets are one node. A forest has ``trees``
-prefix tries of MinHash values; two nodes are candidates when they share a prefix of a trie. The
-length of the prefix starts at ``depth`` and is shortened until pairs at the threshold are found with
-at least the target recall, 1 - (1 - t^length)^trees.
+prefix tries over signatures of ``depth`` MinHash values; two nodes are candidates when they share a
+prefix of a trie. Matching begins with whole signatures. The likeness of the pairs that were verified so
+far then tells what share of them, and of the pairs like them that were missed, a prefix of this length
+finds: a pair of likeness s is found with probability 1 - (1 - s^length)^trees. Where this measured
+recall is below the target, prefixes are shortened by ``step`` and only families of candidates that have
+grown are verified again. The last length is that at which even a table whose every pair stands at the
+threshold would reach the target.
 
 Candidates are never listed as pairs. Nodes that share a prefix are tied to its least node, and the
 connected ties gather all candidates of a node in one family. Families are cut into blocks of
@@ -12,29 +16,50 @@ number of documents linked with it and the node it hangs on, so the rows stay li
 
 Defined results: words are parted by white space; a text with fewer than five words has one run of
 all of them; texts without words (null, empty, blank) are copies of each other; rows that repeat an id
-and text are documents of their own; null ids are ids; an empty table gives no rows.
+and text are documents of their own; null ids are ids; an empty table gives no rows. A class may hang
+together by a chain of links: ``kept`` keeps its least document, also for those that only a chain ties
+to it, and of rows that repeat its id and text the one with the least row hash.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import logging
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkmeter.llm.common import ROW, packed, staged, text_of
 from talkmeter.llm.components import components
 from talkmeter.llm.words import BASE, blended, distinct_runs
 
+BINS = 20
+LOG = logging.getLogger(__name__)
 
-def prefix_length(threshold: float, trees: int, depth: int, recall: float) -> int:
-    """The longest prefix, from ``depth`` down, whose recall at the threshold is high enough."""
-    for length in range(depth, 1, -1):
-        if 1 - (1 - threshold**length) ** trees >= recall:
-            return length
-    return 1
+
+def found_share(likeness: float, length: int, trees: int) -> float:
+    """The probability that some trie's prefix of this length is shared."""
+    return 1 - (1 - likeness**length) ** trees
+
+
+def prefix_lengths(threshold: float, trees: int, depth: int, step: int, recall: float) -> list[int]:
+    """Lengths to try, falling; at the last one the recall is high enough whatever the table holds."""
+    last = depth
+    while last > 1 and found_share(threshold, last, trees) < recall:
+        last -= 1
+    return [*range(depth, last, -step), last]
+
+
+def measured_recall(alike: Sequence[int], threshold: float, length: int, trees: int) -> float:
+    """The share of all linked pairs that are found, from the verified ones by likeness.
+
+    ``alike`` counts pairs in ``BINS`` equal bins from the threshold to 1; each bin counts as its lower edge.
+    """
+    edges = [threshold + (1 - threshold) * i / BINS for i in range(BINS)]
+    whole = sum(n / found_share(edge, length, trees) for n, edge in zip(alike, edges))
+    return sum(alike) / whole if whole else 1.0
 
 
 def reduced(fold: np.ufunc, values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -53,19 +78,23 @@ def set_keys(runs: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     return [pair.tobytes() for pair in np.stack([first, second], axis=1)]
 
 
-def prefixes(runs: np.ndarray, sizes: np.ndarray, trees: int, length: int) -> np.ndarray:
-    """Per set a row with one number per tree: its first ``length`` MinHash values, blended."""
+def prefixes(runs: np.ndarray, sizes: np.ndarray, trees: int, lengths: Sequence[int]) -> np.ndarray:
+    """Per set a row with a number for each length and tree: the tree's first MinHash values, blended.
+
+    Equal numbers stand for equal prefixes, so each trie is a table that is grouped by them.
+    """
     rng = np.random.default_rng(20_24)
-    factors = rng.integers(1, 1 << 63, (trees, length), dtype=np.uint64) | np.uint64(1)
-    found = np.empty((len(sizes), trees), dtype=np.uint64)
+    factors = rng.integers(1, 1 << 63, (trees, max(lengths)), dtype=np.uint64) | np.uint64(1)
+    found = np.empty((len(sizes), len(lengths), trees), dtype=np.uint64)
     for tree in range(trees):
         value = np.full(len(sizes), tree, dtype=np.uint64)
-        for factor in factors[tree]:
+        for length, factor in enumerate(factors[tree], 1):
             mixed = runs * factor
             mixed ^= mixed >> np.uint64(33)
             value = blended(value * BASE + reduced(np.minimum, mixed, sizes))
-        found[:, tree] = value
-    return found.view(np.int64)
+            if length in lengths:
+                found[:, lengths.index(length), tree] = value
+    return found.reshape(len(sizes), -1).view(np.int64)
 
 
 def marked(docs: DataFrame) -> DataFrame:
@@ -77,7 +106,7 @@ def marked(docs: DataFrame) -> DataFrame:
     )
 
 
-def signed(docs: DataFrame, size: int, trees: int, length: int) -> DataFrame:
+def signed(docs: DataFrame, size: int, trees: int, lengths: Sequence[int]) -> DataFrame:
     """(doc_id, mark, node, prefixes) per document; texts without words have no prefixes."""
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -85,7 +114,7 @@ def signed(docs: DataFrame, size: int, trees: int, length: int) -> DataFrame:
             nodes, found = [], []
             for runs, sizes in distinct_runs(batch["text"].tolist(), size):
                 nodes += set_keys(runs, sizes)
-                own = prefixes(runs, sizes, trees, length)
+                own = prefixes(runs, sizes, trees, lengths)
                 found += [row if n else row[:0] for row, n in zip(own, sizes)]
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"].astype("Int64"), "mark": batch["mark"], "node": nodes,
@@ -97,9 +126,10 @@ def signed(docs: DataFrame, size: int, trees: int, length: int) -> DataFrame:
     )
 
 
-def ties(nodes: DataFrame) -> DataFrame:
-    """(u, v): each node and the least node of every prefix that it shares."""
-    shared = nodes.select("node", F.explode("prefixes").alias("prefix"))
+def ties(nodes: DataFrame, level: int, trees: int) -> DataFrame:
+    """(u, v): each node and the least node of every prefix of this level that it shares."""
+    own = F.slice("prefixes", level * trees + 1, trees)
+    shared = nodes.select("node", F.explode(own).alias("prefix"))
     heads = shared.groupBy("prefix").agg(F.min("node").alias("head"), F.count("*").alias("n"))
     # Written, so that the join shuffles both sides itself and can split a prefix that very many share.
     heads = staged(heads.filter(F.col("n") > 1).select("prefix", "head"), "prefix-heads")
@@ -125,11 +155,10 @@ def common_counts(a: list[np.ndarray], b: list[np.ndarray], width: int = 8192) -
     return np.rint(total).astype(np.int64)
 
 
-def linked(a: list[np.ndarray], b: list[np.ndarray], threshold: float) -> np.ndarray:
+def likeness(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     both = common_counts(a, b)
     sizes_a, sizes_b = (np.array([len(x) for x in s], dtype=np.int64) for s in (a, b))
-    union = sizes_a[:, None] + sizes_b[None] - both
-    return both >= threshold * union - 1e-9
+    return both / (sizes_a[:, None] + sizes_b[None] - both)
 
 
 def hang(count: int, rows: np.ndarray, columns: np.ndarray) -> list[int]:
@@ -150,7 +179,10 @@ def hang(count: int, rows: np.ndarray, columns: np.ndarray) -> list[int]:
 
 
 def verified(members: DataFrame, threshold: float) -> DataFrame:
-    """(node, links, root) from (family, i, j, block, node, weight, runs); see ``families``."""
+    """(node, links, root, alike) from (family, i, j, block, node, weight, runs); see ``blocks_of``.
+
+    One row of each pair of blocks counts its links by likeness.
+    """
 
     def visit(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         i, j = rows["i"].iloc[0], rows["j"].iloc[0]
@@ -160,33 +192,51 @@ def verified(members: DataFrame, threshold: float) -> DataFrame:
         links = np.zeros(len(rows), dtype=np.int64)
         near = rows.index[rows["block"] == i]
         far = rows.index[rows["block"] == j]
-        found_a, found_b = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        found_a, found_b, alike = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), None
         if len(near) and len(far):
-            yes = linked([sets[k] for k in near], [sets[k] for k in far], threshold)
+            like = likeness([sets[k] for k in near], [sets[k] for k in far])
+            yes = like >= threshold - 1e-12
             if i == j:
                 np.fill_diagonal(yes, False)
             links[near] = yes @ weights[far]
             if i != j:
                 links[far] = yes.T @ weights[near]
             found_a, found_b = np.nonzero(yes)
+            places = (like[found_a, found_b] - threshold) / max(1 - threshold, 1e-9) * BINS
+            alike = np.bincount(np.clip(places.astype(np.int64), 0, BINS - 1), minlength=BINS)
+            alike = alike // 2 if i == j else alike
         roots = hang(len(rows), np.asarray(near)[found_a], np.asarray(far)[found_b])
         return pd.DataFrame({
-            "node": rows["node"], "links": links, "root": rows["node"].to_numpy()[roots]
+            "node": rows["node"], "links": links, "root": rows["node"].to_numpy()[roots],
+            "alike": [alike, *[None] * (len(rows) - 1)],
         })
 
     return members.groupBy("family", "i", "j").applyInPandas(
-        visit, "node binary, links long, root binary"
+        visit, "node binary, links long, root binary, alike array<long>"
     )
 
 
-def families(docs: DataFrame, nodes: DataFrame, size: int, block: int) -> DataFrame:
-    """The members of every pair of blocks, with their run sets.
+def families(nodes: DataFrame, level: int, trees: int, before: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(all (node, root) of this level, those whose family isn't one of the level before)."""
+    roots = components(ties(nodes, level, trees))
+    if before is None:
+        return roots, roots
+    sums = [F.count("*").alias("n"), F.min("node").alias("least"), F.sum(
+        F.xxhash64("node").cast("decimal(20,0)")
+    ).alias("sum")]
+    known = before.groupBy("root").agg(*sums).drop("root")
+    now = roots.groupBy("root").agg(*sums)
+    grown = staged(now.join(known, ["n", "least", "sum"], "left_anti").select("root"), "grown-families")
+    return roots, staged(roots.join(grown, "root", "left_semi"), "grown-members")
+
+
+def blocks_of(docs: DataFrame, nodes: DataFrame, roots: DataFrame, size: int, block: int) -> DataFrame:
+    """The members of every pair of blocks of the families, with their run sets.
 
     A family of n nodes has ceil(n / block) blocks, a node's block comes from its hash, and a node goes
     to each pair that holds its block. Runs are made anew from the text of one document per node, so
     that sets are held only for nodes that have candidates.
     """
-    roots = components(ties(nodes))
     sizes = roots.groupBy("root").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
     placed = staged(
         roots.join(sizes, "root").join(nodes.select("node", "weight", "keeper"), "node").select(
@@ -217,17 +267,43 @@ def families(docs: DataFrame, nodes: DataFrame, size: int, block: int) -> DataFr
     ).dropDuplicates(["family", "i", "j", "node"])
 
 
+def likeness_counts(checked: DataFrame) -> list[int]:
+    """Links by likeness: a row of ``BINS`` numbers, whatever the table."""
+    sums = [F.sum(F.element_at("alike", i + 1)) for i in range(BINS)]
+    return [n or 0 for n in checked.agg(*sums).first()]
+
+
+def searched(
+    docs: DataFrame, nodes: DataFrame, size: int, threshold: float, trees: int, lengths: Sequence[int],
+    recall: float, block: int,
+) -> DataFrame:
+    """(node, links, root, alike) of all families, with prefixes as long as the recall allows."""
+    checked = before = None
+    for level, length in enumerate(lengths):
+        before, grown = families(nodes, level, trees, before)
+        fresh = verified(blocks_of(docs, nodes, grown, size, block), threshold)
+        if checked is not None:
+            # A family that has grown holds whole families of the level before.
+            fresh = checked.join(grown, "node", "left_anti").unionByName(fresh)
+        checked = staged(fresh, "verified")
+        reached = measured_recall(likeness_counts(checked), threshold, length, trees)
+        LOG.info("prefixes of %d values: recall %.6f of a target of %.6f", length, reached, recall)
+        if reached >= recall:
+            break
+    return checked
+
+
 def near_duplicates(
     docs: DataFrame, size: int = 5, threshold: float = 0.8, trees: int = 20, depth: int = 8,
-    recall: float = 0.9999, block: int = 256,
+    step: int = 2, recall: float = 0.9999, block: int = 256,
 ) -> tuple[DataFrame, DataFrame]:
     """(documents (doc_id, node), nodes (node, class_id, n_links)).
 
     ``class_id`` is the least id of the documents connected by links (a null id before others), ``n_links`` the number of other
     documents whose likeness is at least the threshold, copies included.
     """
-    length = prefix_length(threshold, trees, depth, recall)
-    signs = staged(signed(docs, size, trees, length), "signs")
+    lengths = prefix_lengths(threshold, trees, depth, step, recall)
+    signs = staged(signed(docs, size, trees, lengths), "signs")
     nodes = staged(
         signs.groupBy("node").agg(
             F.count("*").alias("weight"), F.min(F.struct("doc_id", "mark")).alias("keeper"),
@@ -235,9 +311,7 @@ def near_duplicates(
         ),
         "nodes",
     )
-    checked = staged(
-        verified(families(docs, nodes, size, block), threshold), "verified"
-    )
+    checked = searched(docs, nodes, size, threshold, trees, lengths, recall, block)
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(checked.select(F.col("node").alias("u"), F.col("root").alias("v")))
     whole = nodes.select("node", "weight", "keeper").join(links, "node", "left").join(
@@ -269,6 +343,7 @@ def kept(docs: DataFrame, **options) -> DataFrame:
         F.xxhash64(text_of(docs)).alias("its_mark"),
     )
     same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("its_mark") == F.col("mark"))
-    # Rows that repeat id and text are one document here: any of them stays.
+    # Rows that repeat id and text are one document here; the rank is cut off before the shuffle.
     chosen = rows.join(keepers, same, "left_semi")
-    return chosen.dropDuplicates(["id", "its_mark"]).select(f"{ROW}.*")
+    own = Window.partitionBy("id", "its_mark").orderBy(F.xxhash64(F.to_json(ROW)))
+    return chosen.withColumn("__rank", F.row_number().over(own)).filter("__rank = 1").select(f"{ROW}.*")

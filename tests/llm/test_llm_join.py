@@ -73,11 +73,74 @@ def test_large_group_of_near_copies_and_copies(spark, block):
     assert result(docs, block=block) == brute(rows)
 
 
-def test_prefix_shortens_until_the_recall_is_reached():
-    reached = lambda k: 1 - (1 - 0.8**k) ** 20
-    k = nj.prefix_length(0.8, 20, 8, 0.9999)
-    assert reached(k) >= 0.9999 > reached(k + 1)
-    assert nj.prefix_length(0.8, 2, 8, 0.999999) == 1
+def test_prefixes_shorten_to_a_length_that_is_safe_for_any_table():
+    lengths = nj.prefix_lengths(0.8, 20, 8, 2, 0.9999)
+    assert lengths == [8, 6, 4]
+    assert nj.found_share(0.8, 4, 20) >= 0.9999 > nj.found_share(0.8, 5, 20)
+    assert nj.prefix_lengths(0.8, 2, 8, 3, 0.999999) == [8, 5, 2, 1]
+    # Of pairs at 0.8 a prefix of 8 finds 0.975, of pairs near 1 nearly all.
+    low, high = [1000] + [0] * 19, [0] * 19 + [1000]
+    assert abs(nj.measured_recall(low, 0.8, 8, 20) - 0.975) < 0.001
+    assert nj.measured_recall(high, 0.8, 8, 20) > 0.9999 and nj.measured_recall([0] * 20, 0.8, 8, 20) == 1
+
+
+def changed(rng, base, times):
+    words = list(base)
+    for _ in range(times):
+        words[rng.randrange(len(words))] = f"z{rng.random()}"
+    return " ".join(words)
+
+
+def lengths_tried(spark, monkeypatch, docs, **options):
+    tried = []
+    recall = nj.measured_recall
+    monkeypatch.setattr(nj, "measured_recall", lambda *a: tried.append(a[2]) or recall(*a))
+    return tried, result(docs, **options)
+
+
+@pytest.mark.parametrize("edits, lengths", [(1, [8]), (4, [8, 6, 4])])
+def test_prefixes_shorten_only_as_far_as_the_pairs_at_hand_ask(spark, monkeypatch, edits, lengths):
+    """Pairs of 400 words with one word changed need no short prefix; pairs near 0.8 of few words do."""
+    rng = random.Random(edits)
+    rows, size = [], 400 if edits == 1 else 200
+    for i in range(40):
+        base = [f"w{rng.randint(0, 10**6)}" for _ in range(size)]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, changed(rng, base, edits))]
+    tried, got = lengths_tried(spark, monkeypatch, odd_docs(spark, [row(*r) for r in rows]))
+    assert got == brute(rows) and tried == lengths
+
+
+def test_unchanged_families_are_verified_once(spark, monkeypatch):
+    """What a shorter prefix adds is verified, together with what it joins, and nothing else."""
+    rng, rows = random.Random(11), []
+    for i in range(30):
+        base = [f"w{rng.randint(0, 10**6)}" for _ in range(150)]
+        rows += [(3 * i + k, changed(rng, base, k)) for k in range(3)]
+    seen, blocks_of = [], nj.blocks_of
+    def counted(docs, nodes, roots, *rest):
+        seen.append(roots.count())
+        return blocks_of(docs, nodes, roots, *rest)
+    monkeypatch.setattr(nj, "blocks_of", counted)
+    assert result(odd_docs(spark, [row(*r) for r in rows])) == brute(rows)
+    assert seen[0] > 60 and all(n < seen[0] / 3 for n in seen[1:])
+
+
+def test_a_sliding_chain_compares_little_at_whole_signatures(spark):
+    """Neighbours share less than the threshold: long prefixes leave nearly all of them alone."""
+    words = [f"w{i}" for i in range(3000)]
+    rows = [(i, " ".join(words[i * 10 : i * 10 + 60])) for i in range(250)]
+    docs = odd_docs(spark, [row(*r) for r in rows])
+    signs = nj.signed(docs, 5, 20, [8, 6, 4]).cache()
+    found = [nj.components(nj.ties(signs, level, 20)).groupBy("root").count() for level in (0, 2)]
+    sizes = [sum(r["count"] ** 2 for r in f.collect()) for f in found]
+    assert sizes[0] * 3 < sizes[1]
+    assert result(docs) == brute(rows)
+
+
+def test_of_rows_that_repeat_id_and_text_the_same_one_stays(spark):
+    rows = [row(1, "a b c d e f g", s) for s in "zyxw"]
+    stays = {str(nj.kept(odd_docs(spark, order)).first()) for order in (rows, rows[::-1], rows[2:] + rows[:2])}
+    assert len(stays) == 1
 
 
 def test_counts_of_common_members():
