@@ -320,8 +320,6 @@ def matches(docs: DataFrame, min_words: int, core: int, near: int) -> DataFrame:
     found = suffixes(docs, min_words, core)
     listed = sorted_matches(found, min_words, core, near)
     open_groups = listed.filter("open is not null").select(F.col("open").alias("core")).distinct()
-    # Written, so that the join leaves the suffixes where they are or splits a very frequent run.
-    open_groups = staged(open_groups, "open-groups")
     exact = counted_matches(found, open_groups, min_words, core)
     return listed.filter("open is null").select(exact.columns).unionByName(exact)
 
