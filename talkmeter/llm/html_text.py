@@ -15,14 +15,14 @@ and stays inside one task, as the page does.
 
 Defined results: a null page or one without content gives an empty text; broken markup (open tags,
 stray ends, lone brackets, cut-off pages) is read as far as it goes; rows that repeat an id are pages
-of their own; without both kinds of block in the sample, the text speaks neither for nor against;
+of their own; pages of any length take time in proportion to it; without both kinds of block in the sample, the text speaks neither for nor against;
 an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from html import unescape
@@ -64,11 +64,8 @@ CONTENT_NAMES = set("article articlebody content entry story post main".split())
 PLACE_NAMES = set("nav navbar navigation menu sidebar aside footer header banner".split())
 LAYOUT_NAMES = set("layout has with no page grid columns container wrapper".split())
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>|<[!?][^>]*+>"
-    r"|</?[a-zA-Z!?][^<>]*+\Z", re.S,
-)
+START = re.compile(r"<(?:!--|(/?)([a-zA-Z][a-zA-Z0-9:-]*+)|[!?])")
+MARK = re.compile(r"[>\"']")
 NAMED = re.compile(
     r"(?:^|[\s\"'])(class|id|role|itemprop|hidden|style|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?",
     re.I,
@@ -89,6 +86,12 @@ class Element:
     depth: int
     number: int
     parent: "Element | None"
+    block: "Element | None" = None  # the nearest block element, itself or above; the root where there is none
+
+    def __post_init__(self) -> None:
+        if self.block is None:
+            own = self.parent is None or self.tag in BLOCK_TAGS
+            self.block = self if own else self.parent.block
 
 
 @dataclass
@@ -135,13 +138,68 @@ def entered(parent: Element, tag: str, attributes: str, number: int) -> Element:
     return Element(tag, state, silent, parent.link or tag == "a", parent.depth + 1, number, parent)
 
 
+class Tags:
+    """The tags, comments and declarations of a page, found in one pass: work is linear in its length."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.last_end, self.last_start = html.rfind(">"), html.rfind("<")
+        self.ends: dict[int, int] = {}
+
+    def attributes_end(self, at: int) -> int:
+        """Where a tag ends whose attributes begin at ``at``: after the first ">" outside quotes, or -1.
+
+        What follows a closing quote doesn't depend on where the tag began, so it is looked up once.
+        """
+        trail, found = [], -1
+        while at not in self.ends:
+            trail.append(at)
+            m = MARK.search(self.html, at)
+            if not m:
+                break
+            if m[0] == ">":
+                found = m.end()
+                break
+            closing = self.html.find(m[0], m.end())
+            if closing < 0:
+                break
+            at = closing + 1
+        else:
+            found = self.ends[at]
+        self.ends.update(dict.fromkeys(trail, found))
+        return found
+
+    def raw_end(self, tag: str, at: int) -> int:
+        """The end of an element whose content isn't markup."""
+        end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(self.html, at, self.last_end + 1)
+        return end.end() if end else len(self.html)
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(start, end, "/" or "", name, attributes) of the next tag; comments have no name."""
+        while m := START.search(self.html, at):
+            start, inside = m.span()
+            if m[0] == "<!--":
+                end = self.html.find("-->", inside)
+                return start, len(self.html) if end < 0 else end + 3, "", "", ""
+            name = m[2] or ""
+            end = self.attributes_end(inside) if name and inside <= self.last_end else -1
+            if end < 0 and inside <= self.last_end:  # an open quote: the tag ends at the next ">"
+                end = self.html.find(">", inside) + 1
+            if end > 0:
+                return start, end, m[1] or "", name, self.html[inside : end - 1]
+            if start == self.last_start:  # the page is cut off inside a tag
+                return start, len(self.html), "", "", ""
+            at = inside
+        return None
+
+
 def blocks_of(html: str) -> list[Block]:
     """The page's visible blocks in page order, white space folded, references decoded."""
     here = root = Element("", 0, False, False, 0, 0, None)
     found: list[Block] = []
     pieces: list[str] = []
     linked = number = at = 0
-    holder = root
+    holder, tags, open_tags = root, Tags(html), Counter()
 
     def flush() -> None:
         nonlocal pieces, linked
@@ -156,58 +214,55 @@ def blocks_of(html: str) -> list[Block]:
         nonlocal linked, holder
         if raw and not here.silent:
             if not pieces:
-                holder = here
-                while holder.parent and holder.tag not in BLOCK_TAGS:
-                    holder = holder.parent
+                holder = here.block
             pieces.append(raw)
             if here.link:
                 linked += len(raw)
 
-    size = len(html)
-    while at < size:
-        m = TOKEN.search(html, at)
-        if not m:
-            say(html[at:])
-            break
-        say(html[at : m.start()])
-        at = m.end()
-        tag = m[2] or m[5]
+    def leave(node: Element) -> None:
+        """Close an element and all that is open inside it."""
+        nonlocal here
+        while here is not node.parent:
+            open_tags[here.tag] -= 1
+            here = here.parent
+
+    while token := tags.next(at):
+        start, end, closes, tag, attributes = token
+        say(html[at:start])
+        at = end
         if not tag:
             continue
         tag = tag.lower()
-        if m[1] or m[4]:
-            node = here
-            while node.parent and node.tag != tag:
-                node = node.parent
+        if closes:
             if tag in BLOCK_TAGS:
                 flush()
-            if node.parent:
-                here = node.parent
+            if open_tags[tag]:
+                node = here
+                while node.tag != tag:
+                    node = node.parent
+                leave(node)
             continue
         if tag == "br":
             say(" ")
         if tag in BLOCK_TAGS:
             flush()
-            node = here
-            while node.parent and node.tag not in SCOPES and (
-                node.tag in CLOSED_BY_BLOCK or node.tag in ALIKE.get(tag, ()) or node.tag not in BLOCK_TAGS
-            ):
-                if node.tag in CLOSED_BY_BLOCK or node.tag in ALIKE.get(tag, ()):
-                    here = node.parent
-                    if node.tag not in CLOSED_BY_BLOCK:
-                        break
-                node = node.parent
+            node, alike = here.block, ALIKE.get(tag, ())
+            while node.parent and node.tag not in SCOPES and (node.tag in CLOSED_BY_BLOCK or node.tag in alike):
+                leave(node)
+                if node.tag not in CLOSED_BY_BLOCK:
+                    break
+                node = node.parent.block
         if tag in VOID_TAGS:
             continue
         number += 1
-        attributes = m[3] or m[6] or ""
         if attributes.endswith("/") and tag not in BLOCK_TAGS and tag not in SILENT_TAGS:
             continue
         if tag in RAW_TAGS:
-            end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
-            at = end.end() if end else size
+            at = tags.raw_end(tag, at)
             continue
         here = entered(here, tag, attributes, number)
+        open_tags[tag] += 1
+    say(html[at:])
     flush()
     return found
 
@@ -261,43 +316,63 @@ def joints(blocks: Sequence[Block], smooth: float) -> list[tuple[int, int, float
 def content_side(
     to_source: Sequence[float], to_sink: Sequence[float], edges: Sequence[tuple[int, int, float]]
 ) -> list[bool]:
-    """Which nodes stay with the source in the minimum cut (maximum flow, shortest paths first).
+    """Which nodes stay with the source in the minimum cut (maximum flow by level graphs).
 
     What a node can pass straight from source to sink is sent at once; then paths lead from nodes
-    with capacity left from the source to nodes with capacity left to the sink.
+    with capacity left from the source to nodes with capacity left to the sink. A round numbers the
+    nodes by their distance from the first and sends all it can along shortest paths; an arc that leads
+    nowhere is tried once a round. Rounds are as many as there are lengths of shortest paths.
     """
     n, tiny = len(to_source), 1e-9
     supply = [a - min(a, b) for a, b in zip(to_source, to_sink)]
     demand = [b - min(a, b) for a, b in zip(to_source, to_sink)]
-    left: list[dict[int, float]] = [{} for _ in range(n)]
+    arcs: list[list[int]] = [[] for _ in range(n)]
+    ends: list[int] = []
+    left: list[float] = []  # an edge is two arcs, each other's reverse
     for i, j, w in edges:
-        left[i][j] = left[i].get(j, 0.0) + w
-        left[j][i] = left[j].get(i, 0.0) + w
+        arcs[i].append(len(ends))
+        arcs[j].append(len(ends) + 1)
+        ends += [j, i]
+        left += [w, w]
     while True:
-        came = {i: i for i in range(n) if supply[i] > tiny}
-        line, last = deque(came), -1
-        while line and last < 0:
-            i = line.popleft()
-            for j, w in left[i].items():
-                if w > tiny and j not in came:
-                    came[j] = i
-                    if demand[j] > tiny:
-                        last = j
-                        break
+        level = [0 if s > tiny else -1 for s in supply]
+        line = [i for i in range(n) if level[i] == 0]
+        reached = False
+        for i in line:
+            reached |= demand[i] > tiny
+            for arc in arcs[i]:
+                j = ends[arc]
+                if level[j] < 0 and left[arc] > tiny:
+                    level[j] = level[i] + 1
                     line.append(j)
-        if last < 0:
-            return [i in came for i in range(n)]
-        path = [last]
-        while came[path[-1]] != path[-1]:
-            path.append(came[path[-1]])
-        flow = min(
-            supply[path[-1]], demand[last], *(left[b][a] for a, b in zip(path, path[1:]))
-        )
-        supply[path[-1]] -= flow
-        demand[last] -= flow
-        for a, b in zip(path, path[1:]):
-            left[b][a] -= flow
-            left[a][b] += flow
+        if not reached:
+            return [distance >= 0 for distance in level]
+        tried = [0] * n
+        for first in range(n):
+            path, i = [], first
+            while supply[first] > tiny:
+                if demand[i] > tiny:
+                    flow = min([supply[first], demand[i], *[left[arc] for arc in path]])
+                    supply[first] -= flow
+                    demand[i] -= flow
+                    for arc in path:
+                        left[arc] -= flow
+                        left[arc ^ 1] += flow
+                    path, i = [], first
+                    continue
+                mine = arcs[i]
+                while tried[i] < len(mine) and not (
+                    left[mine[tried[i]]] > tiny and level[ends[mine[tried[i]]]] == level[i] + 1
+                ):
+                    tried[i] += 1
+                if tried[i] < len(mine):
+                    path.append(mine[tried[i]])
+                    i = ends[path[-1]]
+                elif path:
+                    i = ends[path.pop() ^ 1]
+                    tried[i] += 1
+                else:
+                    break
 
 
 @dataclass

@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 
 import numpy as np
 import pytest
@@ -141,3 +142,36 @@ def test_odd_rows(spark):
     got = ht.extracted(spark.createDataFrame(rows, schema)).collect()
     assert len(got) == 4 and sum(r.text == "" and r.n_chars == 0 for r in got) >= 1
     assert ht.extracted(spark.createDataFrame([], schema)).count() == 0
+
+
+LONG_PAGES = {
+    "alternating blocks": (
+        "<article><p>A sentence, it goes on.</p></article><div class=menu><a href=x>Home</a></div>" * 55_000,
+        "\n".join(["A sentence, it goes on."] * 55_000),
+    ),
+    "open quotes": ('<a "' * 250_000, None),
+    "brackets in quotes": ('<a ">"' * 170_000, None),
+    "deep, with stray ends": ("<article>" + "<div><b>" * 60_000 + "x</y>" * 60_000, "x" * 60_000),
+    "items under open inline elements": (
+        "<article><li><ul>" + "<b>" * 50_000 + "<li>x</li>" * 50_000, "\n".join("x" * 50_000)),
+    "unclosed script": ("<article>x<script>" + "</script " * 100_000, "x"),
+    "comments": ("<article>x" + "<!--a" * 200_000, "x"),
+}
+
+
+@pytest.mark.parametrize("name", LONG_PAGES)
+def test_long_pages_take_time_in_proportion(name):
+    """Each stands for hours where a tag, an end or a path is looked for from the start again."""
+    page, want = LONG_PAGES[name]
+    began = time.monotonic()
+    text = PLAIN.text(page)
+    assert time.monotonic() - began < 20
+    assert want is None or text == want
+
+
+def test_flow_through_long_runs_of_undecided_blocks():
+    n = 3000
+    source, sink = [5.0] + [1.0] * (n - 2) + [0.0], [0.0] + [1.0] * (n - 2) + [5.0]
+    edges = [(i, i + 1, 2.0 if i != n // 2 else 1.5) for i in range(n - 1)]
+    side = ht.content_side(source, sink, edges)
+    assert side == [i <= n // 2 for i in range(n)]
