@@ -836,6 +836,16 @@ SELECT *, pct_of_cost - pct_of_count AS imbalance FROM (
     total_cost::DOUBLE / (SELECT sum(total_cost) FROM per_type)::DOUBLE AS pct_of_cost,
     count / (SELECT sum(count) FROM per_type)::DOUBLE AS pct_of_count
   FROM per_type)"""
+ORACLES["dim_judge_version_loads"] = ORACLES["dim_judge_version"]
+ORACLES["explorer_search_mart"] = ORACLES["explorer_search"]
+ORACLES["extract_behind_mark"] = (
+    f"WITH {X.CTE_CONVERSATIONS} SELECT * REPLACE (total_cost_usd::DOUBLE AS total_cost_usd) "
+    "FROM conversations_a WHERE id % 7 = 0 OR id % 11 = 0"
+)
+ORACLES["latency_quantiles_sketched"] = f"""WITH {X.CTE_JUDGE_EVENTS}
+SELECT date_trunc('minute', ts) + to_minutes(CAST(g.range AS INT) + 1) AS window_end, conversation_type,
+  count(*) AS latencies, true AS p50_in_bound, true AS p95_in_bound
+FROM judge_e, range(5) g WHERE latency_s IS NOT NULL GROUP BY 1, 2"""
 ORACLES["transcripts_followed"] = ORACLES["transcripts_capped_long"]
 ORACLES["transcripts_reloaded"] = ORACLES["transcripts_capped"]
 ORACLES["latest_outcomes_folded"] = ORACLES["latest_outcomes"]

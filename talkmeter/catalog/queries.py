@@ -123,6 +123,16 @@ def extract_parent_incremental(spark, sf):
     return plain(incremental.changed_since(X.conversations(spark, sf), MARK))
 
 
+@query
+def extract_behind_mark(spark, sf):
+    """Landing lacks a seventh of the conversations and has a stale copy of an eleventh."""
+    folder, rows = new_run_folder(spark, "landing"), X.conversations(spark, sf)
+    stale = F.when(F.col("id") % 11 == 0, F.lit("stale")).otherwise(F.col("title"))
+    incremental.land(rows.filter(F.col("id") % 7 != 0).withColumn("title", stale), folder, 1)
+    landed_rows = incremental.newest_landed(spark.read.parquet(folder), staging.CONVERSATION_CHANGE)
+    return plain(incremental.rows_behind_mark(rows, landed_rows))
+
+
 @query
 def watermark_advance(spark, sf):
     rows = incremental.changed_since(X.conversations(spark, sf), MARK)
@@ -392,6 +402,13 @@ def explorer_search(spark, sf):
     return plain(reports.explorer_filter(classified(spark, sf), id_text=EXPLORED_IDS))
 
 
+@query
+def explorer_search_mart(spark, sf):
+    """The same search on the published fact, of which only the ids' buckets are opened."""
+    fact_mart = reports.load_classified(standing_marts(spark, sf)["fct_outcomes"])
+    return plain(reports.explorer_filter(fact_mart, id_text=EXPLORED_IDS))
+
+
 @query
 def explorer_unmatched_ids(spark, sf):
     return reports.explorer_unmatched_ids(classified(spark, sf), EXPLORED_IDS)
@@ -476,6 +493,16 @@ def outcome_distribution(spark, sf):
     return reports.outcome_distribution(X.ledger(spark, sf))
 
 
+@query
+def dim_judge_version_loads(spark, sf):
+    """The registry from three loads' stored bitmaps and counts."""
+    folder, rows = new_run_folder(spark, "version-parts"), X.ledger(spark, sf)
+    for load in range(3):
+        part = rows.filter(F.pmod(F.xxhash64("conversation_id", "classified_at"), F.lit(3)) == load)
+        outcomes.version_parts(part).write.mode("append").parquet(folder)
+    return outcomes.judge_versions_of(spark.read.parquet(folder))
+
+
 @query
 def dim_judge_version(spark, sf):
     return outcomes.judge_versions(X.ledger(spark, sf))
@@ -1099,6 +1126,15 @@ def latency_quantiles_sliding(spark, sf):
     return rounded(telemetry.latency_quantiles_trailing(X.judge_events(spark, sf)))
 
 
+@query
+def latency_quantiles_sketched(spark, sf):
+    """Quantiles of trailing windows from stored sketches, checked by the rank of what they return."""
+    folder, events = new_run_folder(spark, "sketches"), X.judge_events(spark, sf)
+    telemetry.latency_sketches(events).write.parquet(folder)
+    quantiles = telemetry.sketched_quantiles(spark.read.parquet(folder))
+    return telemetry.sketched_ranks(events, quantiles)
+
+
 @query
 def success_rate(spark, sf):
     return telemetry.success_rate(X.judge_events(spark, sf))

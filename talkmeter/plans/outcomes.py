@@ -38,6 +38,7 @@ FACT_COLUMNS = [
 ]
 
 
+VERSION = ["prompt_version", "model_version", "prompt_hash"]
 FACT_KEYS = ["conversation_id"]
 HISTORY_KEYS = ["conversation_id", "prompt_version"]
 
@@ -142,7 +143,7 @@ def judge_versions(ledger: DataFrame) -> DataFrame:
     conversation) and are counted there; the types come from a fold of their
     own. No distinct count and no sort over rows remains.
     """
-    version = ["prompt_version", "model_version", "prompt_hash"]
+    version = VERSION
     versioned = with_lineage(ledger).filter(F.col("prompt_version").isNotNull())
     per_conversation = versioned.groupBy(*version, "conversation_id").agg(
         F.min("classified_at").alias("first_at"),
@@ -158,6 +159,12 @@ def judge_versions(ledger: DataFrame) -> DataFrame:
         F.sum("errors").alias("error_count"),
     )
     per_type = versioned.groupBy(*version, "classified_as_type").agg(F.count("*").alias("rows"))
+    return registry(counted, per_type)
+
+
+def registry(counted: DataFrame, per_type: DataFrame) -> DataFrame:
+    """The registry's columns from its counts and one row per version and type."""
+    version = VERSION
     types = per_type.groupBy(*[F.col(c).alias(f"_{c}") for c in version]).agg(
         F.collect_set("classified_as_type").alias("types")
     )
@@ -169,3 +176,42 @@ def judge_versions(ledger: DataFrame) -> DataFrame:
         "first_classified_at", "last_classified_at", "total_classifications",
         "distinct_conversations", "error_count",
     )
+
+
+def version_parts(ledger: DataFrame) -> DataFrame:
+    """What one load of the ledger adds to the registry, in a form that adds up.
+
+    Conversations are exact bitmaps, one row per version, type and 32,768 neighbouring ids: a
+    conversation that comes again in a later load, or under another type, sets the same bit.
+    """
+    versioned = with_lineage(ledger).filter(F.col("prompt_version").isNotNull())
+    identity = F.col("conversation_id")
+    return versioned.groupBy(
+        *VERSION, "classified_as_type", F.bitmap_bucket_number(identity).alias("bucket")
+    ).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(identity)).alias("conversations"),
+        F.min("classified_at").alias("first_at"), F.max("classified_at").alias("last_at"),
+        F.count("*").alias("rows"), F.count("error").alias("errors"),
+    )
+
+
+def merged_parts(parts: DataFrame, *by: str) -> DataFrame:
+    """Parts of several loads as one; a plain batch job for a registry of many loads."""
+    return parts.groupBy(*VERSION, *by, "bucket").agg(
+        F.bitmap_or_agg("conversations").alias("conversations"),
+        F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"),
+        F.sum("rows").alias("rows"), F.sum("errors").alias("errors"),
+    )
+
+
+def judge_versions_of(parts: DataFrame) -> DataFrame:
+    """The registry of all loads whose parts these are; the ledger itself is not read."""
+    counted = merged_parts(parts).groupBy(*VERSION).agg(
+        F.min("first_at").alias("first_classified_at"),
+        F.max("last_at").alias("last_classified_at"),
+        F.sum("rows").alias("total_classifications"),
+        F.sum(F.bitmap_count("conversations")).alias("distinct_conversations"),
+        F.sum("errors").alias("error_count"),
+    )
+    per_type = parts.groupBy(*VERSION, "classified_as_type").agg(F.count("*").alias("rows"))
+    return registry(counted, per_type)

@@ -6,9 +6,12 @@ values (span, limits) enter as scalar subqueries, not as joins.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from talkmeter import vocabulary as V
 from talkmeter.functions import labels
@@ -309,6 +312,19 @@ def explorer_scope(
     return rows
 
 
+def has_id(rows: DataFrame, ids: list[str]) -> Column:
+    """Is the conversation one of the typed ids?
+
+    Typed as numbers, so that the filter reaches the scan: bucketed and sorted marts then open the
+    buckets of these ids, and in them the row groups that may hold them. Text that isn't a number
+    as it would be printed names no conversation.
+    """
+    if not isinstance(rows.schema["conversation_id"].dataType, IntegralType):
+        return F.col("conversation_id").cast("string").isin(ids)
+    numbers = [int(i) for i in ids if re.fullmatch(r"0|-?[1-9][0-9]{0,18}", i)]
+    return F.col("conversation_id").isin([n for n in numbers if -(2**63) <= n < 2**63])
+
+
 def explorer_filter(
     classified: DataFrame, outcomes: list[str] | None = None, types: list[str] | None = None,
     id_text: str = "",
@@ -316,7 +332,7 @@ def explorer_filter(
     """Rows by outcome, type and an optional typed id list."""
     rows = explorer_scope(classified, outcomes, types)
     if id_text.strip():
-        rows = rows.filter(F.col("conversation_id").cast("string").isin(split_ids(id_text)))
+        rows = rows.filter(has_id(rows, split_ids(id_text)))
     shown = ["conversation_id", "conversation_type", "outcome", "gate_decision", "reasoning",
              "char_count", "total_cost_usd", *V.RUBRIC]
     return rows.select([name for name in shown if name in rows.columns])
@@ -331,6 +347,7 @@ def explorer_unmatched_ids(
     typed_ids = F.explode(F.array([F.lit(part) for part in split_ids(id_text)]).cast("array<string>"))
     searched = spark.range(1).select(typed_ids.alias("conversation_id"))
     rows = explorer_scope(classified, outcomes, types)
-    present = rows.select(F.col("conversation_id").cast("string").alias("conversation_id"))
-    found = present.filter(F.col("conversation_id").isin(split_ids(id_text)))
+    found = rows.filter(has_id(rows, split_ids(id_text))).select(
+        F.col("conversation_id").cast("string").alias("conversation_id")
+    )
     return searched.join(found, "conversation_id", "left_anti")

@@ -221,6 +221,51 @@ def latency_quantiles_trailing(events: DataFrame, step: int = 60, width: int = 3
     )
 
 
+def latency_sketches(events: DataFrame, step: int = 60, k: int = 800) -> DataFrame:
+    """One KLL sketch of the latencies per step and type: a few kilobytes, whatever a step holds."""
+    timed = as_instant(events).filter(F.col("latency_s").isNotNull())
+    return timed.groupBy(step_start(step).alias("step"), "conversation_type").agg(
+        F.kll_sketch_agg_double(F.col("latency_s").cast("double"), k).alias("sketch")
+    )
+
+
+def sketched_quantiles(sketches: DataFrame, step: int = 60, width: int = 300) -> DataFrame:
+    """p50 and p95 per type over the ``width`` seconds before each step, from stored sketches.
+
+    Any window of whole steps can be asked for later; no latency is read again.
+    """
+    merged = trailing(sketches, "step", step, width).groupBy("window_end", "conversation_type").agg(
+        F.kll_merge_agg_double("sketch").alias("sketch")
+    )
+    return merged.select(
+        window_end(), "conversation_type", F.kll_sketch_get_n_double("sketch").alias("latencies"),
+        F.kll_sketch_get_quantile_double("sketch", F.lit(0.50)).alias("p50"),
+        F.kll_sketch_get_quantile_double("sketch", F.lit(0.95)).alias("p95"),
+    )
+
+
+def sketched_ranks(
+    events: DataFrame, quantiles: DataFrame, step: int = 60, width: int = 300, bound: float = 0.01
+) -> DataFrame:
+    """Do sketched quantiles have the rank they should among the latencies of their windows?"""
+    value = F.col("latency_s").cast("double")
+    timed = as_instant(events).filter(value.isNotNull()).select(
+        step_start(step).alias("step"), "conversation_type", value.alias("latency_s")
+    )
+    spread = trailing(timed, "step", step, width).select(window_end(), "conversation_type", "latency_s")
+    slack = F.lit(bound) + 1 / F.col("latencies")
+
+    def share(condition: Column) -> Column:
+        return F.avg(condition.cast("double"))
+
+    keys = ["window_end", "conversation_type", "latencies"]
+    return spread.join(quantiles, keys[:2]).groupBy(*keys).agg(*[
+        ((share(F.col("latency_s") < F.col(name)) - slack <= q)
+         & (q <= share(F.col("latency_s") <= F.col(name)) + slack)).alias(f"{name}_in_bound")
+        for name, q in (("p50", 0.50), ("p95", 0.95))
+    ])
+
+
 def success_rate(events: DataFrame) -> DataFrame:
     """Outcomes that start with ``success`` over all outcomes."""
     outcomes = events.filter(F.col("error_type").isNull())

@@ -8,11 +8,14 @@ tables have landed.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from talkmeter import vocabulary as V
+from talkmeter.plans import staging
 from talkmeter.sources import tables
 
 
@@ -62,6 +65,67 @@ def next_mark(rows: DataFrame, mark: str | Column, column: str = "updated_at") -
     return rows.agg(F.coalesce(F.max(column), as_mark(mark)).alias("mark"))
 
 
+def key_range(spark_rows: DataFrame, key: str) -> tuple[int, int] | None:
+    least, most = spark_rows.agg(F.min(key), F.max(key)).first()
+    return None if least is None else (int(least), int(most))
+
+
+def row_sums(rows: DataFrame, key: str, low: int, width: int) -> DataFrame:
+    """Rows and the sum of their hashes per key range: equal for equal rows in any order."""
+    at = F.floor((F.col(key).cast("long") - low) / width)
+    return rows.groupBy(at.alias("range")).agg(
+        F.count("*").alias("n"), F.sum(F.xxhash64(*rows.columns).cast("decimal(20,0)")).alias("sum")
+    )
+
+
+def rows_behind_mark(
+    source: DataFrame, landed: DataFrame, key: str = "id", pieces: int = 1000
+) -> DataFrame:
+    """Source rows that no load has brought: committed late under an old ``updated_at``, or changed
+    without moving it.
+
+    ``landed`` is the landing's newest copy per key, as text (``newest_landed``). Both sides are summed
+    by hash over at most ``pieces`` ranges of the key; only ranges whose sums differ are read again, and
+    of these the rows that landing doesn't have in this form come out, to be landed as a load of
+    their own. Rows that the source has deleted stay landed.
+    """
+    text = all_text(source)
+    landed = landed.select(text.columns)
+    bounds = key_range(source, key)
+    if bounds is None:
+        return source
+    low, width = bounds[0], max(1, -(-(bounds[1] - bounds[0] + 1) // pieces))
+    ours, theirs = (row_sums(rows, key, low, width).alias(side) for rows, side in (
+        (text, "ours"), (landed, "theirs")
+    ))
+    same = F.col("ours.n").eqNullSafe(F.col("theirs.n")) & F.col("ours.sum").eqNullSafe(F.col("theirs.sum"))
+    # At most ``pieces`` numbers, which become a filter that reaches the scans.
+    differ = [
+        row["range"] for row in ours.join(theirs, "range", "left").filter(~same).select("range").collect()
+        if row["range"] is not None
+    ]
+    runs: list[list[int]] = []
+    for number in sorted(differ):
+        if runs and runs[-1][1] == number - 1:
+            runs[-1][1] = number
+        else:
+            runs.append([number, number])
+    inside = reduce(or_, [
+        F.col(key).cast("long").between(low + a * width, low + (b + 1) * width - 1) for a, b in runs
+    ], F.lit(False))
+    mark = F.xxhash64(*[F.col(name).cast("string") for name in source.columns])
+    known = landed.filter(inside).select(
+        F.col(key).cast("long").alias("_key"), F.xxhash64(*text.columns).alias("_mark")
+    )
+    rows = source.filter(inside)
+    return rows.join(known, (F.col(key).cast("long") == F.col("_key")) & (mark == F.col("_mark")), "left_anti")
+
+
+def newest_landed(raw: DataFrame, changed: str) -> DataFrame:
+    """The landing's newest copy per id, still as text."""
+    return staging.one_per_id(raw, changed)
+
+
 def all_text(df: DataFrame) -> DataFrame:
     """Landing form: every column as a string."""
     return df.select([F.col(name).cast("string").alias(name) for name in df.columns])

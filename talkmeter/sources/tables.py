@@ -108,7 +108,8 @@ def publish(
     The version goes to a folder of its own. ``after`` is the step that the new
     version was made from: if the pointer has moved since, ``Moved`` is raised
     and readers keep what they have. Tables with one row per conversation may be
-    bucketed by it, so that joins between them need no shuffle. Messages must not:
+    bucketed by it, so that joins between them need no shuffle and a search by id opens
+    its buckets only (sorted, and with a bloom filter of the ids). Messages must not:
     a conversation with a third of all messages would make one bucket a third of the table.
     """
     spark = df.sparkSession
@@ -120,7 +121,9 @@ def publish(
         # One task writes one bucket, so a bucket is one sorted file.
         df.repartition(buckets, bucket_by).write.mode("errorifexists").bucketBy(
             buckets, bucket_by
-        ).sortBy(bucket_by).option("path", place).saveAsTable(table_name(folder))
+        ).sortBy(bucket_by).option(f"parquet.bloom.filter.enabled#{bucket_by}", "true").option(
+            "path", place
+        ).saveAsTable(table_name(folder))
         folder = f"{folder}|{bucket_by}|{buckets}"
     else:
         df.write.mode("errorifexists").partitionBy(*(partition_by or [])).parquet(place)

@@ -72,6 +72,26 @@ def test_rows_at_the_mark_are_not_read_again(spark):
     assert empty == day(3)
 
 
+def test_rows_committed_behind_the_mark_are_found_and_landed(spark, tmp_path):
+    """A late commit, a change that didn't move ``updated_at``, and nothing else; then all is equal."""
+    path = str(tmp_path / "c")
+    rows = [(i, f"t{i}", day(1 + i % 9)) for i in range(5, 3000, 3)]
+    source = spark.createDataFrame(rows, PARENTS)
+    incremental.land(source.filter("id <> 1001 AND id <> 2999"), path, 1)
+    changed = source.withColumn("title", F.expr("CASE WHEN id = 500 THEN 'new' ELSE title END"))
+
+    def behind(frame, pieces):
+        landed = incremental.newest_landed(spark.read.parquet(path), staging.CONVERSATION_CHANGE)
+        return incremental.rows_behind_mark(frame, landed, pieces=pieces)
+
+    for pieces in (1, 7, 1000):
+        found = behind(changed, pieces)
+        assert found.schema == changed.schema
+        assert sorted(r["id"] for r in found.collect()) == [500, 1001] + [2999] * (2999 % 3 == 2)
+    incremental.land(behind(changed, 100), path, 2)
+    assert behind(changed, 100).count() == 0 and behind(changed.limit(0), 5).count() == 0
+
+
 def test_publish_keeps_the_old_version_until_the_pointer_moves(spark, tmp_path):
     base = str(tmp_path / "t")
     schema = "id int, v string"

@@ -3,6 +3,7 @@
 import datetime
 import io
 from contextlib import redirect_stdout
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
@@ -303,6 +304,66 @@ def test_fact_and_history_join_as_they_lie(spark, sf_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
 
 
+def test_a_search_by_id_opens_only_the_buckets_of_its_ids(spark, tmp_path):
+    from talkmeter.sources import tables
+
+    rows = spark.range(20_000).selectExpr(
+        "id AS conversation_id", "'consultation' AS conversation_type", "'success_clean' AS outcome",
+        "CAST(id AS STRING) AS reasoning")
+    tables.publish(rows, str(tmp_path), bucket_by="conversation_id", buckets=64)
+    mart = tables.current(spark, str(tmp_path), rows.schema)
+    found = reports.explorer_filter(mart, id_text="7, 0123, +5, 19999, x, 7.0, 99999999999999999999999")
+    assert sorted(r["reasoning"] for r in found.collect()) == ["19999", "7"]
+    plan = plan_of(found)
+    assert "In(conversation_id" in plan[plan.index("PushedFilters"):].split("\n")[0]
+    assert reports.explorer_filter(mart, id_text="nope").count() == 0
+    gone = reports.explorer_unmatched_ids(mart, "7, 07, nope")
+    assert sorted(r["conversation_id"] for r in gone.collect()) == ["07", "nope"]
+    # Spoil all files but the two that hold the ids: they are not opened.
+    own = {r[0].rsplit("/", 1)[1] for r in found.select(F.input_file_name()).collect()}
+    files = [f for f in tmp_path.glob("version=*/part-*") if f.name not in own]
+    assert len(own) == 2 and len(files) == 62
+    for file in files:
+        (file.parent / f".{file.name}.crc").unlink()
+        file.write_bytes(b"spoilt")
+    again = reports.explorer_filter(mart, id_text="7, 19999")
+    assert sorted(r["reasoning"] for r in again.collect()) == ["19999", "7"]
+
+
+def test_sketched_windows_of_many_latencies_have_the_right_rank(spark):
+    from talkmeter.plans import telemetry
+
+    events = spark.range(59_400).selectExpr(
+        "timestamp_seconds(id % 900) AS ts", "'consultation' AS conversation_type",
+        "CAST(pow(pmod(id * 7919, 59400), 1.5) AS DOUBLE) AS latency_s")
+    stored = telemetry.latency_sketches(events)
+    assert stored.selectExpr("max(length(sketch)) n").first()["n"] < 20_000
+    quantiles = telemetry.sketched_quantiles(stored).cache()
+    assert quantiles.selectExpr("max(latencies) n").first()["n"] == 19_800
+    checked = telemetry.sketched_ranks(events, quantiles).collect()
+    assert len(checked) == 19 and all(r["p50_in_bound"] and r["p95_in_bound"] for r in checked)
+
+
+def test_version_parts_add_up_in_any_loads(spark, sf_dir):
+    """Bitmaps of repeated conversations, over types and loads, count each once; parts may be merged."""
+    from talkmeter.plans import outcomes
+
+    ledger = X.ledger(spark, sf_dir)
+    loads = [ledger.filter(f"pmod(hash(classified_at), 4) = {n}") for n in range(4)] + [ledger.limit(50)]
+    parts = reduce(lambda a, b: a.unionByName(b), [outcomes.version_parts(part) for part in loads])
+    whole = outcomes.judge_versions(reduce(lambda a, b: a.unionByName(b), loads))
+    for form in (parts, outcomes.merged_parts(parts, "classified_as_type")):
+        got = outcomes.judge_versions_of(form)
+        assert sorted(map(str, got.select(whole.columns).collect())) == sorted(map(str, whole.collect()))
+    odd = spark.createDataFrame(
+        [(None, "v", None), (-5, "v", "e"), (-5, "v", None), (2**40, "v", None), (2**40, "w", None)],
+        "conversation_id bigint, prompt_version string, error string"
+    ).selectExpr("*", "'m' AS model", "'h' AS prompt_hash", "'t' AS conversation_type",
+                 "TIMESTAMP_NTZ'2026-01-01' AS classified_at")
+    got = outcomes.judge_versions_of(outcomes.version_parts(odd)).select(outcomes.judge_versions(odd).columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, outcomes.judge_versions(odd).collect()))
+
+
 def test_a_bucketed_version_opens_in_a_session_that_did_not_write_it(spark, tmp_path):
     from talkmeter.sources import tables
 
