@@ -8,7 +8,8 @@ logistic curve fitted on the documents turns it into a score.
 Labels mark documents, not lines. All lines of good documents are good; of bad documents all lines
 start as bad, and after each fit those that the field takes for good change sides, except the worst
 line of each. The fit uses a bounded sample: ``sample`` labelled documents with the smallest hash of
-their id, and ``sample_lines`` lines of each. Scoring reads all lines of all texts.
+their id, and of each at most ``sample_lines`` neighbouring lines, a stretch that begins at a line chosen by
+the hash. Scoring reads all lines of all texts.
 
 Defined results: a null or empty text is one empty line; rows that repeat an id or text are scored
 alike; of labels that repeat an id the greatest counts, null labels don't; without labelled documents of
@@ -226,6 +227,13 @@ def fit_field(
     return minimise(cost, start, steps=40)
 
 
+def stretch(text: str, mark: int, count: int) -> str:
+    """``count`` neighbouring lines of a text, or all it has; the hash says where they begin."""
+    lines = text.split("\n")
+    first = mark % (len(lines) - count + 1) if len(lines) > count else 0
+    return "\n".join(lines[first : first + count])
+
+
 def train(
     docs: DataFrame, labels: DataFrame, sample: int = 4000, sample_lines: int = 200, rounds: int = 3,
     penalty: float = 1.0,
@@ -238,8 +246,7 @@ def train(
         for batch in batches:
             out = []
             for mark, text, quality in zip(batch["mark"], batch["text"], batch["quality"]):
-                some = "\n".join(text.split("\n", sample_lines)[:sample_lines])
-                own, points, _ = described([some])
+                own, points, _ = described([stretch(text, mark, sample_lines)])
                 out.append((mark, quality, own.astype(np.float32).ravel(), points))
             yield pd.DataFrame(out, columns=["mark", "quality", "own", "points"])
 

@@ -6,8 +6,9 @@ training the earlier probabilities are out-of-fold predictions, so a later model
 an earlier one remembers its own rows. ``labels`` marks two categories: low quality and toxic.
 
 The models are fitted on a bounded sample of the labelled rows, ``sample`` of them, the ones with the
-smallest hash of their id; the vocabulary is the tokens that go with a category in that sample.
-Scoring reads all texts whole.
+smallest hash of their id; the vocabulary is all tokens of ``least_texts`` of the sampled texts or more
+whose counts go with a category, by a chi-square of ``least_score`` or more. So the sample bounds it, and
+nothing else does. Scoring reads all texts whole.
 
 Defined results: a null text counts as empty; rows that repeat an id or text are scored alike; of labels
 that repeat an id the greatest counts, null labels don't; with no labelled rows every probability is 0,
@@ -132,7 +133,7 @@ def sample_of(docs: DataFrame, labels: DataFrame, size: int, columns: dict[str,
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, sample: int = 8000, words_each: int = 4000, folds: int = 4,
+    docs: DataFrame, labels: DataFrame, sample: int = 8000, folds: int = 4, least_texts: int = 3,
     least_score: float = 20.0, penalty: float = 0.05,
 ) -> Chain:
     spark = docs.sparkSession
@@ -153,7 +154,7 @@ def train(
     counted = (
         rows.select("text", *CHAIN).mapInPandas(cells, "word string, low_quality int, toxic int")
         .groupBy("word").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in CHAIN])
-        .filter(F.col("n") >= 3)
+        .filter(F.col("n") >= least_texts)
     )
     total = rows.agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in CHAIN]).first()
     chain = Chain(CHAIN)
@@ -166,8 +167,7 @@ def train(
         expected = F.col("n") * share
         spread = F.lit(max(share * (1 - share), 1e-9)) * F.col("n")
         score = (F.col(name) - expected) ** 2 / spread
-        best = counted.select("word", score.alias("score")).filter(F.col("score") >= least_score)
-        words |= {r.word for r in best.orderBy(F.desc("score"), "word").limit(words_each).collect()}
+        words |= {r.word for r in counted.filter(score >= least_score).select("word").collect()}
     chain.words = {word: i for i, word in enumerate(sorted(words))}
     index = chain.words
 

@@ -36,6 +36,44 @@ def test_line_descriptions():
     assert np.array_equal(alone, own[1])
 
 
+def test_scores_equal_plain_forward_backward():
+    rng = np.random.default_rng(12)
+    field = q.Field(rng.normal(0, 1, q.WIDTH), rng.normal(0, 1, (2, 2)), (1.3, -0.4))
+    texts = ["One line, that's all.", "", "A b\n\nCDE 77\n" + "word " * 30 + "\nend", "x\n" * 9]
+    want = []
+    for text in texts:
+        lines = [q.described([line])[0][0] for line in text.split("\n")]
+        sizes = [len(line) for line in text.split("\n")]
+        n, none = len(lines), np.zeros(q.OWN)
+        score = []
+        for t in range(n):
+            row = np.concatenate([
+                lines[t], lines[t - 1] if t else none, lines[t + 1] if t + 1 < n else none,
+                [t == 0, t + 1 == n, 1.0],
+            ])
+            score.append(np.array([0.0, row @ field.weights]))
+        pair = np.exp(field.moves)
+        ahead, behind = [np.exp(score[0])], [np.ones(2)]
+        for t in range(1, n):
+            ahead.append(np.exp(score[t]) * (ahead[-1] @ pair))
+            behind.append(pair @ (np.exp(score[n - t]) * behind[-1]))
+        good = []
+        for a, b in zip(ahead, behind[::-1]):
+            both = a * b
+            good.append(both[1] / both.sum())
+        weight = np.array(sizes) + 1.0
+        mean = (np.array(good) * weight).sum() / weight.sum()
+        want.append(1 / (1 + np.exp(-(1.3 * np.log(mean / (1 - mean)) - 0.4))))
+    assert np.allclose(field.predict(texts), want)
+
+
+def test_sampled_lines_are_a_stretch_from_anywhere():
+    text = "\n".join(map(str, range(50)))
+    got = [[int(x) for x in q.stretch(text, mark, 10).split("\n")] for mark in range(-30, 60)]
+    assert all(g == list(range(g[0], g[0] + 10)) for g in got) and {g[0] for g in got} == set(range(41))
+    assert q.stretch("a\nb", 7, 10) == "a\nb" and q.stretch("", 7, 10) == ""
+
+
 def test_held_out_accuracy(spark, sf_dir):
     base = sf_dir.replace("sf0.001", "sf0.01")
     docs = spark.read.parquet(f"{base}/documents.parquet")

@@ -35,6 +35,56 @@ def test_held_out_accuracy_and_out_of_fold_feedback():
     assert len(weights[1]) == width + 2
 
 
+def newton(x, y, penalty):
+    """A logistic model fitted by plain Newton steps; the last column is the constant."""
+    held = np.diag([penalty] * (x.shape[1] - 1) + [0.0])
+    w = np.zeros(x.shape[1])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-x @ w))
+        slope = x.T @ (p - y) + held @ w
+        w = w - np.linalg.solve((x.T * (p * (1 - p))) @ x + held, slope)
+    return w
+
+
+def test_chain_equals_a_plain_dense_chain():
+    rng = np.random.default_rng(9)
+    n, width, penalty = 400, 12, 0.7
+    cells = rng.random((n, width)) < 0.3
+    labels = np.column_stack([
+        cells @ rng.normal(0, 2, width) + rng.normal(0, 1, n) > 0.5 for _ in range(3)
+    ]).astype(int)
+    fold = np.arange(n) % 4
+    ones, earlier, plain = np.ones((n, 1)), np.zeros((n, 0)), []
+    for j in range(3):
+        x, y = np.column_stack([cells, earlier, ones]), labels[:, j]
+        plain.append(newton(x, y, penalty))
+        out = np.zeros(n)
+        for part in range(4):
+            w = newton(x[fold != part], y[fold != part], penalty)
+            out[fold == part] = 1 / (1 + np.exp(-x[fold == part] @ w))
+        earlier = np.column_stack([earlier, out])
+    rows, columns = np.nonzero(cells)
+    got = tox.fit(rows, columns, labels, fold, width, penalty)
+    # The fit ends at a relative gain of 1e-7, which leaves weights of size 1 to 5 this near.
+    assert all(np.allclose(a, b, atol=2e-2) for a, b in zip(got, plain))
+    texts = [" ".join(f"w{i}" for i in np.flatnonzero(row)) for row in cells]
+    found = np.zeros((n, 0))
+    for w in got:  # at prediction time a model sees the earlier ones' own probabilities
+        p = 1 / (1 + np.exp(-np.column_stack([cells, found, ones]) @ w))
+        found = np.column_stack([found, p])
+    chain = tox.Chain("abc", {f"w{i}": i for i in range(width)}, got)
+    assert np.allclose(chain.predict(texts), found)
+
+
+def test_vocabulary_is_all_that_goes_with_a_category(spark):
+    """5,000 words that stand in toxic texts only: none is cut off."""
+    bad = [f"b{i}q" for i in range(5000)]
+    rows = [(i, " ".join(bad), i) for i in range(30)] + [(100 + i, "plain words here", 0) for i in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i < 30)) for i, _, _ in rows], "doc_id long, quality int, toxic int")
+    assert set(bad) <= tox.train(docs, labels).words.keys()
+
+
 def test_odd_rows_and_labels(spark):
     docs = odd_docs(spark)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
