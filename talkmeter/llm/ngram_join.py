@@ -216,9 +216,9 @@ def verified(members: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def families(nodes: DataFrame, level: int, trees: int, before: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """(all (node, root) of this level, those whose family isn't one of the level before)."""
-    roots = components(ties(nodes, level, trees))
+def families(tied: DataFrame, before: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(all (node, root) of a level, those whose family isn't one of the level before)."""
+    roots = components(tied)
     if before is None:
         return roots, roots
     sums = [F.count("*").alias("n"), F.min("node").alias("least"), F.sum(
@@ -230,25 +230,13 @@ def families(nodes: DataFrame, level: int, trees: int, before: DataFrame | None)
     return roots, staged(roots.join(grown, "root", "left_semi"), "grown-members")
 
 
-def blocks_of(docs: DataFrame, nodes: DataFrame, roots: DataFrame, size: int, block: int) -> DataFrame:
-    """The members of every pair of blocks of the families, with their run sets.
-
-    A family of n nodes has ceil(n / block) blocks, a node's block comes from its hash, and a node goes
-    to each pair that holds its block. Runs are made anew from the text of one document per node, so
-    that sets are held only for nodes that have candidates.
-    """
-    sizes = roots.groupBy("root").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
+def run_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """(node, weight, runs) of the wanted nodes: made once, from the text of one document per node."""
     placed = staged(
-        roots.join(sizes, "root").join(nodes.select("node", "weight", "keeper"), "node").select(
-            "node", "weight", "keeper", F.col("root").alias("family"), "blocks",
-            F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"),
-        ),
-        "families",
+        wanted.join(nodes.select("node", "weight", "keeper"), "node"), "candidates"
     )
     same = F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("mark") == F.col("keeper.mark"))
-    chosen = marked(docs).join(placed, same).select(
-        "text", "node", "weight", "family", "blocks", "block"
-    )
+    chosen = marked(docs).join(placed, same).select("text", "node", "weight")
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -258,13 +246,31 @@ def blocks_of(docs: DataFrame, nodes: DataFrame, roots: DataFrame, size: int, bl
             batch["runs"] = runs
             yield batch
 
-    sets = chosen.mapInPandas(
-        visit, "node binary, weight long, family binary, blocks int, block int, runs binary"
-    ).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return sets.select(
+    sets = chosen.mapInPandas(visit, "node binary, weight long, runs binary")
+    return staged(sets.dropDuplicates(["node"]), "run-sets")
+
+
+def blocks_of(sets: DataFrame, roots: DataFrame, block: int) -> DataFrame:
+    """The members of every pair of blocks of the families, with their run sets.
+
+    A family of n nodes has ceil(n / block) blocks, a node's block comes from its hash, and a node goes
+    to each pair that holds its block.
+    """
+    sizes = roots.groupBy("root").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
+    placed = staged(
+        roots.join(sizes, "root").select(
+            "node", F.col("root").alias("family"), "blocks",
+            F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"),
+        ),
+        "families",
+    )
+    members = sets.join(placed, "node").withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    )
+    return members.select(
         "family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         "block", "node", "weight", "runs",
-    ).dropDuplicates(["family", "i", "j", "node"])
+    )
 
 
 def likeness_counts(checked: DataFrame) -> list[int]:
@@ -278,10 +284,14 @@ def searched(
     recall: float, block: int,
 ) -> DataFrame:
     """(node, links, root, alike) of all families, with prefixes as long as the recall allows."""
+    # Who shares a longer prefix shares the shortest too: sets are needed for no other nodes.
+    shortest = staged(ties(nodes, len(lengths) - 1, trees), "shortest-ties")
+    sets = run_sets(docs, nodes, shortest.select(F.col("u").alias("node")).distinct(), size)
     checked = before = None
     for level, length in enumerate(lengths):
-        before, grown = families(nodes, level, trees, before)
-        fresh = verified(blocks_of(docs, nodes, grown, size, block), threshold)
+        last = level + 1 == len(lengths)
+        before, grown = families(shortest if last else ties(nodes, level, trees), before)
+        fresh = verified(blocks_of(sets, grown, block), threshold)
         if checked is not None:
             # A family that has grown holds whole families of the level before.
             fresh = checked.join(grown, "node", "left_anti").unionByName(fresh)
@@ -295,7 +305,7 @@ def searched(
 
 def near_duplicates(
     docs: DataFrame, size: int = 5, threshold: float = 0.8, trees: int = 20, depth: int = 8,
-    step: int = 2, recall: float = 0.9999, block: int = 256,
+    step: int = 4, recall: float = 0.9999, block: int = 256,
 ) -> tuple[DataFrame, DataFrame]:
     """(documents (doc_id, node), nodes (node, class_id, n_links)).
 
