@@ -230,13 +230,23 @@ def families(tied: DataFrame, before: DataFrame | None) -> tuple[DataFrame, Data
     return roots, staged(roots.join(grown, "root", "left_semi"), "grown-members")
 
 
-def run_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(node, weight, runs) of the wanted nodes: made once, from the text of one document per node."""
-    placed = staged(
-        wanted.join(nodes.select("node", "weight", "keeper"), "node"), "candidates"
+def placed_members(nodes: DataFrame, roots: DataFrame, block: int) -> DataFrame:
+    """(node, weight, keeper, family, blocks, block): a family of n nodes has ceil(n / block) blocks, and
+    a node's block comes from its hash."""
+    sizes = roots.groupBy("root").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
+    return staged(
+        roots.join(sizes, "root").join(nodes.select("node", "weight", "keeper"), "node").select(
+            "node", "weight", "keeper", F.col("root").alias("family"), "blocks",
+            F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"),
+        ),
+        "families",
     )
+
+
+def run_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
+    """(node, runs): made from the text of one document per node, so only for nodes with candidates."""
     same = F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("mark") == F.col("keeper.mark"))
-    chosen = marked(docs).join(placed, same).select("text", "node", "weight")
+    chosen = marked(docs).join(members, same).select("text", "node")
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -246,28 +256,16 @@ def run_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, size: int) ->
             batch["runs"] = runs
             yield batch
 
-    sets = chosen.mapInPandas(visit, "node binary, weight long, runs binary")
+    sets = chosen.mapInPandas(visit, "node binary, runs binary")
     return staged(sets.dropDuplicates(["node"]), "run-sets")
 
 
-def blocks_of(sets: DataFrame, roots: DataFrame, block: int) -> DataFrame:
-    """The members of every pair of blocks of the families, with their run sets.
-
-    A family of n nodes has ceil(n / block) blocks, a node's block comes from its hash, and a node goes
-    to each pair that holds its block.
-    """
-    sizes = roots.groupBy("root").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
-    placed = staged(
-        roots.join(sizes, "root").select(
-            "node", F.col("root").alias("family"), "blocks",
-            F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"),
-        ),
-        "families",
-    )
-    members = sets.join(placed, "node").withColumn(
+def blocks_of(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Every pair of blocks of the families, with the run sets of its members."""
+    spread = members.drop("keeper").join(sets, "node").withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     )
-    return members.select(
+    return spread.select(
         "family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         "block", "node", "weight", "runs",
     )
@@ -284,14 +282,17 @@ def searched(
     recall: float, block: int,
 ) -> DataFrame:
     """(node, links, root, alike) of all families, with prefixes as long as the recall allows."""
-    # Who shares a longer prefix shares the shortest too: sets are needed for no other nodes.
-    shortest = staged(ties(nodes, len(lengths) - 1, trees), "shortest-ties")
-    sets = run_sets(docs, nodes, shortest.select(F.col("u").alias("node")).distinct(), size)
-    checked = before = None
+    checked = before = sets = None
     for level, length in enumerate(lengths):
-        last = level + 1 == len(lengths)
-        before, grown = families(shortest if last else ties(nodes, level, trees), before)
-        fresh = verified(blocks_of(sets, grown, block), threshold)
+        before, grown = families(ties(nodes, level, trees), before)
+        members = placed_members(nodes, grown, block)
+        # Sets are kept from level to level: a shorter prefix asks for those of newly found nodes only.
+        if sets is None:
+            sets = run_sets(docs, members, size)
+        else:
+            fresh_nodes = staged(members.join(sets, "node", "left_anti"), "members-without-sets")
+            sets = sets.unionByName(run_sets(docs, fresh_nodes, size))
+        fresh = verified(blocks_of(members, sets), threshold)
         if checked is not None:
             # A family that has grown holds whole families of the level before.
             fresh = checked.join(grown, "node", "left_anti").unionByName(fresh)

@@ -116,13 +116,20 @@ def test_unchanged_families_are_verified_once(spark, monkeypatch):
     for i in range(30):
         base = [f"w{rng.randint(0, 10**6)}" for _ in range(150)]
         rows += [(3 * i + k, changed(rng, base, k)) for k in range(3)]
-    seen, blocks_of = [], nj.blocks_of
-    def counted(sets, roots, block):
-        seen.append(roots.count())
-        return blocks_of(sets, roots, block)
+    seen, made, blocks_of, run_sets = [], [], nj.blocks_of, nj.run_sets
+
+    def counted(members, sets):
+        seen.append(members.count())
+        return blocks_of(members, sets)
+
+    def counted_sets(docs, members, size):
+        made.append(members.count())
+        return run_sets(docs, members, size)
+
     monkeypatch.setattr(nj, "blocks_of", counted)
+    monkeypatch.setattr(nj, "run_sets", counted_sets)
     assert result(odd_docs(spark, [row(*r) for r in rows])) == brute(rows)
-    assert seen[0] > 60 and all(n < seen[0] / 3 for n in seen[1:])
+    assert seen[0] > 60 and all(n < seen[0] / 3 for n in seen[1:]) and sum(made) <= 90
 
 
 def test_a_sliding_chain_compares_little_at_whole_signatures(spark):
