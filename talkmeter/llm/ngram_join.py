@@ -216,9 +216,8 @@ def verified(members: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def families(tied: DataFrame, before: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+def families(roots: DataFrame, before: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     """(all (node, root) of a level, those whose family isn't one of the level before)."""
-    roots = components(tied)
     if before is None:
         return roots, roots
     sums = [F.count("*").alias("n"), F.min("node").alias("least"), F.sum(
@@ -282,16 +281,15 @@ def searched(
     recall: float, block: int,
 ) -> DataFrame:
     """(node, links, root, alike) of all families, with prefixes as long as the recall allows."""
-    checked = before = sets = None
+    # Who shares a longer prefix shares the shortest too: its families hold all nodes whose sets may be
+    # asked for, so texts are read once.
+    shortest = components(ties(nodes, len(lengths) - 1, trees))
+    sets = run_sets(docs, placed_members(nodes, shortest, block), size)
+    checked = before = None
     for level, length in enumerate(lengths):
-        before, grown = families(ties(nodes, level, trees), before)
+        last = level + 1 == len(lengths)
+        before, grown = families(shortest if last else components(ties(nodes, level, trees)), before)
         members = placed_members(nodes, grown, block)
-        # Sets are kept from level to level: a shorter prefix asks for those of newly found nodes only.
-        if sets is None:
-            sets = run_sets(docs, members, size)
-        else:
-            fresh_nodes = staged(members.join(sets, "node", "left_anti"), "members-without-sets")
-            sets = sets.unionByName(run_sets(docs, fresh_nodes, size))
         fresh = verified(blocks_of(members, sets), threshold)
         if checked is not None:
             # A family that has grown holds whole families of the level before.
