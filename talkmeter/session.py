@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Streaming state on disk, so that it may outgrow executor memory.
 DISK_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Rows of more columns aren't fused into one compiled loop: such loops are too large to be optimised.
+FUSED_FIELDS = 30
 
 
 def build_session(app: str = "talkmeter", master: str | None = None, **conf: str) -> SparkSession:
@@ -63,6 +65,23 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def wide_session(spark: SparkSession) -> SparkSession:
+    """A sibling session for tables of many columns, with the settings of this one.
+
+    Spark fuses the operators of a stage into one loop. With forty columns or more the compiler of the JVM
+    gives such a loop up again and again, and it runs several times as long as operators side by side.
+    """
+    folder = shared_folder(spark)
+    sibling = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            sibling.conf.set(key, value)
+    if sibling.conf.get("spark.checkpoint.dir", "") != spark.conf.get("spark.checkpoint.dir"):
+        sibling.conf.set("spark.checkpoint.dir", folder)
+    sibling.conf.set("spark.sql.codegen.maxFields", FUSED_FIELDS)
+    return sibling
+
+
 def streaming_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
     """A sibling session for stateful streams, on the same cluster.
 

@@ -2,6 +2,7 @@
 
 import datetime
 import io
+import os
 from contextlib import redirect_stdout
 from functools import reduce
 
@@ -391,3 +392,18 @@ def test_short_conversations_shuffle_their_text_once(spark, sf_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
     exchanges = [b for b in plan.split("\n\n") if b.lstrip().startswith("(") and ") Exchange" in b.split("\n")[0]]
     assert sum("line#" in b for b in exchanges) == 1
+
+
+def test_wide_marts_are_not_fused_and_built_when_asked_for(spark, sf_dir, tmp_path):
+    """Rows of over forty columns run as operators side by side; a report builds its own marts only."""
+    from talkmeter.catalog.queries import fct_outcomes_mart, standing_marts
+
+    tables_of = str(tmp_path / "sf")
+    os.symlink(sf_dir, tables_of)
+    fact = fct_outcomes_mart(spark, tables_of)
+    assert len(fact.columns) > 40 and "* ColumnarToRow" not in plan_of(fact)
+    assert set(standing_marts(spark, tables_of, "fct_outcomes")) == {
+        "conversation_types", "latest_outcomes", "fct_outcomes",
+    }
+    direct = REGISTRY["fct_outcomes"](spark, sf_dir)
+    assert fact.exceptAll(direct).count() == 0 and direct.exceptAll(fact).count() == 0
