@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talkmeter import vocabulary as V
 from talkmeter.functions import labels, text
 from talkmeter.operators.latest import first_by
-from talkmeter.session import new_run_folder
+from talkmeter.session import written
 
 
 def last_first() -> list:
@@ -121,22 +121,32 @@ def learning_gate(fact: DataFrame, relevance: DataFrame, least: int = 2) -> Data
     )
 
 
+def eval_kinds() -> tuple[Column, Column, Column]:
+    """Calls and results with a tool id, and user messages."""
+    kind, tool = F.col("message_type"), F.col("tool_use_id").isNotNull()
+    return (kind == "tool_call") & tool, (kind == "tool_result") & tool, kind == "user"
+
+
 def eval_rows(messages: DataFrame) -> DataFrame:
-    """The messages that can matter to an eval unit, as flags and positions without text."""
-    lowered = F.lower("content")
-    call, result = F.col("message_type") == "tool_call", F.col("message_type") == "tool_result"
-    tool = F.col("tool_use_id").isNotNull()
-    prefetch = call & tool & text.matches(lowered, V.PREFETCH_CALL)
+    """The messages that can matter to an eval unit, as flags and positions without text.
+
+    Kinds alone choose the rows, so that a text is searched once; calls of other tools, which carry no
+    flag, are left to the readers' filters.
+    """
+    call, result, user = eval_kinds()
+    lowered = F.col("lowered")
     write = (
-        call & tool & text.matches(lowered, V.FILE_WRITE) & text.matches(lowered, V.SQL_FOLDER)
+        text.matches(lowered, V.FILE_WRITE) & text.matches(lowered, V.SQL_FOLDER)
         & ~text.matches(lowered, V.TODO_WRITE)
     )
-    user = F.col("message_type") == "user"
-    flags = {"prefetch": prefetch, "sql_write": write, "is_result": result & tool, "is_user": user}
-    return messages.select(
+    flags = {
+        "prefetch": call & text.matches(lowered, V.PREFETCH_CALL), "sql_write": call & write,
+        "is_result": result, "is_user": user,
+    }
+    return messages.filter(call | result | user).withColumn("lowered", F.lower("content")).select(
         "conversation_id", "id", "sequence_number", "tool_use_id",
         *[F.coalesce(flag, F.lit(False)).alias(name) for name, flag in flags.items()],
-    ).filter("prefetch OR sql_write OR is_result OR is_user")
+    )
 
 
 def eval_units(messages: DataFrame) -> DataFrame:
@@ -147,15 +157,12 @@ def eval_units(messages: DataFrame) -> DataFrame:
     file write after it. Calls are found by the shared tool id.
 
     One scan reduces the messages to flags and positions, which are written;
-    folds over them find the three messages of each conversation, without text,
-    and one join by id fetches their texts. A conversation with a third of all
+    folds over them find the three messages of each conversation, without text
+    (results of calls first, which are written too), and one join by id fetches
+    their texts. A conversation with a third of all
     messages is folded before every shuffle, and its texts are three.
     """
-    spark = messages.sparkSession
-    folder = new_run_folder(spark, "eval-rows")
-    rows = eval_rows(messages)
-    rows.write.parquet(folder)
-    rows = spark.read.schema(rows.schema).parquet(folder)
+    rows = written(eval_rows(messages), "eval-rows")
     # Greater means later; a missing position or id comes first.
     place = F.struct("sequence_number", "id")
     calls = (
@@ -171,6 +178,7 @@ def eval_units(messages: DataFrame) -> DataFrame:
         F.max(F.when(F.col("prefetch"), F.col("last"))).alias("context"),
         F.max(F.when(F.col("sql_write"), F.col("last"))).alias("answer"),
     ).filter("context IS NOT NULL")
+    found = written(found, "eval-calls")
     asked = rows.filter("is_user").join(
         found.select("conversation_id", F.col("context.sequence_number").alias("context_at")),
         "conversation_id",
@@ -191,7 +199,10 @@ def eval_units(messages: DataFrame) -> DataFrame:
             ]
         ))).alias("pick"),
     ).select("conversation_id", "pick.part", "pick.id")
-    texts = messages.select("conversation_id", "id", "content").join(picked, ["conversation_id", "id"])
+    _, result, user = eval_kinds()
+    texts = messages.filter(result | user).select("conversation_id", "id", "content").join(
+        picked, ["conversation_id", "id"]
+    )
     return texts.groupBy("conversation_id").agg(
         *[
             F.first(F.when(F.col("part") == part, F.col("content")), True).alias(part)

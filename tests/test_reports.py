@@ -407,3 +407,14 @@ def test_wide_marts_are_not_fused_and_built_when_asked_for(spark, sf_dir, tmp_pa
     }
     direct = REGISTRY["fct_outcomes"](spark, sf_dir)
     assert fact.exceptAll(direct).count() == 0 and direct.exceptAll(fact).count() == 0
+
+
+def test_eval_rows_search_a_text_once(spark, sf_dir):
+    """No filter repeats the searches; each text is lower-cased in one place of the plan."""
+    from talkmeter.plans import extensions
+
+    rows = extensions.eval_rows(X.messages(spark, sf_dir))
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("lower(") == 1
+    kinds = {"tool_call", "tool_result", "user"}
+    wanted = X.messages(spark, sf_dir).filter(F.col("message_type").isin(kinds))
+    assert rows.count() == wanted.filter("message_type = 'user' OR tool_use_id IS NOT NULL").count()
