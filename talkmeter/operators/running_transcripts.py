@@ -46,11 +46,8 @@ def joined_pair(
 
 def states(messages: DataFrame, **settings) -> DataFrame:
     """``SCHEMA`` rows of the messages: one per conversation, whatever its length."""
-    position = F.coalesce("sequence_number", F.lit(2**31 - 1)).cast("bigint")
-    ends = messages.groupBy("conversation_id").agg(
-        F.min(position).alias("first_position"), F.max(position).alias("last_position")
-    )
-    return transcripts.capped_transcripts(messages, **settings).join(ends, "conversation_id")
+    known = messages.filter(F.col("conversation_id").isNotNull())
+    return transcripts.placed_transcripts(known, **settings)
 
 
 def load(

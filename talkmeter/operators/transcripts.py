@@ -1,8 +1,8 @@
 """Transcript assembly that survives conversations of any length.
 
-Lengths come first, without text: a sum per conversation and block of positions. Most conversations
-fit under the cap; their text is shuffled once, by conversation. Longer ones go by blocks, so that no
-task ever holds the text of a whole conversation, however long it is:
+Lengths come first, without text: a sum per conversation. Most conversations fit under the cap; their
+text is shuffled once, by conversation. Longer ones, if there are any, go by blocks of positions, so
+that no task ever holds the text of a whole conversation, however long it is:
 
 1. a running sum over block lengths gives each block its start offset;
 2. only blocks that touch the kept head or tail go on, and inside them every
@@ -102,14 +102,22 @@ def transcript_parts(
     )
 
 
+def long_conversations(line_rows: DataFrame, cap: int) -> DataFrame:
+    """Conversations whose transcript is above the cap, by one fold of their lines' widths."""
+    widths = line_rows.groupBy("conversation_id").agg(F.sum(line_width()).alias("width"))
+    return widths.filter(F.col("width") - len(SEPARATOR) > cap).select("conversation_id")
+
+
 def block_offsets(line_rows: DataFrame) -> DataFrame:
-    """Start offset of each block and the transcript length, without text.
+    """Start offset of each block, the transcript length and its ends, without text.
 
     Every line counts its separator too; the total takes the last one off. The
     windows run over one narrow row per block: positions are 32-bit, so even
     the longest conversation has at most 2**31 / block of them, and they spill.
     """
-    sizes = line_rows.groupBy("conversation_id", "block").agg(F.sum(line_width()).alias("width"))
+    sizes = line_rows.groupBy("conversation_id", "block").agg(
+        F.sum(line_width()).alias("width"), *ends("position", "position")
+    )
     conversation = W.partitionBy("conversation_id")
     upto = conversation.orderBy("block").rowsBetween(W.unboundedPreceding, W.currentRow)
     return sizes.select(
@@ -118,19 +126,37 @@ def block_offsets(line_rows: DataFrame) -> DataFrame:
         (F.sum("width").over(upto) - F.col("width")).alias("block_start"),
         F.col("width").alias("block_width"),
         (F.sum("width").over(conversation) - len(SEPARATOR)).alias("char_count"),
+        F.min("first_position").over(conversation).alias("first_position"),
+        F.max("last_position").over(conversation).alias("last_position"),
     )
 
 
-def short_transcripts(line_rows: DataFrame, long_ids: DataFrame) -> DataFrame:
-    """Whole texts of the conversations that fit under the cap: one shuffle of their lines."""
+def ends(first: str, last: str) -> list[Column]:
+    """First and last position of a group."""
+    return [
+        F.min(F.col(first).cast("bigint")).alias("first_position"),
+        F.max(F.col(last).cast("bigint")).alias("last_position"),
+    ]
+
+
+def short_transcripts(line_rows: DataFrame) -> DataFrame:
+    """Whole texts of conversations that fit under the cap: one shuffle of their lines.
+
+    Lines are dealt before they are grouped: a task of the scan has few lines of a conversation, and to
+    collect them there would sort all texts for nothing.
+    """
     texts = (
-        line_rows.join(long_ids, "conversation_id", "left_anti")
+        line_rows.repartition("conversation_id")
         .groupBy("conversation_id")
-        .agg(F.collect_list(F.struct("position", "id", "line")).alias("rows"))
+        .agg(
+            F.collect_list(F.struct("position", "id", "line")).alias("rows"),
+            *ends("position", "position"),
+        )
         .withColumn("transcript", joined(F.col("rows"), "line", SEPARATOR))
     )
     return texts.select(
-        "conversation_id", F.length("transcript").cast("bigint").alias("char_count"), "transcript"
+        "conversation_id", F.length("transcript").cast("bigint").alias("char_count"), "transcript",
+        "first_position", "last_position",
     )
 
 
@@ -174,6 +200,8 @@ def cut_transcripts(
         .select(
             "conversation_id",
             "char_count",
+            "first_position",
+            "last_position",
             "start",
             slice_of(F.lit(0), F.lit(head)).alias("front"),
             slice_of(tail_from, total).alias("back"),
@@ -181,6 +209,7 @@ def cut_transcripts(
     )
     texts = pieces.groupBy("conversation_id").agg(
         F.max("char_count").alias("char_count"),
+        *ends("first_position", "last_position"),
         F.collect_list(F.struct("start", "front", "back")).alias("rows"),
     )
     return texts.select(
@@ -191,6 +220,8 @@ def cut_transcripts(
             text.cut_notice(total - head - tail),
             joined(F.col("rows"), "back", ""),
         ).alias("transcript"),
+        "first_position",
+        "last_position",
     )
 
 
@@ -205,16 +236,33 @@ def capped_transcripts(
     """One bounded text per conversation, and the length it had before the cap.
 
     A text of at most ``cap`` characters stays whole; a longer one keeps its
-    first ``head`` and last ``tail`` characters around a notice of the cut. The
-    blocks of long conversations are written, so that Spark knows how many
-    there are and sends a short list to the scan.
+    first ``head`` and last ``tail`` characters around a notice of the cut.
+    """
+    placed = placed_transcripts(messages, limits, cap, head, tail, block)
+    return placed.select("conversation_id", "char_count", "transcript")
+
+
+def placed_transcripts(
+    messages: DataFrame,
+    limits: dict[str, int] = V.CONSULTATION_LIMITS,
+    cap: int = V.TRANSCRIPT_CAP,
+    head: int = V.TRANSCRIPT_HEAD,
+    tail: int = V.TRANSCRIPT_TAIL,
+    block: int = BLOCK,
+) -> DataFrame:
+    """The capped transcripts with the first and the last position of their messages.
+
+    The ids and blocks of long conversations are written, so that Spark knows
+    how many there are and sends a short list to the scan; without any, there
+    are no blocks to make.
     """
     line_rows = lines(messages, limits, block)
-    blocks = written(
-        block_offsets(line_rows).filter(F.col("char_count") > cap), "transcript-lengths"
-    )
-    long_ids = blocks.select("conversation_id").distinct()
-    return short_transcripts(line_rows, long_ids).unionByName(
+    long_ids = written(long_conversations(line_rows, cap), "transcript-long")
+    if long_ids.isEmpty():
+        return short_transcripts(line_rows)
+    of_long = line_rows.join(long_ids, "conversation_id", "left_semi")
+    blocks = written(block_offsets(of_long), "transcript-lengths")
+    return short_transcripts(line_rows.join(long_ids, "conversation_id", "left_anti")).unionByName(
         cut_transcripts(line_rows, blocks, head, tail)
     )
 

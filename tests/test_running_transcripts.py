@@ -67,3 +67,18 @@ def test_a_load_of_whole_conversations_changes_only_these(spark, tmp_path):
     assert len(touched) == 1
     assert stored(spark, path) == wanted([r for r in rows if r[1] != 3] + edited, 60, 40, 20)
     assert rt.load(spark.createDataFrame([], SCHEMA), path, **settings) == []
+
+
+def test_short_conversations_are_collected_once(spark, sf_dir, monkeypatch):
+    """Without a conversation above the cap no blocks are made, and ends need no pass of their own."""
+    from talkmeter.catalog import fixtures as X
+    from talkmeter.operators import transcripts
+
+    monkeypatch.setattr(transcripts, "block_offsets", None)
+    rows = rt.states(X.messages(spark, sf_dir))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "Join" not in plan
+    position = F.coalesce("sequence_number", F.lit(2**31 - 1)).cast("bigint")
+    ends = X.messages(spark, sf_dir).groupBy("conversation_id").agg(F.min(position), F.max(position))
+    found = rows.select("conversation_id", "first_position", "last_position")
+    assert found.exceptAll(ends).count() == 0 and ends.exceptAll(found).count() == 0
