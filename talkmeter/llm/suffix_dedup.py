@@ -353,6 +353,17 @@ def passages(docs: DataFrame, min_words: int = 50, core: int = 16, near: int = 1
 WINDOWS = "doc_id long, mark long, start int, words long"
 
 
+def span_windows(spans: Sequence, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Text and start of every window of ``min_words`` words in the texts' spans, all texts at once."""
+    bounds = [
+        (i, span["start"], span["stop"] - min_words + 1)
+        for i, own in enumerate(spans) for span in own
+    ]
+    text, low, high = np.array(bounds, dtype=np.int64).reshape(-1, 3).T
+    size = high - low
+    return np.repeat(text, size), np.arange(size.sum()) + np.repeat(low - (np.cumsum(size) - size), size)
+
+
 def copied(docs: DataFrame, min_words: int = 50, core: int = 16) -> DataFrame:
     """(doc_id, mark, start, stop): word ranges made of passages of ``min_words`` words that another
     document keeps.
@@ -375,15 +386,13 @@ def copied(docs: DataFrame, min_words: int = 50, core: int = 16) -> DataFrame:
                 words, per_text = word_hashes(texts[begin:end])
                 hashed, runs = run_hashes(words, per_text, min_words)
                 first = np.cumsum(runs) - runs
-                for i in range(begin, end):
-                    start = np.concatenate([
-                        np.arange(span["start"], span["stop"] - min_words + 1) for span in spans[i]
-                    ])
-                    yield pd.DataFrame({
-                        "doc_id": ids.iloc[np.full(len(start), i)].reset_index(drop=True),
-                        "mark": marks[i], "start": start,
-                        "words": hashed[first[i - begin] + start].view(np.int64),
-                    })
+                owner, start = span_windows(spans[begin:end], min_words)
+                at = first[owner] + start
+                owner += begin
+                yield pd.DataFrame({
+                    "doc_id": ids.iloc[owner].reset_index(drop=True), "mark": marks[owner],
+                    "start": start, "words": hashed[at].view(np.int64),
+                })
 
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("its_mark"))
     texts = marked(docs).join(spans, same).select("doc_id", "mark", "text", "spans")

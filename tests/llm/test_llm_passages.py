@@ -139,3 +139,13 @@ def test_places_beyond_two_to_the_24_runs():
     text, place, most, fewest = sd.suffix_places(cores, np.array([len(cores)]), 35, 16)
     assert place[-1] > 1 << 24 and (np.diff(place) > 0).all() and (np.diff(place) <= 35).all()
     assert fewest.min() >= 0 and most.max() <= 34 and not text.any()
+
+
+def test_windows_of_many_texts_are_listed_at_once():
+    """A frame for every text took most of the time of ``copied``; empty chunks give no windows."""
+    from talkmeter.llm.suffix_dedup import span_windows
+
+    spans = [[{"start": 2, "stop": 7}, {"start": 10, "stop": 13}], [], [{"start": 0, "stop": 3}]]
+    owner, start = span_windows(spans, 3)
+    assert list(zip(owner.tolist(), start.tolist())) == [(0, 2), (0, 3), (0, 4), (0, 10), (2, 0)]
+    assert [part.tolist() for part in span_windows([], 3)] == [[], []]
