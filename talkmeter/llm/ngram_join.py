@@ -24,6 +24,7 @@ to it, and of rows that repeat its id and text the one with the least row hash.
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -31,9 +32,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from talkmeter.llm.common import ROW, packed, staged, text_of
+from talkmeter.llm.common import ROW, packed, staged, tasks, text_of
 from talkmeter.llm.components import components
+from talkmeter.llm.sieve import Sieve
 from talkmeter.llm.words import BASE, blended, distinct_runs
+from talkmeter.session import new_run_folder
 
 BINS = 20
 LOG = logging.getLogger(__name__)
@@ -243,20 +246,30 @@ def placed_members(nodes: DataFrame, roots: DataFrame, block: int) -> DataFrame:
 
 
 def run_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
-    """(node, runs): made from the text of one document per node, so only for nodes with candidates."""
-    same = F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("mark") == F.col("keeper.mark"))
-    chosen = marked(docs).join(members, same).select("text", "node")
+    """(node, runs): made from the text of one document per node, so only for nodes with candidates.
+
+    Texts aren't shuffled: the scan drops most documents that no node wants, and run sets go straight to the
+    buckets from which every level joins them as they lie.
+    """
+    wanted = members.select(F.col("keeper.doc_id").alias("doc_id"), F.col("keeper.mark").alias("mark"))
+    own = [F.col("doc_id"), F.col("mark")]
+    chosen = Sieve(wanted, ["doc_id", "mark"]).passing(marked(docs), *own).select("text")
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            runs = []
-            for found, sizes in distinct_runs(batch.pop("text").tolist(), size):
+            nodes, runs = [], []
+            for found, sizes in distinct_runs(batch["text"].tolist(), size):
+                nodes += set_keys(found, sizes)
                 runs += [r.tobytes() for r in np.split(found, np.cumsum(sizes)[:-1])]
-            batch["runs"] = runs
-            yield batch
+            yield pd.DataFrame({"node": nodes, "runs": runs})
 
     sets = chosen.mapInPandas(visit, "node binary, runs binary")
-    return staged(sets.dropDuplicates(["node"]), "run-sets")
+    sets = sets.join(members.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    name = f"run_sets_{uuid.uuid4().hex}"
+    sets.write.bucketBy(tasks(docs.sparkSession), "node").sortBy("node").option(
+        "path", new_run_folder(docs.sparkSession, "run-sets")
+    ).saveAsTable(name)
+    return docs.sparkSession.table(name)
 
 
 def blocks_of(members: DataFrame, sets: DataFrame) -> DataFrame:
@@ -306,7 +319,7 @@ def near_duplicates(
     docs: DataFrame, size: int = 5, threshold: float = 0.8, trees: int = 20, depth: int = 8,
     step: int = 4, recall: float = 0.9999, block: int = 256,
 ) -> tuple[DataFrame, DataFrame]:
-    """(documents (doc_id, node), nodes (node, class_id, n_links)).
+    """(documents (doc_id, mark, node), nodes (node, first, class_id, n_links)).
 
     ``class_id`` is the least id of the documents connected by links (a null id before others), ``n_links`` the number of other
     documents whose likeness is at least the threshold, copies included.
@@ -328,7 +341,7 @@ def near_duplicates(
     ).withColumn("root", F.coalesce("root", "node"))
     whole = staged(whole, "linked-nodes")
     classes = whole.groupBy("root").agg(F.min("keeper").alias("first"))
-    return signs.select("doc_id", "node"), staged(
+    return signs.select("doc_id", "mark", "node"), staged(
         whole.join(classes, "root").select(
             "node", "first", F.col("first.doc_id").alias("class_id"),
             (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
@@ -344,15 +357,26 @@ def joined(docs: DataFrame, **options) -> DataFrame:
 
 
 def kept(docs: DataFrame, **options) -> DataFrame:
-    """One document of each class, the one with the least id; columns as they are."""
-    _, nodes = near_duplicates(docs, **options)
+    """One document of each class, the one with the least id; columns as they are.
+
+    Only rows that a list of doubtful ids and marks may name are shuffled: those that go, and those that
+    repeat id and text. The others stay as they lie.
+    """
+    signs, nodes = near_duplicates(docs, **options)
     keepers = nodes.select("first.doc_id", "first.mark").distinct()
+    times = signs.groupBy("doc_id", "mark").agg(F.count("*").alias("n"))
+    its_keeper = times["doc_id"].eqNullSafe(keepers["doc_id"]) & (times["mark"] == keepers["mark"])
+    goes = times.join(keepers, its_keeper, "left_anti").select("doc_id", "mark")
+    doubtful = staged(goes.union(times.filter("n > 1").select("doc_id", "mark")), "doubtful")
+    sieve = Sieve(doubtful, ["doc_id", "mark"])
     rows = docs.select(
         packed(docs).alias(ROW), F.col("doc_id").cast("long").alias("id"),
         F.xxhash64(text_of(docs)).alias("its_mark"),
     )
+    own = [F.col("id"), F.col("its_mark")]
     same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("its_mark") == F.col("mark"))
     # Rows that repeat id and text are one document here; the rank is cut off before the shuffle.
-    chosen = rows.join(keepers, same, "left_semi")
-    own = Window.partitionBy("id", "its_mark").orderBy(F.xxhash64(F.to_json(ROW)))
-    return chosen.withColumn("__rank", F.row_number().over(own)).filter("__rank = 1").select(f"{ROW}.*")
+    chosen = sieve.passing(rows, *own).join(keepers, same, "left_semi")
+    alike = Window.partitionBy("id", "its_mark").orderBy(F.xxhash64(F.to_json(ROW)))
+    ranked = chosen.withColumn("__rank", F.row_number().over(alike)).filter("__rank = 1")
+    return sieve.stopped(rows, *own).select(f"{ROW}.*").union(ranked.select(f"{ROW}.*"))

@@ -3,9 +3,11 @@ import random
 import numpy as np
 import pytest
 from odd_rows import no_docs, odd_docs, row
+from pyspark.sql import functions as F
 
 from talkmeter.llm import ngram_join as nj
 from talkmeter.llm.components import components
+from talkmeter.llm.sieve import Sieve
 
 
 def runs(text, size=5):
@@ -150,6 +152,42 @@ def test_of_rows_that_repeat_id_and_text_the_same_one_stays(spark):
     assert len(stays) == 1
 
 
+def test_texts_of_documents_without_candidates_stay_where_they_lie(spark, monkeypatch):
+    """Only documents that a family wants are made into sets, only those that may go or repeat are dealt anew."""
+    rng, rows = random.Random(3), []
+    for i in range(300):
+        base = [f"w{rng.randint(0, 10**6)}" for _ in range(60)]
+        rows += [(i, " ".join(base))] + [(1000 + i, changed(rng, base, 1))] * (i % 15 == 0)
+    rows += [rows[7], (None, rows[9][1]), (None, None)]
+    docs = odd_docs(spark, [row(*r) for r in rows])
+    passed, passing = [], Sieve.passing
+
+    def counted(self, docs, *columns):
+        found = passing(self, docs, *columns)
+        passed.append(found.count())
+        return found
+
+    monkeypatch.setattr(Sieve, "passing", counted)
+    assert result(docs) == brute(rows)
+    got = sorted((r.doc_id, r.text) for r in nj.kept(docs).collect() if r.doc_id is not None)
+    gone = {r[0] for r in rows if r[0] is not None and r[0] >= 1000} | {rows[9][0]}
+    assert got == sorted({r for r in rows if r[0] is not None and r[0] not in gone})
+    assert len(passed) == 3 and all(20 <= n < 60 for n in passed)
+
+
+def test_sieve_passes_every_key_and_stops_nearly_all_others(spark):
+    rows = spark.range(0, 40_000).select(F.expr("nullif(id, 5)").alias("k"), (F.col("id") % 7).alias("m"))
+    keys = rows.filter("id % 20 = 5")
+    sieve = Sieve(keys, ["k", "m"])
+    passed = sieve.passing(rows, F.col("k"), F.col("m"))
+    assert passed.join(keys, passed["k"].eqNullSafe(keys["k"])).count() == 2000
+    assert 2000 <= passed.count() < 3200
+    assert passed.count() + sieve.stopped(rows, F.col("k"), F.col("m")).count() == 40_000
+    none = Sieve(keys.limit(0), ["k", "m"])
+    assert none.passing(rows, F.col("k"), F.col("m")).count() == 0
+    assert none.stopped(rows, F.col("k"), F.col("m")).count() == 40_000
+
+
 def test_counts_of_common_members():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 300, rng.integers(0, 200))).astype(np.uint64) for _ in range(12)]
