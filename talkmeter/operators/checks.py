@@ -61,10 +61,12 @@ def table_report(
     """All checks of one table as (check, table, column, failing).
 
     One pass over the table: rows fold per value of the first unique key, which
-    combines on the map side, and those folds sum up to all results. Further
+    combines on the map side, and those folds sum up to all results. The fold of the
+    NULL key counts that key's NULLs, so it needs no count of its own. Further
     unique keys cost a pass each.
     """
-    failing = {("not_null", c): F.count_if(F.col(c).isNull()) for c in not_null}
+    folded_key = unique[0] if unique else None
+    failing = {("not_null", c): F.count_if(F.col(c).isNull()) for c in not_null if c != folded_key}
     failing |= {
         ("accepted_values", c): F.count_if(~F.col(c).isin(values))
         for c, values in (accepted or {}).items()
@@ -76,6 +78,9 @@ def table_report(
         folded = df.groupBy(F.col(unique[0]).alias("key")).agg(F.count("*").alias("rows"), *counts)
         repeated = F.count_if(F.col("key").isNotNull() & (F.col("rows") > 1))
         results[("unique", unique[0])] = repeated
+        if unique[0] in not_null:
+            missing = F.sum(F.when(F.col("key").isNull(), F.col("rows")))
+            results[("not_null", unique[0])] = F.coalesce(missing, F.lit(0))
     else:
         folded = df.agg(*counts)
     rows = folded.agg(

@@ -151,6 +151,20 @@ def test_outcome_distribution_names_missing_outcomes(spark):
     assert got == [("error", 2), ("success_clean", 1)]
 
 
+def test_nulls_of_the_folded_key_need_no_count_per_key(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, None), (None, "b"), (None, "b"), (2, "c")], "k int, v string")
+    report = checks.table_report("t", rows, ["k"], ["k", "v"])
+    assert {(r["check"], r["column"]): r["failing"] for r in report.collect()} == {
+        ("unique", "k"): 1, ("not_null", "k"): 2, ("not_null", "v"): 1,
+    }
+    plan = io.StringIO()
+    with redirect_stdout(plan):
+        report.explain(True)
+    assert "failing_0" in plan.getvalue() and "failing_1" not in plan.getvalue()
+    empty = checks.table_report("t", rows.limit(0), ["k"], ["k"]).collect()
+    assert sorted((r["check"], r["failing"]) for r in empty) == [("not_null", 0), ("unique", 0)]
+
+
 def test_checks_find_what_is_wrong(spark):
     rows = spark.createDataFrame(
         [(1, "a"), (1, None), (2, "z"), (None, "a"), (None, "b")], "k int, v string")
