@@ -165,6 +165,27 @@ def test_nulls_of_the_folded_key_need_no_count_per_key(spark):
     assert sorted((r["check"], r["failing"]) for r in empty) == [("not_null", 0), ("unique", 0)]
 
 
+def test_bucketed_marts_are_sorted_once(spark, tmp_path):
+    """Buckets hold rows in order of the key, without a sort that the writer asks for."""
+    from talkmeter.sources import tables
+
+    rows = spark.range(3000).select((F.col("id") * 7919 % 3001).alias("k"), F.col("id").alias("v"))
+    before = spark.conf.get(tables.WRITERS)
+    tables.publish(rows, str(tmp_path), bucket_by="k", buckets=4)
+    assert spark.conf.get(tables.WRITERS) == before
+    folder = next(name for name in os.listdir(tmp_path) if name.startswith("version=1"))
+    files = [f"{tmp_path}/{folder}/{f}" for f in os.listdir(tmp_path / folder) if f.endswith(".parquet")]
+    assert len(files) == 4
+    for file in files:
+        keys = [r.k for r in spark.read.parquet(file).collect()]
+        assert keys == sorted(keys)
+    details = {r[0]: r[1] for r in spark.sql(f"DESCRIBE EXTENDED {tables.table_name(folder)}").collect()}
+    assert details["Bucket Columns"] == "[`k`]" and details.get("Sort Columns", "[]") == "[]"
+    assert sorted(map(tuple, tables.current(spark, str(tmp_path), rows.schema).collect())) == sorted(
+        map(tuple, rows.collect())
+    )
+
+
 def test_checks_find_what_is_wrong(spark):
     rows = spark.createDataFrame(
         [(1, "a"), (1, None), (2, "z"), (None, "a"), (None, "b")], "k int, v string")
