@@ -92,3 +92,55 @@ def test_exact_vectors_are_read_for_few_pairs(spark):
 
 def test_no_vectors(spark):
     assert got(spark, []) == [] and got(spark, [(0, [1.0], 1)]) == [] and got(spark, [(0, None, 1)]) == []
+
+
+def test_pairs_of_blocks_are_not_broadcast(spark):
+    """What is broadcast doesn't grow with queries times vectors: once 8 MB here, a sheet of queries now."""
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(0, 0.2, 64).tolist(), 0) for i in range(4000)]
+    kept = spark.conf.get("spark.sql.maxBroadcastTableSize")
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "2m")
+    try:
+        assert got(spark, rows, query_block=16, vector_block=16) == brute(rows, fiftieth)
+    finally:
+        spark.conf.set("spark.sql.maxBroadcastTableSize", kept)
+
+
+def test_copies_meet_queries_once(spark):
+    """One vector in most rows: its rows are neither scanned nor listed one by one, and ask for themselves."""
+    rng = np.random.default_rng(7)
+    often = rng.normal(0, 0.2, 8).tolist()
+    rows = [(int(i), often, 0) for i in rng.permutation(1500)] + [(None, often, 0), (50, often, 0)]
+    rows += [(2000 + i, (np.array(often) + rng.normal(0, 0.01, 8)).tolist(), 0) for i in range(300)]
+    assert got(spark, rows, query_block=8, vector_block=64) == brute(rows, fiftieth)
+    valid = vs.whole_vectors(table(spark, rows), F.col("vec_id") % 50 == 0, 256)
+    again = vs.copies(valid)
+    stands = again.filter("first = row")
+    assert again.count() == 1502 and stands.count() == 1 and stands.first().asks
+    others = valid.join(again.filter("row <> first").select("row"), "row", "left_anti")
+    bounds = vs.scanned(others, vs.Cells(*vs.cell_edges(valid), 8), 6, 8, 64)
+    assert bounds.count() <= others.count() * others.filter("asks").count() == 301 * 7
+
+
+def test_bounds_held_back_are_passed_on_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(vs, "HELD", 50)
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(0, 0.2, 16).tolist(), 0) for i in range(600)]
+    assert got(spark, rows, query_block=4, vector_block=8) == brute(rows, fiftieth)
+
+
+def test_bounds_hold_in_single_precision():
+    """Sums of products that 24 bits can't hold, and cells of one value, which are exact."""
+    rng = np.random.default_rng(4)
+    for size, exact in ((10.0**5, False), (3e7, False), (30.0, True)):
+        values = np.floor(rng.normal(0, size, (800, 300))).astype(np.int64)
+        cells = vs.Cells(values.min(axis=0), values.max(axis=0), 8)
+        middles, slack = cells.scores(values[:20], cells.of(values))
+        true = (values[:20].astype(object) @ values.T.astype(object)).astype(float)
+        assert (np.abs(middles - true) <= slack[:, None]).all()
+        assert (slack == 0).all() == exact
+
+
+def test_vectors_without_components(spark):
+    rows = [(0, [], 1), (50, [], 1), (1, [], 1), (None, [], 1)]
+    assert got(spark, rows) == brute(rows, fiftieth)
