@@ -139,15 +139,19 @@ def ends(first: str, last: str) -> list[Column]:
     ]
 
 
-def short_transcripts(line_rows: DataFrame) -> DataFrame:
+def short_transcripts(line_rows: DataFrame, long_ids: DataFrame | None = None) -> DataFrame:
     """Whole texts of conversations that fit under the cap: one shuffle of their lines.
 
     Lines are dealt before they are grouped: a task of the scan has few lines of a conversation, and to
-    collect them there would sort all texts for nothing.
+    collect them there would sort all texts for nothing. With ``long_ids``, those of conversations above
+    the cap, the lines of these are left out, and a join that isn't broadcast deals the others.
     """
+    if long_ids is None:
+        dealt = line_rows.repartition("conversation_id")
+    else:
+        dealt = line_rows.join(long_ids, "conversation_id", "left_anti")
     texts = (
-        line_rows.repartition("conversation_id")
-        .groupBy("conversation_id")
+        dealt.groupBy("conversation_id")
         .agg(
             F.collect_list(F.struct("position", "id", "line")).alias("rows"),
             *ends("position", "position"),
