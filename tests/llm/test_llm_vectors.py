@@ -95,7 +95,7 @@ def test_no_vectors(spark):
 
 
 def test_pairs_of_blocks_are_not_broadcast(spark):
-    """What is broadcast doesn't grow with queries times vectors: once 8 MB here, a sheet of queries now."""
+    """What is broadcast doesn't grow with queries times vectors; all pairs of blocks would be over the limit here."""
     rng = np.random.default_rng(6)
     rows = [(i, rng.normal(0, 0.2, 64).tolist(), 0) for i in range(4000)]
     kept = spark.conf.get("spark.sql.maxBroadcastTableSize")
